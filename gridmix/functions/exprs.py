@@ -115,7 +115,7 @@ def country_name(code: ColumnOrName) -> Column:
 def sanitize_name(c: ColumnOrName) -> Column:
     """S15 / PRJ6 as a column: lower, non ``[a-z0-9_]`` -> ``_``, squeeze, strip."""
     cleaned = F.regexp_replace(F.regexp_replace(F.lower(col(c)), "[^a-z0-9_]", "_"), "_+", "_")
-    return F.trim(cleaned, "_")
+    return F.trim(cleaned, F.lit("_"))
 
 
 def flatten_name(*levels: ColumnOrName) -> Column:

@@ -214,13 +214,18 @@ def append(existing: DataFrame, batch: DataFrame) -> DataFrame:
 # ING6 / ING7 / AGG9: outcomes and summary
 # ---------------------------------------------------------------------------
 
-def load_outcomes(plan: DataFrame, batch: DataFrame) -> DataFrame:
+def load_outcomes(plan: DataFrame, batches: list[DataFrame]) -> DataFrame:
     """ING6: one outcome per key: ``skipped``, ``updated`` (rows > 0) or ``failed``.
 
-    An unsupported document type or a key with no landed rows in its window
-    is ``failed``; it never stops the other keys.
+    ``batches`` are the loaded frames (one per bronze table).  An unsupported
+    document type or a key with no landed rows in its window is ``failed``; it
+    never stops the other keys.  Rows are counted per key before the
+    (small) counts meet the plan.
     """
-    counts = batch.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("rows"))
+    counts = None
+    for b in batches:
+        c = b.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("rows"))
+        counts = c if counts is None else counts.unionByName(c)
     joined = lookup_join(plan.select(*KEYS, "action"), counts, KEYS, "left")
     rows = F.coalesce(F.col("rows"), F.lit(0)).cast("long")
     status = (F.when(F.col("action") == "skip", F.lit("skipped"))
@@ -232,4 +237,4 @@ def load_outcomes(plan: DataFrame, batch: DataFrame) -> DataFrame:
 def summary(outcomes: DataFrame) -> DataFrame:
     """ING7 / AGG9: keys and rows per status."""
     return outcomes.groupBy("status").agg(
-        F.count(F.lit(1)).alias("keys"), F.sum("rows").cast("long").alias("rows"))
+        F.count(F.lit(1)).alias("n_keys"), F.sum("rows").cast("long").alias("n_rows"))

@@ -57,11 +57,11 @@ def parse_documents(responses: DataFrame, key_cols: list[str] | None = None) ->
     ts, p = F.col("ts"), F.col("p")
     return points.where(F.col("pt")["quantity"].isNotNull()).select(
         *keys,
-        ts["`registeredResource.mRID`"].alias("unit_id"),
-        ts["`registeredResource.name`"].alias("unit_name"),
+        ts.getField("registeredResource.mRID").alias("unit_id"),
+        ts.getField("registeredResource.name").alias("unit_name"),
         ts["MktPSRType"]["psrType"].alias("psr_type"),
-        p["`timeInterval.start`"].alias("period_start"),
-        p["`timeInterval.end`"].alias("period_end"),
+        p.getField("timeInterval.start").alias("period_start"),
+        p.getField("timeInterval.end").alias("period_end"),
         F.col("pt")["quantity"].try_cast("double").alias("installed_capacity_mw"),
         ts["location"]["latitude"].try_cast("double").alias("latitude"),
         ts["location"]["longitude"].try_cast("double").alias("longitude"),

@@ -13,7 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmix.operators import marts, staging
+from gridmix.functions import exprs as X
+from gridmix.operators import ingest, marts, per_unit, quality, reports, staging
 from gridmix.session import configure
 from gridmix.sources import fixtures as fx
 
@@ -81,6 +82,224 @@ def q_renewable_capacity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return renewable_capacity_from(spark, sf_dir)
 
 
+# ---------------------------------------------------------------------------
+# Per-unit documents
+# ---------------------------------------------------------------------------
+
+def q_a71_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC7 + FLT5: parse every landed data document into per-point rows."""
+    configure(spark)
+    responses = per_unit.classify_responses(fx.a71_responses(spark, sf_dir))
+    return per_unit.parse_documents(responses.where(F.col("response_class") == "data"))
+
+
+def q_a71_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ING5: classify -> parse -> enrich, the rows appended to per-unit bronze."""
+    configure(spark)
+    return per_unit.ingest_responses(fx.a71_responses(spark, sf_dir), ingestion_ts=fx.INGESTION_TS)
+
+
+def q_a71_response_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT5 / S16: landed responses per country and class."""
+    configure(spark)
+    classified = per_unit.classify_responses(fx.a71_responses(spark, sf_dir))
+    return classified.groupBy("country_code", "response_class").agg(F.count(F.lit(1)).alias("n_responses"))
+
+
+def q_a71_ingest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ING6 / ING7 for per-unit responses: responses and rows per outcome."""
+    configure(spark)
+    outcomes = per_unit.response_outcomes(fx.a71_responses(spark, sf_dir))
+    return outcomes.groupBy("status").agg(F.count(F.lit(1)).alias("n_responses"),
+                                          F.sum("rows").cast("long").alias("n_rows"))
+
+
+# ---------------------------------------------------------------------------
+# Ingestion
+# ---------------------------------------------------------------------------
+
+# Parameters of the incremental run planned by ``ingest_window_plan``.
+PLAN_WINDOW = ingest.IngestWindow(end="2024-01-20", default_start="2024-01-01")
+# Parameters of the explicit backfill of ``ingest_append``.
+BACKFILL_WINDOW = ingest.IngestWindow(start="1995-01-01", end="2001-06-30")
+# Parameters of the incremental run summarised by ``ingest_summary``.
+SUMMARY_WINDOW = ingest.IngestWindow(end="2001-06-30", default_start="1995-01-01")
+DOCUMENTS = ["A75", "A73", "A68"]
+LOAD_TS = "2026-03-14 06:00:00"
+
+
+def q_sanitized_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ6 / PRJ7 / S15 as column expressions over raw names."""
+    configure(spark)
+    part = fx.table(spark, sf_dir, "part")
+    raw = F.concat_ws("/", "p_name", "p_brand")
+    return part.select(
+        "p_partkey", raw.alias("raw_name"), X.sanitize_name(raw).alias("column_name"),
+        X.sanitize_name(X.flatten_name("p_type", "p_brand")).alias("flat_name"))
+
+
+def q_high_water_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG7: last loaded day per bronze table and country."""
+    configure(spark)
+    return ingest.marks_by_document({"A75": fx.bronze_a75(spark, sf_dir), "A73": fx.bronze_a73(spark, sf_dir),
+                                     "A68": fx.bronze_a68(spark, sf_dir)})
+
+
+def q_high_water_mark_a71(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG8: last period start per country in per-unit bronze."""
+    configure(spark)
+    return ingest.high_water_marks_per_unit(fx.bronze_a71(spark, sf_dir))
+
+
+def q_ingest_window_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ING1 / ING2 / JN4 / FLT6 / SRC6 / S19: incremental window per key."""
+    configure(spark)
+    a75, a73, a68 = fx.bronze_a75(spark, sf_dir), fx.bronze_a73(spark, sf_dir), fx.bronze_a68(spark, sf_dir)
+    countries = a75.select("country_code").unionByName(a73.select("country_code")) \
+        .unionByName(a68.select("country_code"))
+    marks = ingest.marks_by_document({"A75": a75, "A73": a73, "A68": a68})
+    return ingest.window_plan(ingest.plan_keys(countries, DOCUMENTS), marks, PLAN_WINDOW)
+
+
+def q_ingest_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ING4 / SNK1 / PRJ6 / PRJ7 / PRJ10 / PRJ12: backfill landed generation into bronze.
+
+    Existing bronze predates the consumption columns; the landed extract has
+    two-level raw names.  Rows outside the window are not loaded, and the old
+    rows read NULL in the columns the load adds.
+    """
+    configure(spark)
+    existing = fx.bronze_a75_before_consumption(spark, sf_dir)
+    landed = fx.landed_a75(fx.bronze_a75_long(spark, sf_dir))
+    plan = ingest.window_plan(ingest.plan_keys(landed, ["A75"]), None, BACKFILL_WINDOW)
+    return ingest.append(existing, ingest.load_batch(landed, plan, LOAD_TS))
+
+
+def q_ingest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ING6 / ING7 / AGG9: outcome counts of one incremental run.
+
+    Generation bronze already holds a month; generation and capacity extracts
+    are landed, per-plant output is not.
+    """
+    configure(spark)
+    existing = {"A75": fx.bronze_a75(spark, sf_dir)}
+    landed = {"A75": fx.landed_a75(fx.bronze_a75_long(spark, sf_dir)),
+              "A68": fx.landed_a68(fx.bronze_a68(spark, sf_dir))}
+    countries = existing["A75"].select("country_code")
+    for df in landed.values():
+        countries = countries.unionByName(df.select("country_code"))
+    plan = ingest.window_plan(ingest.plan_keys(countries, DOCUMENTS), ingest.marks_by_document(existing),
+                              SUMMARY_WINDOW)
+    batches = [ingest.load_batch(df, plan, LOAD_TS) for df in landed.values()]
+    return ingest.summary(ingest.load_outcomes(plan, batches))
+
+
+def q_table_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK8 / SRC5: bronze table and extract kind of every landed document type."""
+    configure(spark)
+    docs = (fx.bronze_a75(spark, sf_dir).select("document_type")
+            .unionByName(fx.bronze_a73(spark, sf_dir).select("document_type"))
+            .unionByName(fx.bronze_a68(spark, sf_dir).select("document_type"))
+            .unionByName(fx.a71_responses(spark, sf_dir).select(F.lit("A71").alias("document_type"))))
+    counted = docs.groupBy("document_type").agg(F.count(F.lit(1)).alias("n_rows"))
+    kind = ingest.extract_kind(F.col("document_type"))
+    return counted.select("document_type", X.bronze_table_name("document_type").alias("table_name"),
+                          kind.alias("extract_kind"), kind.isNotNull().alias("supported"), "n_rows")
+
+
+def q_country_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT7: requested countries with a domain code are fetched, others skipped."""
+    configure(spark)
+    requested = fx.bronze_a68(spark, sf_dir).select("country_code").distinct()
+    domain = X.lookup(per_unit_domains(), "country_code")
+    return requested.select("country_code", domain.alias("domain_code"),
+                            F.when(domain.isNull(), F.lit("skipped")).otherwise(F.lit("requested")).alias("status"))
+
+
+def per_unit_domains() -> dict[str, str]:
+    from gridmix.functions.taxonomy import DOMAIN_CODES
+
+    return DOMAIN_CODES
+
+
+# ---------------------------------------------------------------------------
+# Data quality
+# ---------------------------------------------------------------------------
+
+def gold_models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    daily = _gen_daily(spark, sf_dir)
+    dim = marts.dim_countries(daily, ordered=False)
+    per_unit_cap = marts.capacity_per_unit(staging.stg_capacity_per_unit(fx.bronze_a71(spark, sf_dir)),
+                                           exact_scale=EXACT, ordered=False)
+    return {
+        "int_generation_daily": daily,
+        "dim_countries": dim,
+        "fct_energy_mix": marts.energy_mix(daily),
+        "fct_renewable_capacity": marts.renewable_capacity(
+            staging.stg_capacity(fx.bronze_a68(spark, sf_dir)), per_unit_cap, dim, exact_scale=EXACT),
+    }
+
+
+def _dq(test: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        configure(spark)
+        return quality.failing_keys(gold_models(spark, sf_dir), test)
+    run.__doc__ = f"DQ: failing rows of every {test} check, as keys."
+    return run
+
+
+def q_dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ5: the 14 checks with their failure counts."""
+    configure(spark)
+    return quality.report(gold_models(spark, sf_dir))
+
+
+# ---------------------------------------------------------------------------
+# Reports over the long generation history
+# ---------------------------------------------------------------------------
+
+def _long_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.energy_mix(_gen_daily(spark, sf_dir, long=True))
+
+
+def q_report_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    return reports.overview(_long_mix(spark, sf_dir), exact_scale=EXACT)
+
+
+def q_report_country_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    return reports.country_mix(_long_mix(spark, sf_dir), exact_scale=EXACT)
+
+
+def q_report_monthly_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    return reports.monthly_trend(_long_mix(spark, sf_dir), exact_scale=EXACT)
+
+
+def q_report_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    return reports.ranking(_long_mix(spark, sf_dir), start="1996-01-01", end="1999-12-31", exact_scale=EXACT)
+
+
+def q_report_capacity_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    cap = marts.capacity_per_unit(staging.stg_capacity_per_unit(fx.bronze_a71(spark, sf_dir)),
+                                  exact_scale=EXACT, ordered=False)
+    return reports.capacity_share(cap, exact_scale=EXACT)
+
+
+def q_report_capacity_vs_production(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    mix = reports.country_mix(_long_mix(spark, sf_dir), exact_scale=EXACT)
+    return reports.capacity_vs_production(renewable_capacity_from(spark, sf_dir, long=True), mix)
+
+
+def q_report_country_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    configure(spark)
+    return reports.country_detail(_long_mix(spark, sf_dir), "FR", start="1997-01-01", end="1997-12-31")
+
+
 QUERIES: dict[str, Query] = {
     "staging_generation": q_staging_generation,
     "staging_capacity": q_staging_capacity,
@@ -91,6 +310,28 @@ QUERIES: dict[str, Query] = {
     "energy_mix": q_energy_mix,
     "capacity_per_unit": q_capacity_per_unit,
     "renewable_capacity": q_renewable_capacity,
+    "a71_parse": q_a71_parse,
+    "a71_enrich": q_a71_enrich,
+    "a71_response_class": q_a71_response_class,
+    "a71_ingest_summary": q_a71_ingest_summary,
+    "sanitized_names": q_sanitized_names,
+    "high_water_mark": q_high_water_mark,
+    "high_water_mark_a71": q_high_water_mark_a71,
+    "ingest_window_plan": q_ingest_window_plan,
+    "ingest_append": q_ingest_append,
+    "ingest_summary": q_ingest_summary,
+    "table_names": q_table_names,
+    "country_subset": q_country_subset,
+    "dq_not_null": _dq("not_null"),
+    "dq_unique": _dq("unique"),
+    "dq_accepted_values": _dq("accepted_values"),
+    "dq_relationships": _dq("relationships"),
+    "dq_report": q_dq_report,
+    "report_overview": q_report_overview,
+    "report_country_mix": q_report_country_mix,
+    "report_monthly_trend": q_report_monthly_trend,
+    "report_ranking": q_report_ranking,
+    "report_capacity_share": q_report_capacity_share,
+    "report_capacity_vs_production": q_report_capacity_vs_production,
+    "report_country_detail": q_report_country_detail,
 }
-
-__all__ = ["QUERIES", "EXACT", "F"]

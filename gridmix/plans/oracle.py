@@ -211,3 +211,264 @@ ORACLE: dict[str, str] = {
         "SELECT * FROM capacity_per_unit ORDER BY country_code, total_capacity_mw DESC")),
     "renewable_capacity": with_(*renewable_capacity_sql(), final="SELECT * FROM renewable_capacity"),
 }
+
+
+# ---------------------------------------------------------------------------
+# Per-unit documents
+# ---------------------------------------------------------------------------
+
+# A landed response is parsed when it is a data document that is well formed:
+# see ``fixtures.a71_responses`` for how each line number is landed.
+A71_FAILED = "(l_linenumber IN (4, 6, 7) OR (l_linenumber = 5 AND l_returnflag = 'R'))"
+
+A71_PARSED = f"""a71_parsed AS (
+  SELECT {cyc('l_suppkey', COUNTRIES_9)} AS country_code,
+    concat('U', CAST(l_suppkey AS VARCHAR)) AS unit_id,
+    concat('Unit ', CAST(l_suppkey AS VARCHAR)) AS unit_name,
+    {PSR_CODE} AS psr_type,
+    concat(CAST(CAST(l_shipdate AS DATE) AS VARCHAR), 'T00:00Z') AS period_start,
+    concat(CAST(year(l_shipdate) AS VARCHAR), '-12-31T23:00Z') AS period_end,
+    CASE WHEN l_linenumber = 3 THEN NULL
+         ELSE CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) END AS installed_capacity_mw,
+    CASE WHEN l_suppkey % 3 = 0 THEN CAST(45 + l_suppkey % 10 AS DOUBLE) END AS latitude,
+    CASE WHEN l_suppkey % 3 = 0 THEN CAST(5 + l_suppkey % 10 AS DOUBLE) END AS longitude
+  FROM lineitem WHERE NOT {A71_FAILED})"""
+
+RESPONSE_CLASS = """CASE WHEN l_linenumber = 5 AND l_returnflag = 'R' THEN 'failed'
+       WHEN l_linenumber = 7 THEN 'no_data' WHEN l_linenumber = 6 THEN 'unknown' ELSE 'data' END"""
+
+ORACLE.update({
+    "a71_parse": with_(A71_PARSED, final="SELECT * FROM a71_parsed"),
+    "a71_enrich": with_(A71_PARSED, final=(
+        f"SELECT *, {ENERGY_TYPE} AS energy_type, {IS_RENEWABLE} AS is_renewable, "
+        f"'A71' AS document_type, {TS} AS ingestion_timestamp FROM a71_parsed")),
+    "a71_response_class": (
+        f"SELECT {cyc('l_suppkey', COUNTRIES_9)} AS country_code, {RESPONSE_CLASS} AS response_class, "
+        "count(*) AS n_responses FROM lineitem GROUP BY 1, 2"),
+    "a71_ingest_summary": (
+        f"SELECT CASE WHEN {A71_FAILED} THEN 'failed' ELSE 'success' END AS status, count(*) AS n_responses, "
+        f"CAST(sum(CASE WHEN {A71_FAILED} THEN 0 ELSE 1 END) AS BIGINT) AS n_rows FROM lineitem GROUP BY 1"),
+})
+
+# ---------------------------------------------------------------------------
+# Ingestion
+# ---------------------------------------------------------------------------
+
+
+def _sanitize_sql(expr: str) -> str:
+    return f"trim(regexp_replace(regexp_replace(lower({expr}), '[^a-z0-9_]', '_', 'g'), '_+', '_', 'g'), '_')"
+
+
+def _utc(ts: str) -> str:
+    return f"timezone('UTC', timezone('{tx.MARKET_TIME_ZONE}', {ts}))"
+
+
+TABLE_NAME = case_map("document_type", tx.BRONZE_TABLES, "concat('bronze_entsoe_', lower(document_type))")
+
+BRONZE_A75_LONG_AS = BRONZE_A75_LONG.replace("bronze_a75 AS (", "bronze_a75_long AS (", 1)
+DOCS = "(VALUES ('A75'), ('A73'), ('A68')) d(document_type)"
+
+
+def _marks(tables: dict[str, str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{doc}' AS document_type, country_code, max(CAST(\"index\" AS DATE)) AS last_date "
+        f"FROM {t} GROUP BY country_code" for doc, t in tables.items())
+
+
+def _plan(countries_sql: str, marks_sql: str, end: str, default_start: str) -> str:
+    return f"""keys AS (
+  SELECT c.country_code, d.document_type FROM (SELECT DISTINCT country_code FROM ({countries_sql})) c
+  CROSS JOIN {DOCS}),
+marks AS ({marks_sql}),
+planned AS (
+  SELECT k.country_code, k.document_type, m.last_date,
+    coalesce(CAST(m.last_date + 1 AS DATE), DATE '{default_start}') AS start_date
+  FROM keys k LEFT JOIN marks m ON k.country_code = m.country_code AND k.document_type = m.document_type),
+plan AS (
+  SELECT country_code, document_type, {TABLE_NAME} AS table_name, 'incremental' AS mode, last_date, start_date,
+    DATE '{end}' AS end_date,
+    CASE WHEN start_date > DATE '{end}' THEN 'skip' ELSE 'fetch' END AS action,
+    {_utc('CAST(start_date AS TIMESTAMP)')} AS request_start_utc,
+    {_utc(f"TIMESTAMP '{end} 00:00:00'")} AS request_end_utc,
+    strftime(CAST(start_date AS TIMESTAMP), '%Y%m%d%H%M') AS period_start_param,
+    strftime(TIMESTAMP '{end} 00:00:00', '%Y%m%d%H%M') AS period_end_param
+  FROM planned)"""
+
+
+_AGG_COLS = [c for c in GENERATION_RENAMES if c.endswith("_actual_aggregated")]
+LOAD_TS_SQL = "TIMESTAMP '2026-03-14 06:00:00'"
+
+ORACLE.update({
+    "sanitized_names": (
+        "SELECT p_partkey, concat_ws('/', p_name, p_brand) AS raw_name, "
+        + _sanitize_sql("concat_ws('/', p_name, p_brand)") + " AS column_name, "
+        + _sanitize_sql("trim(concat_ws('_', p_type, p_brand))") + " AS flat_name FROM part"),
+    "high_water_mark": with_(BRONZE_A75, BRONZE_A73, BRONZE_A68, final=_marks(
+        {"A75": "bronze_a75", "A73": "bronze_a73", "A68": "bronze_a68"})),
+    "high_water_mark_a71": with_(A71_UNITS, final=(
+        "SELECT country_code, max(CAST(strptime(period_start, '%Y-%m-%dT%H:%MZ') AS DATE)) AS last_date "
+        "FROM a71_units GROUP BY 1")),
+    "ingest_window_plan": with_(
+        BRONZE_A75, BRONZE_A73, BRONZE_A68,
+        _plan("SELECT country_code FROM bronze_a75 UNION ALL SELECT country_code FROM bronze_a73 "
+              "UNION ALL SELECT country_code FROM bronze_a68",
+              _marks({"A75": "bronze_a75", "A73": "bronze_a73", "A68": "bronze_a68"}),
+              end="2024-01-20", default_start="2024-01-01"),
+        final="SELECT * FROM plan"),
+    "ingest_append": with_(BRONZE_A75, BRONZE_A75_LONG_AS, final=f"""
+SELECT country_code, document_type, ingestion_timestamp, "index", {', '.join(_AGG_COLS)} FROM bronze_a75
+UNION ALL BY NAME
+SELECT country_code, document_type, {LOAD_TS_SQL} AS ingestion_timestamp, "index", {', '.join(GENERATION_RENAMES)}
+FROM bronze_a75_long
+WHERE "index" >= {_utc("TIMESTAMP '1995-01-01 00:00:00'")} AND "index" < {_utc("TIMESTAMP '2001-06-30 00:00:00'")}"""),
+    "ingest_summary": with_(
+        BRONZE_A75, BRONZE_A75_LONG_AS, BRONZE_A68,
+        _plan("SELECT country_code FROM bronze_a75 UNION ALL SELECT country_code FROM bronze_a75_long "
+              "UNION ALL SELECT country_code FROM bronze_a68",
+              _marks({"A75": "bronze_a75"}), end="2001-06-30", default_start="1995-01-01"),
+        """landed AS (
+  SELECT country_code, 'A75' AS document_type, "index" FROM bronze_a75_long
+  UNION ALL SELECT country_code, 'A68' AS document_type, "index" FROM bronze_a68),
+counts AS (
+  SELECT p.country_code, p.document_type, count(*) AS n FROM plan p
+  JOIN landed l ON p.country_code = l.country_code AND p.document_type = l.document_type
+  WHERE p.action = 'fetch' AND l."index" >= p.request_start_utc AND l."index" < p.request_end_utc
+  GROUP BY 1, 2),
+outcomes AS (
+  SELECT CASE WHEN p.action = 'skip' THEN 'skipped' WHEN coalesce(c.n, 0) > 0 THEN 'updated' ELSE 'failed' END
+      AS status,
+    CASE WHEN p.action = 'skip' THEN 0 ELSE coalesce(c.n, 0) END AS n
+  FROM plan p LEFT JOIN counts c ON p.country_code = c.country_code AND p.document_type = c.document_type)""",
+        final="SELECT status, count(*) AS n_keys, CAST(sum(n) AS BIGINT) AS n_rows FROM outcomes GROUP BY 1"),
+    "table_names": with_(BRONZE_A75, BRONZE_A73, BRONZE_A68, final=f"""
+SELECT document_type, {TABLE_NAME} AS table_name,
+  {case_map('document_type', tx.DOCUMENT_EXTRACTS, 'NULL')} AS extract_kind,
+  document_type IN ({lit_list(list(tx.DOCUMENT_EXTRACTS))}) AS supported, n_rows
+FROM (SELECT document_type, count(*) AS n_rows FROM (
+  SELECT document_type FROM bronze_a75 UNION ALL SELECT document_type FROM bronze_a73
+  UNION ALL SELECT document_type FROM bronze_a68 UNION ALL SELECT 'A71' AS document_type FROM lineitem)
+  GROUP BY 1)"""),
+    "country_subset": with_(BRONZE_A68, final=f"""
+SELECT country_code, domain_code, CASE WHEN domain_code IS NULL THEN 'skipped' ELSE 'requested' END AS status
+FROM (SELECT country_code, {case_map('country_code', tx.DOMAIN_CODES, 'NULL')} AS domain_code
+      FROM (SELECT DISTINCT country_code FROM bronze_a68))"""),
+})
+
+# ---------------------------------------------------------------------------
+# Data quality
+# ---------------------------------------------------------------------------
+
+_MODEL_CTE = {"int_generation_daily": "generation_daily", "dim_countries": "dim_countries",
+              "fct_energy_mix": "energy_mix", "fct_renewable_capacity": "renewable_capacity"}
+GOLD = (*renewable_capacity_sql(), ENERGY_MIX)
+
+
+def _dq_failing(check) -> tuple[str, str]:
+    """(value expression, FROM ... WHERE ...) of a check's failing rows."""
+    m = _MODEL_CTE[check.model]
+    c = check.column
+    if check.test == "not_null":
+        return c, f"{m} WHERE {c} IS NULL"
+    if check.test == "unique":
+        return "unique_field", (f"(SELECT {c} AS unique_field, count(*) AS n_records FROM {m} "
+                                f"WHERE {c} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)")
+    if check.test == "accepted_values":
+        return "value_field", (f"(SELECT {c} AS value_field, count(*) AS n_records FROM {m} GROUP BY 1) "
+                               f"WHERE value_field NOT IN ({lit_list(check.values)})")
+    if check.test == "relationships":
+        p = _MODEL_CTE[check.parent]
+        return f"ch.{c}", (f"{m} ch WHERE ch.{c} IS NOT NULL AND NOT EXISTS "
+                           f"(SELECT 1 FROM {p} pa WHERE pa.{check.parent_column} = ch.{c})")
+    raise ValueError(check.test)
+
+
+def _dq_keys(test: str) -> str:
+    from gridmix.operators.quality import CHECKS
+
+    parts = []
+    for ch in CHECKS:
+        if ch.test != test:
+            continue
+        value, src = _dq_failing(ch)
+        parts.append(f"SELECT '{ch.test_id}' AS test_id, '{ch.model}' AS model, '{ch.column}' AS column_name, "
+                     f"CAST({value} AS VARCHAR) AS value FROM {src}")
+    return with_(*GOLD, final="\nUNION ALL\n".join(parts))
+
+
+def _dq_report() -> str:
+    from gridmix.operators.quality import CHECKS
+
+    parts = []
+    for ch in CHECKS:
+        _, src = _dq_failing(ch)
+        parts.append(f"SELECT '{ch.test_id}' AS test_id, '{ch.test}' AS test, '{ch.model}' AS model, "
+                     f"'{ch.column}' AS column_name, count(*) AS failures FROM {src}")
+    return with_(*GOLD, final="\nUNION ALL\n".join(parts))
+
+
+ORACLE.update({
+    "dq_not_null": _dq_keys("not_null"),
+    "dq_unique": _dq_keys("unique"),
+    "dq_accepted_values": _dq_keys("accepted_values"),
+    "dq_relationships": _dq_keys("relationships"),
+    "dq_report": _dq_report(),
+})
+
+# ---------------------------------------------------------------------------
+# Reports (long generation history)
+# ---------------------------------------------------------------------------
+
+LONG_MIX = (*GEN_CHAIN_LONG, ENERGY_MIX)
+_E = [f"total_{c}_mwh" for c in tx.CATEGORIES]
+
+
+def _energy_sums() -> str:
+    return ", ".join(f"{xsum(c)} AS {c}" for c in (*_E, "total_production_mwh"))
+
+
+def _energy_shares() -> str:
+    return ", ".join(f"{share(f'total_{c}_mwh', 'total_production_mwh')} AS {c}_percentage" for c in tx.CATEGORIES)
+
+
+COUNTRY_MIX = f"""country_mix AS (
+  SELECT country_code, days, {', '.join(_E)}, total_production_mwh, {_energy_shares()}
+  FROM (SELECT country_code, count(*) AS days, {_energy_sums()} FROM energy_mix GROUP BY 1))"""
+
+RANKING_MIX = COUNTRY_MIX.replace(
+    "FROM energy_mix GROUP BY 1",
+    "FROM energy_mix WHERE generation_date >= DATE '1996-01-01' AND generation_date <= DATE '1999-12-31' GROUP BY 1")
+
+ORACLE.update({
+    "report_overview": with_(*LONG_MIX, final=f"""
+SELECT generation_date, countries, {', '.join(_E)}, total_production_mwh, {_energy_shares()}
+FROM (SELECT generation_date, count(DISTINCT country_code) AS countries, {_energy_sums()}
+      FROM energy_mix GROUP BY 1)"""),
+    "report_country_mix": with_(*LONG_MIX, COUNTRY_MIX, final="SELECT * FROM country_mix"),
+    "report_monthly_trend": with_(*LONG_MIX, final=f"""
+SELECT country_code, month, total_renewable_mwh, total_fossil_mwh, total_production_mwh,
+  {share('total_renewable_mwh', 'total_production_mwh')} AS renewable_percentage,
+  {share('total_fossil_mwh', 'total_production_mwh')} AS fossil_percentage
+FROM (SELECT country_code, CAST(date_trunc('month', generation_date) AS DATE) AS month,
+        {xsum('total_renewable_mwh')} AS total_renewable_mwh, {xsum('total_fossil_mwh')} AS total_fossil_mwh,
+        {xsum('total_production_mwh')} AS total_production_mwh
+      FROM energy_mix GROUP BY 1, 2)"""),
+    "report_ranking": with_(*LONG_MIX, RANKING_MIX, final="""
+SELECT country_code, renewable_percentage, fossil_percentage, total_production_mwh,
+  rank() OVER (ORDER BY renewable_percentage DESC NULLS LAST) AS renewable_rank
+FROM country_mix"""),
+    "report_capacity_share": with_(*UNIT_CHAIN, final=f"""
+SELECT country_code, energy_type, is_renewable, total_capacity_mw, number_of_units, country_total_capacity_mw,
+  {share('total_capacity_mw', 'country_total_capacity_mw')} AS capacity_share_percentage
+FROM (SELECT *, CAST(sum(CAST(round(total_capacity_mw * 100) AS BIGINT)) OVER (PARTITION BY country_code) AS DOUBLE)
+                / CAST(100 AS DOUBLE) AS country_total_capacity_mw
+      FROM capacity_per_unit)"""),
+    "report_capacity_vs_production": with_(*renewable_capacity_sql(GEN_CHAIN_LONG), ENERGY_MIX, COUNTRY_MIX, final="""
+SELECT r.country_code, r.capacity_date, r.total_installed_capacity_mw, r.renewable_capacity_percentage,
+  m.days, m.total_production_mwh, m.renewable_percentage,
+  round(m.renewable_percentage - r.renewable_capacity_percentage, 2) AS renewable_gap_points
+FROM renewable_capacity r JOIN country_mix m ON r.country_code = m.country_code"""),
+    "report_country_detail": with_(*LONG_MIX, final="""
+SELECT * FROM energy_mix
+WHERE country_code = 'FR' AND generation_date >= DATE '1997-01-01' AND generation_date <= DATE '1997-12-31'
+ORDER BY generation_date"""),
+})

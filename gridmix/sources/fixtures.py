@@ -199,3 +199,51 @@ def a71_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         status.alias("http_status"),
         body.alias("body"),
     )
+
+
+# ---------------------------------------------------------------------------
+# Landed extracts with raw names, as an API client returns them
+# ---------------------------------------------------------------------------
+
+def _raw_labels() -> dict[str, str]:
+    """Sanitised fuel stem -> raw label (the production-type names, plus storage)."""
+    from gridmix.functions.taxonomy import PSR_TYPES
+    from gridmix.operators.ingest import sanitize
+
+    labels = {sanitize(name): name for name in PSR_TYPES.values()}
+    labels["energy_storage"] = "Energy Storage"
+    return labels
+
+
+def _split_generation_column(name: str) -> tuple[str, str]:
+    for suffix, measure in (("_actual_aggregated", "Actual Aggregated"),
+                            ("_actual_consumption", "Actual Consumption")):
+        if name.endswith(suffix):
+            return _raw_labels()[name[: -len(suffix)]], measure
+    raise ValueError(name)
+
+
+def landed_a75(bronze: DataFrame) -> DataFrame:
+    """Generation extract with two-level raw names (fuel, measure) as struct columns."""
+    fuels: dict[str, list[tuple[str, str]]] = {}
+    for c in GENERATION_RENAMES:
+        if c in bronze.columns:
+            fuel, measure = _split_generation_column(c)
+            fuels.setdefault(fuel, []).append((measure, c))
+    return bronze.select(
+        "country_code", "document_type", "index",
+        *[F.struct(*[F.col(c).alias(m) for m, c in parts]).alias(fuel) for fuel, parts in fuels.items()])
+
+
+def landed_a68(bronze: DataFrame) -> DataFrame:
+    """Capacity extract with flat raw names (production-type labels)."""
+    labels = _raw_labels()
+    return bronze.select("country_code", "document_type", "index",
+                         *[F.col(c).alias(labels[c]) for c in CAPACITY_RENAMES])
+
+
+def bronze_a75_before_consumption(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F1 as bronze looked before consumption columns were first loaded."""
+    b = bronze_a75(spark, sf_dir)
+    keep = [c for c in GENERATION_RENAMES if c.endswith("_actual_aggregated")]
+    return b.select("country_code", "document_type", "ingestion_timestamp", "index", *keep)
