@@ -222,6 +222,31 @@ def per_unit_domains() -> dict[str, str]:
     return DOMAIN_CODES
 
 
+def q_stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR1: stream landed per-plant extracts into bronze, then rerun the stream.
+
+    The extracts are landed as files under the shared checkpoint folder; the
+    stream (available-now trigger) sanitises names and stamps lineage.  The
+    second run finds no new file and appends nothing, so the result holds
+    each landed row exactly once.
+    """
+    import uuid
+
+    from gridmix.session import shared_dir
+    from gridmix.sources import landing
+    from gridmix.streaming import bronze_stream
+
+    configure(spark)
+    run = shared_dir(spark, "stream_append", uuid.uuid4().hex)
+    landed = fx.landed_a73(spark, sf_dir).drop("ingestion_timestamp")
+    landing.land_extract(landed, f"{run}/landing")
+    schema = spark.read.parquet(f"{run}/landing").schema
+    for _ in range(2):
+        bronze_stream.stream_to_bronze(spark, f"{run}/landing", schema, f"{run}/bronze", f"{run}/checkpoint",
+                                       ingestion_ts=fx.INGESTION_TS)
+    return bronze_stream.read_stream_output(spark, f"{run}/bronze")
+
+
 # ---------------------------------------------------------------------------
 # Data quality
 # ---------------------------------------------------------------------------
@@ -322,6 +347,7 @@ QUERIES: dict[str, Query] = {
     "ingest_summary": q_ingest_summary,
     "table_names": q_table_names,
     "country_subset": q_country_subset,
+    "stream_append": q_stream_append,
     "dq_not_null": _dq("not_null"),
     "dq_unique": _dq("unique"),
     "dq_accepted_values": _dq("accepted_values"),

@@ -472,3 +472,6 @@ SELECT * FROM energy_mix
 WHERE country_code = 'FR' AND generation_date >= DATE '1997-01-01' AND generation_date <= DATE '1997-12-31'
 ORDER BY generation_date"""),
 })
+
+# STR1: the stream's output is every landed per-plant row once, sanitised and stamped.
+ORACLE["stream_append"] = with_(BRONZE_A73, final="SELECT * FROM bronze_a73")
