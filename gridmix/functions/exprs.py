@@ -57,11 +57,22 @@ def total_sum(c: ColumnOrName, exact_scale: int | None = None) -> Column:
     in; the result is cast back to DOUBLE.  NULL inputs are skipped and an
     all-NULL group stays NULL, as with SUM.
     """
+    return from_units(F.sum(to_units(c, exact_scale)), exact_scale)
+
+
+def to_units(c: ColumnOrName, exact_scale: int | None) -> Column:
+    """A value as the summand of ``total_sum`` (a LONG count of 10^-s units)."""
     c = col(c)
     if exact_scale is None:
-        return F.sum(c)
-    unit = float(10 ** exact_scale)
-    return F.sum(F.round(c * F.lit(unit)).cast("long")).cast("double") / F.lit(unit)
+        return c
+    return F.round(c * F.lit(float(10 ** exact_scale))).cast("long")
+
+
+def from_units(summed: Column, exact_scale: int | None) -> Column:
+    """Back from a sum of ``to_units`` values to a DOUBLE total."""
+    if exact_scale is None:
+        return summed
+    return summed.cast("double") / F.lit(float(10 ** exact_scale))
 
 
 def windowed_total(c: ColumnOrName, window, exact_scale: int | None = None) -> Column:

@@ -75,15 +75,21 @@ def capacity_per_unit(stg_capacity_per_unit: DataFrame, exact_scale: int | None
     Sums every row of a unit (all periods and points, and every re-appended
     load), counts distinct units exactly, and keeps the greatest period
     bounds as strings (lexicographic).
+
+    Plan: Spark aggregates a string ``max`` with a sort-based aggregate, which
+    would sort every raw row.  So rows are first collapsed by (group, unit,
+    period) in a hash aggregate, where the strings are keys; re-appended
+    loads and multi-point periods collapse there, and only one row per
+    unit and period reaches the string maxima and the distinct count.
     """
-    out = (
-        stg_capacity_per_unit.groupBy("country_code", "energy_type", "is_renewable")
-        .agg(
-            X.total_sum("installed_capacity_mw", exact_scale).alias("total_capacity_mw"),
-            F.count_distinct("unit_id").alias("number_of_units"),
-            F.max("period_start").alias("latest_period_start"),
-            F.max("period_end").alias("latest_period_end"),
-        )
+    keys = ["country_code", "energy_type", "is_renewable"]
+    per_period = stg_capacity_per_unit.groupBy(*keys, "unit_id", "period_start", "period_end").agg(
+        F.sum(X.to_units("installed_capacity_mw", exact_scale)).alias("_mw"))
+    out = per_period.groupBy(*keys).agg(
+        X.from_units(F.sum("_mw"), exact_scale).alias("total_capacity_mw"),
+        F.count_distinct("unit_id").alias("number_of_units"),
+        F.max("period_start").alias("latest_period_start"),
+        F.max("period_end").alias("latest_period_end"),
     )
     return out.orderBy("country_code", F.desc("total_capacity_mw")) if ordered else out
 
