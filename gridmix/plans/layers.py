@@ -51,9 +51,8 @@ def ingest_extracts(spark: SparkSession, wh: Warehouse, landing_root: str, count
     shared_dir(spark)  # make sure a checkpoint folder is set
     stamp = run_stamp(now)
     tables = {d: tx.BRONZE_TABLES.get(d, f"{tx.BRONZE_TABLE_PREFIX}{d.lower()}") for d in documents}
-    bronze = {d: wh.read_bronze(t, CONTRACTS.get(d)) if wh.exists("bronze", t) else None
-              for d, t in tables.items()}
-    marks_src = {d: df for d, df in bronze.items() if df is not None}
+    marks_src = {d: wh.read_bronze(t, CONTRACTS.get(d)) for d, t in tables.items() if wh.exists("bronze", t)}
+    marks_src = {d: df for d, df in marks_src.items() if "index" in df.columns}
     country_df = spark.createDataFrame([(c,) for c in countries], "country_code string")
     keys = ingest.plan_keys(country_df, documents)
     if window.mode == "incremental" and marks_src:
@@ -71,8 +70,9 @@ def ingest_extracts(spark: SparkSession, wh: Warehouse, landing_root: str, count
 
     loaded = []
     for doc, table in tables.items():
-        if wh.exists("bronze", table):
-            b = wh.read_bronze(table).where(F.col("ingestion_timestamp") == F.lit(stamp).cast("timestamp"))
+        b = wh.read_bronze(table, CONTRACTS.get(doc))
+        if "ingestion_timestamp" in b.columns:
+            b = b.where(F.col("ingestion_timestamp") == F.lit(stamp).cast("timestamp"))
             loaded.append(b.select("country_code", F.lit(doc).alias("document_type")))
     if not loaded:
         loaded = [spark.createDataFrame([], "country_code string, document_type string")]

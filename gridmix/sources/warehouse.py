@@ -68,13 +68,19 @@ class Warehouse:
         """SRC1: scan a bronze table, merging the schemas of its files.
 
         Columns of the contract that no file has yet are added as typed NULL;
-        a table not created yet reads as empty.
+        a table not created yet (or holding no data file) reads as empty.
         """
+        from pyspark.errors import AnalysisException
+
+        empty_schema = contract or T.StructType([T.StructField("country_code", T.StringType())])
         if not self.exists("bronze", table):
-            if contract is None:
-                raise FileNotFoundError(self.path("bronze", table))
-            return self.spark.createDataFrame([], contract)
-        df = self.spark.read.option("mergeSchema", "true").parquet(self.path("bronze", table))
+            return self.spark.createDataFrame([], empty_schema)
+        try:
+            df = self.spark.read.option("mergeSchema", "true").parquet(self.path("bronze", table))
+        except AnalysisException as e:
+            if "UNABLE_TO_INFER_SCHEMA" not in str(e):
+                raise
+            return self.spark.createDataFrame([], empty_schema)
         return ensure_columns(df, contract) if contract is not None else df
 
     def append_bronze(self, df: DataFrame | None, table: str, contract: T.StructType | None = None,
