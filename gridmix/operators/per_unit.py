@@ -36,11 +36,40 @@ MARKET_DOCUMENT_SCHEMA = T.StructType([
 XML_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
 
 
+def request_plan(countries: DataFrame, start: str | None, end: str | None, now: str) -> DataFrame:
+    """ING3 + FLT7 + S19 + S21: one request per country for per-unit documents.
+
+    Both dates are needed; when either is missing the window is January 1 of
+    ``now``'s year to ``now``.  Countries without a domain code are
+    ``skipped``.  Request bounds are formatted as given (no zone shift).
+    """
+    from gridmix.functions import taxonomy as tx
+
+    now_ts = F.to_timestamp(F.lit(now))
+    start_ts, end_ts = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
+    incomplete = start_ts.isNull() | end_ts.isNull()
+    period_start = F.when(incomplete, F.trunc(now_ts, "year").cast("timestamp")).otherwise(start_ts)
+    period_end = F.when(incomplete, now_ts).otherwise(end_ts)
+    domain = X.lookup(tx.DOMAIN_CODES, "country_code")
+    return countries.select("country_code").distinct().select(
+        "country_code",
+        domain.alias("domain_code"),
+        F.when(domain.isNull(), F.lit("skipped")).otherwise(F.lit("requested")).alias("status"),
+        period_start.alias("period_start"),
+        period_end.alias("period_end"),
+        X.api_time(period_start).alias("period_start_param"),
+        X.api_time(period_end).alias("period_end_param"),
+    )
+
+
 def classify_responses(responses: DataFrame) -> DataFrame:
     """FLT5: add ``response_class`` (data / no_data / unknown / failed)."""
     return responses.withColumn("response_class", X.response_class("body", "http_status"))
 
 
+SERIES_SCHEMA: T.StructType = MARKET_DOCUMENT_SCHEMA["TimeSeries"].dataType.elementType
+
+
 def parse_documents(responses: DataFrame, key_cols: list[str] | None = None) -> DataFrame:
     """SRC7: one row per TimeSeries x Period x Point that has a quantity.
 
@@ -51,7 +80,12 @@ def parse_documents(responses: DataFrame, key_cols: list[str] | None = None) ->
     """
     keys = key_cols or ["country_code"]
     doc = F.from_xml(F.col("body"), MARKET_DOCUMENT_SCHEMA, XML_OPTIONS)
-    series = responses.select(*keys, F.explode(doc["TimeSeries"]).alias("ts"))
+    return series_rows(responses.select(*keys, F.explode(doc["TimeSeries"]).alias("ts")), keys)
+
+
+def series_rows(series: DataFrame, key_cols: list[str] | None = None) -> DataFrame:
+    """Rows of parsed TimeSeries structs (column ``ts``): explode Period, then Point."""
+    keys = key_cols or ["country_code"]
     periods = series.select(*keys, "ts", F.explode(F.col("ts")["Period"]).alias("p"))
     points = periods.select(*keys, "ts", "p", F.explode(F.col("p")["Point"]).alias("pt"))
     ts, p = F.col("ts"), F.col("p")

@@ -114,6 +114,19 @@ def q_a71_ingest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
                                           F.sum("rows").cast("long").alias("n_rows"))
 
 
+# Run parameters of the per-unit request plan: no explicit window, so the
+# current year up to the run time is requested.
+A71_NOW = "2026-03-13 06:00:00"
+
+
+def q_a71_request_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ING3 / FLT7 / S19 / S21: request windows for the countries with landed responses."""
+    configure(spark)
+    countries = fx.a71_responses(spark, sf_dir).select("country_code") \
+        .unionByName(fx.bronze_a68(spark, sf_dir).select("country_code"))
+    return per_unit.request_plan(countries, None, "2026-02-01", A71_NOW)
+
+
 # ---------------------------------------------------------------------------
 # Ingestion
 # ---------------------------------------------------------------------------
@@ -339,6 +352,7 @@ QUERIES: dict[str, Query] = {
     "a71_enrich": q_a71_enrich,
     "a71_response_class": q_a71_response_class,
     "a71_ingest_summary": q_a71_ingest_summary,
+    "a71_request_plan": q_a71_request_plan,
     "sanitized_names": q_sanitized_names,
     "high_water_mark": q_high_water_mark,
     "high_water_mark_a71": q_high_water_mark_a71,

@@ -475,3 +475,17 @@ ORDER BY generation_date"""),
 
 # STR1: the stream's output is every landed per-plant row once, sanitised and stamped.
 ORACLE["stream_append"] = with_(BRONZE_A73, final="SELECT * FROM bronze_a73")
+
+# ING3: start given without end -> January 1 of the run's year to the run time.
+ORACLE["a71_request_plan"] = with_(BRONZE_A68, final=f"""
+SELECT country_code, domain_code, CASE WHEN domain_code IS NULL THEN 'skipped' ELSE 'requested' END AS status,
+  period_start, period_end,
+  strftime(period_start, '%Y%m%d%H%M') AS period_start_param, strftime(period_end, '%Y%m%d%H%M') AS period_end_param
+FROM (SELECT country_code, {case_map('country_code', tx.DOMAIN_CODES, 'NULL')} AS domain_code,
+        CASE WHEN req_start IS NULL OR req_end IS NULL THEN CAST(date_trunc('year', run_now) AS TIMESTAMP)
+             ELSE req_start END AS period_start,
+        CASE WHEN req_start IS NULL OR req_end IS NULL THEN run_now ELSE req_end END AS period_end
+      FROM (SELECT {cyc('l_suppkey', COUNTRIES_9)} AS country_code FROM lineitem
+            UNION SELECT country_code FROM bronze_a68),
+           (SELECT CAST(NULL AS TIMESTAMP) AS req_start, TIMESTAMP '2026-02-01 00:00:00' AS req_end,
+                   TIMESTAMP '2026-03-13 06:00:00' AS run_now))""")

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmix.operators.joins import lookup_join
+from gridmix.operators.joins import anti_join, lookup_join
 
 
 def read_extracts(spark: SparkSession, root: str, document_type: str | None = None) -> DataFrame:
@@ -50,3 +50,26 @@ def land_extract(df: DataFrame, root: str) -> None:
     """Write extract rows into the landing layout (used by tests and the stream demo)."""
     df.write.mode("append").partitionBy("document_type", "country_code").parquet(root)
 
+
+
+def read_series(spark: SparkSession, root: str, manifest: DataFrame | None = None) -> DataFrame:
+    """SRC4 for large responses: one row per ``TimeSeries`` element, as column ``ts``.
+
+    The XML data source finds ``<TimeSeries>`` elements inside each file and
+    splits large files across tasks, so a response of any size is read in
+    parallel instead of as one row.  Files the manifest marks as failed
+    (status other than 200) are dropped.  Acknowledgements have no series and
+    give no rows.  Unlike the per-document path, complete series before a
+    truncation point are kept.
+    """
+    from gridmix.operators.per_unit import SERIES_SCHEMA
+
+    raw = (spark.read.format("xml").option("rowTag", "TimeSeries").option("mode", "PERMISSIVE")
+           .schema(SERIES_SCHEMA).load(root))
+    series = raw.select(F.col("country_code").cast("string").alias("country_code"),
+                        F.col("_metadata.file_name").alias("file_name"),
+                        F.struct(*[F.col(f"`{f.name}`") for f in SERIES_SCHEMA.fields]).alias("ts"))
+    if manifest is not None:
+        failed = manifest.where(F.coalesce(F.col("http_status") != 200, F.lit(True))).select("file_name")
+        series = anti_join(series, failed, "file_name")
+    return series

@@ -101,3 +101,22 @@ def test_response_outcomes(spark):
     got = sorted((r.response_class, r.status, r.rows) for r in per_unit.response_outcomes(df).collect())
     assert got == [("data", "failed", 0), ("data", "success", 2), ("failed", "failed", 0),
                    ("no_data", "failed", 0)]
+
+
+def test_series_reader_splits_documents_by_element(spark, tmp_path):
+    import os
+
+    from gridmix.sources import landing
+
+    root = tmp_path / "responses"
+    files = {("FR", "big.xml"): doc(ts(unit="U1"), ts(unit="U2", periods=[period(points=("1", "2"))])),
+             ("FR", "failed.xml"): doc(ts(unit="U9")),
+             ("BE", "ack.xml"): "<Acknowledgement_MarketDocument><x/></Acknowledgement_MarketDocument>"}
+    for (country, name), body in files.items():
+        os.makedirs(root / f"country_code={country}", exist_ok=True)
+        (root / f"country_code={country}" / name).write_text(body)
+    manifest = spark.createDataFrame([("failed.xml", 503)], "file_name string, http_status int")
+    series = landing.read_series(spark, str(root), manifest)
+    rows = per_unit.series_rows(series).collect()
+    assert sorted((r.country_code, r.unit_id, r.installed_capacity_mw) for r in rows) == [
+        ("FR", "U1", 100.0), ("FR", "U2", 1.0), ("FR", "U2", 2.0)]
