@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from gridmix.functions import exprs as X
 from gridmix.functions import taxonomy as tx
-from gridmix.operators.joins import checked_broadcast, lookup_join
+from gridmix.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, checked_broadcast, is_small
 
 KEYS = ["country_code", "document_type"]
 
@@ -143,20 +143,33 @@ def plan_keys(countries: DataFrame, documents: list[str]) -> DataFrame:
     return countries.select("country_code").distinct().select("country_code", docs.alias("document_type"))
 
 
-def window_plan(keys: DataFrame, marks: DataFrame, window: IngestWindow) -> DataFrame:
+def window_plan(keys: DataFrame, marks: DataFrame | None, window: IngestWindow,
+                max_keys: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """ING2: start, end and action for every (country, document) key.
 
     Incremental: start = mark + 1 day (the rest of a partly loaded last day
     is not fetched again), or ``default_start``; explicit: the given start.
     ``skip`` when start > end (FLT6).  Request bounds are local midnight in
     the market zone, converted to UTC (SRC6) and formatted for the API (S19).
+
+    ``keys`` are unique (country, document) pairs and ``marks`` hold at most
+    one row per pair.  Once the keys are proven small, the marks are first
+    cut to the planned keys (an inner join with the broadcast keys), which
+    leaves at most one row per key; that result is then broadcast into the
+    plan without counting the bronze scan behind the marks.
     """
     end_day = F.to_date(F.lit(window.end))
     if window.mode == "explicit":
         planned = keys.withColumn("last_date", F.lit(None).cast("date")) \
             .withColumn("start_date", F.to_date(F.lit(window.start)))
     else:
-        planned = lookup_join(keys, marks.select(*KEYS, "last_date"), KEYS, "left").withColumn(
+        m = marks.select(*KEYS, "last_date")
+        if is_small(keys, max_keys):
+            k = F.broadcast(keys.select(*KEYS))
+            planned = keys.join(F.broadcast(m.join(k, KEYS, "inner")), KEYS, "left")
+        else:
+            planned = keys.join(m, KEYS, "left")
+        planned = planned.withColumn(
             "start_date", F.coalesce(F.date_add("last_date", 1), F.to_date(F.lit(window.default_start))))
     end_local = F.to_timestamp(F.lit(window.end))
     return planned.select(
@@ -214,19 +227,27 @@ def append(existing: DataFrame, batch: DataFrame) -> DataFrame:
 # ING6 / ING7 / AGG9: outcomes and summary
 # ---------------------------------------------------------------------------
 
-def load_outcomes(plan: DataFrame, batches: list[DataFrame]) -> DataFrame:
+def load_outcomes(plan: DataFrame, batches: list[DataFrame],
+                  max_keys: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """ING6: one outcome per key: ``skipped``, ``updated`` (rows > 0) or ``failed``.
 
     ``batches`` are the loaded frames (one per bronze table).  An unsupported
     document type or a key with no landed rows in its window is ``failed``; it
-    never stops the other keys.  Rows are counted per key before the
-    (small) counts meet the plan.
+    never stops the other keys.  Rows are counted per key (partial counts
+    before the shuffle); the counts are cut to the plan's keys, so at most one
+    row per key meets the plan and can be broadcast once the plan is proven
+    small.
     """
-    counts = None
-    for b in batches:
-        c = b.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("rows"))
-        counts = c if counts is None else counts.unionByName(c)
-    joined = lookup_join(plan.select(*KEYS, "action"), counts, KEYS, "left")
+    keyed = batches[0].select(*KEYS)
+    for b in batches[1:]:
+        keyed = keyed.unionByName(b.select(*KEYS))
+    counts = keyed.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("rows"))
+    actions = plan.select(*KEYS, "action")
+    if is_small(actions, max_keys):
+        bounded = counts.join(F.broadcast(actions.select(*KEYS)), KEYS, "left_semi")
+        joined = actions.join(F.broadcast(bounded), KEYS, "left")
+    else:
+        joined = actions.join(counts, KEYS, "left")
     rows = F.coalesce(F.col("rows"), F.lit(0)).cast("long")
     status = (F.when(F.col("action") == "skip", F.lit("skipped"))
               .when(rows > 0, F.lit("updated")).otherwise(F.lit("failed")))

@@ -42,3 +42,16 @@ def lookup_join(big: DataFrame, small: DataFrame, on: list[str] | str, how: str
     """Join a (possibly) small lookup side, broadcasting it only if proven small."""
     cols = [on] if isinstance(on, str) else list(on)
     return big.join(checked_broadcast(small, max_rows), cols, how)
+
+
+def freeze(df: DataFrame) -> DataFrame:
+    """Checkpoint a small frame that several jobs reuse (a plan, a dimension).
+
+    The rows go to the shared ``spark.checkpoint.dir`` (set by the deployment;
+    tests set their own), so later jobs read them back instead of recomputing
+    the scans behind them, and a lost executor does not lose them.
+    """
+    from gridmix.session import shared_dir
+
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -33,7 +33,7 @@ MARKET_DOCUMENT_SCHEMA = T.StructType([
     T.StructField("_corrupt_record", _S),
 ])
 
-XML_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+XML_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record", "excludeAttribute": "true"}
 
 
 def request_plan(countries: DataFrame, start: str | None, end: str | None, now: str) -> DataFrame:
@@ -131,17 +131,11 @@ def response_outcomes(responses: DataFrame) -> DataFrame:
     """
     classified = classify_responses(responses)
     doc = F.from_xml(F.col("body"), MARKET_DOCUMENT_SCHEMA, XML_OPTIONS)
-    n_points = F.aggregate(
-        F.coalesce(doc["TimeSeries"], F.array().cast(MARKET_DOCUMENT_SCHEMA["TimeSeries"].dataType)),
-        F.lit(0),
-        lambda acc, ts: acc + F.aggregate(
-            F.coalesce(ts["Period"], F.array().cast(MARKET_DOCUMENT_SCHEMA["TimeSeries"].dataType
-                                                    .elementType["Period"].dataType)),
-            F.lit(0),
-            lambda acc2, p: acc2 + F.when(p["Point"].isNull(), F.lit(0)).otherwise(
-                F.size(F.filter(p["Point"], lambda pt: pt["quantity"].isNotNull()))),
-        ),
-    )
+    # Count the points with a quantity using array built-ins (no lambdas):
+    # missing levels are NULL array elements, removed by array_compact.
+    periods = F.flatten(F.array_compact(doc["TimeSeries"]["Period"]))
+    quantities = F.array_compact(F.flatten(F.array_compact(periods["Point"]))["quantity"])
+    n_points = F.when(quantities.isNull(), F.lit(0)).otherwise(F.size(quantities))
     rows = F.when(F.col("response_class") == "data", n_points).otherwise(F.lit(0))
     return classified.select(
         "*", rows.alias("rows"),

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from gridmix.functions import exprs as X
 from gridmix.operators import ingest, marts, per_unit, quality, reports, staging
+from gridmix.operators.joins import freeze
 from gridmix.session import configure
 from gridmix.sources import fixtures as fx
 
@@ -184,7 +185,7 @@ def q_ingest_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
     existing = fx.bronze_a75_before_consumption(spark, sf_dir)
     landed = fx.landed_a75(fx.bronze_a75_long(spark, sf_dir))
-    plan = ingest.window_plan(ingest.plan_keys(landed, ["A75"]), None, BACKFILL_WINDOW)
+    plan = freeze(ingest.window_plan(ingest.plan_keys(landed, ["A75"]), None, BACKFILL_WINDOW))
     return ingest.append(existing, ingest.load_batch(landed, plan, LOAD_TS))
 
 
@@ -201,8 +202,8 @@ def q_ingest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     countries = existing["A75"].select("country_code")
     for df in landed.values():
         countries = countries.unionByName(df.select("country_code"))
-    plan = ingest.window_plan(ingest.plan_keys(countries, DOCUMENTS), ingest.marks_by_document(existing),
-                              SUMMARY_WINDOW)
+    plan = freeze(ingest.window_plan(ingest.plan_keys(countries, DOCUMENTS), ingest.marks_by_document(existing),
+                                     SUMMARY_WINDOW))
     batches = [ingest.load_batch(df, plan, LOAD_TS) for df in landed.values()]
     return ingest.summary(ingest.load_outcomes(plan, batches))
 
