@@ -105,8 +105,3 @@ def ensure_columns(df: DataFrame, contract: T.StructType) -> DataFrame:
     missing = {f.name: F.lit(None).cast(f.dataType) for f in contract.fields if f.name not in present}
     return df.withColumns(missing) if missing else df
 
-
-def conform(df: DataFrame, contract: T.StructType) -> DataFrame:
-    """Project to the contract: fill missing columns, cast, keep contract order."""
-    df = ensure_columns(df, contract)
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in contract.fields])

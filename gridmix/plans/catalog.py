@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmix.functions import exprs as X
+from gridmix.functions.taxonomy import DOMAIN_CODES
 from gridmix.operators import ingest, marts, per_unit, quality, reports, staging
 from gridmix.operators.joins import freeze
 from gridmix.session import configure
@@ -225,17 +226,11 @@ def q_country_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FLT7: requested countries with a domain code are fetched, others skipped."""
     configure(spark)
     requested = fx.bronze_a68(spark, sf_dir).select("country_code").distinct()
-    domain = X.lookup(per_unit_domains(), "country_code")
+    domain = X.lookup(DOMAIN_CODES, "country_code")
     return requested.select("country_code", domain.alias("domain_code"),
                             F.when(domain.isNull(), F.lit("skipped")).otherwise(F.lit("requested")).alias("status"))
 
 
-def per_unit_domains() -> dict[str, str]:
-    from gridmix.functions.taxonomy import DOMAIN_CODES
-
-    return DOMAIN_CODES
-
-
 def q_stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR1: stream landed per-plant extracts into bronze, then rerun the stream.
 

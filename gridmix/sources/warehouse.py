@@ -124,5 +124,3 @@ class Warehouse:
             self.spark.sql(f"ALTER TABLE {db}.{name} RECOVER PARTITIONS")
         return self.spark.table(f"{db}.{name}")
 
-    def read_table(self, layer: str, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(layer, name))
