@@ -18,11 +18,15 @@ from pyspark.sql import functions as F
 from gridmix.contracts import BRONZE_A68, BRONZE_A71, BRONZE_A75
 from gridmix.functions import taxonomy as tx
 from gridmix.operators import ingest, marts, per_unit, quality, staging
+from gridmix.operators.joins import freeze, is_small
 from gridmix.session import configure, shared_dir
 from gridmix.sources import landing
-from gridmix.sources.warehouse import Warehouse
+from gridmix.sources.warehouse import MONTH_COL, Warehouse, month_key
 
 CONTRACTS = {"A75": BRONZE_A75, "A68": BRONZE_A68}
+# Hourly time-series tables are also partitioned by month of their timestamp.
+TIME_SERIES = {"A75": "index", "A73": "index"}
+DAILY_TABLE = "int_generation_daily"
 
 
 def run_stamp(now: str | None = None) -> str:
@@ -59,14 +63,14 @@ def ingest_extracts(spark: SparkSession, wh: Warehouse, landing_root: str, count
         marks = ingest.marks_by_document(marks_src)
     else:
         marks = spark.createDataFrame([], "document_type string, country_code string, last_date date")
-    plan = ingest.window_plan(keys, marks, window).checkpoint(eager=True)
+    plan = freeze(ingest.window_plan(keys, marks, window))
 
     landed = landing.read_extracts(spark, landing_root)
     for doc, table in tables.items():
         if doc not in tx.DOCUMENT_EXTRACTS:
             continue  # SRC5: unsupported type, reported as failed by the outcomes
         batch = ingest.load_batch(landed.where(F.col("document_type") == doc), plan, stamp)
-        wh.append_bronze(batch, table, CONTRACTS.get(doc))
+        wh.append_bronze(batch, table, CONTRACTS.get(doc), month_of=TIME_SERIES.get(doc))
 
     loaded = []
     for doc, table in tables.items():
@@ -96,13 +100,71 @@ def ingest_per_unit(spark: SparkSession, wh: Warehouse, responses_root: str, man
                                           F.sum("rows").cast("long").alias("n_rows"))
 
 
-def build_models(spark: SparkSession, wh: Warehouse, exact_scale: int | None = None) -> dict[str, DataFrame]:
+def touched_from_plan(plan: DataFrame, document_type: str = "A75") -> DataFrame:
+    """(country_code, index_month) pairs a run may have appended to, from its plan alone.
+
+    Every fetched key's UTC request window is expanded into the months it
+    spans; no bronze file is read.  The result is bounded by keys x months
+    of the window.
+    """
+    fetched = plan.where((F.col("action") == "fetch") & (F.col("document_type") == document_type))
+    last = F.col("request_end_utc") - F.expr("INTERVAL 1 MICROSECOND")
+    months = F.sequence(F.trunc("request_start_utc", "month"), F.trunc(last, "month"), F.expr("INTERVAL 1 MONTH"))
+    return (fetched.where(F.col("request_start_utc") < F.col("request_end_utc"))
+            .select("country_code", F.explode(months).alias("m"))
+            .select("country_code", month_key(F.col("m")).alias(MONTH_COL)).distinct())
+
+
+def touched_from_stamp(bronze: DataFrame, stamp: str) -> DataFrame:
+    """(country_code, index_month) pairs holding rows of one ingestion run.
+
+    For appends made outside a window plan (e.g. a stream).  Only files of
+    that run pass the ``ingestion_timestamp`` row-group statistics.
+    """
+    month = F.col(MONTH_COL) if MONTH_COL in bronze.columns else month_key(F.col("index"))
+    return (bronze.where(F.col("ingestion_timestamp") == F.lit(stamp).cast("timestamp"))
+            .select("country_code", month.alias(MONTH_COL)).distinct())
+
+
+def refresh_daily(spark: SparkSession, wh: Warehouse, touched: DataFrame,
+                  exact_scale: int | None = None, max_partitions: int = 100_000) -> DataFrame:
+    """Re-aggregate only the touched bronze months into the daily rollup.
+
+    A day lies in one UTC month, so recomputing whole (country, month)
+    partitions gives exactly what a full rebuild gives for them; the other
+    days of the stored table are kept.  The touched pairs are partition keys
+    of a run (bounded by keys x months of its window, and checked): they
+    become a static partition filter, so the bronze scan lists and reads only
+    those partitions.  The merged table is small (one row per country and
+    day); it is checkpointed before it overwrites the table it was read from.
+    A run touching more than ``max_partitions`` pairs rebuilds in full.
+    """
+    b75 = wh.read_bronze(tx.BRONZE_TABLES["A75"], BRONZE_A75)
+    if not is_small(touched, max_partitions):
+        return wh.save_table(marts.generation_daily(staging.stg_generation(b75), exact_scale), "silver", DAILY_TABLE)
+    pairs = sorted({f"{r[0]}|{r[1]}" for r in touched.select("country_code", MONTH_COL).collect()})
+    if MONTH_COL not in b75.columns:
+        b75 = b75.withColumn(MONTH_COL, month_key(F.col("index")))
+    in_scope = F.concat_ws("|", F.col("country_code"), F.col(MONTH_COL)).isin(pairs)
+    fresh = marts.generation_daily(staging.stg_generation(b75.where(in_scope)), exact_scale)
+    old = spark.table(wh.name("silver", DAILY_TABLE))
+    old_key = F.concat_ws("|", F.col("country_code"), month_key(F.col("generation_date").cast("timestamp")))
+    kept = old.where(~F.coalesce(old_key.isin(pairs), F.lit(False)))
+    merged = freeze(kept.unionByName(fresh))
+    return wh.save_table(merged, "silver", DAILY_TABLE)
+
+
+def build_models(spark: SparkSession, wh: Warehouse, exact_scale: int | None = None,
+                 touched: DataFrame | None = None) -> dict[str, DataFrame]:
     """Silver views, the daily rollup and the four marts, in dependency order.
 
     Staging models are views (recomputed on read).  The daily rollup feeds
-    two marts, so it is written once as a silver table; marts are rebuilt in
-    full.  The capacity mart reads the written dimension and per-unit mart,
-    whose file sizes the planner knows.
+    two marts, so it is written once as a silver table; with ``touched``
+    (country, month) pairs and an existing table, only those months are
+    re-aggregated from bronze (``refresh_daily``), otherwise it is rebuilt in
+    full.  Marts are rebuilt in full; all but the per-unit ones read only
+    the small daily table.  The capacity mart reads the written dimension
+    and per-unit mart, whose file sizes the planner knows.
     """
     configure(spark)
     wh.create_layers()
@@ -118,7 +180,10 @@ def build_models(spark: SparkSession, wh: Warehouse, exact_scale: int | None = N
     if wh.exists("bronze", a73):
         models["stg_entsoe__forecast"] = wh.view(staging.stg_forecast(wh.read_bronze(a73)), "silver",
                                                  "stg_entsoe__forecast")
-    daily = wh.save_table(marts.generation_daily(stg_gen, exact_scale), "silver", "int_generation_daily")
+    if touched is not None and spark.catalog.tableExists(wh.name("silver", DAILY_TABLE)):
+        daily = refresh_daily(spark, wh, touched, exact_scale)
+    else:
+        daily = wh.save_table(marts.generation_daily(stg_gen, exact_scale), "silver", DAILY_TABLE)
     dim = wh.save_table(marts.dim_countries(daily, ordered=False), "gold", "dim_countries")
     mix = wh.save_table(marts.energy_mix(daily), "gold", "fct_energy_mix")
     cpu = wh.save_table(marts.capacity_per_unit(stg_cpu, exact_scale, ordered=False), "gold",

@@ -13,6 +13,7 @@ visible.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridmix.contracts import ensure_columns
@@ -20,6 +21,14 @@ from gridmix.functions import taxonomy as tx
 from gridmix.session import shared_dir
 
 
+MONTH_COL = "index_month"
+
+
+def month_key(ts) -> "F.Column":
+    """UTC month of a timestamp as ``yyyy-MM`` (the bronze month partition)."""
+    return F.date_format(ts, "yyyy-MM")
+
+
 def qualified_name(custom_schema: str | None, table: str, target_schema: str = "analytics") -> str:
     """SNK6: a model's custom schema is used as is, otherwise the target's."""
     return f"{custom_schema or target_schema}.{table}"
@@ -84,19 +93,28 @@ class Warehouse:
         return ensure_columns(df, contract) if contract is not None else df
 
     def append_bronze(self, df: DataFrame | None, table: str, contract: T.StructType | None = None,
-                      partition_by: tuple[str, ...] = ("country_code",)) -> None:
+                      partition_by: tuple[str, ...] = ("country_code",), month_of: str | None = None) -> None:
         """SNK1 / SNK2 / SNK3: append with an additive schema; a missing frame is skipped.
 
         Known columns are cast to the contract (e.g. the renewable flag to
         BOOLEAN); new columns are stored as they come.  Partitioning by
         country keeps per-country scans (high-water marks, filters) pruned.
+        ``month_of`` names a timestamp column whose UTC month becomes a second
+        partition column (``index_month``), so time-series tables can be
+        re-aggregated month by month.
         """
         if df is None:
             return
         if contract is not None:
             df = cast_known(df, contract)
+        if month_of is not None:
+            df = df.withColumn(MONTH_COL, month_key(F.col(month_of)))
+            partition_by = (*partition_by, MONTH_COL)
         df.write.mode("append").partitionBy(*partition_by).parquet(self.path("bronze", table))
 
+    def table_exists(self, layer: str, name: str) -> bool:
+        return self.exists(layer, name)
+
     # -- SNK4 / SNK5 ------------------------------------------------------
     def view(self, df: DataFrame, layer: str, name: str) -> DataFrame:
         """SNK4: register a model as a view; it is recomputed by every reader."""

@@ -122,3 +122,64 @@ def test_run_checks_raises_on_failure(spark):
     with pytest.raises(layers.QualityCheckFailed, match="relationships_fct_renewable_capacity_country_code=1"):
         layers.run_checks(_models(spark, "relationships"))
     assert layers.run_checks(_models(spark, "relationships"), fail=False).where(F.col("failures") > 0).count() == 1
+
+
+def test_incremental_daily_refresh_equals_full_rebuild(spark, scratch):
+    wh = Warehouse(spark, f"{scratch}/wh")
+    root1, root2 = f"{scratch}/landing1", f"{scratch}/landing2"
+    first = [("A75", c, dt.datetime(2025, m, d, h), float(m + d + h), 1.0)
+             for c in ("FR", "BE") for m in (5, 6) for d in (1, 15) for h in (3, 9)]
+    _land_generation(spark, root1, first)
+    layers.ingest_extracts(spark, wh, root1, ["FR", "BE"], ["A75"],
+                           IngestWindow(start="2025-05-01", end="2025-07-01"), now="2026-01-01 00:00:00")
+    layers.build_models(spark, wh, exact_scale=2)
+    # second run: new July days for FR, and a June day again for BE (no dedup: June 15 doubles for BE)
+    second = [("A75", "FR", dt.datetime(2025, 7, 2, h), 5.0, 2.0) for h in range(4)]
+    second += [("A75", "BE", dt.datetime(2025, 6, 15, 3), 7.0, 3.0)]
+    _land_generation(spark, root2, second)
+    res = layers.ingest_extracts(spark, wh, root2, ["FR", "BE"], ["A75"],
+                                 IngestWindow(start="2025-06-15", end="2025-07-03"), now="2026-01-02 00:00:00")
+    touched = layers.touched_from_plan(res.plan)
+    assert sorted(tuple(r) for r in touched.collect()) == [
+        ("BE", "2025-06"), ("BE", "2025-07"), ("FR", "2025-06"), ("FR", "2025-07")]
+    stamp_touched = sorted(tuple(r) for r in layers.touched_from_stamp(
+        wh.read_bronze(tx.BRONZE_TABLES["A75"]), "2026-01-02 00:00:00").collect())
+    assert stamp_touched == [("BE", "2025-06"), ("FR", "2025-07")]
+    incremental = layers.build_models(spark, wh, exact_scale=2, touched=touched)
+    got = sorted(tuple(r) for r in incremental["int_generation_daily"].collect())
+    full = Warehouse(spark, f"{scratch}/wh_full")
+    full_daily = layers.build_models(spark, _copy_bronze(spark, wh, full), exact_scale=2)["int_generation_daily"]
+    assert got == sorted(tuple(r) for r in full_daily.collect())
+    be_june = [r for r in incremental["int_generation_daily"].collect()
+               if r.country_code == "BE" and r.generation_date == dt.date(2025, 6, 15)]
+    assert be_june[0].hourly_records_count == 3
+
+
+def _copy_bronze(spark, src: Warehouse, dst: Warehouse) -> Warehouse:
+    table = tx.BRONZE_TABLES["A75"]
+    spark.read.parquet(src.path("bronze", table)).write.partitionBy("country_code", "index_month") \
+        .parquet(dst.path("bronze", table))
+    return dst
+
+
+def test_refresh_scan_is_partition_pruned(spark, scratch):
+    from gridmix.sources.warehouse import MONTH_COL
+
+    wh = Warehouse(spark, f"{scratch}/wh")
+    rows = spark.createDataFrame([("FR", dt.datetime(2025, m, 1), float(m)) for m in (1, 2, 3)],
+                                 "country_code string, index timestamp, solar_actual_aggregated double")
+    wh.append_bronze(rows, tx.BRONZE_TABLES["A75"], month_of="index")
+    wh.create_layers()
+    from gridmix.contracts import BRONZE_A75
+    from gridmix.operators import marts, staging
+
+    full = marts.generation_daily(staging.stg_generation(wh.read_bronze(tx.BRONZE_TABLES["A75"], BRONZE_A75)))
+    wh.save_table(full, "silver", layers.DAILY_TABLE)
+    touched = spark.createDataFrame([("FR", "2025-02")], f"country_code string, {MONTH_COL} string")
+    out = layers.refresh_daily(spark, wh, touched)
+    assert sorted((r.generation_date, r.solar_mwh) for r in out.collect()) == [
+        (dt.date(2025, 1, 1), 1.0), (dt.date(2025, 2, 1), 2.0), (dt.date(2025, 3, 1), 3.0)]
+    b = wh.read_bronze(tx.BRONZE_TABLES["A75"], BRONZE_A75)
+    key = F.concat_ws("|", F.col("country_code"), F.col(MONTH_COL)).isin(["FR|2025-02"])
+    text = b.where(key)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in text and "index_month" in text.split("PartitionFilters: [")[1].split("]")[0]
