@@ -206,3 +206,28 @@ def run_checks(models: dict[str, DataFrame], fail: bool = True) -> DataFrame:
         if failing:
             raise QualityCheckFailed(", ".join(f"{r.test_id}={r.failures}" for r in failing))
     return report
+
+
+@dataclass
+class RunResult:
+    ingest: IngestResult
+    per_unit: DataFrame | None
+    models: dict[str, DataFrame]
+    checks: DataFrame
+
+
+def run_all(spark: SparkSession, wh: Warehouse, landing_root: str, countries: list[str], documents: list[str],
+            window: ingest.IngestWindow, responses_root: str | None = None, manifest: DataFrame | None = None,
+            exact_scale: int | None = None, now: str | None = None, fail_on_checks: bool = True) -> RunResult:
+    """Section 3.4 in one application: ingest -> per-unit ingest -> models -> checks.
+
+    The daily rollup is refreshed for the months this run touched (a full
+    build the first time); a failing quality check raises after the build,
+    naming the checks, as a failed test run would stop the chain.
+    """
+    stamp = run_stamp(now)
+    ingested = ingest_extracts(spark, wh, landing_root, countries, documents, window, stamp)
+    per_unit_summary = (ingest_per_unit(spark, wh, responses_root, manifest, stamp)
+                        if responses_root is not None else None)
+    models = build_models(spark, wh, exact_scale, touched=touched_from_plan(ingested.plan))
+    return RunResult(ingested, per_unit_summary, models, run_checks(models, fail=fail_on_checks))

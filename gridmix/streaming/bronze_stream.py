@@ -24,19 +24,26 @@ def bronze_rows(raw: DataFrame, ingestion_ts: str | None = None) -> DataFrame:
 
 def stream_to_bronze(spark: SparkSession, landing_root: str, schema: T.StructType, bronze_path: str,
                      checkpoint: str, ingestion_ts: str | None = None, max_files_per_trigger: int = 1000,
-                     partition_by: tuple[str, ...] = ("country_code",), available_now: bool = True):
+                     partition_by: tuple[str, ...] = ("country_code",), available_now: bool = True,
+                     month_of: str | None = None):
     """Start the stream; returns the ``StreamingQuery`` (already finished when ``available_now``).
 
     ``schema`` must list the landed columns including the partition columns
     (``document_type``, ``country_code``), which Spark fills from the paths.
     The file sink's commit log makes the append exactly once: a batch that
     failed half-way is redone from the checkpoint and readers of
-    ``bronze_path`` only see committed files.
+    ``bronze_path`` only see committed files.  ``month_of`` adds the
+    ``index_month`` partition of time-series bronze, as the batch append does.
     """
+    from gridmix.sources.warehouse import MONTH_COL, month_key
+
     raw = (spark.readStream.schema(schema)
            .option("maxFilesPerTrigger", max_files_per_trigger)
            .parquet(landing_root))
     rows = bronze_rows(raw, ingestion_ts)
+    if month_of is not None:
+        rows = rows.withColumn(MONTH_COL, month_key(F.col(month_of)))
+        partition_by = (*partition_by, MONTH_COL)
     writer = (rows.writeStream.format("parquet").outputMode("append")
               .option("path", bronze_path).option("checkpointLocation", checkpoint)
               .partitionBy(*partition_by))
