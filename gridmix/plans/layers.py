@@ -147,7 +147,7 @@ def refresh_daily(spark: SparkSession, wh: Warehouse, touched: DataFrame,
         b75 = b75.withColumn(MONTH_COL, month_key(F.col("index")))
     in_scope = F.concat_ws("|", F.col("country_code"), F.col(MONTH_COL)).isin(pairs)
     fresh = marts.generation_daily(staging.stg_generation(b75.where(in_scope)), exact_scale)
-    old = spark.table(wh.name("silver", DAILY_TABLE))
+    old = spark.read.parquet(wh.path("silver", DAILY_TABLE))
     old_key = F.concat_ws("|", F.col("country_code"), month_key(F.col("generation_date").cast("timestamp")))
     kept = old.where(~F.coalesce(old_key.isin(pairs), F.lit(False)))
     merged = freeze(kept.unionByName(fresh))
@@ -180,7 +180,7 @@ def build_models(spark: SparkSession, wh: Warehouse, exact_scale: int | None = N
     if wh.exists("bronze", a73):
         models["stg_entsoe__forecast"] = wh.view(staging.stg_forecast(wh.read_bronze(a73)), "silver",
                                                  "stg_entsoe__forecast")
-    if touched is not None and spark.catalog.tableExists(wh.name("silver", DAILY_TABLE)):
+    if touched is not None and wh.exists("silver", DAILY_TABLE):
         daily = refresh_daily(spark, wh, touched, exact_scale)
     else:
         daily = wh.save_table(marts.generation_daily(stg_gen, exact_scale), "silver", DAILY_TABLE)
