@@ -53,14 +53,17 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A folder under the cluster's shared checkpoint directory.
 
     The deployment names it in ``spark.checkpoint.dir``; only when it is unset
-    (local tests) is a scratch folder created and registered.
+    (local tests) is a scratch folder created and registered as the
+    checkpoint directory.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
         base = tempfile.mkdtemp(prefix="gridmix-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
+        try:
+            spark.conf.set("spark.checkpoint.dir", base)
+        except Exception:  # noqa: BLE001 - some deployments reject core settings at run time
+            pass
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(base)
     return "/".join([base.rstrip("/"), *parts])
