@@ -25,9 +25,12 @@ EXACT = 2
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _gen_daily(spark: SparkSession, sf_dir: str, long: bool = False) -> DataFrame:
+def _gen_daily(spark: SparkSession, sf_dir: str, long: bool = False, reused: bool = False) -> DataFrame:
+    """The daily rollup; ``reused`` checkpoints it (one row per country and day)
+    when several models of one query read it, as the warehouse run writes it once."""
     bronze = fx.bronze_a75_long(spark, sf_dir) if long else fx.bronze_a75(spark, sf_dir)
-    return marts.generation_daily(staging.stg_generation(bronze), exact_scale=EXACT)
+    daily = marts.generation_daily(staging.stg_generation(bronze), exact_scale=EXACT)
+    return freeze(daily) if reused else daily
 
 
 def q_staging_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,10 +74,11 @@ def q_capacity_per_unit(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    exact_scale=EXACT)
 
 
-def renewable_capacity_from(spark: SparkSession, sf_dir: str, long: bool = False) -> DataFrame:
+def renewable_capacity_from(spark: SparkSession, sf_dir: str, daily: DataFrame | None = None) -> DataFrame:
     per_unit = marts.capacity_per_unit(staging.stg_capacity_per_unit(fx.bronze_a71(spark, sf_dir)),
                                        exact_scale=EXACT, ordered=False)
-    dim = marts.dim_countries(_gen_daily(spark, sf_dir, long), ordered=False)
+    daily = daily if daily is not None else _gen_daily(spark, sf_dir)
+    dim = freeze(marts.dim_countries(daily, ordered=False))
     return marts.renewable_capacity(staging.stg_capacity(fx.bronze_a68(spark, sf_dir)), per_unit, dim,
                                     exact_scale=EXACT)
 
@@ -261,8 +265,8 @@ def q_stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 def gold_models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    daily = _gen_daily(spark, sf_dir)
-    dim = marts.dim_countries(daily, ordered=False)
+    daily = _gen_daily(spark, sf_dir, reused=True)
+    dim = freeze(marts.dim_countries(daily, ordered=False))
     per_unit_cap = marts.capacity_per_unit(staging.stg_capacity_per_unit(fx.bronze_a71(spark, sf_dir)),
                                            exact_scale=EXACT, ordered=False)
     return {
@@ -325,8 +329,9 @@ def q_report_capacity_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_report_capacity_vs_production(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    mix = reports.country_mix(_long_mix(spark, sf_dir), exact_scale=EXACT)
-    return reports.capacity_vs_production(renewable_capacity_from(spark, sf_dir, long=True), mix)
+    daily = _gen_daily(spark, sf_dir, long=True, reused=True)
+    mix = reports.country_mix(marts.energy_mix(daily), exact_scale=EXACT)
+    return reports.capacity_vs_production(renewable_capacity_from(spark, sf_dir, daily=daily), mix)
 
 
 def q_report_country_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
