@@ -34,41 +34,49 @@ def _gen_daily(spark: SparkSession, sf_dir: str, long: bool = False, reused: boo
 
 
 def q_staging_generation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M1: staged hourly generation."""
     configure(spark)
     return staging.stg_generation(fx.bronze_a75(spark, sf_dir))
 
 
 def q_staging_capacity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M2: staged capacity snapshots."""
     configure(spark)
     return staging.stg_capacity(fx.bronze_a68(spark, sf_dir))
 
 
 def q_staging_capacity_per_unit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M4: staged per-unit capacity (bronze enriched by PRJ11)."""
     configure(spark)
     return staging.stg_capacity_per_unit(fx.bronze_a71(spark, sf_dir))
 
 
 def q_staging_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M3: staged per-plant output, plant columns sanitised on load and passed through."""
     configure(spark)
     return staging.stg_forecast(fx.bronze_a73(spark, sf_dir))
 
 
 def q_generation_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5: daily energy per country."""
     configure(spark)
     return _gen_daily(spark, sf_dir)
 
 
 def q_dim_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M6: country dimension, ordered by code."""
     configure(spark)
     return marts.dim_countries(_gen_daily(spark, sf_dir))
 
 
 def q_energy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M7: daily energy mix per country (the flagship query)."""
     configure(spark)
     return marts.energy_mix(_gen_daily(spark, sf_dir))
 
 
 def q_capacity_per_unit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M8: capacity by country and energy type, ordered by country then capacity."""
     configure(spark)
     return marts.capacity_per_unit(staging.stg_capacity_per_unit(fx.bronze_a71(spark, sf_dir)),
                                    exact_scale=EXACT)
@@ -84,6 +92,7 @@ def renewable_capacity_from(spark: SparkSession, sf_dir: str, daily: DataFrame |
 
 
 def q_renewable_capacity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M9: capacity mix per country from snapshots and per-unit documents."""
     configure(spark)
     return renewable_capacity_from(spark, sf_dir)
 
@@ -120,13 +129,15 @@ def q_a71_ingest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
                                           F.sum("rows").cast("long").alias("n_rows"))
 
 
-# Run parameters of the per-unit request plan: no explicit window, so the
-# current year up to the run time is requested.
+# Run parameters of the per-unit request plan: an end without a start, so
+# the rule requests January 1 of the run's year up to the run time.
 A71_NOW = "2026-03-13 06:00:00"
 
 
 def q_a71_request_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ING3 / FLT7 / S19 / S21: request windows for the countries with landed responses."""
+    """ING3 / FLT7 / S19 / S21: request windows for every country with landed
+    per-unit responses or capacity snapshots; countries without a domain code
+    (CH in the snapshots) are skipped."""
     configure(spark)
     countries = fx.a71_responses(spark, sf_dir).select("country_code") \
         .unionByName(fx.bronze_a68(spark, sf_dir).select("country_code"))
@@ -301,26 +312,31 @@ def _long_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_report_overview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RPT1: all-country daily totals and shares."""
     configure(spark)
     return reports.overview(_long_mix(spark, sf_dir), exact_scale=EXACT)
 
 
 def q_report_country_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RPT2: mix per country over the whole history."""
     configure(spark)
     return reports.country_mix(_long_mix(spark, sf_dir), exact_scale=EXACT)
 
 
 def q_report_monthly_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RPT3: monthly renewable and fossil shares per country."""
     configure(spark)
     return reports.monthly_trend(_long_mix(spark, sf_dir), exact_scale=EXACT)
 
 
 def q_report_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RPT4: countries ranked by renewable share over 1996-1999."""
     configure(spark)
     return reports.ranking(_long_mix(spark, sf_dir), start="1996-01-01", end="1999-12-31", exact_scale=EXACT)
 
 
 def q_report_capacity_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RPT5: capacity per energy type with its share of the country total."""
     configure(spark)
     cap = marts.capacity_per_unit(staging.stg_capacity_per_unit(fx.bronze_a71(spark, sf_dir)),
                                   exact_scale=EXACT, ordered=False)
@@ -328,6 +344,7 @@ def q_report_capacity_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_report_capacity_vs_production(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RPT6: capacity mix beside production mix per country."""
     configure(spark)
     daily = _gen_daily(spark, sf_dir, long=True, reused=True)
     mix = reports.country_mix(marts.energy_mix(daily), exact_scale=EXACT)
@@ -335,6 +352,7 @@ def q_report_capacity_vs_production(spark: SparkSession, sf_dir: str) -> DataFra
 
 
 def q_report_country_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RPT7: one country's daily mix over 1997, in date order."""
     configure(spark)
     return reports.country_detail(_long_mix(spark, sf_dir), "FR", start="1997-01-01", end="1997-12-31")
 
