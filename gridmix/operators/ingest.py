@@ -162,6 +162,9 @@ def window_plan(keys: DataFrame, marks: DataFrame | None, window: IngestWindow,
     if window.mode == "explicit":
         planned = keys.withColumn("last_date", F.lit(None).cast("date")) \
             .withColumn("start_date", F.to_date(F.lit(window.start)))
+    elif marks is None:  # nothing loaded yet: every key starts at the default
+        planned = keys.withColumn("last_date", F.lit(None).cast("date")) \
+            .withColumn("start_date", F.to_date(F.lit(window.default_start)))
     else:
         m = marks.select(*KEYS, "last_date")
         if is_small(keys, max_keys):

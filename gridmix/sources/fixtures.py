@@ -138,7 +138,7 @@ def _optional(value: Column, text: Column) -> Column:
 
 
 def a71_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """one landed response per ``lineitem`` row, in its country's folder.
+    """one landed response per ``lineitem`` row, with its country.
 
     ``l_linenumber`` picks the response kind so that every class occurs:
     7 -> acknowledgement, 6 -> an HTML error page, 5 with return flag ``R`` ->

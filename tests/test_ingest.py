@@ -110,3 +110,9 @@ def test_add_lineage(spark):
     r = I.add_lineage(df, "2026-01-01 00:00:00", "FR", "A75").first()
     assert (r.country_code, r.document_type, r.ingestion_timestamp) == ("FR", "A75", dt.datetime(2026, 1, 1))
     assert I.add_lineage(df, None).where(F.col("ingestion_timestamp").isNotNull()).count() == 1
+
+
+def test_incremental_without_marks_starts_at_default(spark):
+    keys = I.plan_keys(spark.createDataFrame([("FR",)], "country_code string"), ["A75"])
+    r = I.window_plan(keys, None, I.IngestWindow(end="2025-07-10", default_start="2025-06-01")).first()
+    assert r.start_date == dt.date(2025, 6, 1) and r.last_date is None and r.action == "fetch"
