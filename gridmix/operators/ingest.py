@@ -102,15 +102,24 @@ def add_lineage(df: DataFrame, ingestion_ts, country_code: str | None = None,
 # AGG7 / AGG8: high-water marks
 # ---------------------------------------------------------------------------
 
-def high_water_marks(bronze: DataFrame, by_country: bool = True, ts_col: str = "index") -> DataFrame:
+def high_water_marks(bronze: DataFrame, by_country: bool = True, ts_col: str = "index",
+                     month_col: str = "index_month", max_partitions: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """AGG7: ``max(date(index))`` per country (or overall), one pass.
 
-    An empty table gives no row per country (or a NULL overall mark).
+    An empty table gives no row per country (or a NULL overall mark).  When
+    bronze is partitioned by month (``month_col``), the latest month of each
+    country is found first from the partition values alone (no data column
+    is read), and only those partitions are scanned for the exact mark.
     """
-    day = X.to_day(F.col(ts_col).cast("timestamp"))
+    day = X.to_day(F.max(F.col(ts_col).cast("timestamp")))
+    if month_col in bronze.columns:
+        latest = bronze.groupBy("country_code").agg(F.max(month_col).alias(month_col))
+        if is_small(latest, max_partitions):
+            keys = sorted({f"{r[0]}|{r[1]}" for r in latest.collect()})
+            bronze = bronze.where(F.concat_ws("|", F.col("country_code"), F.col(month_col)).isin(keys))
     if by_country:
-        return bronze.groupBy("country_code").agg(F.max(day).alias("last_date"))
-    return bronze.agg(F.max(day).alias("last_date"))
+        return bronze.groupBy("country_code").agg(day.alias("last_date"))
+    return bronze.agg(day.alias("last_date"))
 
 
 def high_water_marks_per_unit(bronze_a71: DataFrame) -> DataFrame:

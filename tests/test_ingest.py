@@ -116,3 +116,17 @@ def test_incremental_without_marks_starts_at_default(spark):
     keys = I.plan_keys(spark.createDataFrame([("FR",)], "country_code string"), ["A75"])
     r = I.window_plan(keys, None, I.IngestWindow(end="2025-07-10", default_start="2025-06-01")).first()
     assert r.start_date == dt.date(2025, 6, 1) and r.last_date is None and r.action == "fetch"
+
+
+def test_high_water_marks_read_only_latest_month(spark, tmp_path):
+    df = spark.createDataFrame([("FR", dt.datetime(2025, m, d, 5)) for m in (5, 6, 7) for d in (1, 20)]
+                               + [("BE", dt.datetime(2024, 12, 31, 23))], "country_code string, index timestamp")
+    path = str(tmp_path / "b")
+    df.withColumn("index_month", F.date_format("index", "yyyy-MM")).write.partitionBy(
+        "country_code", "index_month").parquet(path)
+    bronze = spark.read.parquet(path)
+    marks = I.high_water_marks(bronze)
+    assert {r.country_code: r.last_date for r in marks.collect()} == {"FR": dt.date(2025, 7, 20),
+                                                                      "BE": dt.date(2024, 12, 31)}
+    text = marks._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in text and "index_month" in text.split("PartitionFilters: [")[1].split("]")[0]
