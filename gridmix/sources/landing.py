@@ -17,16 +17,24 @@ from pyspark.sql import functions as F
 from gridmix.operators.joins import anti_join, lookup_join
 
 
-def read_extracts(spark: SparkSession, root: str, document_type: str | None = None) -> DataFrame:
-    """SRC3: landed extracts with merged schemas; partition columns become columns.
+def read_extracts(spark: SparkSession, root: str, document_type: str) -> DataFrame | None:
+    """SRC3: landed extracts of one document type, schemas merged across countries.
 
-    Filtering on ``document_type`` prunes partitions, so only that type's
-    folders are listed and read.
+    Only that type's folder is listed and read (``basePath`` keeps
+    ``document_type`` and ``country_code`` as columns): raw names of
+    different document types may clash, so their schemas are never merged
+    together.  Returns ``None`` when nothing of that type has landed.
     """
-    df = spark.read.option("mergeSchema", "true").parquet(root)
-    if document_type is not None:
-        df = df.where(F.col("document_type") == document_type)
-    return df
+    from pyspark.errors import AnalysisException
+
+    folder = f"{root.rstrip('/')}/document_type={document_type}"
+    try:
+        return (spark.read.option("mergeSchema", "true").option("basePath", root)
+                .parquet(folder))
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return None
+        raise
 
 
 def read_responses(spark: SparkSession, root: str, manifest: DataFrame | None = None) -> DataFrame:

@@ -202,3 +202,23 @@ def test_run_all_twice(spark, scratch):
                             default_start="2025-07-01"), exact_scale=2, now="2026-01-02 00:00:00")
     assert {(r.status, r.rows) for r in second.ingest.outcomes.collect()} == {("failed", 0)}
     assert sorted(tuple(r) for r in second.models["fct_energy_mix"].collect()) == mix1
+
+
+def test_landing_types_with_clashing_raw_names(spark, scratch):
+    root = f"{scratch}/landing"
+    gen = spark.sql("SELECT 'A75' AS document_type, 'FR' AS country_code, TIMESTAMP '2025-07-01 10:00:00' AS index, "
+                    "named_struct('Actual Aggregated', 5.0D) AS Solar")
+    cap = spark.sql("SELECT 'A68' AS document_type, 'FR' AS country_code, TIMESTAMP '2025-07-01 00:00:00' AS index, "
+                    "7.0D AS Solar")
+    landing.land_extract(gen, root)
+    landing.land_extract(cap, root)
+    assert landing.read_extracts(spark, root, "A75").first().Solar["Actual Aggregated"] == 5.0
+    assert landing.read_extracts(spark, root, "A68").first().Solar == 7.0
+    assert landing.read_extracts(spark, root, "A73") is None
+    wh = Warehouse(spark, f"{scratch}/wh")
+    res = layers.ingest_extracts(spark, wh, root, ["FR"], ["A75", "A68", "A73"],
+                                 IngestWindow(start="2025-07-01", end="2025-07-02"), now="2026-01-01 00:00:00")
+    out = {r.document_type: (r.status, r.rows) for r in res.outcomes.collect()}
+    assert out == {"A75": ("updated", 1), "A68": ("updated", 1), "A73": ("failed", 0)}
+    assert wh.read_bronze(tx.BRONZE_TABLES["A75"]).first().solar_actual_aggregated == 5.0
+    assert wh.read_bronze(tx.BRONZE_TABLES["A68"]).first().solar == 7.0
