@@ -28,3 +28,17 @@ def test_stream_rerun_appends_nothing_and_new_files_once(spark, scratch):
     landing.land_extract(_landed(spark, 2), root)
     run()
     assert bronze_stream.read_stream_output(spark, out).count() == 12
+
+
+def test_stream_partitions_time_series_by_month(spark, scratch):
+    from gridmix.plans import layers
+
+    root, out, ckpt = f"{scratch}/landing", f"{scratch}/bronze", f"{scratch}/ckpt"
+    landing.land_extract(_landed(spark, 1), root)
+    schema = spark.read.parquet(root).schema
+    bronze_stream.stream_to_bronze(spark, root, schema, out, ckpt, ingestion_ts="2026-01-01 00:00:00",
+                                   month_of="index")
+    bronze = spark.read.parquet(out)
+    assert {r.index_month for r in bronze.select("index_month").collect()} == {"2025-07"}
+    touched = layers.touched_from_stamp(bronze, "2026-01-01 00:00:00")
+    assert sorted(tuple(r) for r in touched.collect()) == [("BE", "2025-07"), ("FR", "2025-07")]
