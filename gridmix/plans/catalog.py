@@ -205,6 +205,13 @@ def q_ingest_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.append(existing, ingest.load_batch(landed, plan, LOAD_TS))
 
 
+def q_schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ12 + M1 over grown bronze: the backfilled rows bring consumption
+    columns the older rows lack; staging reads those as NULL."""
+    configure(spark)
+    return staging.stg_generation(q_ingest_append(spark, sf_dir))
+
+
 def q_ingest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ING6 / ING7 / AGG9: outcome counts of one incremental run.
 
@@ -377,6 +384,7 @@ QUERIES: dict[str, Query] = {
     "high_water_mark_a71": q_high_water_mark_a71,
     "ingest_window_plan": q_ingest_window_plan,
     "ingest_append": q_ingest_append,
+    "schema_evolution": q_schema_evolution,
     "ingest_summary": q_ingest_summary,
     "table_names": q_table_names,
     "country_subset": q_country_subset,

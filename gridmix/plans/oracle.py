@@ -298,6 +298,13 @@ plan AS (
 _AGG_COLS = [c for c in GENERATION_RENAMES if c.endswith("_actual_aggregated")]
 LOAD_TS_SQL = "TIMESTAMP '2026-03-14 06:00:00'"
 
+APPENDED = f"""appended AS (
+  SELECT country_code, document_type, ingestion_timestamp, "index", {', '.join(_AGG_COLS)} FROM bronze_a75
+  UNION ALL BY NAME
+  SELECT country_code, document_type, {LOAD_TS_SQL} AS ingestion_timestamp, "index", {', '.join(GENERATION_RENAMES)}
+  FROM bronze_a75_long
+  WHERE "index" >= {_utc("TIMESTAMP '1995-01-01 00:00:00'")} AND "index" < {_utc("TIMESTAMP '2001-06-30 00:00:00'")})"""
+
 ORACLE.update({
     "sanitized_names": (
         "SELECT p_partkey, concat_ws('/', p_name, p_brand) AS raw_name, "
@@ -315,12 +322,7 @@ ORACLE.update({
               _marks({"A75": "bronze_a75", "A73": "bronze_a73", "A68": "bronze_a68"}),
               end="2024-01-20", default_start="2024-01-01"),
         final="SELECT * FROM plan"),
-    "ingest_append": with_(BRONZE_A75, BRONZE_A75_LONG_AS, final=f"""
-SELECT country_code, document_type, ingestion_timestamp, "index", {', '.join(_AGG_COLS)} FROM bronze_a75
-UNION ALL BY NAME
-SELECT country_code, document_type, {LOAD_TS_SQL} AS ingestion_timestamp, "index", {', '.join(GENERATION_RENAMES)}
-FROM bronze_a75_long
-WHERE "index" >= {_utc("TIMESTAMP '1995-01-01 00:00:00'")} AND "index" < {_utc("TIMESTAMP '2001-06-30 00:00:00'")}"""),
+    "ingest_append": with_(BRONZE_A75, BRONZE_A75_LONG_AS, APPENDED, final="SELECT * FROM appended"),
     "ingest_summary": with_(
         BRONZE_A75, BRONZE_A75_LONG_AS, BRONZE_A68,
         _plan("SELECT country_code FROM bronze_a75 UNION ALL SELECT country_code FROM bronze_a75_long "
@@ -489,3 +491,8 @@ FROM (SELECT country_code, {case_map('country_code', tx.DOMAIN_CODES, 'NULL')} A
             UNION SELECT country_code FROM bronze_a68),
            (SELECT CAST(NULL AS TIMESTAMP) AS req_start, TIMESTAMP '2026-02-01 00:00:00' AS req_end,
                    TIMESTAMP '2026-03-13 06:00:00' AS run_now))""")
+
+# PRJ12 + M1 over the appended bronze of ``ingest_append``.
+ORACLE["schema_evolution"] = with_(BRONZE_A75, BRONZE_A75_LONG_AS, APPENDED,
+                                   STG_GENERATION.replace("FROM bronze_a75)", "FROM appended)"),
+                                   final="SELECT * FROM stg_generation")
