@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridmix.contracts import ensure_columns
 from gridmix.functions import taxonomy as tx
 from gridmix.session import shared_dir
 
@@ -75,23 +74,30 @@ class Warehouse:
 
     # -- SRC1 / SNK1-SNK3 -------------------------------------------------
     def read_bronze(self, table: str, contract: T.StructType | None = None) -> DataFrame:
-        """SRC1: scan a bronze table, merging the schemas of its files.
-
-        Columns of the contract that no file has yet are added as typed NULL;
-        a table not created yet (or holding no data file) reads as empty.
+        """SRC1: scan a bronze table.
+
+        With a contract the table is read with that schema: no file footer is
+        read to merge schemas (a full listing pass over a large table), and
+        contract columns that older files lack read as NULL.  Without one
+        (tables whose columns are open-ended, such as per-plant output) the
+        schemas of all files are merged.  Partition columns are always
+        present.  A table not created yet (or holding no data file) reads as
+        empty.
         """
         from pyspark.errors import AnalysisException
 
         empty_schema = contract or T.StructType([T.StructField("country_code", T.StringType())])
         if not self.exists("bronze", table):
             return self.spark.createDataFrame([], empty_schema)
+        path = self.path("bronze", table)
+        if contract is not None:
+            return self.spark.read.schema(contract).parquet(path)
         try:
-            df = self.spark.read.option("mergeSchema", "true").parquet(self.path("bronze", table))
+            return self.spark.read.option("mergeSchema", "true").parquet(path)
         except AnalysisException as e:
             if "UNABLE_TO_INFER_SCHEMA" not in str(e):
                 raise
             return self.spark.createDataFrame([], empty_schema)
-        return ensure_columns(df, contract) if contract is not None else df
 
     def append_bronze(self, df: DataFrame | None, table: str, contract: T.StructType | None = None,
                       partition_by: tuple[str, ...] = ("country_code",), month_of: str | None = None) -> None:
