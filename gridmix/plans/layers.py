@@ -19,7 +19,7 @@ from gridmix.contracts import BRONZE_A68, BRONZE_A71, BRONZE_A75
 from gridmix.functions import taxonomy as tx
 from gridmix.operators import ingest, marts, per_unit, quality, staging
 from gridmix.operators.joins import freeze, is_small
-from gridmix.session import configure, shared_dir
+from gridmix.session import configure, described, shared_dir
 from gridmix.sources import landing
 from gridmix.sources.warehouse import MONTH_COL, Warehouse, month_key
 
@@ -63,7 +63,8 @@ def ingest_extracts(spark: SparkSession, wh: Warehouse, landing_root: str, count
         marks = ingest.marks_by_document(marks_src)
     else:
         marks = spark.createDataFrame([], "document_type string, country_code string, last_date date")
-    plan = freeze(ingest.window_plan(keys, marks, window))
+    with described(spark, "gridmix: window plan"):
+        plan = freeze(ingest.window_plan(keys, marks, window))
 
     for doc, table in tables.items():
         if doc not in tx.DOCUMENT_EXTRACTS:
@@ -71,8 +72,9 @@ def ingest_extracts(spark: SparkSession, wh: Warehouse, landing_root: str, count
         landed = landing.read_extracts(spark, landing_root, doc)
         if landed is None:
             continue  # SNK3: nothing landed for this type; its keys are reported as failed
-        batch = ingest.load_batch(landed, plan, stamp)
-        wh.append_bronze(batch, table, CONTRACTS.get(doc), month_of=TIME_SERIES.get(doc))
+        with described(spark, f"gridmix: load {doc}"):
+            batch = ingest.load_batch(landed, plan, stamp)
+            wh.append_bronze(batch, table, CONTRACTS.get(doc), month_of=TIME_SERIES.get(doc))
 
     loaded = []
     for doc, table in tables.items():
@@ -96,7 +98,8 @@ def ingest_per_unit(spark: SparkSession, wh: Warehouse, responses_root: str, man
     configure(spark)
     responses = landing.read_responses(spark, responses_root, manifest)
     rows = per_unit.ingest_responses(responses, run_stamp(now))
-    wh.append_bronze(rows, tx.A71_TABLE, BRONZE_A71)
+    with described(spark, "gridmix: load A71"):
+        wh.append_bronze(rows, tx.A71_TABLE, BRONZE_A71)
     outcomes = per_unit.response_outcomes(responses)
     return outcomes.groupBy("status").agg(F.count(F.lit(1)).alias("n_responses"),
                                           F.sum("rows").cast("long").alias("n_rows"))
@@ -182,15 +185,20 @@ def build_models(spark: SparkSession, wh: Warehouse, exact_scale: int | None = N
     if wh.exists("bronze", a73):
         models["stg_entsoe__forecast"] = wh.view(staging.stg_forecast(wh.read_bronze(a73)), "silver",
                                                  "stg_entsoe__forecast")
-    if touched is not None and wh.exists("silver", DAILY_TABLE):
-        daily = refresh_daily(spark, wh, touched, exact_scale)
-    else:
-        daily = wh.save_table(marts.generation_daily(stg_gen, exact_scale), "silver", DAILY_TABLE)
-    dim = wh.save_table(marts.dim_countries(daily, ordered=False), "gold", "dim_countries")
-    mix = wh.save_table(marts.energy_mix(daily), "gold", "fct_energy_mix")
-    cpu = wh.save_table(marts.capacity_per_unit(stg_cpu, exact_scale, ordered=False), "gold",
-                        "fct_capacity_per_unit")
-    cap = wh.save_table(marts.renewable_capacity(stg_cap, cpu, dim, exact_scale), "gold", "fct_renewable_capacity")
+    with described(spark, "gridmix: int_generation_daily"):
+        if touched is not None and wh.exists("silver", DAILY_TABLE):
+            daily = refresh_daily(spark, wh, touched, exact_scale)
+        else:
+            daily = wh.save_table(marts.generation_daily(stg_gen, exact_scale), "silver", DAILY_TABLE)
+    with described(spark, "gridmix: dim_countries, fct_energy_mix"):
+        dim = wh.save_table(marts.dim_countries(daily, ordered=False), "gold", "dim_countries")
+        mix = wh.save_table(marts.energy_mix(daily), "gold", "fct_energy_mix")
+    with described(spark, "gridmix: fct_capacity_per_unit"):
+        cpu = wh.save_table(marts.capacity_per_unit(stg_cpu, exact_scale, ordered=False), "gold",
+                            "fct_capacity_per_unit")
+    with described(spark, "gridmix: fct_renewable_capacity"):
+        cap = wh.save_table(marts.renewable_capacity(stg_cap, cpu, dim, exact_scale), "gold",
+                            "fct_renewable_capacity")
     models.update({"int_generation_daily": daily, "dim_countries": dim, "fct_energy_mix": mix,
                    "fct_capacity_per_unit": cpu, "fct_renewable_capacity": cap})
     return models
@@ -202,7 +210,8 @@ class QualityCheckFailed(RuntimeError):
 
 def run_checks(models: dict[str, DataFrame], fail: bool = True) -> DataFrame:
     """DQ5 after a build; with ``fail`` a failing check raises, naming it."""
-    report = quality.report(models).checkpoint(eager=True)
+    with described(models["dim_countries"].sparkSession, "gridmix: quality checks"):
+        report = freeze(quality.report(models))
     if fail:
         failing = report.where(F.col("failures") > 0).select("test_id", "failures").collect()
         if failing:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -31,8 +32,12 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app_name: str = "gridmix") -> SparkSession:
-    """A local session for tests and the bench; the UI stays off."""
+                  app_name: str = "gridmix", event_log_dir: str | None = None) -> SparkSession:
+    """A local session for tests and the bench; the UI stays off.
+
+    ``event_log_dir`` writes Spark's event log there (stage and task times
+    for later reading, instead of a live UI).
+    """
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app_name)
@@ -44,6 +49,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     )
     for key, value in REQUIRED_CONF.items():
         builder = builder.config(key, value)
+    if event_log_dir:
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)
@@ -67,3 +74,15 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(base)
     return "/".join([base.rstrip("/"), *parts])
+
+
+@contextmanager
+def described(spark: SparkSession, text: str):
+    """Label the Spark jobs started inside the block (event log and UI show it)."""
+    sc = spark.sparkContext
+    previous = sc.getLocalProperty("spark.job.description")
+    sc.setJobDescription(text)
+    try:
+        yield
+    finally:
+        sc.setJobDescription(previous)

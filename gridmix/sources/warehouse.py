@@ -108,7 +108,9 @@ class Warehouse:
         country keeps per-country scans (high-water marks, filters) pruned.
         ``month_of`` names a timestamp column whose UTC month becomes a second
         partition column (``index_month``), so time-series tables can be
-        re-aggregated month by month.
+        re-aggregated month by month.  Rows are rebalanced on the partition
+        columns first (one shuffle), which keeps the file count near one per
+        partition without making a large partition a single task.
         """
         if df is None:
             return
@@ -117,7 +119,11 @@ class Warehouse:
         if month_of is not None:
             df = df.withColumn(MONTH_COL, month_key(F.col(month_of)))
             partition_by = (*partition_by, MONTH_COL)
-        df.write.mode("append").partitionBy(*partition_by).parquet(self.path("bronze", table))
+        # Cluster rows by the partition columns before writing, so each
+        # partition gets a few files instead of one per task; AQE splits a
+        # hot partition (a large country) and coalesces small ones.
+        clustered = df.hint("rebalance", *partition_by)
+        clustered.write.mode("append").partitionBy(*partition_by).parquet(self.path("bronze", table))
 
     def table_exists(self, layer: str, name: str) -> bool:
         return self.exists(layer, name)
