@@ -222,3 +222,15 @@ def test_landing_types_with_clashing_raw_names(spark, scratch):
     assert out == {"A75": ("updated", 1), "A68": ("updated", 1), "A73": ("failed", 0)}
     assert wh.read_bronze(tx.BRONZE_TABLES["A75"]).first().solar_actual_aggregated == 5.0
     assert wh.read_bronze(tx.BRONZE_TABLES["A68"]).first().solar == 7.0
+
+
+def test_first_run_with_generation_only(spark, scratch):
+    wh = Warehouse(spark, f"{scratch}/wh")
+    root = f"{scratch}/landing"
+    _land_generation(spark, root, [("A75", "FR", dt.datetime(2025, 7, 1, h), 1.0, 1.0) for h in range(3)])
+    res = layers.run_all(spark, wh, root, ["FR"], ["A75", "A68"], IngestWindow(start="2025-07-01", end="2025-07-02"),
+                         exact_scale=2, now="2026-01-01 00:00:00")
+    assert res.models["fct_energy_mix"].count() == 1
+    assert res.models["fct_capacity_per_unit"].count() == 0
+    assert res.models["fct_renewable_capacity"].count() == 0
+    assert {r.document_type: r.status for r in res.ingest.outcomes.collect()} == {"A75": "updated", "A68": "failed"}
