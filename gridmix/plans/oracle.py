@@ -436,10 +436,6 @@ COUNTRY_MIX = f"""country_mix AS (
   SELECT country_code, days, {', '.join(_E)}, total_production_mwh, {_energy_shares()}
   FROM (SELECT country_code, count(*) AS days, {_energy_sums()} FROM energy_mix GROUP BY 1))"""
 
-RANKING_MIX = COUNTRY_MIX.replace(
-    "FROM energy_mix GROUP BY 1",
-    "FROM energy_mix WHERE generation_date >= DATE '1996-01-01' AND generation_date <= DATE '1999-12-31' GROUP BY 1")
-
 ORACLE.update({
     "report_overview": with_(*LONG_MIX, final=f"""
 SELECT generation_date, countries, {', '.join(_E)}, total_production_mwh, {_energy_shares()}
@@ -454,7 +450,7 @@ FROM (SELECT country_code, CAST(date_trunc('month', generation_date) AS DATE) AS
         {xsum('total_renewable_mwh')} AS total_renewable_mwh, {xsum('total_fossil_mwh')} AS total_fossil_mwh,
         {xsum('total_production_mwh')} AS total_production_mwh
       FROM energy_mix GROUP BY 1, 2)"""),
-    "report_ranking": with_(*LONG_MIX, RANKING_MIX, final="""
+    "report_ranking": with_(*LONG_MIX, COUNTRY_MIX, final="""
 SELECT country_code, renewable_percentage, fossil_percentage, total_production_mwh,
   rank() OVER (ORDER BY renewable_percentage DESC NULLS LAST) AS renewable_rank
 FROM country_mix"""),

@@ -18,7 +18,7 @@ from gridmix.plans.catalog import QUERIES  # noqa: E402
 from gridmix.session import local_session  # noqa: E402
 
 DEFAULT = ["energy_mix", "capacity_per_unit", "renewable_capacity", "a71_parse", "ingest_append",
-           "dq_report", "report_ranking"]
+           "dq_report", "report_ranking", "report_country_detail"]
 
 
 def main() -> None:
