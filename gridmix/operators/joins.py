@@ -55,3 +55,16 @@ def freeze(df: DataFrame) -> DataFrame:
 
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread rows over at least ``min_partitions`` tasks before CPU-heavy row work.
+
+    Parsing documents costs far more per row than reading them.  An input
+    with fewer partitions than the cluster has cores (one large file, one
+    row group) would parse in a few tasks, so it is repartitioned round-robin
+    first.  An input that already has enough partitions is left as is, with
+    no shuffle.  ``min_partitions`` defaults to the default parallelism.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from gridmix.functions import exprs as X
 from gridmix.functions.taxonomy import DOMAIN_CODES
 from gridmix.operators import ingest, marts, per_unit, quality, reports, staging
-from gridmix.operators.joins import freeze
+from gridmix.operators.joins import freeze, spread
 from gridmix.session import configure
 from gridmix.sources import fixtures as fx
 
@@ -104,14 +104,14 @@ def q_renewable_capacity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_a71_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC7 + FLT5: parse every landed data document into per-point rows."""
     configure(spark)
-    responses = per_unit.classify_responses(fx.a71_responses(spark, sf_dir))
+    responses = per_unit.classify_responses(spread(fx.a71_responses(spark, sf_dir)))
     return per_unit.parse_documents(responses.where(F.col("response_class") == "data"))
 
 
 def q_a71_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ING5: classify -> parse -> enrich, the rows appended to per-unit bronze."""
     configure(spark)
-    return per_unit.ingest_responses(fx.a71_responses(spark, sf_dir), ingestion_ts=fx.INGESTION_TS)
+    return per_unit.ingest_responses(spread(fx.a71_responses(spark, sf_dir)), ingestion_ts=fx.INGESTION_TS)
 
 
 def q_a71_response_class(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,7 +124,7 @@ def q_a71_response_class(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_a71_ingest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ING6 / ING7 for per-unit responses: responses and rows per outcome."""
     configure(spark)
-    outcomes = per_unit.response_outcomes(fx.a71_responses(spark, sf_dir))
+    outcomes = per_unit.response_outcomes(spread(fx.a71_responses(spark, sf_dir)))
     return outcomes.groupBy("status").agg(F.count(F.lit(1)).alias("n_responses"),
                                           F.sum("rows").cast("long").alias("n_rows"))
 

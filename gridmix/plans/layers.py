@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from gridmix.contracts import BRONZE_A68, BRONZE_A71, BRONZE_A75
 from gridmix.functions import taxonomy as tx
 from gridmix.operators import ingest, marts, per_unit, quality, staging
-from gridmix.operators.joins import freeze, is_small
+from gridmix.operators.joins import freeze, is_small, spread
 from gridmix.session import configure, described, shared_dir
 from gridmix.sources import landing
 from gridmix.sources.warehouse import MONTH_COL, Warehouse, month_key
@@ -96,7 +96,7 @@ def ingest_per_unit(spark: SparkSession, wh: Warehouse, responses_root: str, man
     high-water mark is applied).  Returns the per-outcome summary.
     """
     configure(spark)
-    responses = landing.read_responses(spark, responses_root, manifest)
+    responses = spread(landing.read_responses(spark, responses_root, manifest))
     rows = per_unit.ingest_responses(responses, run_stamp(now))
     with described(spark, "gridmix: load A71"):
         wh.append_bronze(rows, tx.A71_TABLE, BRONZE_A71)

@@ -147,8 +147,12 @@ def a71_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     others are plain market documents with one unit, period and point.
     """
     from gridmix.functions.taxonomy import A71_NAMESPACE
+    from gridmix.operators.joins import spread
 
-    li = table(spark, sf_dir, "lineitem")
+    # Each test table is one Parquet row group, read by one task; landed
+    # responses are many files read by many.  Spreading the rows first lets
+    # the documents be built, and then parsed, on every core.
+    li = spread(table(spark, sf_dir, "lineitem"))
     s = F.col("l_suppkey")
     n = F.col("l_linenumber")
     psr_n = F.col("l_partkey") % 26

@@ -29,9 +29,20 @@ def test_renewable_capacity_plan(spark):
     assert "BroadcastHashJoin" in text and "LeftSemi" in text
 
 
-def test_xml_parsing_has_no_shuffle(spark):
+def test_xml_parsing_has_no_keyed_shuffle(spark):
     text = plan_text(QUERIES["a71_parse"](spark, SF_SMALL))
-    assert "Exchange" not in text and "Generate" in text
+    # the only exchange spreads the single-row-group test table round-robin before parsing
+    assert "hashpartitioning" not in text and "Generate" in text
+    assert text.count("Exchange") == text.count("RoundRobinPartitioning")
+
+
+def test_spread_only_when_too_few_partitions(spark):
+    from gridmix.operators.joins import spread
+
+    few = spark.range(10).coalesce(1)
+    assert spread(few, 4).rdd.getNumPartitions() == 4
+    many = spark.range(10).repartition(6)
+    assert spread(many, 4) is many
 
 
 def test_country_filter_reaches_scan(spark):
