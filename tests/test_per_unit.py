@@ -120,3 +120,19 @@ def test_series_reader_splits_documents_by_element(spark, tmp_path):
     rows = per_unit.series_rows(series).collect()
     assert sorted((r.country_code, r.unit_id, r.installed_capacity_mw) for r in rows) == [
         ("FR", "U1", 100.0), ("FR", "U2", 1.0), ("FR", "U2", 2.0)]
+
+
+def test_series_reader_keeps_complete_series_of_truncated_file(spark, tmp_path):
+    import os
+
+    from gridmix.sources import landing
+
+    root = tmp_path / "responses"
+    os.makedirs(root / "country_code=FR")
+    body = doc(ts(unit="U1"), ts(unit="U2"))
+    cut = body.index("<TimeSeries>", body.index("U1")) + 40   # inside the second series
+    (root / "country_code=FR" / "cut.xml").write_text(body[:cut])
+    rows = per_unit.series_rows(landing.read_series(spark, str(root))).collect()
+    assert [r.unit_id for r in rows] == ["U1"]
+    responses = spark.createDataFrame([("FR", 200, body[:cut])], "country_code string, http_status int, body string")
+    assert per_unit.parse_documents(responses).count() == 0   # the per-document path drops the whole document
