@@ -143,12 +143,12 @@ def _mix(src: str, keys: str, suffix: str, total: str, pct: str) -> str:
   FROM {src}"""
 
 
-ENERGY_MIX = f"""energy_totals AS (
+ENERGY_MIX = f"""category_totals AS (
   SELECT country_code, generation_date,
     {_totals(tx.GENERATION_CATEGORIES, 'mwh')}
   FROM generation_daily),
 energy_mix AS (
-  {_mix('energy_totals', 'country_code, generation_date', 'mwh', 'total_production_mwh', 'percentage')})"""
+  {_mix('category_totals', 'country_code, generation_date', 'mwh', 'total_production_mwh', 'percentage')})"""
 
 CAPACITY_PER_UNIT = f"""capacity_per_unit AS (
   SELECT country_code, energy_type, is_renewable,
@@ -177,9 +177,9 @@ a71_arm AS (
   WHERE country_code != '{tx.SNAPSHOT_ONLY_COUNTRY}'
     AND country_code IN (SELECT country_code FROM dim_countries)
   GROUP BY country_code),
-combined AS (SELECT * FROM a68_arm UNION ALL SELECT * FROM a71_arm),
+both_arms AS (SELECT * FROM a68_arm UNION ALL SELECT * FROM a71_arm),
 renewable_capacity AS (
-  {_mix('combined', 'country_code, capacity_date', 'capacity_mw', 'total_installed_capacity_mw',
+  {_mix('both_arms', 'country_code, capacity_date', 'capacity_mw', 'total_installed_capacity_mw',
         'capacity_percentage')})"""
 
 
