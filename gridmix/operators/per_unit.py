@@ -1,9 +1,10 @@
 """Per-unit installed capacity documents: classify, parse, enrich (FLT5, SRC7, PRJ11).
 
-Parsing is ``from_xml`` with an explicit schema followed by three explodes; it
-runs per document inside the scan task, with no shuffle.  Landed responses
-should hold one document each, so a task never parses more than one response
-at a time.
+Parsing is ``from_xml`` with an explicit schema followed by explodes; it runs
+per document in the task that holds it, with no keyed shuffle (a caller may
+spread a low-partition input first, ``joins.spread``).  Landed responses hold
+one document each; a response too large for one row is read by element with
+``landing.read_series`` and turned into rows by ``series_rows``.
 """
 
 from __future__ import annotations
