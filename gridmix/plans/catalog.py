@@ -192,11 +192,15 @@ def q_ingest_window_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_ingest_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ING4 / SNK1 / PRJ6 / PRJ7 / PRJ10 / PRJ12: backfill landed generation into bronze.
+    """ING4 / SNK1 / PRJ6 / PRJ7 / PRJ10 / PRJ12: bronze after an explicit backfill.
 
     Existing bronze predates the consumption columns; the landed extract has
-    two-level raw names.  Rows outside the window are not loaded, and the old
-    rows read NULL in the columns the load adds.
+    two-level raw names.  The batch is planned, filtered to its window,
+    renamed and stamped, then appended with an additive schema.  The result
+    is the appended table's contents, computed in memory; the Parquet
+    writer (``Warehouse.append_bronze``) is exercised by the warehouse tests.
+    Rows outside the window are not loaded, and the old rows read NULL in
+    the columns the load adds.
     """
     configure(spark)
     existing = fx.bronze_a75_before_consumption(spark, sf_dir)
