@@ -217,7 +217,7 @@ def q_schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_ingest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ING6 / ING7 / AGG9: outcome counts of one incremental run.
+    """ING6 / ING7 / AGG9: outcome counts of one incremental run (loads computed in memory).
 
     Generation bronze already holds a month; generation and capacity extracts
     are landed, per-plant output is not.
