@@ -16,8 +16,10 @@ from gridmix.functions import taxonomy as tx
 
 ColumnOrName = Column | str
 
-# Pattern of ISO-8601 stamps with optional seconds and a zone ("2025-07-01T22:00Z").
-ISO_MINUTE_PATTERN = "yyyy-MM-dd'T'HH:mm[:ss]X"
+# Pattern of ISO-8601 stamps as documents carry them ("2025-07-01T22:00Z"):
+# seconds, fraction and zone optional; an offset such as +02:00 is applied,
+# and a stamp without a zone is read in the session zone (UTC).
+ISO_MINUTE_PATTERN = "yyyy-MM-dd'T'HH:mm[:ss][.SSS][XXX]"
 
 
 def col(c: ColumnOrName) -> Column:

@@ -79,11 +79,16 @@ def test_country_name_default_is_code(spark):
 
 
 def test_parse_iso_instant_without_seconds(spark):
-    df = spark.createDataFrame([("2025-07-01T22:00Z",), ("2025-07-01T22:00:30Z",), ("bad",), (None,)], "s string")
+    df = spark.createDataFrame([("2025-07-01T22:00Z",), ("2025-07-01T22:00:30Z",), ("bad",), (None,),
+                                ("2025-07-02T00:00+02:00",), ("2025-07-01T22:00:00.250Z",), ("2025-07-01T22:00",)],
+                               "s string")
     got = [r.t for r in df.select(X.parse_iso_instant("s").alias("t")).collect()]
     assert got[0] == dt.datetime(2025, 7, 1, 22, 0)
     assert got[1] == dt.datetime(2025, 7, 1, 22, 0, 30)
     assert got[2] is None and got[3] is None
+    assert got[4] == dt.datetime(2025, 7, 1, 22, 0)          # offset applied
+    assert got[5] == dt.datetime(2025, 7, 1, 22, 0, 0, 250000)
+    assert got[6] == dt.datetime(2025, 7, 1, 22, 0)          # no zone: session zone, UTC
 
 
 def test_table_names_and_extract_kinds(spark):
