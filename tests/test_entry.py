@@ -11,6 +11,9 @@ import __spark_entry__ as E
 
 from .conftest import SF_SMALL
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+                 "timestamp": "TIMESTAMP", "boolean": "BOOLEAN"}
+
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
@@ -44,10 +47,12 @@ def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF_SMALL)
     cols = df.columns
     srows = [tuple(r) for r in df.collect()]
-    cur = duck.execute(E.oracle_sql()[name])
-    ocols = [d[0] for d in cur.description]
-    orows = cur.fetchall()
+    rel = duck.sql(E.oracle_sql()[name])
+    ocols, otypes = rel.columns, [str(t) for t in rel.types]
+    orows = rel.fetchall()
     assert sorted(cols) == sorted(ocols)
+    spark_types = {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes}
+    assert spark_types == dict(zip(ocols, otypes))
     order = sorted(cols)
     s = sorted(tuple(_norm(r[cols.index(c)]) for c in order) for r in srows)
     o = sorted(tuple(_norm(r[ocols.index(c)]) for c in order) for r in orows)
