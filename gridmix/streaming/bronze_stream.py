@@ -44,6 +44,10 @@ def stream_to_bronze(spark: SparkSession, landing_root: str, schema: T.StructTyp
     if month_of is not None:
         rows = rows.withColumn(MONTH_COL, month_key(F.col(month_of)))
         partition_by = (*partition_by, MONTH_COL)
+    # One task per output partition value and micro-batch, so each batch
+    # writes one file per (country[, month]) instead of one per task and
+    # value.  A hot value's task is bounded by the batch (maxFilesPerTrigger).
+    rows = rows.repartition(*[F.col(c) for c in partition_by])
     writer = (rows.writeStream.format("parquet").outputMode("append")
               .option("path", bronze_path).option("checkpointLocation", checkpoint)
               .partitionBy(*partition_by))
