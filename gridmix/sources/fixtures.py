@@ -82,8 +82,15 @@ def bronze_a68(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def a71_units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F3 before enrichment: one per-unit capacity point per ``lineitem`` row."""
-    li = table(spark, sf_dir, "lineitem")
+    """F3 before enrichment: one per-unit capacity point per ``lineitem`` row.
+
+    Spread over the cores like ``a71_responses``: the per-unit rows feed a hash
+    aggregate keyed by strings, which would otherwise run in the single task
+    reading the one-row-group test table.
+    """
+    from gridmix.operators.joins import spread
+
+    li = spread(table(spark, sf_dir, "lineitem"))
     s = F.col("l_suppkey")
     psr_n = F.col("l_partkey") % 26
     located = s % 3 == 0
