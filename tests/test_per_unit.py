@@ -136,3 +136,32 @@ def test_series_reader_keeps_complete_series_of_truncated_file(spark, tmp_path):
     assert [r.unit_id for r in rows] == ["U1"]
     responses = spark.createDataFrame([("FR", 200, body[:cut])], "country_code string, http_status int, body string")
     assert per_unit.parse_documents(responses).count() == 0   # the per-document path drops the whole document
+
+
+def test_pretty_printed_document_with_attributes(spark):
+    body = f"""<?xml version="1.0" encoding="UTF-8"?>
+<GL_MarketDocument {NS}>
+    <mRID>abc</mRID>
+    <TimeSeries>
+        <registeredResource.mRID codingScheme="A01">
+            17W100P100P0344D
+        </registeredResource.mRID>
+        <registeredResource.name>Plant one</registeredResource.name>
+        <MktPSRType>
+            <psrType>B14</psrType>
+        </MktPSRType>
+        <Period>
+            <timeInterval.start>2025-01-01T00:00Z</timeInterval.start>
+            <timeInterval.end>2025-12-31T23:00Z</timeInterval.end>
+            <resolution>P1Y</resolution>
+            <Point>
+                <position>1</position>
+                <quantity unit="MAW"> 1250.5 </quantity>
+            </Point>
+        </Period>
+    </TimeSeries>
+</GL_MarketDocument>
+"""
+    r = parse(spark, [body])[0]
+    assert (r.unit_id, r.unit_name, r.psr_type, r.period_start, r.installed_capacity_mw) == (
+        "17W100P100P0344D", "Plant one", "B14", "2025-01-01T00:00Z", 1250.5)
