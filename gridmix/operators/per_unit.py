@@ -34,7 +34,10 @@ MARKET_DOCUMENT_SCHEMA = T.StructType([
     T.StructField("_corrupt_record", _S),
 ])
 
-XML_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record", "excludeAttribute": "true"}
+# Attributes are not read; element prefixes (``ns:TimeSeries``) are ignored, so
+# documents with a default namespace and prefixed ones parse alike.
+XML_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record", "excludeAttribute": "true",
+               "ignoreNamespace": "true"}
 
 
 def request_plan(countries: DataFrame, start: str | None, end: str | None, now: str) -> DataFrame:

@@ -73,6 +73,7 @@ def read_series(spark: SparkSession, root: str, manifest: DataFrame | None = Non
     from gridmix.operators.per_unit import SERIES_SCHEMA
 
     raw = (spark.read.format("xml").option("rowTag", "TimeSeries").option("mode", "PERMISSIVE")
+           .option("excludeAttribute", "true").option("ignoreNamespace", "true")
            .schema(SERIES_SCHEMA).load(root))
     series = raw.select(F.col("country_code").cast("string").alias("country_code"),
                         F.col("_metadata.file_name").alias("file_name"),

@@ -165,3 +165,12 @@ def test_pretty_printed_document_with_attributes(spark):
     r = parse(spark, [body])[0]
     assert (r.unit_id, r.unit_name, r.psr_type, r.period_start, r.installed_capacity_mw) == (
         "17W100P100P0344D", "Plant one", "B14", "2025-01-01T00:00Z", 1250.5)
+
+
+def test_prefixed_namespace_document(spark):
+    body = (f'<ns:GL_MarketDocument xmlns:ns="{A71_NAMESPACE}"><ns:TimeSeries>'
+            '<ns:registeredResource.mRID>U1</ns:registeredResource.mRID><ns:Period>'
+            '<ns:timeInterval.start>2025-01-01T00:00Z</ns:timeInterval.start>'
+            '<ns:Point><ns:quantity>5</ns:quantity></ns:Point></ns:Period></ns:TimeSeries></ns:GL_MarketDocument>')
+    rows = parse(spark, [body])
+    assert [(r.unit_id, r.installed_capacity_mw) for r in rows] == [("U1", 5.0)]
