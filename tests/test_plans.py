@@ -58,3 +58,28 @@ def test_country_filter_reaches_scan(spark):
     mix = marts.energy_mix(marts.generation_daily(staging.stg_generation(b)))
     text = mix.where(F.col("country_code") == "FR")._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(country_code), EqualTo(country_code,FR)]" in text
+
+
+def test_partial_aggregation_before_every_shuffle(spark, tmp_path):
+    """A hot country must reach the shuffle pre-aggregated: each hash exchange of the
+    daily rollup and the per-unit collapse sits above a partial aggregate."""
+    import datetime as dt
+
+    from gridmix.contracts import BRONZE_A71, BRONZE_A75
+    from gridmix.operators import marts, staging
+
+    gen = spark.createDataFrame([("FR", dt.datetime(2025, 7, 1, h), 1.0) for h in range(3)],
+                                "country_code string, index timestamp, solar_actual_aggregated double")
+    gen.write.parquet(str(tmp_path / "a75"))
+    spark.createDataFrame([], BRONZE_A71).write.parquet(str(tmp_path / "a71"))
+    daily = marts.generation_daily(staging.stg_generation(spark.read.schema(BRONZE_A75).parquet(str(tmp_path / "a75"))))
+    cpu = marts.capacity_per_unit(staging.stg_capacity_per_unit(spark.read.parquet(str(tmp_path / "a71"))),
+                                  ordered=False)
+    for df in (daily, cpu):
+        text = df._jdf.queryExecution().executedPlan().toString()
+        lines = text.splitlines()
+        exchanges = [i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
+        assert exchanges, text
+        for i in exchanges:
+            below = "\n".join(lines[i + 1:i + 3])
+            assert "partial_" in below or "merge_" in below, text
