@@ -191,6 +191,24 @@ def q_ingest_window_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.window_plan(ingest.plan_keys(countries, DOCUMENTS), marks, PLAN_WINDOW)
 
 
+# Explicit window from a winter date to a summer date (both DST offsets).
+BOUNDS_WINDOW = ingest.IngestWindow(start="2024-01-15", end="2024-07-15")
+
+
+def q_window_bounds_utc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC6 / S19: request bounds of every landed key in UTC and as API parameters.
+
+    The window opens in winter (UTC+1 in the market zone) and closes in
+    summer (UTC+2), so both offsets are applied.
+    """
+    configure(spark)
+    keys = (fx.bronze_a75(spark, sf_dir).select("country_code", "document_type")
+            .unionByName(fx.bronze_a68(spark, sf_dir).select("country_code", "document_type")).distinct())
+    plan = ingest.window_plan(keys, None, BOUNDS_WINDOW)
+    return plan.select("country_code", "document_type", "start_date", "end_date", "request_start_utc",
+                       "request_end_utc", "period_start_param", "period_end_param")
+
+
 def q_ingest_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ING4 / SNK1 / PRJ6 / PRJ7 / PRJ10 / PRJ12: bronze after an explicit backfill.
 
@@ -387,6 +405,7 @@ QUERIES: dict[str, Query] = {
     "high_water_mark": q_high_water_mark,
     "high_water_mark_a71": q_high_water_mark_a71,
     "ingest_window_plan": q_ingest_window_plan,
+    "window_bounds_utc": q_window_bounds_utc,
     "ingest_append": q_ingest_append,
     "schema_evolution": q_schema_evolution,
     "ingest_summary": q_ingest_summary,

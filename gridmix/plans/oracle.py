@@ -492,3 +492,13 @@ FROM (SELECT country_code, {case_map('country_code', tx.DOMAIN_CODES, 'NULL')} A
 ORACLE["schema_evolution"] = with_(BRONZE_A75, BRONZE_A75_LONG_AS, APPENDED,
                                    STG_GENERATION.replace("FROM bronze_a75)", "FROM appended)"),
                                    final="SELECT * FROM stg_generation")
+
+# SRC6 / S19: explicit window from a winter to a summer date, for every landed key.
+ORACLE["window_bounds_utc"] = with_(BRONZE_A75, BRONZE_A68, final=f"""
+SELECT country_code, document_type, DATE '2024-01-15' AS start_date, DATE '2024-07-15' AS end_date,
+  {_utc("TIMESTAMP '2024-01-15 00:00:00'")} AS request_start_utc,
+  {_utc("TIMESTAMP '2024-07-15 00:00:00'")} AS request_end_utc,
+  strftime(TIMESTAMP '2024-01-15 00:00:00', '%Y%m%d%H%M') AS period_start_param,
+  strftime(TIMESTAMP '2024-07-15 00:00:00', '%Y%m%d%H%M') AS period_end_param
+FROM (SELECT DISTINCT country_code, document_type FROM (
+  SELECT country_code, document_type FROM bronze_a75 UNION ALL SELECT country_code, document_type FROM bronze_a68))""")
