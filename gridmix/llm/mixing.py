@@ -167,7 +167,7 @@ def mix_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                shard_slots: int = 4096, seed: int = 17) -> DataFrame:
     """One row per document: ``id_col, size, source_size, target, taken`` (words that the mix takes, repeats counted)."""
     filled, dealt, _ = _parts(docs, id_col, text_col, source_col, weights, share, cap, block, shard_slots, seed)
-    taken = F.greatest(F.lit(0), F.least("b", "words") - F.col("a"))
+    taken = F.greatest(F.lit(0), F.least("b", F.coalesce("words", F.lit(0))) - F.col("a"))  # least() skips NULL
     return (
         filled.join(dealt.select("rank", "block_no", "words"), ["rank", "block_no"], "left")
         .groupBy("rank", "bucket", "rn", "id", "size", "source_size", "target")
