@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmix.llm import chat, exact_dedup, mixing
+from gridmix.llm import chat, exact_dedup, mixing, pages
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,7 +32,12 @@ def q_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"), F.col("formatted_chars").cast("long").alias("formatted_chars"))
 
 
+def q_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(_table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_html_extraction": q_html_extraction,
     "op5_source_mixing": q_mixing,
     "op6_exact_dedup": q_exact_dedup,
     "op8_chat_formatting": q_chat_formatting,
