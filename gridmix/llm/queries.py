@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmix.llm import chat, exact_dedup, mixing, ngram_join, pages
+from gridmix.llm import chat, exact_dedup, line_dedup, mixing, ngram_join, pages
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,11 +40,16 @@ def q_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def q_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_html_extraction": q_html_extraction,
     "op5_source_mixing": q_mixing,
     "op6_exact_dedup": q_exact_dedup,
     "op8_chat_formatting": q_chat_formatting,
+    "op9_line_dedup": q_line_dedup,
     "op10_ngram_jaccard_join": q_ngram_jaccard_join,
 }
 
