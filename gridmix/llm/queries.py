@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmix.llm import chat, exact_dedup, line_dedup, mixing, ngram_join, pages
+from gridmix.llm import chat, decontamination, exact_dedup, line_dedup, mixing, ngram_join, pages
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,8 +44,13 @@ def q_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def q_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("h")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_html_extraction": q_html_extraction,
+    "op4_decontamination": q_decontamination,
     "op5_source_mixing": q_mixing,
     "op6_exact_dedup": q_exact_dedup,
     "op8_chat_formatting": q_chat_formatting,
@@ -54,6 +59,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op4_decontamination": r"""
+        WITH dw AS (SELECT doc_id, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') AS w FROM documents),
+             iw AS (SELECT item_id, regexp_extract_all(lower(text), '[^\x20\x09-\x0D]+') AS w FROM benchmark),
+             d AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+                   FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM dw WHERE len(w) > 0)),
+             b AS (SELECT DISTINCT item_id, array_to_string(w[i:i + 4], ' ') AS s
+                   FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM iw WHERE len(w) > 0)),
+             n AS (SELECT item_id, count(*) AS n_item FROM b GROUP BY item_id)
+        SELECT doc_id, item_id, n_item, count(*) AS n_shared, count(*) / n_item AS containment
+        FROM d JOIN b USING (s) JOIN n USING (item_id)
+        GROUP BY doc_id, item_id, n_item HAVING count(*) >= 0.8 * n_item
+    """,
     "op6_exact_dedup": r"""
         WITH t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
              d AS (SELECT doc_id, length(t) AS n, sha256(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS s FROM t),
