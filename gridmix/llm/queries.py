@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmix.llm import chat, decontamination, exact_dedup, line_dedup, mixing, ngram_join, pages
+from gridmix.llm import chat, decontamination, exact_dedup, line_dedup, mixing, ngram_join, pages, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,7 +48,18 @@ def q_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("h")
 
 
+def held_out(doc_id: str = "doc_id") -> F.Column:
+    """Rows whose labels are never read."""
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 3 == 1
+
+
+def q_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), train=~held_out())
+    return scores.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": q_toxicity,
     "op2_html_extraction": q_html_extraction,
     "op4_decontamination": q_decontamination,
     "op5_source_mixing": q_mixing,
