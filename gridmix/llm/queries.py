@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmix.llm import chat, decontamination, exact_dedup, line_dedup, mixing, ngram_join, pages, toxicity
+from gridmix.llm import chat, decontamination, exact_dedup, line_dedup, mixing, ngram_join, pages, suffix_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,9 +58,14 @@ def q_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def q_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_passages(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": q_toxicity,
     "op2_html_extraction": q_html_extraction,
+    "op3_suffix_array_dedup": q_suffix_dedup,
     "op4_decontamination": q_decontamination,
     "op5_source_mixing": q_mixing,
     "op6_exact_dedup": q_exact_dedup,
