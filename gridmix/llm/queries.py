@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmix.llm import chat, decontamination, exact_dedup, line_dedup, mixing, ngram_join, pages, suffix_dedup, toxicity
+from gridmix.llm import chat, decontamination, exact_dedup, line_dedup, mixing, ngram_join, pages, pii, suffix_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,6 +62,12 @@ def q_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.repeated_passages(_table(spark, sf_dir, "documents"))
 
 
+def q_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *[pii.counted("base", k).alias(f"n_{k}") for k in pii.KINDS],
+                        F.sha2(pii.joined("base"), 256).alias("base_sha256"), pii.joined("spans").alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": q_toxicity,
     "op2_html_extraction": q_html_extraction,
@@ -69,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontamination": q_decontamination,
     "op5_source_mixing": q_mixing,
     "op6_exact_dedup": q_exact_dedup,
+    "op7_pii_bootstrapping": q_pii,
     "op8_chat_formatting": q_chat_formatting,
     "op9_line_dedup": q_line_dedup,
     "op10_ngram_jaccard_join": q_ngram_jaccard_join,
