@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridmix.operators.joins import freeze
+from gridmix.session import shared_dir
 
 #: White space of every operator here (fixed by the queries' contracts), as a Java and Python pattern.
 SPACE = r"[\x20\x09-\x0D]"
@@ -17,6 +20,17 @@ def text_or_empty(column) -> F.Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
 
+def store(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder as Parquet and read again: like a checkpoint, but compressed by column.
+
+    For intermediate results that grow with the texts.  The folder stays until
+    whoever owns ``spark.checkpoint.dir`` clears it after the run.
+    """
+    path = shared_dir(df.sparkSession, f"stored-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _signature(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
 

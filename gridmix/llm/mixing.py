@@ -35,6 +35,7 @@ from gridmix.operators.joins import checked_broadcast, freeze
 
 ROUNDS = 20
 CHUNK = 4096
+TASK_SLOTS = 100_000
 
 
 def permute(x: F.Column, n: F.Column, *key: F.Column, rounds: int = ROUNDS) -> F.Column:
@@ -125,7 +126,9 @@ def slots(by_source: DataFrame, block: int, shard_slots: int, seed: int) -> Data
         .filter("n > 0")
     )
     chunks = per_source.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {CHUNK}"))))
-    each = chunks.repartition("rank", "chunk").withColumn(
+    total = per_source.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    # a few bytes a chunk become thousands of slots: adaptive execution, which goes by bytes, must not put chunks together
+    each = chunks.repartition(max(1, -(-total // TASK_SLOTS)), "rank", "chunk").withColumn(
         "j", F.explode(F.sequence(F.col("chunk") * CHUNK, F.least("n", (F.col("chunk") + 1) * CHUNK) - 1)))
     return (
         each.withColumn("turn", F.expr("j div blocks")).withColumn("i", F.col("j") % F.col("blocks"))
@@ -156,7 +159,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     filled, dealt, by_source = _parts(docs, id_col, text_col, source_col, weights, share, cap, block, shard_slots, seed)
     taken = F.least("b", "words") - F.col("a")
     return (
-        filled.join(dealt, ["rank", "block_no"]).filter(taken > 0)
+        filled.join(dealt.hint("merge"), ["rank", "block_no"]).filter(taken > 0)
         .join(checked_broadcast(by_source.select("rank", "source")), "rank")
         .select("shard", "slot", F.col("a").alias("at"), "source", F.col("id").alias(id_col), "word", taken.alias("words"))
     )
@@ -169,7 +172,7 @@ def mix_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     filled, dealt, _ = _parts(docs, id_col, text_col, source_col, weights, share, cap, block, shard_slots, seed)
     taken = F.greatest(F.lit(0), F.least("b", F.coalesce("words", F.lit(0))) - F.col("a"))  # least() skips NULL
     return (
-        filled.join(dealt.select("rank", "block_no", "words"), ["rank", "block_no"], "left")
+        filled.join(dealt.select("rank", "block_no", "words").hint("merge"), ["rank", "block_no"], "left")
         .groupBy("rank", "bucket", "rn", "id", "size", "source_size", "target")
         .agg(F.coalesce(F.sum(taken), F.lit(0)).cast("long").alias("taken"))
         .select(F.col("id").alias(id_col), "size", "source_size", "target", "taken")

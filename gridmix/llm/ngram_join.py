@@ -8,14 +8,14 @@ without losing a link between different sets.
 
 1. *Prefixes.*  Shingles are ordered by hash.  Linked sets share at least
    ``ceil(0.8 n)`` shingles, so their first ``n - ceil(0.8 n) + k`` shingles share at
-   least ``k`` (here 2% of the set).  Only these prefixes are shuffled.
-2. *Groups.*  A shingle of one class only links nothing.  A class with too few
-   shared prefix shingles is alone (pigeonhole, exact).  For the others, each
-   shared shingle joins its classes to the smallest one (a star, not all pairs); the
-   components of these stars are *groups* that no link leaves.  Frequent
-   shingles join only classes with so many of them that their links might rest on
-   those alone, so a passage that many documents share does not glue them
-   into one group.
+   least ``k`` (here 10% of the set).  Only these prefixes are shuffled.
+2. *Groups.*  A class keeps its shared prefix shingles but for the ``k - 1``
+   most frequent ones (``k`` of its smallest possible partner); one with fewer
+   than ``k`` is alone.  Linked classes share ``k``, so they both keep the rarest of
+   these: the step loses nothing, and a passage that many documents share does not
+   glue them together.  Each kept shingle joins its classes of like size (linked
+   sizes differ by a quarter at most) to the smallest one (a star, not all
+   pairs); the components of these stars are *groups* that no link leaves.
 3. *Prefix tree.*  Inside a group, the full sets, ordered by rarity, are stored in a
    trie; a traversal shares the partial overlap of a common path and
    prunes subtrees by remaining-length bounds.  A large group is cut into blocks of
@@ -29,19 +29,19 @@ document; other columns are not read; an empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridmix.llm.common import connected_components
+from gridmix.llm.common import connected_components, store
 from gridmix.operators.joins import checked_broadcast, freeze
 
 WIDTH = 5
-FREQUENT = 64  # rows with a shingle from which it counts as frequent
 BLOCK_SETS, BLOCK_SHINGLES = 2000, 2_000_000  # of one task's block of a group
 
 
@@ -96,7 +96,7 @@ def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([
             batch["id"], pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()),
             pa.array([int.from_bytes(d[:8], "little", signed=True) for d in digests], pa.int64()),
-            _lists([s[:len(s) - least_common(len(s)) + max(1, len(s) // 50)] for s in sets]),
+            _lists([s[:len(s) - least_common(len(s)) + max(1, len(s) // 10)] for s in sets]),
         ], names=["id", "n", "digest", "key", "prefix"])
 
 
@@ -216,25 +216,23 @@ def _tree_join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
-                       frequent: int = FREQUENT, block_sets: int = BLOCK_SETS, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+                       block_sets: int = BLOCK_SETS, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
     """One row per input row: ``id_col, n_shingles, component_id`` (smallest id reachable by links, its own included)."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    sketch = freeze(rows.mapInArrow(_prefixes, "id long, n long, digest binary, key long, prefix array<long>"))
+    sketch = store(rows.mapInArrow(_prefixes, "id long, n long, digest binary, key long, prefix array<long>"))
     classes = freeze(sketch.filter("id is not null and n > 0").groupBy("digest").agg(
         F.min("id").alias("rep"), F.first("n").alias("n"), F.first("key").alias("key")))
 
-    entries = sketch.filter("id is not null").select("key", F.explode("prefix").alias("token"))
-    shared = entries.groupBy("token").agg(F.min("key").alias("lo"), F.max("key").alias("hi"), F.count(F.lit(1)).alias("rows")).filter("lo <> hi")
-    common = freeze(entries.join(shared, "token").select("key", "token", (F.col("rows") >= frequent).alias("often")).distinct())
-    need = F.greatest(F.lit(1).cast("long"), F.expr("((4 * n + 4) div 5) div 50"))
-    able = (
-        common.groupBy("key").agg(F.count(F.lit(1)).alias("n_shared"), F.count_if("often").alias("n_often"))
-        .join(classes.select("key", "n").dropDuplicates(["key"]), "key")
-        .filter(F.col("n_shared") >= need).select("key", (F.col("n_often") >= need).alias("by_often"))
-    )
-    stars = common.join(able, "key").filter("by_often or not often").select("key", "token")
-    least = stars.groupBy("token").agg(F.min("key").alias("lo"))
-    groups = connected_components(stars.join(least, "token").filter("key <> lo").select("key", "lo").distinct(), "key", "lo")
+    entries = sketch.filter("id is not null").select("key", "n", F.explode("prefix").alias("token"))
+    repeated = entries.groupBy("token").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+    common = entries.join(repeated, "token").select("key", "n", "token", "rows").distinct()
+    need = F.greatest(F.lit(1).cast("long"), F.expr("((4 * n + 4) div 5) div 10"))
+    stars = store(common.withColumn("at", F.row_number().over(Window.partitionBy("key", "n").orderBy(F.desc("rows"), "token")))
+                  .filter(F.col("at") >= need).select("key", "n", "token"))
+    size = F.floor(F.log(F.col("n")) / F.lit(math.log(1.250001)))  # of linked classes equal, or neighbours
+    stars = stars.select("key", "token", F.explode(F.array(size, size + 1)).alias("size"))
+    least = stars.groupBy("token", "size").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).filter("lo <> hi")
+    groups = connected_components(stars.join(least, ["token", "size"]).filter("key <> lo").select("key", "lo").distinct(), "key", "lo")
 
     members = classes.join(groups.select(F.col("node").alias("key"), F.col("component").alias("grp")), "key")
     blocks = members.groupBy("grp").agg(F.ceil(F.greatest(

@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridmix.llm.common import store, text_or_empty
+from gridmix.operators.joins import checked_broadcast
 
 #: Fixed seed list: English insults.
 SEEDS = "idiot idiots moron morons stupid loser losers pathetic disgusting worthless scum trash clown dumb imbecile vermin filth".split()
@@ -134,16 +135,18 @@ def votes_of(text: str | None, index: dict[bytes, int]) -> list[int]:
 
 
 def vote(docs: DataFrame, id_col: str, text_col: str, lexicon: list[bytes]) -> DataFrame:
-    """``id, votes`` of each row."""
+    """``id, h`` (hash of the text) and ``votes`` of each row."""
     index = {t: k for k, t in enumerate(lexicon)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays(
-                [batch["id"], pa.array([votes_of(t.as_py(), index) for t in batch["text"]], pa.list_(pa.int32()))], names=["id", "votes"])
+                [batch["id"], batch["h"], pa.array([votes_of(t.as_py(), index) for t in batch["text"]], pa.list_(pa.int32()))],
+                names=["id", "h", "votes"])
 
     kind = dict(docs.dtypes)[id_col]
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, f"id {kind}, votes array<int>")
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).cast("string").alias("text"))
+    return rows.mapInArrow(run, f"id {kind}, h long, votes array<int>")
 
 
 def _sums(patterns: DataFrame, size: int, of: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
@@ -230,7 +233,7 @@ def fit_classifier(patterns: DataFrame, size: int, posterior: tuple[float, np.nd
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", *,
           train: F.Column | None = None, sample: int = 20_000) -> DataFrame:
-    """``id_col, score`` for every row of ``docs``.
+    """``id_col, h`` (hash of the text) ``, score`` for every row of ``docs``.
 
     ``labels`` has ``id_col`` and ``label_col`` (0 or 1); only rows for which ``train``
     holds are read as labels, and at most ``sample`` of them.
@@ -254,4 +257,16 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     w = fit_classifier(patterns, size, fit_label_model(patterns, rates, prior))
     table = F.array(*[F.lit(float(x)) for x in w[:-1]])
     z = F.aggregate("votes", F.lit(float(w[-1])), lambda a, v: a + F.element_at(table, v + 1))
-    return voted.select(F.col("id").alias(id_col), (1 / (1 + F.exp(-z))).alias("score"))
+    return voted.select(F.col("id").alias(id_col), "h", (1 / (1 + F.exp(-z))).alias("score"))
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, at_least: float = 0.7,
+               **options) -> DataFrame:
+    """``docs`` without the rows that score ``at_least`` or more; all columns kept."""
+    gone = score(docs, labels, id_col, text_col, **options).filter(F.col("score") >= at_least).select(
+        F.col(id_col).alias("_id"), F.col("h").alias("_h")).distinct()
+    return (
+        docs.withColumn("_hash", F.xxhash64(text_col))
+        .join(checked_broadcast(gone, 500_000), docs[id_col].eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_h")), "left_anti")
+        .select(*docs.columns)
+    )
