@@ -7,16 +7,41 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridmix.llm import mixing
+from gridmix.llm import decontamination, line_dedup, mixing, ngram_join, toxicity
+from gridmix.llm.queries import held_out
 from gridmix.session import shared_dir
 
 
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 1: documents that score 0.7 or more go."""
+    return toxicity.drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), train=~held_out())
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 9: of alike lines the first stays; documents that keep no line go."""
+    return line_dedup.keep_lines(docs)
+
+
+def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 10: one document of each linked component stays."""
+    return ngram_join.keep_one(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 4: documents that hold a benchmark item go."""
+    return decontamination.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 5: how much of each remaining document the mix takes."""
     return mixing.mix_counts(docs)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", reject_toxic),
+    ("line dedup", dedup_lines),
+    ("n-gram Jaccard join", join_near_copies),
+    ("benchmark decontamination", decontaminate),
     ("mixing sources", mix_sources),
 ]
 
