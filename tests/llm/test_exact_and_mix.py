@@ -1,0 +1,115 @@
+"""Exact de-duplication and mixing against plain Python."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+from collections import defaultdict
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from gridmix.llm import exact_dedup, mixing
+
+LONG = "word " * 30_000
+
+
+def brute_dedup(rows):
+    groups = defaultdict(list)
+    for i, t in rows:
+        t = t or ""
+        groups[hashlib.sha256(re.sub(r"[\x20\x09-\x0D]", "", t).encode()).hexdigest()].append((-len(t), i is None, i or 0, i))
+    return sorted((str(i), str(min(g, key=lambda x: x[:3])[3]), len(g), i == min(g, key=lambda x: x[:3])[3], h) for h, g in groups.items() for *_, i in g)
+
+
+def test_exact_dedup_cases(documents):
+    rows = [(1, "a b"), (2, "ab"), (3, " a\tb "), (4, None), (5, ""), (6, " \n"), (7, "A b"), (None, "ab"), (8, LONG), (9, LONG), (2, "ab"), (10, "a b")]
+    got = exact_dedup.exact_dedup(documents(rows)).collect()
+    assert sorted((str(r.doc_id), str(r.keep_id), r.group_size, r.kept, r.text_sha256) for r in got) == brute_dedup(rows)
+    assert exact_dedup.exact_dedup(documents([])).collect() == []
+    assert sorted(str(r.doc_id) for r in exact_dedup.drop_copies(documents(rows)).collect()) == ["10", "3", "6", "7", "8"]
+
+
+@pytest.mark.parametrize("bits", [exact_dedup.BLOCK_BITS, 1 << 20])
+def test_a_full_filter_gives_the_same_result(documents, bits):
+    """Beyond its bound the filter passes more unique rows on; the result stays."""
+    rows = [(i, f"text {i % 700}") for i in range(1500)]
+    got = exact_dedup.exact_dedup(documents(rows), bits_per_row=1, max_bits=bits).collect()
+    assert sorted((str(r.doc_id), str(r.keep_id), r.group_size, r.kept, r.text_sha256) for r in got) == brute_dedup(rows)
+
+
+def test_unique_rows_pass_straight_through(documents):
+    rows = exact_dedup.digests(documents([(i, f"text {min(i, 995)}") for i in range(1000)]))
+    bits = exact_dedup.filter_bits(1000)
+    maybe = exact_dedup.possibly_repeated(rows, exact_dedup.repeated_filter(rows.select("h"), bits), bits).filter("maybe").count()
+    assert 5 <= maybe < 100
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 100, 1001])
+def test_permutation_is_a_bijection(spark, n):
+    from pyspark.sql import functions as F
+
+    out = [r.p for r in spark.range(n).select(mixing.permute(F.col("id"), F.lit(n).cast("long"), F.lit(3)).alias("p")).collect()]
+    assert sorted(out) == list(range(n))
+    assert n < 100 or out != list(range(n))
+
+
+def brute_targets(size):
+    names = sorted((s for s in size if s is not None), key=lambda s: s.encode()) + [None] * (None in size)
+    weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(names)}
+    rest, target, free = 1.5 * sum(size.values()), {}, set(names)
+    while free:
+        over = {s for s in free if rest * weight[s] / sum(weight[x] for x in free) > 2 * size[s]}
+        if not over:
+            return target | {s: rest * weight[s] / sum(weight[x] for x in free) for s in free}
+        for s in over:
+            target[s] = 2.0 * size[s]
+        rest -= sum(target[s] for s in over)
+        free -= over
+    return target
+
+
+def test_mix_meets_targets(documents):
+    rows = [(i, "w " * (i * 37 % 400), "abcdefg"[i % 7 if i % 3 else 0]) for i in range(300)]
+    rows += [(1000, None, "a"), (1001, "", None), (1002, "one two", None), (1003, LONG, "z"), (1002, "one two", None)]
+    docs = documents(rows)
+    got = mixing.mix_counts(docs).collect()
+    size = defaultdict(int)
+    for _, t, s in rows:
+        size[s] += len((t or "").split())
+    target = brute_targets(size)
+    assert len(got) == len(rows)
+    source = {r[0]: r[2] for r in rows}
+    taken = defaultdict(int)
+    for r in got:
+        s = source[r.doc_id]
+        taken[s] += r.taken
+        assert r.taken <= 2 * r["size"] and r.source_size == size[s] and abs(r.target - target[s]) < 1e-6
+    assert all(abs(taken[s] - target[s]) <= 1 for s in size)
+    again = mixing.mix_counts(docs.repartition(7)).collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, got))
+
+
+def test_mix_lists_the_same_words(documents):
+    docs = documents([(i, "w " * (50 + i), "ab"[i % 2]) for i in range(60)])
+    listed, counted = defaultdict(int), {r.doc_id: r.taken for r in mixing.mix_counts(docs).collect()}
+    slots = defaultdict(list)
+    for r in mixing.mix(docs).collect():
+        listed[r.doc_id] += r.words
+        slots[r.shard, r.slot].append((r["at"], r["at"] + r.words))
+    assert {k: v for k, v in counted.items() if v} == dict(listed)
+    for parts in slots.values():  # words of a slot are neither left out nor laid over each other
+        parts.sort()
+        assert parts[0][0] == 0 and all(a[1] == b[0] for a, b in zip(parts, parts[1:], strict=False)) and parts[-1][1] <= 128
+    assert mixing.mix_counts(documents([])).collect() == []
+    assert [r.taken for r in mixing.mix_counts(documents([(1, None), (2, " ")])).collect()] == [0, 0]
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.sampled_from(["", " ", "a", "a b", "ab", "\ta", "b"]), max_size=12))
+def test_exact_dedup_property(spark, texts):
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = exact_dedup.exact_dedup(docs).collect()
+    assert sorted((str(r.doc_id), str(r.keep_id), r.group_size, r.kept, r.text_sha256) for r in got) == brute_dedup(rows)
