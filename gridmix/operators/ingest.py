@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from gridmix.functions import exprs as X
 from gridmix.functions import taxonomy as tx
-from gridmix.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, checked_broadcast, is_small
+from gridmix.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, checked_broadcast, in_partitions, is_small
 
 KEYS = ["country_code", "document_type"]
 
@@ -103,20 +103,20 @@ def add_lineage(df: DataFrame, ingestion_ts, country_code: str | None = None,
 # ---------------------------------------------------------------------------
 
 def high_water_marks(bronze: DataFrame, by_country: bool = True, ts_col: str = "index",
-                     month_col: str = "index_month", max_partitions: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                     month_col: str = "index_month") -> DataFrame:
     """AGG7: ``max(date(index))`` per country (or overall), one pass.
 
-    An empty table gives no row per country (or a NULL overall mark).  When
-    bronze is partitioned by month (``month_col``), the latest month of each
-    country is found first from the partition values alone (no data column
-    is read), and only those partitions are scanned for the exact mark.
+    An empty table gives no row per country (or a NULL overall mark); rows
+    without a country are one group.  When bronze is partitioned by month
+    (``month_col``), the latest month of each country is found first from the
+    partition values alone (no data column is read) and joined back, so that
+    partition pruning leaves only those partitions, and those of NULL
+    values, to be scanned for the exact mark.
     """
     day = X.to_day(F.max(F.col(ts_col).cast("timestamp")))
     if month_col in bronze.columns:
         latest = bronze.groupBy("country_code").agg(F.max(month_col).alias(month_col))
-        if is_small(latest, max_partitions):
-            keys = sorted({f"{r[0]}|{r[1]}" for r in latest.collect()})
-            bronze = bronze.where(F.concat_ws("|", F.col("country_code"), F.col(month_col)).isin(keys))
+        bronze = in_partitions(bronze, latest, ["country_code", month_col])
     if by_country:
         return bronze.groupBy("country_code").agg(day.alias("last_date"))
     return bronze.agg(day.alias("last_date"))

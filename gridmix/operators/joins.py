@@ -44,6 +44,20 @@ def lookup_join(big: DataFrame, small: DataFrame, on: list[str] | str, how: str
     return big.join(checked_broadcast(small, max_rows), cols, how)
 
 
+def in_partitions(df: DataFrame, keys: DataFrame, on: list[str],
+                  max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Rows of ``df`` in the partitions that ``keys`` (text columns) names, and all rows with a NULL key.
+
+    Equality keeps the join open to partition pruning (a null-safe join is
+    not), and the comparison with the empty text, true of every key, is
+    the selective filter without which Spark does not try it.  The few
+    partitions of NULL keys are a filter on partition values.
+    """
+    empty = " or ".join(f"{c} is null" for c in on)
+    keys = keys.where(" and ".join(f"{c} >= ''" for c in on))
+    return semi_join(df, keys, on, max_rows).unionByName(df.where(empty))
+
+
 def freeze(df: DataFrame) -> DataFrame:
     """Checkpoint a small frame that several jobs reuse (a plan, a dimension).
 

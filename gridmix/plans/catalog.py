@@ -300,6 +300,87 @@ def q_stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze_stream.read_stream_output(spark, f"{run}/bronze")
 
 
+# ---------------------------------------------------------------------------
+# The warehouse path: files landed, appended, read back, refreshed
+# ---------------------------------------------------------------------------
+
+def _run_folder(spark: SparkSession, name: str) -> str:
+    import uuid
+
+    from gridmix.session import shared_dir
+
+    return shared_dir(spark, name, uuid.uuid4().hex)
+
+
+def q_bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC1 + SNK1 + SNK3: two appends of growing schema and a skipped missing frame, read back from bronze."""
+    from gridmix.contracts import BRONZE_A75
+    from gridmix.sources.warehouse import MONTH_COL, Warehouse
+
+    configure(spark)
+    wh = Warehouse(spark, _run_folder(spark, "bronze_roundtrip"))
+    rows = fx.bronze_a75(spark, sf_dir)
+    early = F.dayofmonth("index") <= 15
+    wh.append_bronze(fx.bronze_a75_before_consumption(spark, sf_dir).where(early), "bronze_a75", BRONZE_A75, month_of="index")
+    wh.append_bronze(None, "bronze_a75", BRONZE_A75)
+    wh.append_bronze(rows.where(~early), "bronze_a75", BRONZE_A75, month_of="index")
+    return staging.stg_generation(wh.read_bronze("bronze_a75", BRONZE_A75).drop(MONTH_COL))
+
+
+def q_high_water_mark_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG7 over bronze stored by country and month: only the latest partitions are scanned."""
+    from gridmix.contracts import BRONZE_A75
+    from gridmix.sources.warehouse import Warehouse
+
+    configure(spark)
+    wh = Warehouse(spark, _run_folder(spark, "high_water_mark_partitioned"))
+    wh.append_bronze(fx.bronze_a75_long(spark, sf_dir), "bronze_a75", BRONZE_A75, month_of="index")
+    return ingest.high_water_marks(wh.read_bronze("bronze_a75", BRONZE_A75))
+
+
+def q_daily_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC3, ING4, SNK5, M5: a full build, a run that stops before its build, and an incremental run.
+
+    Every third month goes to one of three landings; the last build must
+    hold the months of all of them.
+    """
+    from gridmix.plans import layers
+    from gridmix.sources import landing
+    from gridmix.sources.warehouse import Warehouse
+
+    configure(spark)
+    run = _run_folder(spark, "daily_refresh")
+    wh = Warehouse(spark, f"{run}/warehouse")
+    landed = fx.landed_a75(fx.bronze_a75_long(spark, sf_dir))
+    window = ingest.IngestWindow(start="1990-01-01", end="2005-01-01")
+    for k in range(3):
+        landing.land_extract(landed.where(F.month("index") % 3 == k), f"{run}/landing{k}")
+        layers.ingest_extracts(spark, wh, f"{run}/landing{k}", fx.COUNTRIES_10, ["A75"], window, f"2026-01-0{k + 1} 00:00:00")
+        if k == 0:
+            layers.build_daily(spark, wh, EXACT)
+    return layers.build_daily(spark, wh, EXACT, incremental=True)
+
+
+def q_layer_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK4-SNK7: a view and two rebuilds of a gold table in the layers' databases, read by qualified name."""
+    from gridmix.sources.warehouse import Warehouse
+
+    configure(spark)
+    wh = Warehouse(spark, _run_folder(spark, "layer_tables"))
+    wh.create_layers()
+    daily = wh.view(_gen_daily(spark, sf_dir), "silver", "daily_view")
+    for source in (daily.limit(0), spark.table("daily_view")):
+        wh.save_table(marts.energy_mix(source), "gold", "layer_tables_mix")
+    return spark.table(wh.name("gold", "layer_tables_mix"))
+
+
+def q_generation_daily_double(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M5 with plain DOUBLE sums (the warehouse's default), rounded after the sum."""
+    configure(spark)
+    daily = marts.generation_daily(staging.stg_generation(fx.bronze_a75(spark, sf_dir)), exact_scale=None)
+    return daily.select(*[F.round(c, 4).alias(c) if t == "double" else F.col(c) for c, t in daily.dtypes])
+
+
 # ---------------------------------------------------------------------------
 # Data quality
 # ---------------------------------------------------------------------------
@@ -412,6 +493,11 @@ QUERIES: dict[str, Query] = {
     "table_names": q_table_names,
     "country_subset": q_country_subset,
     "stream_append": q_stream_append,
+    "bronze_roundtrip": q_bronze_roundtrip,
+    "high_water_mark_partitioned": q_high_water_mark_partitioned,
+    "daily_refresh": q_daily_refresh,
+    "layer_tables": q_layer_tables,
+    "generation_daily_double": q_generation_daily_double,
     "dq_not_null": _dq("not_null"),
     "dq_unique": _dq("unique"),
     "dq_accepted_values": _dq("accepted_values"),

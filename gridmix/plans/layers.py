@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from gridmix.contracts import BRONZE_A68, BRONZE_A71, BRONZE_A75
 from gridmix.functions import taxonomy as tx
 from gridmix.operators import ingest, marts, per_unit, quality, staging
-from gridmix.operators.joins import freeze, is_small, spread
+from gridmix.operators.joins import anti_join, freeze, in_partitions, spread
 from gridmix.session import configure, described, shared_dir
 from gridmix.sources import landing
 from gridmix.sources.warehouse import MONTH_COL, Warehouse, month_key
@@ -74,6 +74,8 @@ def ingest_extracts(spark: SparkSession, wh: Warehouse, landing_root: str, count
             continue  # SNK3: nothing landed for this type; its keys are reported as failed
         with described(spark, f"gridmix: load {doc}"):
             batch = ingest.load_batch(landed, plan, stamp)
+            if doc == "A75":
+                wh.mark_pending(touched_from_plan(plan, doc), table)
             wh.append_bronze(batch, table, CONTRACTS.get(doc), month_of=TIME_SERIES.get(doc))
 
     loaded = []
@@ -131,43 +133,58 @@ def touched_from_stamp(bronze: DataFrame, stamp: str) -> DataFrame:
             .select("country_code", month.alias(MONTH_COL)).distinct())
 
 
-def refresh_daily(spark: SparkSession, wh: Warehouse, touched: DataFrame,
-                  exact_scale: int | None = None, max_partitions: int = 100_000) -> DataFrame:
+def refresh_daily(spark: SparkSession, wh: Warehouse, touched: DataFrame, exact_scale: int | None = None) -> DataFrame:
     """Re-aggregate only the touched bronze months into the daily rollup.
 
     A day lies in one UTC month, so recomputing whole (country, month)
     partitions gives exactly what a full rebuild gives for them; the other
-    days of the stored table are kept.  The touched pairs are partition keys
-    of a run (bounded by keys x months of its window, and checked): they
-    become a static partition filter, so the bronze scan lists and reads only
-    those partitions.  The merged table is small (one row per country and
-    day); it is checkpointed before it overwrites the table it was read from.
-    A run touching more than ``max_partitions`` pairs rebuilds in full.
+    days of the stored table are kept.  The touched pairs are joined to
+    bronze, and partition pruning leaves only their partitions (and those of
+    NULL keys, whose days are always recomputed) to be read.  The merged
+    table is small (one row per country and day) and is written as a new
+    version, so it may be read while it is replaced.
     """
     b75 = wh.read_bronze(tx.BRONZE_TABLES["A75"], BRONZE_A75)
-    if not is_small(touched, max_partitions):
-        return wh.save_table(marts.generation_daily(staging.stg_generation(b75), exact_scale), "silver", DAILY_TABLE)
-    pairs = sorted({f"{r[0]}|{r[1]}" for r in touched.select("country_code", MONTH_COL).collect()})
     if MONTH_COL not in b75.columns:
         b75 = b75.withColumn(MONTH_COL, month_key(F.col("index")))
-    in_scope = F.concat_ws("|", F.col("country_code"), F.col(MONTH_COL)).isin(pairs)
-    fresh = marts.generation_daily(staging.stg_generation(b75.where(in_scope)), exact_scale)
-    old = spark.read.parquet(wh.path("silver", DAILY_TABLE))
-    old_key = F.concat_ws("|", F.col("country_code"), month_key(F.col("generation_date").cast("timestamp")))
-    kept = old.where(~F.coalesce(old_key.isin(pairs), F.lit(False)))
-    merged = freeze(kept.unionByName(fresh))
-    return wh.save_table(merged, "silver", DAILY_TABLE)
+    keys = ["country_code", MONTH_COL]
+    touched = freeze(touched.select(*keys).distinct())
+    fresh = marts.generation_daily(staging.stg_generation(in_partitions(b75, touched, keys)), exact_scale)
+    old = spark.read.parquet(wh.current("silver", DAILY_TABLE)).withColumn(
+        MONTH_COL, month_key(F.col("generation_date").cast("timestamp")))
+    kept = anti_join(old.where(f"country_code is not null and {MONTH_COL} is not null"), touched, keys).drop(MONTH_COL)
+    return wh.save_table(kept.unionByName(fresh), "silver", DAILY_TABLE)
+
+
+def build_daily(spark: SparkSession, wh: Warehouse, exact_scale: int | None = None,
+                touched: DataFrame | None = None, incremental: bool = False) -> DataFrame:
+    """The daily rollup as a silver table: refreshed where bronze grew, or rebuilt in full."""
+    with described(spark, "gridmix: int_generation_daily"):
+        pending = wh.pending(tx.BRONZE_TABLES["A75"])  # before bronze is listed: a later append keeps its own mark
+        if (incremental or touched is not None) and wh.current("silver", DAILY_TABLE):
+            pairs = spark.createDataFrame([], f"country_code string, {MONTH_COL} string")
+            if pending:
+                pairs = spark.read.parquet(*pending)
+            if touched is not None:
+                pairs = pairs.unionByName(touched.select("country_code", MONTH_COL))
+            daily = refresh_daily(spark, wh, pairs, exact_scale)
+        else:
+            b75 = wh.read_bronze(tx.BRONZE_TABLES["A75"], BRONZE_A75)
+            daily = wh.save_table(marts.generation_daily(staging.stg_generation(b75), exact_scale), "silver", DAILY_TABLE)
+        wh.clear_pending(pending)
+    return daily
 
 
 def build_models(spark: SparkSession, wh: Warehouse, exact_scale: int | None = None,
-                 touched: DataFrame | None = None) -> dict[str, DataFrame]:
+                 touched: DataFrame | None = None, incremental: bool = False) -> dict[str, DataFrame]:
     """Silver views, the daily rollup and the four marts, in dependency order.
 
     Staging models are views (recomputed on read).  The daily rollup feeds
-    two marts, so it is written once as a silver table; with ``touched``
-    (country, month) pairs and an existing table, only those months are
-    re-aggregated from bronze (``refresh_daily``), otherwise it is rebuilt in
-    full.  Marts are rebuilt in full; all but the per-unit ones read only
+    two marts, so it is written once as a silver table; when ``incremental``
+    and a complete table exists, only the pending months (those that any
+    ingestion recorded since the last rebuild, also one that died) and the
+    ``touched`` (country, month) pairs are re-aggregated from bronze
+    (``refresh_daily``), otherwise it is rebuilt in full.  Marts are rebuilt in full; all but the per-unit ones read only
     the small daily table.  The capacity mart reads the written dimension
     and per-unit mart, whose file sizes the planner knows.
     """
@@ -185,11 +202,7 @@ def build_models(spark: SparkSession, wh: Warehouse, exact_scale: int | None = N
     if wh.exists("bronze", a73):
         models["stg_entsoe__forecast"] = wh.view(staging.stg_forecast(wh.read_bronze(a73)), "silver",
                                                  "stg_entsoe__forecast")
-    with described(spark, "gridmix: int_generation_daily"):
-        if touched is not None and wh.exists("silver", DAILY_TABLE):
-            daily = refresh_daily(spark, wh, touched, exact_scale)
-        else:
-            daily = wh.save_table(marts.generation_daily(stg_gen, exact_scale), "silver", DAILY_TABLE)
+    daily = build_daily(spark, wh, exact_scale, touched, incremental)
     with described(spark, "gridmix: dim_countries, fct_energy_mix"):
         dim = wh.save_table(marts.dim_countries(daily, ordered=False), "gold", "dim_countries")
         mix = wh.save_table(marts.energy_mix(daily), "gold", "fct_energy_mix")
@@ -240,5 +253,5 @@ def run_all(spark: SparkSession, wh: Warehouse, landing_root: str, countries: li
     ingested = ingest_extracts(spark, wh, landing_root, countries, documents, window, stamp)
     per_unit_summary = (ingest_per_unit(spark, wh, responses_root, manifest, stamp)
                         if responses_root is not None else None)
-    models = build_models(spark, wh, exact_scale, touched=touched_from_plan(ingested.plan))
+    models = build_models(spark, wh, exact_scale, incremental=True)
     return RunResult(ingested, per_unit_summary, models, run_checks(models, fail=fail_on_checks))

@@ -502,3 +502,23 @@ SELECT country_code, document_type, DATE '2024-01-15' AS start_date, DATE '2024-
   strftime(TIMESTAMP '2024-07-15 00:00:00', '%Y%m%d%H%M') AS period_end_param
 FROM (SELECT DISTINCT country_code, document_type FROM (
   SELECT country_code, document_type FROM bronze_a75 UNION ALL SELECT country_code, document_type FROM bronze_a68))""")
+
+
+# ---------------------------------------------------------------------------
+# The warehouse path
+# ---------------------------------------------------------------------------
+
+_CONSUMPTION = [st for raw, st in GENERATION_RENAMES.items() if not raw.endswith("_actual_aggregated")]
+ORACLE |= {
+    "bronze_roundtrip": with_(BRONZE_A75, STG_GENERATION, final=(
+        "SELECT * REPLACE (" + ", ".join(f"CASE WHEN day(generation_datetime) > 15 THEN {c} END AS {c}" for c in _CONSUMPTION)
+        + ") FROM stg_generation")),
+    "high_water_mark_partitioned": with_(BRONZE_A75_LONG, final=(
+        'SELECT country_code, max(CAST("index" AS DATE)) AS last_date FROM bronze_a75 GROUP BY country_code')),
+    "daily_refresh": with_(*GEN_CHAIN_LONG, final="SELECT * FROM generation_daily"),
+    "layer_tables": with_(*GEN_CHAIN, ENERGY_MIX, final="SELECT * FROM energy_mix"),
+    "generation_daily_double": with_(BRONZE_A75, STG_GENERATION, final=(
+        "SELECT country_code, CAST(generation_datetime AS DATE) AS generation_date, "
+        + ", ".join(f"round(sum(coalesce({c}, 0)), 4) AS {c[:-3]}_mwh" for c in _DAILY)
+        + ", count(*) AS hourly_records_count FROM stg_generation GROUP BY 1, 2")),
+}

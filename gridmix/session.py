@@ -9,6 +9,7 @@ only sets what the engine needs and leaves sizing to the deployment.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 from contextlib import contextmanager
 
@@ -59,18 +60,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A folder under the cluster's shared checkpoint directory.
 
-    The deployment names it in ``spark.checkpoint.dir``; only when it is unset
-    (local tests) is a scratch folder created and registered as the
-    checkpoint directory.
+    The deployment names it in ``spark.checkpoint.dir``.  Without it only a
+    local session (tests, one machine) gets a scratch folder; on a cluster a
+    machine's own folder would be lost to the others, so it is an error.
     """
     sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="gridmix-")
-        try:
-            spark.conf.set("spark.checkpoint.dir", base)
-        except Exception:  # noqa: BLE001 - some deployments reject core settings at run time
-            pass
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(base)
     return "/".join([base.rstrip("/"), *parts])

@@ -13,6 +13,9 @@ fails during a rebuild is simply run again (rebuilds are idempotent).
 
 from __future__ import annotations
 
+import uuid
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +25,7 @@ from gridmix.session import shared_dir
 
 
 MONTH_COL = "index_month"
+VERSION, PENDING = "version-", "_pending"
 
 
 def month_key(ts) -> "F.Column":
@@ -67,9 +71,7 @@ class Warehouse:
         return f"{self.root}/{self.layers[layer]}/{table}"
 
     def exists(self, layer: str, table: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(self.path(layer, table))
-        fs = hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        fs, hpath = self._fs(self.path(layer, table))
         return fs.exists(hpath)
 
     # -- SRC1 / SNK1-SNK3 -------------------------------------------------
@@ -138,20 +140,67 @@ class Warehouse:
                    partition_by: tuple[str, ...] = ()) -> DataFrame:
         """SNK5: rebuild a table in full, register it, and return a scan of it.
 
+        Each rebuild writes a new version folder and only then points the
+        table to it, so a job that dies while writing leaves the last
+        complete version in place, and readers never see a gap.  The version
+        before stays for readers that still scan it; older ones are deleted.
         The returned frame reads the written files, which cuts the lineage
         (later models do not recompute this one) and gives the planner the
         table's real size for join planning.
         """
-        path = self.path(layer, name)
-        writer = df.write.mode("overwrite")
+        version = f"{VERSION}{datetime.now(timezone.utc):%Y%m%d%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+        path = f"{self.path(layer, name)}/{version}"
+        writer = df.write.mode("errorifexists")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(path)
         db = self.layers[layer]
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{self.root}/{db}'")
-        self.spark.sql(f"DROP TABLE IF EXISTS {db}.{name}")
-        self.spark.catalog.createTable(f"{db}.{name}", path=path, source="parquet")
+        if self.spark.catalog.tableExists(f"{db}.{name}") and self.spark.table(f"{db}.{name}").schema == self.spark.read.parquet(path).schema:
+            self.spark.sql(f"ALTER TABLE {db}.{name} SET LOCATION '{path}'")
+            self.spark.catalog.refreshTable(f"{db}.{name}")
+        else:
+            self.spark.sql(f"DROP TABLE IF EXISTS {db}.{name}")
+            self.spark.catalog.createTable(f"{db}.{name}", path=path, source="parquet")
         if partition_by:
             self.spark.sql(f"ALTER TABLE {db}.{name} RECOVER PARTITIONS")
-        return self.spark.table(f"{db}.{name}")
-
+        for old in self._versions(layer, name)[:-2]:
+            self._delete(f"{self.path(layer, name)}/{old}")
+        return self.spark.read.parquet(path)
+
+    def current(self, layer: str, name: str) -> str | None:
+        """The folder of a table's last complete version, or None."""
+        versions = self._versions(layer, name)
+        return f"{self.path(layer, name)}/{versions[-1]}" if versions else None
+
+    def _versions(self, layer: str, name: str) -> list[str]:
+        """Complete versions (Spark's commit marker is there), oldest first."""
+        return [v for v in self._list(self.path(layer, name))
+                if v.startswith(VERSION) and "_SUCCESS" in self._list(f"{self.path(layer, name)}/{v}")]
+
+    # -- months to refresh --------------------------------------------------
+    def mark_pending(self, pairs: DataFrame, table: str) -> None:
+        """Record (country, month) pairs that are about to be appended to a bronze table."""
+        pairs.write.parquet(f"{self.root}/{PENDING}/{table}/{uuid.uuid4().hex}")
+
+    def pending(self, table: str) -> list[str]:
+        """Folders of pairs that no rebuild has taken up yet."""
+        top = f"{self.root}/{PENDING}/{table}"
+        return [f"{top}/{x}" for x in self._list(top) if "_SUCCESS" in self._list(f"{top}/{x}")]
+
+    def clear_pending(self, folders: list[str]) -> None:
+        for folder in folders:
+            self._delete(folder)
+
+    # -- folders --------------------------------------------------------------
+    def _fs(self, path: str):
+        hpath = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+    def _list(self, path: str) -> list[str]:
+        fs, hpath = self._fs(path)
+        return sorted(x.getPath().getName() for x in fs.listStatus(hpath)) if fs.exists(hpath) else []
+
+    def _delete(self, path: str) -> None:
+        fs, hpath = self._fs(path)
+        fs.delete(hpath, True)
