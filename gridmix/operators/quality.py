@@ -127,12 +127,17 @@ def report(models: dict[str, DataFrame], checks: list[Check] | None = None) -> D
 def failing_keys(models: dict[str, DataFrame], test: str, checks: list[Check] | None = None) -> DataFrame:
     """Failing rows of every check of one kind, as ``(test_id, model, column_name, value)``."""
     parts = []
-    for c in checks or CHECKS:
-        if c.test != test:
-            continue
+    chosen = [c for c in checks or CHECKS if c.test == test]
+    if test == "not_null":  # one pass over each model, however many of its columns are checked
+        for model in dict.fromkeys(c.model for c in chosen):
+            failed = F.array_compact(F.array(*[F.when(F.col(c.column).isNull(), F.struct(
+                F.lit(c.test_id).alias("test_id"), F.lit(model).alias("model"), F.lit(c.column).alias("column_name")))
+                for c in chosen if c.model == model]))
+            parts.append(models[model].select(F.explode(failed).alias("f")).select("f.*", F.lit(None).cast("string").alias("value")))
+        return reduce(DataFrame.unionByName, parts)
+    for c in chosen:
         rows = failing_rows(c, models)
-        value = {"not_null": F.col(c.column), "unique": F.col("unique_field"),
-                 "accepted_values": F.col("value_field"), "relationships": F.col("from_field")}[test]
+        value = {"unique": F.col("unique_field"), "accepted_values": F.col("value_field"), "relationships": F.col("from_field")}[test]
         parts.append(rows.select(F.lit(c.test_id).alias("test_id"), F.lit(c.model).alias("model"),
                                  F.lit(c.column).alias("column_name"), value.cast("string").alias("value")))
     return reduce(DataFrame.unionByName, parts)

@@ -293,7 +293,7 @@ def q_stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = shared_dir(spark, "stream_append", uuid.uuid4().hex)
     landed = fx.landed_a73(spark, sf_dir).drop("ingestion_timestamp")
     landing.land_extract(landed, f"{run}/landing")
-    schema = spark.read.parquet(f"{run}/landing").schema
+    schema = bronze_stream.landed_schema(spark, f"{run}/landing")
     for _ in range(2):
         bronze_stream.stream_to_bronze(spark, f"{run}/landing", schema, f"{run}/bronze", f"{run}/checkpoint",
                                        ingestion_ts=fx.INGESTION_TS)
@@ -407,6 +407,26 @@ def _dq(test: str) -> Query:
     return run
 
 
+def violating_models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Two models that break their checks: no country for BE, repeated and unknown countries."""
+    daily = _gen_daily(spark, sf_dir, reused=True)
+    dim = marts.dim_countries(daily, ordered=False)
+    unknown = dim.where("country_code = 'BE'").select(F.lit("CH").alias("country_code"), F.lit(None).cast("string").alias("country_name"))
+    return {
+        "int_generation_daily": daily.withColumn("country_code", F.nullif("country_code", F.lit("BE"))),
+        "dim_countries": dim.unionByName(dim.where("country_code in ('FR', 'DE')")).unionByName(unknown),
+    }
+
+
+def _dq_violations(test: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        configure(spark)
+        models = violating_models(spark, sf_dir)
+        return quality.failing_keys(models, test, [c for c in quality.CHECKS if c.model in models])
+    run.__doc__ = f"DQ: failing rows of the {test} checks over models that break them."
+    return run
+
+
 def q_dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """DQ5: the 14 checks with their failure counts."""
     configure(spark)
@@ -493,6 +513,9 @@ QUERIES: dict[str, Query] = {
     "table_names": q_table_names,
     "country_subset": q_country_subset,
     "stream_append": q_stream_append,
+    "dq_not_null_violations": _dq_violations("not_null"),
+    "dq_unique_violations": _dq_violations("unique"),
+    "dq_accepted_values_violations": _dq_violations("accepted_values"),
     "bronze_roundtrip": q_bronze_roundtrip,
     "high_water_mark_partitioned": q_high_water_mark_partitioned,
     "daily_refresh": q_daily_refresh,

@@ -522,3 +522,28 @@ ORACLE |= {
         + ", ".join(f"round(sum(coalesce({c}, 0)), 4) AS {c[:-3]}_mwh" for c in _DAILY)
         + ", count(*) AS hourly_records_count FROM stg_generation GROUP BY 1, 2")),
 }
+
+BROKEN = (
+    *GEN_CHAIN, DIM_COUNTRIES,
+    "broken_daily AS (SELECT * REPLACE (nullif(country_code, 'BE') AS country_code) FROM generation_daily)",
+    "broken_dim AS (SELECT * FROM dim_countries UNION ALL SELECT * FROM dim_countries WHERE country_code IN ('FR', 'DE') "
+    "UNION ALL SELECT 'CH', NULL FROM dim_countries WHERE country_code = 'BE')",
+)
+
+
+def _broken(test: str, model: str, column: str, value: str, source: str) -> str:
+    return f"SELECT '{test}_{model}_{column}' AS test_id, '{model}' AS model, '{column}' AS column_name, CAST({value} AS VARCHAR) AS value FROM {source}"
+
+
+ORACLE |= {
+    "dq_not_null_violations": with_(*BROKEN, final=" UNION ALL ".join(
+        _broken("not_null", m, c, "NULL", f"{t} WHERE {c} IS NULL") for m, t, c in (
+            ("int_generation_daily", "broken_daily", "country_code"), ("int_generation_daily", "broken_daily", "generation_date"),
+            ("dim_countries", "broken_dim", "country_code"), ("dim_countries", "broken_dim", "country_name")))),
+    "dq_unique_violations": with_(*BROKEN, final=_broken(
+        "unique", "dim_countries", "country_code", "country_code",
+        "(SELECT country_code FROM broken_dim WHERE country_code IS NOT NULL GROUP BY 1 HAVING count(*) > 1)")),
+    "dq_accepted_values_violations": with_(*BROKEN, final=_broken(
+        "accepted_values", "dim_countries", "country_code", "country_code",
+        "(SELECT DISTINCT country_code FROM broken_dim WHERE country_code NOT IN ('AT', 'BE', 'DE', 'ES', 'FR', 'IT', 'NL', 'PT', 'UK'))")),
+}

@@ -22,14 +22,32 @@ def bronze_rows(raw: DataFrame, ingestion_ts: str | None = None) -> DataFrame:
     return add_lineage(sanitize_columns(flatten_columns(raw)), ingestion_ts)
 
 
+def landed_schema(spark: SparkSession, landing_root: str) -> T.StructType:
+    """The columns of all landed files together (countries land different plants and fuels)."""
+    return spark.read.option("mergeSchema", "true").parquet(landing_root).schema
+
+
+def _unknown(landed: T.StructType, known: T.StructType, prefix: str = "") -> list[str]:
+    """Columns, nested ones too, that ``known`` lacks: the stream would drop them."""
+    out = []
+    for field in landed.fields:
+        if field.name not in known.names:
+            out.append(prefix + field.name)
+        elif isinstance(field.dataType, T.StructType) and isinstance(known[field.name].dataType, T.StructType):
+            out += _unknown(field.dataType, known[field.name].dataType, f"{prefix}{field.name}.")
+    return out
+
+
 def stream_to_bronze(spark: SparkSession, landing_root: str, schema: T.StructType, bronze_path: str,
                      checkpoint: str, ingestion_ts: str | None = None, max_files_per_trigger: int = 1000,
                      partition_by: tuple[str, ...] = ("country_code",), available_now: bool = True,
-                     month_of: str | None = None):
+                     month_of: str | None = None, files_per_value: int = 4):
     """Start the stream; returns the ``StreamingQuery`` (already finished when ``available_now``).
 
     ``schema`` must list the landed columns including the partition columns
-    (``document_type``, ``country_code``), which Spark fills from the paths.
+    (``document_type``, ``country_code``), which Spark fills from the paths
+    (``landed_schema`` gives it); a landed file with a column that it lacks
+    is an error at the start, before any file counts as processed.
     The file sink's commit log makes the append exactly once: a batch that
     failed half-way is redone from the checkpoint and readers of
     ``bronze_path`` only see committed files.  ``month_of`` adds the
@@ -37,6 +55,9 @@ def stream_to_bronze(spark: SparkSession, landing_root: str, schema: T.StructTyp
     """
     from gridmix.sources.warehouse import MONTH_COL, month_key
 
+    missing = _unknown(landed_schema(spark, landing_root), schema)
+    if missing:
+        raise ValueError(f"landed files have columns that the stream's schema lacks: {', '.join(missing)}")
     raw = (spark.readStream.schema(schema)
            .option("maxFilesPerTrigger", max_files_per_trigger)
            .parquet(landing_root))
@@ -44,10 +65,10 @@ def stream_to_bronze(spark: SparkSession, landing_root: str, schema: T.StructTyp
     if month_of is not None:
         rows = rows.withColumn(MONTH_COL, month_key(F.col(month_of)))
         partition_by = (*partition_by, MONTH_COL)
-    # One task per output partition value and micro-batch, so each batch
-    # writes one file per (country[, month]) instead of one per task and
-    # value.  A hot value's task is bounded by the batch (maxFilesPerTrigger).
-    rows = rows.repartition(*[F.col(c) for c in partition_by])
+    # A few tasks per output partition value and micro-batch, so each batch
+    # writes a few files per (country[, month]), and a hot country is spread.
+    salt = F.pmod(F.xxhash64(*rows.columns), F.lit(files_per_value))
+    rows = rows.repartition(*[F.col(c) for c in partition_by], salt)
     writer = (rows.writeStream.format("parquet").outputMode("append")
               .option("path", bronze_path).option("checkpointLocation", checkpoint)
               .partitionBy(*partition_by))
@@ -59,5 +80,5 @@ def stream_to_bronze(spark: SparkSession, landing_root: str, schema: T.StructTyp
 
 
 def read_stream_output(spark: SparkSession, bronze_path: str) -> DataFrame:
-    """Batch read of the stream's output (only committed files)."""
-    return spark.read.parquet(bronze_path).withColumn("country_code", F.col("country_code").cast("string"))
+    """Batch read of the stream's output (only committed files, the schemas of all batches merged)."""
+    return spark.read.option("mergeSchema", "true").parquet(bronze_path).withColumn("country_code", F.col("country_code").cast("string"))

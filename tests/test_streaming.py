@@ -42,3 +42,24 @@ def test_stream_partitions_time_series_by_month(spark, scratch):
     assert {r.index_month for r in bronze.select("index_month").collect()} == {"2025-07"}
     touched = layers.touched_from_stamp(bronze, "2026-01-01 00:00:00")
     assert sorted(tuple(r) for r in touched.collect()) == [("BE", "2025-07"), ("FR", "2025-07")]
+
+
+def test_stream_keeps_columns_that_differ_per_country(spark, scratch):
+    import pytest
+
+    root, out, ckpt = f"{scratch}/landing", f"{scratch}/bronze", f"{scratch}/ckpt"
+    for country, plants in (("FR", ["Plant A"]), ("BE", ["Plant B", "Plant C"])):
+        columns = ", ".join(f"`{p}` double" for p in plants)
+        landing.land_extract(spark.createDataFrame([("A73", country, dt.datetime(2025, 7, 1), *[1.0] * len(plants))],
+                                                   f"document_type string, country_code string, index timestamp, {columns}"), root)
+    schema = bronze_stream.landed_schema(spark, root)
+    bronze_stream.stream_to_bronze(spark, root, schema, out, ckpt)
+    got = {r.country_code: (r.plant_a, r.plant_b, r.plant_c) for r in bronze_stream.read_stream_output(spark, out).collect()}
+    assert got == {"FR": (1.0, None, None), "BE": (None, 1.0, 1.0)}
+    landing.land_extract(spark.createDataFrame([("A73", "FR", dt.datetime(2025, 7, 2), 2.0)],
+                                               "document_type string, country_code string, index timestamp, `Plant D` double"), root)
+    with pytest.raises(ValueError, match="Plant D"):
+        bronze_stream.stream_to_bronze(spark, root, schema, out, ckpt)
+    bronze_stream.stream_to_bronze(spark, root, bronze_stream.landed_schema(spark, root), out, ckpt)
+    rows = bronze_stream.read_stream_output(spark, out).collect()
+    assert len(rows) == 3 and {r.plant_d for r in rows} == {None, 2.0}
