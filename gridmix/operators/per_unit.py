@@ -9,7 +9,7 @@ one document each; a response too large for one row is read by element with
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,18 +17,20 @@ from gridmix.functions import exprs as X
 
 _S = T.StringType()
 
+_MANY = T.ArrayType(_S)  # of a repeated element the first one counts
+
 # Reading schema of a market document (only the fields the rows need).
 MARKET_DOCUMENT_SCHEMA = T.StructType([
     T.StructField("TimeSeries", T.ArrayType(T.StructType([
-        T.StructField("registeredResource.mRID", _S),
-        T.StructField("registeredResource.name", _S),
-        T.StructField("MktPSRType", T.StructType([T.StructField("psrType", _S)])),
-        T.StructField("location", T.StructType([
-            T.StructField("latitude", _S), T.StructField("longitude", _S)])),
+        T.StructField("registeredResource.mRID", _MANY),
+        T.StructField("registeredResource.name", _MANY),
+        T.StructField("MktPSRType", T.ArrayType(T.StructType([T.StructField("psrType", _MANY)]))),
+        T.StructField("location", T.ArrayType(T.StructType([
+            T.StructField("latitude", _MANY), T.StructField("longitude", _MANY)]))),
         T.StructField("Period", T.ArrayType(T.StructType([
-            T.StructField("timeInterval.start", _S),
-            T.StructField("timeInterval.end", _S),
-            T.StructField("Point", T.ArrayType(T.StructType([T.StructField("quantity", _S)]))),
+            T.StructField("timeInterval.start", _MANY),
+            T.StructField("timeInterval.end", _MANY),
+            T.StructField("Point", T.ArrayType(T.StructType([T.StructField("quantity", _MANY)]))),
         ]))),
     ]))),
     T.StructField("_corrupt_record", _S),
@@ -39,6 +41,14 @@ MARKET_DOCUMENT_SCHEMA = T.StructType([
 XML_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record", "excludeAttribute": "true",
                "ignoreNamespace": "true"}
 
+# Text that is a decimal number (a cast alone also takes suffixes such as ``12d``).
+NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
+
+
+def number(text: Column) -> Column:
+    """The text as DOUBLE, NULL unless it is a decimal number."""
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
+
 
 def request_plan(countries: DataFrame, start: str | None, end: str | None, now: str) -> DataFrame:
     """ING3 + FLT7 + S19 + S21: one request per country for per-unit documents.
@@ -97,23 +107,24 @@ def series_rows(series: DataFrame, key_cols: list[str] | None = None) -> DataFra
     keys = key_cols or ["country_code"]
     ts = F.col("ts")
     unit = [
-        ts.getField("registeredResource.mRID").alias("unit_id"),
-        ts.getField("registeredResource.name").alias("unit_name"),
-        ts["MktPSRType"]["psrType"].alias("psr_type"),
-        ts["location"]["latitude"].try_cast("double").alias("latitude"),
-        ts["location"]["longitude"].try_cast("double").alias("longitude"),
+        F.get(ts.getField("registeredResource.mRID"), F.lit(0)).alias("unit_id"),
+        F.get(ts.getField("registeredResource.name"), F.lit(0)).alias("unit_name"),
+        F.get(F.get(ts["MktPSRType"], F.lit(0))["psrType"], F.lit(0)).alias("psr_type"),
+        number(F.get(F.get(ts["location"], F.lit(0))["latitude"], F.lit(0))).alias("latitude"),
+        number(F.get(F.get(ts["location"], F.lit(0))["longitude"], F.lit(0))).alias("longitude"),
     ]
     unit_cols = ["unit_id", "unit_name", "psr_type", "latitude", "longitude"]
     periods = series.select(*keys, *unit, F.explode(ts["Period"]).alias("p"))
     p = F.col("p")
     points = periods.select(
         *keys, *unit_cols,
-        p.getField("timeInterval.start").alias("period_start"),
-        p.getField("timeInterval.end").alias("period_end"),
-        F.explode(p["Point"]["quantity"]).alias("quantity"))
-    return points.where(F.col("quantity").isNotNull()).select(
+        F.get(p.getField("timeInterval.start"), F.lit(0)).alias("period_start"),
+        F.get(p.getField("timeInterval.end"), F.lit(0)).alias("period_end"),
+        F.explode(p["Point"]["quantity"]).alias("quantities"))
+    quantity = F.get("quantities", F.lit(0))
+    return points.where(quantity.isNotNull()).select(
         *keys, "unit_id", "unit_name", "psr_type", "period_start", "period_end",
-        F.col("quantity").try_cast("double").alias("installed_capacity_mw"), "latitude", "longitude")
+        number(quantity).alias("installed_capacity_mw"), "latitude", "longitude")
 
 
 def enrich(units: DataFrame, ingestion_ts=None) -> DataFrame:
@@ -151,8 +162,9 @@ def response_outcomes(responses: DataFrame) -> DataFrame:
     # the count is projected before ``status`` reads it, so each document is
     # parsed once.
     periods = F.flatten(F.array_compact(doc["TimeSeries"]["Period"]))
-    quantities = F.array_compact(F.flatten(F.array_compact(periods["Point"]))["quantity"])
-    n_points = F.size(F.coalesce(quantities, F.array().cast(T.ArrayType(T.StringType()))))
+    points = F.flatten(F.array_compact(periods["Point"]))["quantity"]
+    quantities = F.filter(points, lambda q: F.get(q, F.lit(0)).isNotNull())
+    n_points = F.coalesce(F.size(quantities), F.lit(0))
     counted = classified.withColumn(
         "rows", F.when(F.col("response_class") == "data", n_points).otherwise(F.lit(0)))
     return counted.withColumn("status", F.when(F.col("rows") > 0, F.lit("success")).otherwise(F.lit("failed")))

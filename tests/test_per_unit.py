@@ -174,3 +174,15 @@ def test_prefixed_namespace_document(spark):
             '<ns:Point><ns:quantity>5</ns:quantity></ns:Point></ns:Period></ns:TimeSeries></ns:GL_MarketDocument>')
     rows = parse(spark, [body])
     assert [(r.unit_id, r.installed_capacity_mw) for r in rows] == [("U1", 5.0)]
+
+
+def test_first_of_repeated_elements_and_numbers(spark):
+    body = ('<GL_MarketDocument xmlns="urn:iec62325.351:tc57wg16:451-6:configurationdocument:3:0"><TimeSeries>'
+            "<registeredResource.mRID> U 1 </registeredResource.mRID><registeredResource.name>first</registeredResource.name>"
+            "<registeredResource.name>second</registeredResource.name><Period><timeInterval.start>s</timeInterval.start>"
+            "<Point><quantity>5</quantity><quantity>6</quantity></Point><Point><quantity>12d</quantity></Point>"
+            "<Point><quantity> 1e3 </quantity></Point><Point><quantity>NaN</quantity></Point></Period></TimeSeries></GL_MarketDocument>")
+    df = spark.createDataFrame([("FR", body)], "country_code string, body string")
+    rows = per_unit.parse_documents(df).collect()
+    assert [(r.unit_id, r.unit_name, r.installed_capacity_mw) for r in rows] == [
+        ("U 1", "first", 5.0), ("U 1", "first", None), ("U 1", "first", 1000.0), ("U 1", "first", None)]
