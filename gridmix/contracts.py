@@ -60,8 +60,22 @@ CAPACITY_RENAMES: dict[str, str] = {
     "wind_onshore": "wind_onshore_capacity_mw",
 }
 
-# Daily rollup: staged MW column -> daily MWh column (first 13 of the renames).
-DAILY_ENERGY = {v: v[: -len("_mw")] + "_mwh" for v in list(GENERATION_RENAMES.values())[:13]}
+# FIXED VALUES: daily rollup, staged MW column -> daily MWh column.
+DAILY_ENERGY = {
+    "biomass_mw": "biomass_mwh",
+    "hydro_pumped_storage_mw": "hydro_pumped_storage_mwh",
+    "hydro_run_of_river_mw": "hydro_run_of_river_mwh",
+    "hydro_water_reservoir_mw": "hydro_water_reservoir_mwh",
+    "solar_mw": "solar_mwh",
+    "wind_onshore_mw": "wind_onshore_mwh",
+    "wind_offshore_mw": "wind_offshore_mwh",
+    "gas_mw": "gas_mwh",
+    "hard_coal_mw": "hard_coal_mwh",
+    "oil_mw": "oil_mwh",
+    "nuclear_mw": "nuclear_mwh",
+    "waste_mw": "waste_mwh",
+    "energy_storage_mw": "energy_storage_mwh",
+}
 
 # Per-unit capacity, in the staged column order.
 CAPACITY_PER_UNIT_COLUMNS = [

@@ -7,8 +7,8 @@ Tables are Parquet folders under the root, which on a cluster must be a
 shared file system or object store (by default a folder below
 ``spark.checkpoint.dir``).  Writes go through Spark's commit protocol: a lost
 executor only reruns its tasks, and an append either commits whole or
-leaves nothing visible.  A table rebuild overwrites its folder, so a run that
-fails during a rebuild is simply run again (rebuilds are idempotent).
+leaves nothing visible.  A table rebuild writes a new version folder and then
+points the table to it; a run that dies leaves the last complete version.
 """
 
 from __future__ import annotations
