@@ -45,14 +45,9 @@ WIDTH = 5
 BLOCK_SETS, BLOCK_SHINGLES = 2000, 2_000_000  # of one task's block of a group
 
 
-class _WordHashes(dict):
-    """Hashes of words, kept while there are few enough of them."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 200_000:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
+SPACES = np.isin(np.arange(256), [32, *range(9, 14)])
+_BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
+_INVERSE = pow(_BASE, -1, 1 << 64)
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -61,17 +56,36 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def shingles(text: str | None, hashes: _WordHashes, width: int = WIDTH) -> np.ndarray:
+class Powers:
+    """Powers of the base and of its inverse modulo 2**64, as many as were needed so far."""
+
+    def __init__(self) -> None:
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def runs(self, values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """A hash of each run ``values[start:end]``, from prefix sums of one polynomial."""
+        n = len(values)
+        if n >= len(self.up):
+            one = np.ones(1, np.uint64)
+            self.up = np.cumprod(np.concatenate([one, np.full(2 * n, _BASE, np.uint64)]))
+            self.down = np.cumprod(np.concatenate([one, np.full(2 * n, _INVERSE, np.uint64)]))
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * self.up[:n], dtype=np.uint64)])
+        return _mix((sums[ends] - sums[starts]) * self.down[starts] + (ends - starts).astype(np.uint64))
+
+    def words(self, raw: bytes) -> np.ndarray:
+        """A hash of each word of a text (between ASCII white space)."""
+        b = np.frombuffer(raw, np.uint8)
+        edges = np.flatnonzero(np.diff(~SPACES[b], prepend=False, append=False))
+        return self.runs(b.astype(np.uint64) + np.uint64(1), edges[::2], edges[1::2])
+
+
+def shingles(text: str | None, powers: Powers, width: int = WIDTH) -> np.ndarray:
     """The sorted distinct shingle hashes of a text (lower-cased A-Z, words between ASCII white space)."""
-    words = (text or "").encode("utf-8", "replace").lower().split()
-    if not words:
+    w = powers.words((text or "").encode("utf-8", "replace").lower())
+    if not len(w):
         return np.empty(0, np.int64)
-    w = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    n = min(width, len(words))
-    h = np.full(len(words) - n + 1, np.uint64(n), np.uint64)
-    for i in range(n):
-        h = _mix(h * np.uint64(0x9E3779B97F4A7C15) + w[i:i + len(h)])
-    return np.unique(h.view(np.int64))
+    starts = np.arange(max(1, len(w) - width + 1))
+    return np.unique(powers.runs(w, starts, starts + min(width, len(w))).view(np.int64))
 
 
 def least_common(n: int) -> int:
@@ -89,9 +103,9 @@ def _digest(s: np.ndarray) -> bytes:
 
 
 def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = _WordHashes()
+    powers = Powers()
     for batch in batches:
-        sets = [shingles(t.as_py(), hashes) for t in batch["text"]]
+        sets = [shingles(t.as_py(), powers) for t in batch["text"]]
         digests = [_digest(s) for s in sets]
         yield pa.RecordBatch.from_arrays([
             batch["id"], pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()),
@@ -101,9 +115,9 @@ def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = _WordHashes()
+    powers = Powers()
     for batch in batches:
-        sets = [shingles(t.as_py(), hashes) for t in batch["text"]]
+        sets = [shingles(t.as_py(), powers) for t in batch["text"]]
         same = pa.array([_digest(s) == d.as_py() for s, d in zip(sets, batch["digest"], strict=True)], pa.bool_())
         yield pa.RecordBatch.from_arrays(
             [batch[c] for c in ("rep", "grp", "blocks")] + [_lists(sets)], names=["rep", "grp", "blocks", "set"]).filter(same)

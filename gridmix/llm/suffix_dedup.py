@@ -23,7 +23,8 @@ smallest id (``first_id``), or earlier in the same document; the others are that
 
 Defined cases: NULL texts, texts of fewer than ``min_words`` words and rows
 with a NULL id have no span; rows that repeat an id and a text are one
-document; ids identify texts; very long texts are read whole; other
+document; ids identify texts (of texts that share an id only the last one by
+code point is extended); very long texts are read whole; other
 columns are not read; an empty table gives no rows.
 """
 
@@ -39,35 +40,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridmix.llm.common import WORD, store
-from gridmix.llm.ngram_join import _lists, _mix, _WordHashes
+from gridmix.llm.ngram_join import Powers, _lists
 from gridmix.operators.joins import checked_broadcast
 
 MIN_WORDS, WINDOW = 50, 16
 SMALL = 1_000_000  # ids that may be broadcast
-_BASE = 0x9E3779B97F4A7C15
-_INVERSE = pow(_BASE, -1, 1 << 64)
 _WORDS = re.compile(WORD)
 
 
-class _Rolling:
-    """Hashes of all runs of ``k`` words, from prefix sums of a polynomial modulo 2**64."""
+class _Text:
+    """The words of a text as hashes, and the hashes of all runs of ``k`` words."""
 
-    def __init__(self) -> None:
-        self.words, self.up, self.down = _WordHashes(), np.ones(1, np.uint64), np.ones(1, np.uint64)
+    def __init__(self, text: str | None, powers: Powers) -> None:
+        self.powers, self.words = powers, powers.words((text or "").encode("utf-8", "replace"))
 
-    def prefix(self, text: str | None) -> np.ndarray:
-        words = (text or "").encode("utf-8", "replace").split()
-        n = len(words)
-        if n >= len(self.up):
-            size = 2 * n + 1
-            self.up = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size, _BASE, np.uint64)]))
-            self.down = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size, _INVERSE, np.uint64)]))
-        hashed = np.fromiter(map(self.words.__getitem__, words), np.uint64, n)
-        return np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashed * self.up[:n], dtype=np.uint64)])
-
-    def runs(self, prefix: np.ndarray, k: int) -> np.ndarray:
-        n = len(prefix) - k
-        return _mix((prefix[k:] - prefix[:n]) * self.down[:n]) if n > 0 else np.empty(0, np.uint64)
+    def runs(self, k: int) -> np.ndarray:
+        starts = np.arange(max(0, len(self.words) - k + 1))
+        return self.powers.runs(self.words, starts, starts + k)
 
 
 def selected(keys: np.ndarray, window: int) -> np.ndarray:
@@ -79,14 +68,14 @@ def selected(keys: np.ndarray, window: int) -> np.ndarray:
 
 def _sample(min_words: int, window: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rolling = _Rolling()
+        powers = Powers()
         for batch in batches:
             keys, words = [], []
             for text in batch["text"]:
-                prefix = rolling.prefix(text.as_py())
-                runs = rolling.runs(prefix, min_words - window + 1)
+                t = _Text(text.as_py(), powers)
+                runs = t.runs(min_words - window + 1)
                 keys.append(runs[selected(runs, window)].view(np.int64))
-                words.append(len(prefix) - 1)
+                words.append(len(t.words))
             yield pa.RecordBatch.from_arrays([batch[c] for c in ("id", "h1", "h2")] + [pa.array(words, pa.int64()), _lists(keys)],
                                              names=["id", "h1", "h2", "n_words", "keys"])
 
@@ -94,50 +83,55 @@ def _sample(min_words: int, window: int) -> Callable:
 
 
 def _passages(min_words: int, window: int) -> Callable:
-    """Rows of ``id, text, kept`` (keys) to the passages over the kept suffixes: ``id, starts, passages``."""
+    """Rows of ``id, text, kept`` (keys) to the passages over the kept suffixes: ``id``, arrays ``start, passage, again`` (stands before in the text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rolling = _Rolling()
+        powers = Powers()
         for batch in batches:
-            starts, passages = [], []
+            starts, passages, again = [], [], []
             for text, kept in zip(batch["text"], batch["kept"], strict=True):
-                prefix = rolling.prefix(text.as_py())
-                runs = rolling.runs(prefix, min_words - window + 1)
+                t = _Text(text.as_py(), powers)
+                runs = t.runs(min_words - window + 1)
                 at = selected(runs, window)
                 at = at[np.isin(runs[at].view(np.int64), kept.values.to_numpy(zero_copy_only=False))]
-                whole = rolling.runs(prefix, min_words)
+                whole = t.runs(min_words)
                 near = np.unique((at[:, None] - np.arange(window)).ravel())
                 near = near[(near >= 0) & (near < len(whole))]
                 starts.append(near)
                 passages.append(whole[near].view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch["id"], _lists(starts), _lists(passages)], names=["id", "starts", "passages"])
+                later = np.ones(len(near), np.int64)
+                later[np.unique(passages[-1], return_index=True)[1]] = 0
+                again.append(later)
+            yield pa.RecordBatch.from_arrays([batch["id"], _lists(starts), _lists(passages), _lists(again)], names=["id", "start", "passage", "again"])
 
     return run
 
 
 def _spans(min_words: int) -> Callable:
-    """Rows of ``id, text, copies, at`` (repeated passages: start, first id) to spans."""
+    """Rows of ``id, text, copies`` and arrays ``start, removable, first_id`` of repeated passages to spans."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple] = []
-            for id_, text, copies, at in zip(*(batch[c].to_pylist() for c in ("id", "text", "copies", "at")), strict=True):
-                words = [m.span() for m in _WORDS.finditer(text or "")]
-                state = {a["start"]: (a["removable"], a["first_id"]) for a in at or () if a["start"] + min_words <= len(words)}
-                if copies > 1:
-                    state = {i: state.get(i, (False, id_)) for i in range(len(words) - min_words + 1)}
-                span = None  # first word, end word, removable, first id
-                for i in sorted(state):
-                    removable, first = state[i]
-                    if span and i < span[1] and removable == span[2] and i == span[1] - min_words + 1:
-                        span = (span[0], i + min_words, removable, min(first, span[3]))
-                    else:
-                        if span:
-                            out.append((id_, words[span[0]][0], words[span[1] - 1][1], span[1] - span[0], *span[2:]))
-                        span = (i, i + min_words, removable, first)
-                if span:
-                    out.append((id_, words[span[0]][0], words[span[1] - 1][1], span[1] - span[0], *span[2:]))
-            columns = list(zip(*out, strict=True)) or [()] * 6
+            columns: list[list] = [[], [], [], [], [], []]
+            for k in range(batch.num_rows):
+                id_, words = batch["id"][k].as_py(), [m.span() for m in _WORDS.finditer(batch["text"][k].as_py() or "")]
+                start, removable, first = (np.asarray(batch[c][k].values if batch[c][k].is_valid else [], np.int64) for c in ("start", "removable", "first_id"))
+                order = np.argsort(start)
+                order = order[start[order] + min_words <= len(words)]
+                start, removable, first = start[order], removable[order], first[order]
+                if batch["copies"][k].as_py() > 1:  # every passage of the text stands in its copies too
+                    n = len(words) - min_words + 1
+                    all_removable, all_first = np.zeros(n, np.int64), np.full(n, id_)
+                    all_removable[start], all_first[start] = removable, first
+                    start, removable, first = np.arange(n), all_removable, all_first
+                if not len(start):
+                    continue
+                cuts = np.flatnonzero((np.diff(start) != 1) | (np.diff(removable) != 0)) + 1
+                begins, ends = np.append(0, cuts), np.append(cuts, len(start)) - 1
+                for a, b, low in zip(begins, ends, np.minimum.reduceat(first, begins), strict=True):
+                    row = (id_, words[start[a]][0], words[start[b] + min_words - 1][1], int(start[b] - start[a]) + min_words, bool(removable[a]), int(low))
+                    for c, v in zip(columns, row, strict=True):
+                        c.append(v)
             types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)],
                                              names=["id", "start", "end", "n_words", "removable", "first_id"])
@@ -145,6 +139,11 @@ def _spans(min_words: int) -> Callable:
     return run
 
 
+def _texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``id, text`` of the wanted ids, one row each."""
+    return rows.join(checked_broadcast(wanted.select("id"), SMALL), "id", "left_semi").groupBy("id").agg(F.max("text").alias("text"))
+
+
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
                       min_words: int = MIN_WORDS, window: int = WINDOW) -> DataFrame:
     """One row per span: ``id_col, start, end`` (code points), ``n_words, removable, first_id``."""
@@ -159,23 +158,18 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     again = suffixes.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
     kept = store(suffixes.join(again, "key").groupBy("id").agg(F.collect_set("key").alias("kept")))
 
-    near = rows.join(checked_broadcast(kept.select("id"), SMALL), "id", "left_semi").join(kept, "id")
-    passages = store(near.mapInArrow(_passages(min_words, window), "id long, starts array<long>, passages array<long>"))
-    each = passages.select("id", F.explode(F.arrays_zip("starts", "passages")).alias("p")).select(
-        "id", F.col("p.starts").cast("int").alias("start"), F.col("p.passages").alias("passage")).dropDuplicates(["passage", "id", "start"])
+    near = _texts(rows, kept).join(kept, "id")
+    passages = store(near.mapInArrow(_passages(min_words, window), "id long, start array<long>, passage array<long>, again array<long>"))
+    each = passages.select("id", F.explode(F.arrays_zip("start", "passage", "again")).alias("p")).select(
+        "id", F.col("p.start").cast("int").alias("start"), "p.passage", F.col("p.again").cast("byte").alias("again"))
     repeats = each.groupBy("passage").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    inside = each.join(repeats, "passage")
-    # a passage that its first document repeats: all but its first place in it are removable
-    own = inside.filter("id = first_id").groupBy("passage").agg(F.min("start").alias("first_start"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    placed = inside.join(own.select("passage", "first_start"), "passage", "left").select(
-        "id", F.struct("start", ((F.col("id") != F.col("first_id")) | (F.col("start") > F.coalesce("first_start", "start"))).alias("removable"), "first_id").alias("a"))
-    at = store(placed.groupBy("id").agg(F.collect_list("a").alias("at")))
-
-    copied = classes.filter("copies > 1").select(F.col("first_id").alias("id"), "copies").groupBy("id").agg(F.max("copies").alias("copies"))
-    wanted = at.join(copied, "id", "full").select("id", F.coalesce("copies", F.lit(1).cast("long")).alias("copies"), "at")
-    wanted = store(wanted)
-    found = rows.join(checked_broadcast(wanted.select("id"), SMALL), "id", "left_semi").join(wanted, "id").dropDuplicates(["id", "text"])
-    spans = found.select("id", "text", "copies", "at").mapInArrow(
+    removable = ((F.col("id") != F.col("first_id")) | (F.col("again") == 1)).cast("long")
+    at = each.join(repeats, "passage").groupBy("id").agg(F.collect_list(F.struct("start", removable.alias("removable"), "first_id")).alias("a")).select(
+        "id", F.col("a.start").cast("array<long>").alias("start"), F.col("a.removable").alias("removable"), F.col("a.first_id").alias("first_id"))
+
+    copied = classes.filter("copies > 1").groupBy(F.col("first_id").alias("id")).agg(F.max("copies").alias("copies"))
+    wanted = store(at.join(copied, "id", "full").withColumn("copies", F.coalesce("copies", F.lit(1).cast("long"))))
+    spans = _texts(rows, wanted).join(wanted, "id").select("id", "text", "copies", "start", "removable", "first_id").mapInArrow(
         _spans(min_words), "id long, start long, end long, n_words long, removable boolean, first_id long")
 
     others = samples.join(classes.filter("copies > 1"), ["h1", "h2"]).filter("id <> first_id").select("id", "first_id", "n_words").distinct()
