@@ -361,6 +361,35 @@ def q_daily_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layers.build_daily(spark, wh, EXACT, incremental=True)
 
 
+def q_landed_mixed_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC3, PRJ7, ING4: two-level, flat and whole-number extracts of one type, loaded together."""
+    from gridmix.contracts import BRONZE_A75, GENERATION_RENAMES
+    from gridmix.plans import layers
+    from gridmix.sources import landing
+    from gridmix.sources.warehouse import MONTH_COL, Warehouse
+
+    configure(spark)
+    run = _run_folder(spark, "landed_mixed_shapes")
+    rows = fx.bronze_a75(spark, sf_dir).drop("ingestion_timestamp")
+    flat = [c.replace("_", " ").title() for c in GENERATION_RENAMES]
+    whole = F.col("country_code").isin("DE", "ES")
+    landing.land_extract(fx.landed_a75(rows.where("country_code < 'DE'")), f"{run}/landing")
+    landing.land_extract(rows.where(whole).select("document_type", "country_code", "index", *[
+        F.floor(c).cast("bigint").alias(n) for c, n in zip(GENERATION_RENAMES, flat)]), f"{run}/landing")
+    landing.land_extract(rows.where((F.col("country_code") >= "DE") & ~whole).select("document_type", "country_code", "index", *[
+        F.col(c).alias(n) for c, n in zip(GENERATION_RENAMES, flat)]), f"{run}/landing")
+    wh = Warehouse(spark, f"{run}/warehouse")
+    layers.ingest_extracts(spark, wh, f"{run}/landing", fx.COUNTRIES_10, ["A75"],
+                           ingest.IngestWindow(start="1990-01-01", end="2030-01-01"), fx.INGESTION_TS)
+    return staging.stg_generation(wh.read_bronze(_a75_table(), BRONZE_A75).drop(MONTH_COL))
+
+
+def _a75_table() -> str:
+    from gridmix.functions import taxonomy as tx
+
+    return tx.BRONZE_TABLES["A75"]
+
+
 def q_layer_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK4-SNK7: a view and two rebuilds of a gold table in the layers' databases, read by qualified name."""
     from gridmix.sources.warehouse import Warehouse
@@ -519,6 +548,7 @@ QUERIES: dict[str, Query] = {
     "bronze_roundtrip": q_bronze_roundtrip,
     "high_water_mark_partitioned": q_high_water_mark_partitioned,
     "daily_refresh": q_daily_refresh,
+    "landed_mixed_shapes": q_landed_mixed_shapes,
     "layer_tables": q_layer_tables,
     "generation_daily_double": q_generation_daily_double,
     "dq_not_null": _dq("not_null"),

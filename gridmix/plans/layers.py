@@ -9,7 +9,7 @@ checkpoint folder before anything is appended.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +39,7 @@ class IngestResult:
     plan: DataFrame
     outcomes: DataFrame
     summary: DataFrame
+    unreadable: dict[tuple[str, str], str] = field(default_factory=dict)  # (document, country): why it was left out
 
 
 def ingest_extracts(spark: SparkSession, wh: Warehouse, landing_root: str, countries: list[str],
@@ -66,12 +67,18 @@ def ingest_extracts(spark: SparkSession, wh: Warehouse, landing_root: str, count
     with described(spark, "gridmix: window plan"):
         plan = freeze(ingest.window_plan(keys, marks, window))
 
+    bounds = plan.where("action = 'fetch'").agg(F.min("request_start_utc").alias("lo"), F.max("request_end_utc").alias("hi")).first()
+    unreadable: dict[tuple[str, str], str] = {}
     for doc, table in tables.items():
         if doc not in tx.DOCUMENT_EXTRACTS:
             continue  # SRC5: unsupported type, reported as failed by the outcomes
-        landed = landing.read_extracts(spark, landing_root, doc)
+        landed, failed = landing.read_extracts_by_country(spark, landing_root, doc)
+        unreadable.update({(doc, c): why for c, why in failed.items()})
         if landed is None:
             continue  # SNK3: nothing landed for this type; its keys are reported as failed
+        if bounds.lo is not None and dict(landed.dtypes).get("index", "").startswith("timestamp"):
+            # literal bounds of the plan, so that files outside the window are skipped by their statistics
+            landed = landed.where((F.col("index") >= F.lit(bounds.lo)) & (F.col("index") < F.lit(bounds.hi)))
         with described(spark, f"gridmix: load {doc}"):
             batch = ingest.load_batch(landed, plan, stamp)
             if doc == "A75":
@@ -87,7 +94,7 @@ def ingest_extracts(spark: SparkSession, wh: Warehouse, landing_root: str, count
     if not loaded:
         loaded = [spark.createDataFrame([], "country_code string, document_type string")]
     outcomes = ingest.load_outcomes(plan, loaded)
-    return IngestResult(plan, outcomes, ingest.summary(outcomes))
+    return IngestResult(plan, outcomes, ingest.summary(outcomes), unreadable)
 
 
 def ingest_per_unit(spark: SparkSession, wh: Warehouse, responses_root: str, manifest: DataFrame | None = None,

@@ -515,6 +515,10 @@ ORACLE |= {
         + ") FROM stg_generation")),
     "high_water_mark_partitioned": with_(BRONZE_A75_LONG, final=(
         'SELECT country_code, max(CAST("index" AS DATE)) AS last_date FROM bronze_a75 GROUP BY country_code')),
+    "landed_mixed_shapes": with_(BRONZE_A75, STG_GENERATION, final=(
+        "SELECT * REPLACE (" + ", ".join(
+            f"CASE WHEN country_code IN ('DE', 'ES') THEN floor({c}) ELSE {c} END AS {c}" for c in GENERATION_RENAMES.values())
+        + ") FROM stg_generation")),
     "daily_refresh": with_(*GEN_CHAIN_LONG, final="SELECT * FROM generation_daily"),
     "layer_tables": with_(*GEN_CHAIN, ENERGY_MIX, final="SELECT * FROM energy_mix"),
     "generation_daily_double": with_(BRONZE_A75, STG_GENERATION, final=(

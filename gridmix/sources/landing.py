@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridmix.operators.joins import anti_join, lookup_join
 
@@ -37,6 +38,46 @@ def read_extracts(spark: SparkSession, root: str, document_type: str) -> DataFra
         raise
 
 
+def read_extracts_by_country(spark: SparkSession, root: str, document_type: str) -> tuple[DataFrame | None, dict[str, str]]:
+    """SRC3 + PRJ6 + PRJ7: the extracts of one type, each country read and shaped by itself.
+
+    Countries may land two-level or flat names and other number types: every
+    country's columns are flattened and sanitised, its value columns cast
+    to DOUBLE, and the countries united by name.  A country whose
+    files cannot be read (a corrupt footer, columns that collide, types that
+    do not merge) is left out and returned with its reason; the others load.
+    Returns ``None`` for the rows when no country can be read.
+    """
+    from py4j.protocol import Py4JJavaError
+    from pyspark.errors import PySparkException
+
+    from gridmix.operators.ingest import KEYS, flatten_columns, sanitize_columns
+
+    folder = f"{root.rstrip('/')}/document_type={document_type}"
+    sc = spark.sparkContext
+    top = sc._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = top.getFileSystem(sc._jsc.hadoopConfiguration())
+    names = sorted(x.getPath().getName() for x in fs.listStatus(top)) if fs.exists(top) else []
+    parts: list[DataFrame] = []
+    unreadable: dict[str, str] = {}
+    for name in (n for n in names if n.startswith("country_code=")):
+        country = name.removeprefix("country_code=")
+        try:
+            raw = spark.read.option("mergeSchema", "true").parquet(f"{folder}/{name}")
+            clean = sanitize_columns(flatten_columns(raw))
+            values = {f.name for f in clean.schema.fields if isinstance(f.dataType, T.NumericType)}
+            parts.append(clean.select(
+                F.lit(document_type).alias(KEYS[0]) if KEYS[0] == "document_type" else F.lit(country).alias(KEYS[0]),
+                F.lit(document_type).alias(KEYS[1]) if KEYS[1] == "document_type" else F.lit(country).alias(KEYS[1]),
+                *[F.col(c).cast("double").alias(c) if c in values else F.col(c) for c in clean.columns if c not in KEYS]))
+        except (PySparkException, Py4JJavaError, ValueError) as e:
+            unreadable[country] = str(e).strip().splitlines()[0][:300]
+    united = None
+    for part in parts:
+        united = part if united is None else united.unionByName(part, allowMissingColumns=True)
+    return united, unreadable
+
+
 def read_responses(spark: SparkSession, root: str, manifest: DataFrame | None = None) -> DataFrame:
     """SRC4: one row per landed response file: ``country_code, file_name, http_status, body``.
 

@@ -102,3 +102,17 @@ def test_refresh_reads_the_touched_partitions_only(spark, scratch):
     touched = spark.createDataFrame([("FR", "2025-02")], f"country_code string, {MONTH_COL} string")
     plan = in_partitions(wh.read_bronze("prune_probe"), touched, ["country_code", MONTH_COL])._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruning" in plan
+
+
+def test_unreadable_countries_do_not_stop_the_others(spark, scratch):
+    root = f"{scratch}/landing"
+    _land_generation(spark, root, [("A75", "FR", dt.datetime(2025, 6, 1, 6), 5.0, 1.0)])
+    os.makedirs(f"{root}/document_type=A75/country_code=BE")
+    with open(f"{root}/document_type=A75/country_code=BE/part-0.parquet", "wb") as f:
+        f.write(b"not a parquet file")
+    spark.createDataFrame([(dt.datetime(2025, 6, 1, 6), 1.0, 2.0)], "index timestamp, `Solar x` double, `Solar_X` double").write.parquet(
+        f"{root}/document_type=A75/country_code=DE")
+    wh = Warehouse(spark, f"{scratch}/wh")
+    res = layers.ingest_extracts(spark, wh, root, ["FR", "BE", "DE"], ["A75"], IngestWindow(start="2025-06-01", end="2025-07-01"), now="2026-01-01 00:00:00")
+    assert {r.country_code: (r.status, r.rows) for r in res.outcomes.collect()} == {"FR": ("updated", 1), "BE": ("failed", 0), "DE": ("failed", 0)}
+    assert set(res.unreadable) == {("A75", "BE"), ("A75", "DE")} and "sanitise" in res.unreadable["A75", "DE"]
