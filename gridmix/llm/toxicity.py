@@ -47,6 +47,7 @@ MASKED = re.compile(rb"\b[a-z]+[*#@$%]{2,}[a-z]*\b")
 PLAIN = bytes(b if b > 127 or chr(b).isalnum() else 32 for b in range(256))
 BEGINNINGS = (4, 5, 6, 7, 8)
 MAX_VOTERS = 160
+MERGING_TASKS = 16
 CAPITALS = bytes(range(ord("A"), ord("Z") + 1))
 
 
@@ -163,13 +164,20 @@ def _sums(patterns: DataFrame, size: int, of: Callable[[np.ndarray, np.ndarray],
                 got = of(x, part["count"].to_numpy().astype(float))
                 total = got if total is None else total + got
         if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array(range(total.size), pa.int32()), pa.array(total.ravel())], names=["k", "v"])
+            yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64()))], names=["sums"])
 
-    rows = patterns.mapInArrow(run, "k int, v double").groupBy("k").agg(F.sum("v").alias("v")).collect()
-    out = np.zeros(max((r["k"] for r in rows), default=-1) + 1)
-    for r in rows:
-        out[r["k"]] = r["v"]
-    return out
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            for row in batch["sums"]:
+                got = row.values.to_numpy()
+                total = got.copy() if total is None else total + got
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64()))], names=["sums"])
+
+    # one row a task, then one for each of a fixed number of merging tasks
+    parts = patterns.mapInArrow(run, "sums array<double>").repartition(MERGING_TASKS).mapInArrow(merge, "sums array<double>").collect()
+    return np.sum([np.array(r["sums"]) for r in parts], axis=0) if parts else np.zeros(0)
 
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
