@@ -96,6 +96,25 @@ def test_line_dedup(documents, seed):
     assert len(got) == len(rows) and len(differing) <= 1  # bands miss a pair of similarity 0.8 with probability 0.002
 
 
+def stays(lines):
+    """The lines of one text that stay, by sets of all 12-character runs (written out here, not the operator's pattern)."""
+    sets = [{x[i:i + 12] for i in range(max(1, len(x) - 11))} for x in lines]
+    groups = brute.components(len(lines), lambda i, j: len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]))
+    return [x for i, x in enumerate(lines) if groups[i] == i]
+
+
+def test_line_dedup_compares_template_lines_with_many_unlike_neighbours(documents):
+    rng = random.Random(11)
+    start, lines = " ".join(prose(42, rng)), []
+    for i in range(180):
+        tail = prose(18, rng)
+        lines.append(f"{start} {' '.join(tail)}")
+        if i % 3:
+            lines.append(f"{start} {' '.join(edited(tail, 1, rng))}")
+    got = line_dedup.dedup_lines(documents([(1, "\n".join(lines))])).first()
+    assert got.text.split("\n") == stays(lines) and got.n_dropped == 120
+
+
 def test_line_dedup_edge_rows(documents):
     rows = [(1, "a b\nc d"), (1, "a b\nc d"), (None, "a b\nnew"), (2, "c d\n\nown"), (3, "a b"), (4, None), (5, "")]
     docs = documents(rows)
