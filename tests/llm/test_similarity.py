@@ -115,6 +115,15 @@ def test_line_dedup_compares_template_lines_with_many_unlike_neighbours(document
     assert got.text.split("\n") == stays(lines) and got.n_dropped == 120
 
 
+def test_line_dedup_judges_by_all_runs_of_characters(documents):
+    rng, lines = random.Random(12), []
+    for _ in range(150):
+        words = prose(rng.randint(20, 45), rng)
+        lines += [" ".join(words), " ".join(edited(words, rng.randint(1, 2), rng))]
+    got = line_dedup.dedup_lines(documents([(1, "\n".join(lines))])).first()
+    assert got.text.split("\n") == stays(lines)
+
+
 def test_line_dedup_edge_rows(documents):
     rows = [(1, "a b\nc d"), (1, "a b\nc d"), (None, "a b\nnew"), (2, "c d\n\nown"), (3, "a b"), (4, None), (5, "")]
     docs = documents(rows)
