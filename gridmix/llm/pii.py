@@ -5,8 +5,8 @@ found by fixed patterns in every whole text; these spans always stay.
 
 *Bootstrapping.*  The base spans are seeds.  Other tokens that look like an
 identifier (with a digit or an ``@``) are candidates.  Each occurrence has lexical
-patterns: the words before it, and the words around it, with a rough shape of the
-token.  Spark scores the graph of patterns and instances in rounds: a pattern's
+patterns: the words before it, and the words around it, with a coarse class of the
+token (an ``@``, or many or few digits; its form is left open).  Spark scores the graph of patterns and instances in rounds: a pattern's
 confidence in a kind is the share of its occurrences that are instances of this kind (seeds count 1,
 others their score), lowered by a prior for patterns with few different
 instances; an instance's score is that of one minus the product of the doubts of its
@@ -78,19 +78,20 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def _shape(token: str) -> str:
-    return re.sub(r"(.)\1+", r"\1+", re.sub(r"[a-z]", "a", re.sub(r"[A-Z]", "A", re.sub(r"[0-9]", "9", token))))[:40]
+def _class(token: str) -> str:
+    """A coarse class, so that an instance may have a form no seed has: ``@``, or many or few digits."""
+    return "@" if "@" in token else "9" * (1 + (sum(map(str.isdigit, token)) >= 7))
 
 
 def _patterns(text: str, start: int, end: int) -> list[str]:
-    """Lexical patterns of an occurrence: words before, words around, each with its shape."""
+    """Lexical patterns of an occurrence: words before, words around, each with the token's class."""
     before = text[max(0, start - 200):start].split()[-2:]
     after = text[end:end + 100].split()[:1]
-    shape = _shape(text[start:end])
+    kind = _class(text[start:end])
     b1 = before[-1].lower() if before else "^"
     b2 = before[0].lower() if len(before) == 2 else "^"
     a1 = after[0].lower() if after else "$"
-    return [f"L2|{b2} {b1}|{shape}", f"LR|{b1} _ {a1}|{shape}", f"L1|{b1}|{shape}"]
+    return [f"L2|{b2} {b1}|{kind}", f"LR|{b1} _ {a1}|{kind}", f"L1|{b1}|{kind}"]
 
 
 def occurrences(text: str | None) -> tuple[list, list]:
@@ -130,18 +131,18 @@ def bootstrap(occurrence: DataFrame, *, rounds: int = 3, prior: float = 4.0, con
     """Accepted instances: ``instance, kind, score``; ``occurrence``: ``instance, kind`` (NULL if no seed) ``, pattern``.
 
     ``prior`` is the weight of doubt: a pattern needs many different instances of a kind
-    before it is trusted; ``support`` is how many different seeds must share a
-    pattern with an accepted instance.
+    before it is trusted; ``support`` is how many different seeds, or instances accepted
+    in an earlier round, must share a pattern with an accepted instance.
     """
     edges = store(occurrence.groupBy("pattern", "instance").agg(F.max("kind").alias("seed"), F.count(F.lit(1)).alias("n")))
     known = edges.filter("seed is not null").select("instance", F.col("seed").alias("kind"), F.lit(1.0).alias("score")).distinct()
     accepted = None
     for _ in range(rounds):
         trusted = (
-            edges.join(known, "instance").groupBy("pattern", "kind").agg(F.sum("score").alias("good"), F.count("seed").alias("seeds"))
+            edges.join(known, "instance").groupBy("pattern", "kind").agg(F.sum("score").alias("good"), F.count(F.lit(1)).alias("known"))
             .join(edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("instances")), "pattern")
             .withColumn("confidence", F.col("good") / (F.col("instances") + prior))
-            .filter(F.col("seeds") >= support).select("pattern", "kind", "confidence")
+            .filter(F.col("known") >= support).select("pattern", "kind", "confidence")
         )
         scored = (
             edges.filter("seed is null").join(trusted, "pattern").groupBy("instance", "kind")

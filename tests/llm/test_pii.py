@@ -63,5 +63,28 @@ def test_bootstrapping_finds_what_the_patterns_miss(documents):
         assert set(map(tuple, r.base)) <= set(map(tuple, r.spans))
 
 
+def test_bootstrapping_finds_new_forms_and_new_patterns(documents):
+    rng = random.Random(2)
+    word = lambda: "".join(rng.choice("aeioubcdfg") for _ in range(6))
+    number = lambda i: f"0171-555{i:04}"
+    rows = [(i, f"{word()} please call +49171555{i:04} today {word()}") for i in range(60)]
+    rows += [(100 + i, f"{word()} please call {number(i)} today {word()}") for i in range(6)]  # no '+'
+    rows += [(200 + i, f"{word()} my mobile {number(i % 40)} anytime {word()}") for i in range(40)]  # six of them are known by then
+    rows += [(300 + i, f"{word()} order {i:08} shipped {word()}") for i in range(60)]
+    by = {r.doc_id: r for r in pii.find_pii(documents(rows)).collect()}
+    assert all([s.kind for s in by[100 + i].spans] == ["phone"] and by[100 + i].base == [] for i in range(6))
+    assert all([s.kind for s in by[200 + i].spans] == ["phone"] for i in range(6))
+    assert all(by[300 + i].spans == [] for i in range(60))
+
+
+def test_accepted_instances_support_new_patterns(spark):
+    rows = [(f"seed{i}", "phone", p) for i in range(60) for p in ("call", "please call")]
+    rows += [(f"new{i}", None, p) for i in range(60) for p in ("call", "please call", "mobile", "my mobile")]
+    rows += [("last", None, p) for p in ("mobile", "my mobile")] + [("other", None, "room")]
+    rows += [(f"seed{i}", "phone", p) for i in range(60, 1000) for p in ("call", "please call")]
+    got = pii.bootstrap(spark.createDataFrame(rows, "instance string, kind string, pattern string")).collect()
+    assert {r.instance for r in got} == {f"new{i}" for i in range(60)} | {"last"}
+
+
 def test_empty_table(documents):
     assert pii.find_pii(documents([])).collect() == []
