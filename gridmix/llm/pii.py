@@ -66,7 +66,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     if not any(d in text for d in "0123456789"):
         return out
     for m in IP.finditer(text):
-        if all(int(p[:4]) <= 255 and len(p.lstrip("0")) <= 3 for p in m[0].split(".")):
+        if all(int(p.lstrip("0")[:4] or "0") <= 255 for p in m[0].split(".")):
             out.append(("ip", *m.span()))
     for m in CARD.finditer(text):
         digits = m[0].replace(" ", "").replace("-", "")

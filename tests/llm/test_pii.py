@@ -46,6 +46,12 @@ def test_base_known_values():
     assert pii.luhn("4111111111111111") and not pii.luhn("4111111111111112")
 
 
+def test_ip_parts_with_leading_zeros_are_judged_whole():
+    text = "00999.1.1.1 000256.1.1.1 000255.1.1.1 0000.0.0.0"
+    assert pii.base_spans(text) == brute(text)
+    assert [text[s:e] for _, s, e in pii.base_spans(text)] == ["000255.1.1.1", "0000.0.0.0"]
+
+
 def test_bootstrapping_finds_what_the_patterns_miss(documents):
     rng = random.Random(1)
     word = lambda: "".join(rng.choice("aeioubcdfg") for _ in range(6))
