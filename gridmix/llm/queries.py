@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmix.llm import chat, decontamination, exact_dedup, line_dedup, mixing, ngram_join, pages, pii, suffix_dedup, toxicity
+from gridmix.llm import (chat, decontamination, exact_dedup, line_dedup, merkle_manifest, mixing, ngram_join, pages, piece_encoding, pii,
+                         suffix_dedup, token_alignment, toxicity)
+from gridmix.llm.common import store
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +70,42 @@ def q_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(pii.joined("base"), 256).alias("base_sha256"), pii.joined("spans").alias("spans"))
 
 
+def tokenizer_path(name: str) -> str:
+    """Where a public vocabulary file lies."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+def q_piece_encoding(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
+    model = piece_encoding.read_model(model or tokenizer_path("piece_bpe_32k.model"))
+    coded = piece_encoding.decode(piece_encoding.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), model).drop("text"), model)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def q_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    changed = F.col("n_chars").cast("decimal(20,0)") + 1
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, F.lit(False))
+    rows = docs.select("doc_id", "lang", merkle_manifest.field_digest("doc_id", "source", "lang", "n_chars", "text").alias("leaf"),
+                       F.when(tampered, merkle_manifest.field_digest("doc_id", "source", "lang", changed, "text")).alias("tampered_leaf"))
+    proved = merkle_manifest.manifest(rows, F.col("lang"), ["doc_id"], "leaf").rows
+    return proved.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(F.array_join(merkle_manifest.siblings("proof"), ""), 256).alias("proof_sha256"),
+        merkle_manifest.fold(F.coalesce("tampered_leaf", "leaf"), "proof").alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def q_token_alignment(spark: SparkSession, sf_dir: str, a_model: str | None = None, b_model: str | None = None) -> DataFrame:
+    aligned = token_alignment.align(
+        _table(spark, sf_dir, "documents"), token_alignment.read_tokenizer(a_model or tokenizer_path("byte_bpe_50k.json")),
+        piece_encoding.read_model(b_model or tokenizer_path("piece_bpe_32k.model")))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    scored = token_alignment.with_counts(store(aligned.withColumn("groups_sha256", digest).drop("groups")))
+    return scored.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": q_toxicity,
     "op2_html_extraction": q_html_extraction,
@@ -79,6 +117,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat_formatting": q_chat_formatting,
     "op9_line_dedup": q_line_dedup,
     "op10_ngram_jaccard_join": q_ngram_jaccard_join,
+    "op11_piece_encoding": q_piece_encoding,
+    "op12_merkle_manifest": q_merkle_manifest,
+    "op13_token_alignment": q_token_alignment,
 }
 
 ORACLE: dict[str, str] = {
@@ -102,4 +143,54 @@ ORACLE: dict[str, str] = {
                    FROM d WINDOW w AS (PARTITION BY s ORDER BY n DESC, doc_id))
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, s AS text_sha256 FROM r
     """,
+    "op12_merkle_manifest": r"""
+        WITH RECURSIVE f AS (
+                 SELECT doc_id, lang, coalesce('=' || lang, '') AS tree, n_chars,
+                        coalesce(strlen(doc_id::varchar) || ':' || doc_id::varchar, '-') || coalesce(strlen(source) || ':' || source, '-')
+                          || coalesce(strlen(lang) || ':' || lang, '-') AS a,
+                        coalesce(strlen(text) || ':' || text, '-') AS z,
+                        list_reduce([4294967295::bigint] || flatten(list_transform(string_split(doc_id::varchar, ''), lambda c: [ascii(c)::bigint, -1, -1, -1, -1, -1, -1, -1, -1])),
+                                    lambda r, x: CASE WHEN x >= 0 THEN xor(r, x) ELSE xor(r >> 1, CASE WHEN r & 1 = 1 THEN 3988292384 ELSE 0 END) END) AS r
+                 FROM documents),
+             l AS (SELECT *, sha256(a || coalesce(strlen(n_chars::varchar) || ':' || n_chars::varchar, '-') || z) AS leaf,
+                          CASE WHEN xor(r, 4294967295) % 7 = 0
+                               THEN sha256(a || coalesce(strlen((n_chars + 1)::varchar) || ':' || (n_chars + 1)::varchar, '-') || z) END AS changed
+                   FROM f),
+             leaves AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+                               count(*) OVER (PARTITION BY tree) AS n FROM l),
+             up(tree, level, pos, n, h) AS (
+                 SELECT tree, 0, pos, n, leaf FROM leaves
+                 UNION ALL
+                 SELECT tree, level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos))
+                 FROM up WHERE n > 1 GROUP BY tree, level, pos // 2, n),
+             subroots AS (SELECT tree, h AS subroot, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM up WHERE n = 1),
+             top(level, pos, n, h) AS (
+                 SELECT 0, pos, n, subroot FROM subroots
+                 UNION ALL
+                 SELECT level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY pos)) FROM top WHERE n > 1 GROUP BY level, pos // 2, n),
+             nodes AS (SELECT tree, level, pos, n, h FROM up UNION ALL SELECT NULL, level, pos, n, h FROM top),
+             height AS (SELECT tree, max(level) AS high FROM nodes GROUP BY tree),
+             path AS (
+                 SELECT doc_id, leaf, x.tree AS own, k AS step, x.tree, k AS level, (x.pos >> k) AS pos
+                 FROM leaves x JOIN height USING (tree), unnest(range(high)) AS u(k)
+                 UNION ALL
+                 SELECT doc_id, leaf, x.tree, height.high + k, NULL, k, (s.pos >> k)
+                 FROM leaves x JOIN subroots s USING (tree) JOIN height USING (tree), height AS t, unnest(range(t.high)) AS u(k)
+                 WHERE t.tree IS NULL),
+             steps AS (SELECT p.doc_id, p.leaf, p.own, p.step, p.pos % 2 AS is_right, o.h
+                       FROM path p LEFT JOIN nodes o ON o.tree IS NOT DISTINCT FROM p.tree AND o.level = p.level AND o.pos = xor(p.pos, 1)),
+             proofs AS (SELECT doc_id, leaf, own, sha256(string_agg(h, '' ORDER BY step)) AS proof_sha256,
+                               list({'r': is_right, 'h': coalesce(h, '')} ORDER BY step) AS proof FROM steps GROUP BY doc_id, leaf, own),
+             folded(doc_id, leaf, own, k, proof, node) AS (
+                 SELECT x.doc_id, x.leaf, x.tree, 1, proof, coalesce(changed, x.leaf)
+                 FROM leaves x LEFT JOIN proofs p ON x.doc_id IS NOT DISTINCT FROM p.doc_id AND x.leaf = p.leaf AND x.tree = p.own
+                 UNION ALL
+                 SELECT doc_id, leaf, own, k + 1, proof, CASE WHEN proof[k].r = 1 THEN sha256(proof[k].h || node) ELSE sha256(node || proof[k].h) END
+                 FROM folded WHERE k <= len(proof)),
+             ends AS (SELECT doc_id, leaf, own, node FROM folded WHERE k = coalesce(len(proof), 0) + 1)
+        SELECT e.doc_id, e.leaf, s.subroot, t.h AS root, coalesce(p.proof_sha256, sha256('')) AS proof_sha256,
+               e.node AS folded_root, e.node = t.h AS verified
+        FROM ends e JOIN subroots s ON e.own = s.tree JOIN top t ON t.n = 1
+        LEFT JOIN proofs p ON e.doc_id IS NOT DISTINCT FROM p.doc_id AND e.leaf = p.leaf AND e.own = p.own
+    """,
 }
