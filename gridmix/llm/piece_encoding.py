@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 SPACE = "▁"
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 #: Symbols from here on are characters that are no piece: ``CHARS`` plus the code point.
 CHARS = 1 << 30
 NONE = np.iinfo(np.int32).max
@@ -45,7 +45,7 @@ class KeyTable:
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
         self.bits = max(4, int(4 * len(keys)).bit_length())
-        self.keys, self.values = np.full(1 << self.bits, -1, np.int64), np.zeros((1 << self.bits, values.shape[1]), np.int64)
+        self.keys, self.values = np.full(1 << self.bits, -1, np.int64), np.zeros((1 << self.bits, values.shape[1]), np.int32)
         slot, todo = self._slot(keys), np.arange(len(keys))
         while len(todo):
             free = todo[self.keys[slot[todo]] < 0]
@@ -71,13 +71,17 @@ class KeyTable:
         return slot, found
 
 
+def _key(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return left.astype(np.int64) << 31 | right
+
+
 class PieceModel:
     """The lookup tables of one BPE model; ``kinds``: ``normal``, ``byte``, ``control`` or ``unknown`` for each piece."""
 
     def __init__(self, pieces: list[str], scores: list[float], kinds: list[str]):
         mergeable = {p: i for i, (p, kind) in enumerate(zip(pieces, kinds, strict=True)) if kind == "normal"}
         self.words = not any(SPACE in p.lstrip(SPACE) for p in mergeable)
-        self.symbol = np.arange(0x110000, dtype=np.int64) + CHARS
+        self.symbol = np.arange(0x110000, dtype=np.int32) + CHARS
         for p, i in mergeable.items():
             if len(p) == 1:
                 self.symbol[ord(p)] = i
@@ -94,8 +98,8 @@ class PieceModel:
                     merges[left << 31 | right] = (ranks[i], i)
                 beside.add(of(p[k - 1]) << 31 | of(p[k]))
         self.lines = not any("\n" in p and len(p) > 1 for p in mergeable)
-        self.merges = KeyTable(np.array(list(merges), np.int64), np.array(list(merges.values()), np.int64).reshape(-1, 2))
-        self.beside = KeyTable(np.array(list(beside), np.int64), np.zeros((len(beside), 1), np.int64))
+        self.merges = KeyTable(np.array(list(merges), np.int64), np.array(list(merges.values()), np.int32).reshape(-1, 2))
+        self.beside = KeyTable(np.array(list(beside), np.int64), np.zeros((len(beside), 0), np.int32))
         self.byte_ids = np.zeros(256, np.int32)
         surface = []
         for i, (p, kind) in enumerate(zip(pieces, kinds, strict=True)):
@@ -112,7 +116,7 @@ class PieceModel:
 
     def pairs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and merged symbol of each pair; rank ``NONE`` if it is no piece."""
-        at, found = self.merges.find(left << 31 | right)
+        at, found = self.merges.find(_key(left, right))
         rank, merged = self.merges.values[at].T
         return np.where(found, rank, NONE), merged
 
@@ -146,7 +150,7 @@ def _starts(groups: np.ndarray) -> np.ndarray:
 def merge_rounds(model: PieceModel, sym: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Merges until no pair is left: ``sym`` are all words' symbols, ``word`` their word numbers, ascending."""
     done_sym, done_word = [], []
-    rank, into = np.full(len(sym), NONE, np.int32), np.zeros(len(sym), np.int64)
+    rank, into = np.full(len(sym), NONE, np.int32), np.zeros(len(sym), np.int32)
     new = np.ones(len(sym), bool)
     while len(sym):
         same = np.append(word[1:] == word[:-1], False)
@@ -216,15 +220,15 @@ def _as_bytes(model: PieceModel, sym: np.ndarray, word: np.ndarray) -> tuple[np.
 def encode_words(model: PieceModel, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """``ids, offsets`` of the words: UTF-8 with the space that the model adds, plain or as U+2581."""
     data = b"".join(words.to_pylist())
-    cp = np.frombuffer(data.decode().encode("utf-32-le"), np.uint32).astype(np.int64)
-    cp[cp == 32] = ord(SPACE)
+    cp = np.frombuffer(data.decode().encode("utf-32-le"), np.uint32)
+    cp = np.where(cp == 32, ord(SPACE), cp)
     ends = np.cumsum(pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64))
     firsts = np.concatenate([[0], np.cumsum((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)])  # characters before each byte
-    word = np.repeat(np.arange(len(words)), np.diff(np.concatenate([[0], firsts[ends]])))
+    word = np.repeat(np.arange(len(words), dtype=np.int32), np.diff(np.concatenate([[0], firsts[ends]])))
     sym = model.symbol[cp]
-    key = sym[:-1] << 31 | sym[1:]
-    cut = (word[1:] != word[:-1]) | ~model.beside.find(key)[1]
-    segment = np.concatenate([[0], np.cumsum(cut)])[:len(sym)]
+    del data, cp, firsts
+    cut = (word[1:] != word[:-1]) | ~model.beside.find(_key(sym[:-1], sym[1:]))[1]
+    segment = np.concatenate([[0], np.cumsum(cut, dtype=np.int32)])[:len(sym)].astype(np.int32)
     of = word[_starts(segment)] if len(sym) else word
     sym, segment = _as_bytes(model, *merge_rounds(model, sym, segment))
     return sym.astype(np.int32), np.concatenate([[0], np.cumsum(np.bincount(of[segment], minlength=len(words)))])
@@ -328,33 +332,39 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iter
         at = to
 
 
-def _append(df: DataFrame, out: str, kind: T.DataType, run) -> DataFrame:
-    fields = [f for f in df.schema.fields if f.name.lower() != out.lower()]
-    return df.mapInArrow(run, T.StructType([*fields, T.StructField(out, kind)]))
-
+def encode(docs: DataFrame, model: bytes, text_col: str = "text", out: str = "ids", *, decoded: str | None = None,
+           keep: list[str] | None = None) -> DataFrame:
+    """``docs`` with the ids of ``text_col`` appended as ``array<int>``; with ``decoded``, also the text they decode to.
 
-def encode(docs: DataFrame, model: bytes, text_col: str = "text", out: str = "ids") -> DataFrame:
-    """``docs`` with the ids of ``text_col`` appended as ``array<int>``."""
+    ``keep`` names the columns to keep, all others by default.
+    """
+    new = [n.lower() for n in (out, decoded) if n]
+    rows = docs.withColumn(text_col, F.col(text_col).cast("string"))
+    kept = [f for f in rows.schema.fields if f.name.lower() not in new and (keep is None or f.name in keep)]
+    added = [T.StructField(out, T.ArrayType(T.IntegerType()))] + ([T.StructField(decoded, T.StringType())] if decoded else [])
+    names = [f.name for f in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = load(model)
         for whole in batches:
             for batch in slices(whole, text_col):
-                rest = [c for c in batch.schema.names if c.lower() != out.lower()]
-                yield pa.RecordBatch.from_arrays([*[batch[c] for c in rest], encode_texts(tables, batch[text_col])], names=[*rest, out])
+                ids = encode_texts(tables, batch[text_col])
+                yield pa.RecordBatch.from_arrays([*[batch[c] for c in names], ids, *([decode_ids(tables, ids)] if decoded else [])],
+                                                 names=[*names, out, *([decoded] if decoded else [])])
 
-    return _append(docs.withColumn(text_col, F.col(text_col).cast("string")), out, T.ArrayType(T.IntegerType()), run)
+    return rows.mapInArrow(run, T.StructType([*kept, *added]))
 
 
 def decode(rows: DataFrame, model: bytes, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
     """``rows`` with the text of the ids in ``ids_col`` appended."""
+    kept = [f for f in rows.schema.fields if f.name.lower() != out.lower()]
+    names = [f.name for f in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = load(model)
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
-                rest = [c for c in part.schema.names if c.lower() != out.lower()]
-                yield pa.RecordBatch.from_arrays([*[part[c] for c in rest], decode_ids(tables, part[ids_col])], names=[*rest, out])
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                yield pa.RecordBatch.from_arrays([*[part[c] for c in names], decode_ids(tables, part[ids_col])], names=[*names, out])
 
-    return _append(rows, out, T.StringType(), run)
+    return rows.mapInArrow(run, T.StructType([*kept, T.StructField(out, T.StringType())]))

@@ -79,7 +79,7 @@ def tokenizer_path(name: str) -> str:
 
 def q_piece_encoding(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
     model = piece_encoding.read_model(model or tokenizer_path("piece_bpe_32k.model"))
-    coded = piece_encoding.decode(piece_encoding.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), model).drop("text"), model)
+    coded = piece_encoding.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), model, decoded="decoded", keep=["doc_id"])
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
