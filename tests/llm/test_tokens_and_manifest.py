@@ -95,6 +95,22 @@ def test_encoding_rows(documents, model, library):
     assert pe.encode(documents([]), model).collect() == []
 
 
+def whole_file(path):
+    """The library that the file is made for, as an independent encoder."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.encode_special_tokens = True
+    return tokenizer
+
+
+def test_both_byte_level_libraries_agree():
+    path = tokenizer_path("byte_bpe_50k.json")
+    encode, _ = ta.load_bytes(ta.read_tokenizer(path))
+    texts = [f"a{chr(c)}1{chr(c)} {chr(c)}{chr(c)} b{chr(c)}. {chr(c)} " for c in [*range(0xD800), *range(0xE000, 0x11000), *range(0x1F000, 0x1FB00)]]
+    assert encode(texts) == [e.ids for e in whole_file(path).encode_batch_fast(texts, add_special_tokens=False)]
+
+
 def plain_alignment(tokenizer, a_surface, pieces, library, text):
     """``(A ids, B ids)`` of each group."""
     if not text:
@@ -129,7 +145,7 @@ def test_alignment_of_odd_texts_and_corpus_counts(documents, model, library):
     texts = ["".join(rng.choice(PIECES) for _ in range(rng.randrange(30))) for _ in range(400)]
     texts += [None, "", "a▁b", "the " * 3000, "a" * 400, " " * 90, "漢字🙂" * 30, "the the", "the the"]
     a_model = ta.read_tokenizer(tokenizer_path("byte_bpe_50k.json"))
-    (tokenizer, surface), pieces = ta.load_bytes(a_model), pe.load(model)
+    tokenizer, (_, surface), pieces = whole_file(tokenizer_path("byte_bpe_50k.json")), ta.load_bytes(a_model), pe.load(model)
     docs = documents([(k if k % 50 else None, t) for k, t in enumerate(texts)]).repartition(5)
     got = ta.with_counts(ta.store(ta.align(docs, a_model, model)))
     assert got.columns == ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups", "n_best", "count_sum"]
