@@ -38,10 +38,22 @@ def test_held_out_accuracy_on_a_planted_table(spark, documents):
     by = {r.doc_id: r.score for r in scores}
     held = [(i, toxic) for i, _, toxic in labels if zlib.crc32(str(i).encode()) % 3 == 1]
     right = sum((by[i] >= 0.7) == bool(toxic) for i, toxic in held)
-    assert right >= 0.97 * len(held)
+    assert right >= 0.98 * len(held)
     assert by[5000] < 0.3 and by[5001] < 0.3 and by[5002] < 0.3 and by[None] >= 0.7
 
 
+def test_the_classifier_beats_the_label_model_on_held_out_rows(spark):
+    """Nine in ten toxic rows caught, fewer than one clean row in a hundred, and better than the posterior labels it was trained on."""
+    folder = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    scores = toxicity.score(spark.read.parquet(f"{folder}/documents.parquet").repartition(8), labels, train=~held_out())
+    held = scores.join(labels.filter(held_out()), "doc_id").select("posterior", "score", "toxic").toPandas()
+    toxic, clean = held[held.toxic == 1], held[held.toxic == 0]
+    assert (toxic.score >= 0.7).mean() >= 0.9 and (clean.score >= 0.7).mean() < 0.01
+    assert ((held.score - held.toxic) ** 2).mean() < ((held.posterior - held.toxic) ** 2).mean()
+    assert (clean.score >= 0.7).sum() < (clean.posterior >= 0.7).sum()
+
+
 def test_labels_of_held_out_rows_are_not_read(spark, documents):
     rows, labels = planted(300)
     flipped = [(i, q, 1 - t if zlib.crc32(str(i).encode()) % 3 == 1 else t) for i, q, t in labels]
