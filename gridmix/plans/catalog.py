@@ -361,6 +361,33 @@ def q_daily_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layers.build_daily(spark, wh, EXACT, incremental=True)
 
 
+def q_stream_into_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR1, SNK1, M5: batch loads and a stream on one bronze table.
+
+    A batch load and a full build, two streamed landings, the last micro-batch
+    run a second time (as after a failure before its commit), an incremental build.
+    """
+    from gridmix.plans import layers
+    from gridmix.sources import landing
+    from gridmix.sources.warehouse import Warehouse
+    from gridmix.streaming import bronze_stream
+
+    configure(spark)
+    run = _run_folder(spark, "stream_into_warehouse")
+    wh = Warehouse(spark, f"{run}/warehouse")
+    landed = fx.landed_a75(fx.bronze_a75_long(spark, sf_dir))
+    landing.land_extract(landed.where(F.month("index") % 3 == 0), f"{run}/extracts")
+    layers.ingest_extracts(spark, wh, f"{run}/extracts", fx.COUNTRIES_10, ["A75"],
+                           ingest.IngestWindow(start="1990-01-01", end="2005-01-01"), "2026-01-01 00:00:00")
+    layers.build_daily(spark, wh, EXACT)
+    for k in (1, 2):
+        landing.land_extract(landed.where(F.month("index") % 3 == k), f"{run}/stream")
+        bronze_stream.stream_to_warehouse(wh, f"{run}/stream", "A75", f"{run}/checkpoint", ingestion_ts=f"2026-01-0{k + 1} 00:00:00")
+    bronze_stream.forget_last_commit(spark, f"{run}/checkpoint")
+    bronze_stream.stream_to_warehouse(wh, f"{run}/stream", "A75", f"{run}/checkpoint", ingestion_ts="2026-01-04 00:00:00")
+    return layers.build_daily(spark, wh, EXACT, incremental=True)
+
+
 def q_landed_mixed_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC3, PRJ7, ING4: two-level, flat and whole-number extracts of one type, loaded together."""
     from gridmix.contracts import BRONZE_A75, GENERATION_RENAMES
@@ -548,6 +575,7 @@ QUERIES: dict[str, Query] = {
     "bronze_roundtrip": q_bronze_roundtrip,
     "high_water_mark_partitioned": q_high_water_mark_partitioned,
     "daily_refresh": q_daily_refresh,
+    "stream_into_warehouse": q_stream_into_warehouse,
     "landed_mixed_shapes": q_landed_mixed_shapes,
     "layer_tables": q_layer_tables,
     "generation_daily_double": q_generation_daily_double,

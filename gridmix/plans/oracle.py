@@ -520,6 +520,7 @@ ORACLE |= {
             f"CASE WHEN country_code IN ('DE', 'ES') THEN floor({c}) ELSE {c} END AS {c}" for c in GENERATION_RENAMES.values())
         + ") FROM stg_generation")),
     "daily_refresh": with_(*GEN_CHAIN_LONG, final="SELECT * FROM generation_daily"),
+    "stream_into_warehouse": with_(*GEN_CHAIN_LONG, final="SELECT * FROM generation_daily"),
     "layer_tables": with_(*GEN_CHAIN, ENERGY_MIX, final="SELECT * FROM energy_mix"),
     "generation_daily_double": with_(BRONZE_A75, STG_GENERATION, final=(
         "SELECT country_code, CAST(generation_datetime AS DATE) AS generation_date, "

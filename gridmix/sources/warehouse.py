@@ -6,8 +6,9 @@ full rebuild), SNK6 (layer placement), SNK7 (layer databases).
 Tables are Parquet folders under the root, which on a cluster must be a
 shared file system or object store (by default a folder below
 ``spark.checkpoint.dir``).  Writes go through Spark's commit protocol: a lost
-executor only reruns its tasks, and an append either commits whole or
-leaves nothing visible.  A table rebuild writes a new version folder and then
+executor only reruns its tasks.  Each append writes partitions of its own (``load_id``), so batch
+loads and streams share a table, and an append that is repeated under the same id, after dying at any point of its
+commit, replaces its own rows and no others.  A table rebuild writes a new version folder and then
 points the table to it; a run that dies leaves the last complete version.
 """
 
@@ -24,7 +25,7 @@ from gridmix.functions import taxonomy as tx
 from gridmix.session import shared_dir
 
 
-MONTH_COL = "index_month"
+MONTH_COL, LOAD_COL = "index_month", "load_id"
 VERSION, PENDING = "version-", "_pending"
 
 
@@ -75,15 +76,15 @@ class Warehouse:
         return fs.exists(hpath)
 
     # -- SRC1 / SNK1-SNK3 -------------------------------------------------
-    def read_bronze(self, table: str, contract: T.StructType | None = None) -> DataFrame:
-        """SRC1: scan a bronze table.
+    def read_bronze(self, table: str, contract: T.StructType | None = None, load_id: str | None = None) -> DataFrame:
+        """SRC1: scan a bronze table, or the rows of one load.
 
         With a contract the table is read with that schema: no file footer is
         read to merge schemas (a full listing pass over a large table), and
         contract columns that older files lack read as NULL.  Without one
         (tables whose columns are open-ended, such as per-plant output) the
         schemas of all files are merged.  Partition columns are always
-        present.  A table not created yet (or holding no data file) reads as
+        present, but for ``load_id``.  A table not created yet (or holding no data file) reads as
         empty.
         """
         from pyspark.errors import AnalysisException
@@ -92,17 +93,20 @@ class Warehouse:
         if not self.exists("bronze", table):
             return self.spark.createDataFrame([], empty_schema)
         path = self.path("bronze", table)
-        if contract is not None:
-            return self.spark.read.schema(contract).parquet(path)
         try:
-            return self.spark.read.option("mergeSchema", "true").parquet(path)
+            rows = (self.spark.read.schema(contract) if contract is not None
+                    else self.spark.read.option("mergeSchema", "true")).parquet(path)
         except AnalysisException as e:
             if "UNABLE_TO_INFER_SCHEMA" not in str(e):
                 raise
             return self.spark.createDataFrame([], empty_schema)
+        if load_id is not None:
+            rows = rows.where(F.col(LOAD_COL) == load_id) if LOAD_COL in rows.columns else rows.limit(0)
+        return rows.drop(LOAD_COL)
 
     def append_bronze(self, df: DataFrame | None, table: str, contract: T.StructType | None = None,
-                      partition_by: tuple[str, ...] = ("country_code",), month_of: str | None = None) -> None:
+                      partition_by: tuple[str, ...] = ("country_code",), month_of: str | None = None,
+                      load_id: str | None = None) -> None:
         """SNK1 / SNK2 / SNK3: append with an additive schema; a missing frame is skipped.
 
         Known columns are cast to the contract (e.g. the renewable flag to
@@ -113,6 +117,10 @@ class Warehouse:
         re-aggregated month by month.  Rows are rebalanced on the partition
         columns first (one shuffle), which keeps the file count near one per
         partition without making a large partition a single task.
+
+        The last partition column is the load's id, a new one for each append
+        unless ``load_id`` names it (letters, digits, ``-``).  An append repeated under its id
+        overwrites exactly the partitions it wrote before.
         """
         if df is None:
             return
@@ -124,8 +132,9 @@ class Warehouse:
         # Cluster rows by the partition columns before writing, so each
         # partition gets a few files instead of one per task; AQE splits a
         # hot partition (a large country) and coalesces small ones.
-        clustered = df.hint("rebalance", *partition_by)
-        clustered.write.mode("append").partitionBy(*partition_by).parquet(self.path("bronze", table))
+        clustered = df.hint("rebalance", *partition_by).withColumn(LOAD_COL, F.lit(load_id or f"load-{uuid.uuid4().hex}"))
+        (clustered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*partition_by, LOAD_COL).parquet(self.path("bronze", table)))
 
     def table_exists(self, layer: str, name: str) -> bool:
         return self.exists(layer, name)
@@ -179,9 +188,9 @@ class Warehouse:
                 if v.startswith(VERSION) and "_SUCCESS" in self._list(f"{self.path(layer, name)}/{v}")]
 
     # -- months to refresh --------------------------------------------------
-    def mark_pending(self, pairs: DataFrame, table: str) -> None:
+    def mark_pending(self, pairs: DataFrame, table: str, load_id: str | None = None) -> None:
         """Record (country, month) pairs that are about to be appended to a bronze table."""
-        pairs.write.parquet(f"{self.root}/{PENDING}/{table}/{uuid.uuid4().hex}")
+        pairs.write.mode("overwrite").parquet(f"{self.root}/{PENDING}/{table}/{load_id or uuid.uuid4().hex}")
 
     def pending(self, table: str) -> list[str]:
         """Folders of pairs that no rebuild has taken up yet."""

@@ -63,3 +63,62 @@ def test_stream_keeps_columns_that_differ_per_country(spark, scratch):
     bronze_stream.stream_to_bronze(spark, root, bronze_stream.landed_schema(spark, root), out, ckpt)
     rows = bronze_stream.read_stream_output(spark, out).collect()
     assert len(rows) == 3 and {r.plant_d for r in rows} == {None, 2.0}
+
+
+def _warehouse_rows(wh):
+    from gridmix.functions import taxonomy as tx
+
+    return wh.read_bronze(tx.BRONZE_TABLES["A75"])
+
+
+def test_stream_and_batch_loads_share_a_bronze_table(spark, scratch):
+    from gridmix.functions import taxonomy as tx
+    from gridmix.operators.ingest import IngestWindow
+    from gridmix.plans import layers
+    from gridmix.sources.warehouse import Warehouse
+
+    wh = Warehouse(spark, f"{scratch}/wh")
+    landing.land_extract(_landed(spark, 1), f"{scratch}/batch")
+    layers.ingest_extracts(spark, wh, f"{scratch}/batch", ["FR", "BE"], ["A75"], IngestWindow(start="2025-06-01", end="2025-08-01"), "2026-01-01 00:00:00")
+    layers.build_daily(spark, wh)
+    landing.land_extract(_landed(spark, 2), f"{scratch}/stream")
+    run = lambda stamp: bronze_stream.stream_to_warehouse(wh, f"{scratch}/stream", "A75", f"{scratch}/ckpt", ingestion_ts=stamp)
+    run("2026-01-02 00:00:00")
+    assert _warehouse_rows(wh).count() == 12
+    assert len(wh.pending(tx.BRONZE_TABLES["A75"])) == 1
+    bronze_stream.forget_last_commit(spark, f"{scratch}/ckpt")  # died after the append: the batch runs again
+    run("2026-01-03 00:00:00")
+    rows = _warehouse_rows(wh)
+    assert rows.count() == 12 and rows.where("ingestion_timestamp = '2026-01-02 00:00:00'").count() == 0
+    run("2026-01-04 00:00:00")  # no new file
+    assert _warehouse_rows(wh).count() == 12
+    daily = layers.build_daily(spark, wh, incremental=True).select("country_code", "generation_date", "hourly_records_count").collect()
+    assert sorted((r.country_code, r.generation_date.day, r.hourly_records_count) for r in daily) == [
+        ("BE", 1, 3), ("BE", 2, 3), ("FR", 1, 3), ("FR", 2, 3)]
+
+
+def test_the_file_sink_refuses_a_folder_of_batch_loads(spark, scratch):
+    import pytest
+
+    from gridmix.sources.warehouse import Warehouse
+
+    wh = Warehouse(spark, f"{scratch}/wh")
+    wh.append_bronze(_landed(spark, 1), "t")
+    landing.land_extract(_landed(spark, 2), f"{scratch}/landing")
+    with pytest.raises(ValueError, match="stream_to_warehouse"):
+        bronze_stream.stream_to_bronze(spark, f"{scratch}/landing", bronze_stream.landed_schema(spark, f"{scratch}/landing"),
+                                       wh.path("bronze", "t"), f"{scratch}/ckpt")
+    assert wh.read_bronze("t").count() == 6
+
+
+def test_an_append_repeated_under_its_id_replaces_its_own_rows(spark, scratch):
+    from gridmix.sources.warehouse import Warehouse
+
+    wh = Warehouse(spark, f"{scratch}/wh")
+    rows = spark.createDataFrame([("FR", 1), ("BE", 2)], "country_code string, x int")
+    wh.append_bronze(rows, "t")
+    wh.append_bronze(rows, "t")
+    for _ in range(2):
+        wh.append_bronze(rows.where("x = 1"), "t", load_id="stream-a-0")
+    assert wh.read_bronze("t").count() == 5 and "load_id" not in wh.read_bronze("t").columns
+    assert [tuple(r) for r in wh.read_bronze("t", load_id="stream-a-0").select("country_code", "x").collect()] == [("FR", 1)]
