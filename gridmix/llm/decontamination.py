@@ -2,7 +2,8 @@
 
 An item's set is its distinct five-word shingles, hashed to 64 bits (the whole
 sequence of words as one shingle if there are fewer).  A document holds an item when
-it has at least 80% of the item's shingles, however long the document is.
+it has at least 80% of the item's shingles, however long the document is.  For items of fewer than five words the
+documents' runs of as many words are looked up too (of the lengths that occur among the items).
 
 *Search.*  Items are partitioned by set size (powers of two).  Each
 partition's sketch is a bottom-k MinHash: the k smallest hashes of the set, where k
@@ -46,18 +47,32 @@ def shingle_hashes(words: str, width: int = WIDTH) -> Column:
     return F.when(n >= width, windows).when(n > 0, F.array(F.xxhash64(F.lit("short"), F.array_join(w, " "))))
 
 
-def _shingled(rows: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """``id, h, s`` of each row.
+def _short_runs(words: str, lengths: list[int]) -> list[Column]:
+    """Hashes of all runs of so few words, as an item of that length has."""
+    w, n = F.col(words), F.size(words)
+
+    def runs(k: int) -> Column:
+        return F.transform(F.sequence(F.lit(0), n - k), lambda i: F.xxhash64(F.lit("short"), F.array_join(F.slice(w, i + 1, k), " ")))
+
+    return [F.when(n >= k, runs(k)) for k in lengths]
+
+
+def _shingled(rows: DataFrame, id_col: str, text_col: str, width: int, lengths: list[int] | None = None) -> DataFrame:
+    """``id, h, s`` of each row; with ``lengths``, the runs of so many words too.
 
     No filter may stand on ``s`` (``explode`` infers one, ``explode_outer`` does not): the
     optimizer would push it below and cut the text into words once per shingle.
     """
     return (
         rows.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"), word_list(text_col).alias("w"))
-        .select("id", "h", F.array_distinct(shingle_hashes("w", width)).alias("s"))
+        .select("id", "h", F.array_distinct(_joined([shingle_hashes("w", width), *_short_runs("w", lengths or [])])).alias("s"))
     )
 
 
+def _joined(lists: list[Column]) -> Column:
+    return lists[0] if len(lists) == 1 else F.concat(*[F.coalesce(x, F.array().cast("array<bigint>")) for x in lists])
+
+
 def sketches(items: DataFrame, threshold: float) -> DataFrame:
     """The sketch of each item (``item, s, n``), by size partition: ``item, hash``."""
     largest = F.pow(F.lit(2.0), F.floor(F.log2("n")) + 1) - 1
@@ -73,10 +88,12 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
     """
     sets = freeze(_shingled(items, item_col, item_text_col, width).select(
         F.struct("id", "h").alias("item"), "s", F.size("s").alias("n")).dropDuplicates(["item"])).filter("n > 0")
+    few = F.size(word_list(item_text_col))
+    lengths = sorted(r[0] for r in items.select(few.alias("n")).filter((F.col("n") > 0) & (F.col("n") < width)).distinct().collect())  # below ``width``
     sketch = checked_broadcast(sketches(sets, threshold), SMALL)
     documents = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     found = freeze(
-        _shingled(documents, "id", "text", width).select("id", "h", F.explode_outer("s").alias("hash"))
+        _shingled(documents, "id", "text", width, lengths).select("id", "h", F.explode_outer("s").alias("hash"))
         .join(sketch, "hash").select("id", "h", "item").distinct()
     )
     again = checked_broadcast(found.select(F.col("id").alias("_id"), F.col("h").alias("_h")).distinct(), SMALL)
@@ -84,7 +101,7 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
     held = documents.join(again, F.col("id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_h")), "left_semi")
     full = checked_broadcast(sets.select("item", F.explode("s").alias("hash"), "n"), SMALL)
     counted = (
-        _shingled(held, "id", "text", width).dropDuplicates(["id", "h"]).select("id", "h", F.explode_outer("s").alias("hash"))
+        _shingled(held, "id", "text", width, lengths).dropDuplicates(["id", "h"]).select("id", "h", F.explode_outer("s").alias("hash"))
         .join(full, "hash").groupBy("id", "h", "item", "n").agg(F.count(F.lit(1)).alias("n_shared"))
         .filter(F.col("n_shared") >= F.col("n") * threshold - 1e-9)
     )

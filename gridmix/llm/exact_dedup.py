@@ -98,6 +98,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` with one row of each group of equal texts, all columns kept."""
-    stay = exact_dedup(docs, id_col, text_col, **options).filter("kept").select(F.col(id_col).alias("_id")).distinct()
-    return docs.join(stay, docs[id_col].eqNullSafe(stay["_id"]), "left_semi").dropDuplicates([id_col])
+    """``docs`` with one row of each group of equal texts, all columns kept; rows are told apart by id and text."""
+    stay = exact_dedup(docs, id_col, text_col, **options).filter("kept").select(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha")).distinct()
+    normal = F.sha2(F.regexp_replace(text_or_empty(text_col), SPACE, ""), 256)
+    marked = docs.withColumn("_digest", normal)
+    return (
+        marked.join(stay, marked[id_col].eqNullSafe(stay["_id"]) & (F.col("_digest") == F.col("_sha")), "left_semi")
+        .dropDuplicates(["_digest"]).drop("_digest")
+    )

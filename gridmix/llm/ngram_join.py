@@ -23,8 +23,8 @@ without losing a link between different sets.
    spanning forest of the links it finds, and distributed union-find joins them.
 
 Defined cases: NULL and wordless texts have an empty set and link with nothing;
-a NULL id links with nothing; rows that repeat an id are separate rows of one
-document; other columns are not read; an empty table gives no rows.
+a NULL id links with nothing; rows that repeat an id are rows of one
+document, each with the component of its own text; other columns are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -120,7 +120,7 @@ def _full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = [shingles(t.as_py(), powers) for t in batch["text"]]
         same = pa.array([_digest(s) == d.as_py() for s, d in zip(sets, batch["digest"], strict=True)], pa.bool_())
         yield pa.RecordBatch.from_arrays(
-            [batch[c] for c in ("rep", "grp", "blocks")] + [_lists(sets)], names=["rep", "grp", "blocks", "set"]).filter(same)
+            [batch[c] for c in ("key", "grp", "blocks")] + [_lists(sets)], names=["key", "grp", "blocks", "set"]).filter(same)
 
 
 class _Forest:
@@ -208,23 +208,23 @@ def join_sets(sets: list[np.ndarray], sides: list[int]) -> list[tuple[int, int]]
 
 
 def _tree_join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Joins each run of equal ``(grp, one, two)`` in a task's sorted rows."""
-    key, members = None, {}
+    """Joins each run of equal ``(grp, one, two)`` in a task's sorted rows; sets are told apart by ``key``."""
+    run, members = None, {}
 
     def links():
-        reps = list(members)
-        pairs = join_sets([members[r][1] for r in reps], [members[r][0] for r in reps]) if len(reps) > 1 else []
-        return pa.RecordBatch.from_arrays([pa.array([reps[i] for i, _ in pairs], pa.int64()),
-                                           pa.array([reps[j] for _, j in pairs], pa.int64())], names=["a", "b"])
+        keys = list(members)
+        pairs = join_sets([members[k][1] for k in keys], [members[k][0] for k in keys]) if len(keys) > 1 else []
+        return pa.RecordBatch.from_arrays([pa.array([keys[i] for i, _ in pairs], pa.int64()),
+                                           pa.array([keys[j] for _, j in pairs], pa.int64())], names=["a", "b"])
 
     for batch in batches:
-        for grp, one, two, rep, mine, s in zip(*(batch[c] for c in ("grp", "one", "two", "rep", "mine", "set")), strict=True):
+        for grp, one, two, key, mine, s in zip(*(batch[c] for c in ("grp", "one", "two", "key", "mine", "set")), strict=True):
             this = (grp.as_py(), one.as_py(), two.as_py())
-            if this != key:
+            if this != run:
                 if members:
                     yield links()
-                key, members = this, {}
-            members.setdefault(rep.as_py(), (int(mine.as_py() != this[1]), s.values.to_numpy(zero_copy_only=False)))
+                run, members = this, {}
+            members.setdefault(key.as_py(), (int(mine.as_py() != this[1]), s.values.to_numpy(zero_copy_only=False)))
     if members:
         yield links()
 
@@ -251,19 +251,21 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     members = classes.join(groups.select(F.col("node").alias("key"), F.col("component").alias("grp")), "key")
     blocks = members.groupBy("grp").agg(F.ceil(F.greatest(
         F.sum("n") / F.lit(float(block_shingles)), F.count(F.lit(1)) / F.lit(float(block_sets)))).cast("int").alias("blocks"))
-    placed = freeze(members.join(blocks, "grp").select("rep", "digest", "grp", "blocks"))
-    full = rows.join(checked_broadcast(placed, 1_000_000), rows["id"] == placed["rep"]).select("rep", "digest", "grp", "blocks", "text")
-    mine = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    placed = freeze(members.join(blocks, "grp").select("rep", "key", "digest", "grp", "blocks"))
+    full = rows.join(checked_broadcast(placed, 1_000_000), rows["id"] == placed["rep"]).select("key", "digest", "grp", "blocks", "text")
+    mine = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
     dealt = (
-        full.mapInArrow(_full, "rep long, grp long, blocks int, set array<long>")
+        full.mapInArrow(_full, "key long, grp long, blocks int, set array<long>")
         .withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("grp", F.least("mine", "other").alias("one"), F.greatest("mine", "other").alias("two"), "rep", "mine", "set")
+        .select("grp", F.least("mine", "other").alias("one"), F.greatest("mine", "other").alias("two"), "key", "mine", "set")
     )
     links = dealt.repartition("grp", "one", "two").sortWithinPartitions("grp", "one", "two").mapInArrow(_tree_join, "a long, b long")
-    components = connected_components(links, "a", "b")
+    components = freeze(connected_components(links, "a", "b").withColumnRenamed("node", "key"))
 
-    reps = classes.select("digest", "rep").join(components.select(F.col("node").alias("rep"), "component"), "rep", "left").select(
-        "digest", F.coalesce("component", "rep").alias("component"))
+    linked_classes = classes.select("key", "rep").join(components, "key")
+    lowest = linked_classes.groupBy("component").agg(F.min("rep").alias("low"))
+    reps = classes.select("digest", "key", "rep").join(components.join(lowest, "component"), "key", "left").select(
+        "digest", F.coalesce("low", "rep").alias("component"))
     linked = sketch.select("id", "n", "digest").join(reps, "digest", "left")
     return linked.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
                          F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.col("component")).otherwise(F.col("id")).alias("component_id"))

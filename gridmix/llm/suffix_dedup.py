@@ -23,8 +23,7 @@ smallest id (``first_id``), or earlier in the same document; the others are that
 
 Defined cases: NULL texts, texts of fewer than ``min_words`` words and rows
 with a NULL id have no span; rows that repeat an id and a text are one
-document; ids identify texts (of texts that share an id only the last one by
-code point is extended); very long texts are read whole; other
+document, different texts under one id are documents of their own; very long texts are read whole; other
 columns are not read; an empty table gives no rows.
 """
 
@@ -76,8 +75,8 @@ def _sample(min_words: int, window: int) -> Callable:
                 runs = t.runs(min_words - window + 1)
                 keys.append(runs[selected(runs, window)].view(np.int64))
                 words.append(len(t.words))
-            yield pa.RecordBatch.from_arrays([batch[c] for c in ("id", "h1", "h2")] + [pa.array(words, pa.int64()), _lists(keys)],
-                                             names=["id", "h1", "h2", "n_words", "keys"])
+            yield pa.RecordBatch.from_arrays([batch[c] for c in ("id", "doc", "h1", "h2")] + [pa.array(words, pa.int64()), _lists(keys)],
+                                             names=["id", "doc", "h1", "h2", "n_words", "keys"])
 
     return run
 
@@ -102,7 +101,7 @@ def _passages(min_words: int, window: int) -> Callable:
                 later = np.ones(len(near), np.int64)
                 later[np.unique(passages[-1], return_index=True)[1]] = 0
                 again.append(later)
-            yield pa.RecordBatch.from_arrays([batch["id"], _lists(starts), _lists(passages), _lists(again)], names=["id", "start", "passage", "again"])
+            yield pa.RecordBatch.from_arrays([batch["id"], batch["doc"], _lists(starts), _lists(passages), _lists(again)], names=["id", "doc", "start", "passage", "again"])
 
     return run
 
@@ -140,41 +139,45 @@ def _spans(min_words: int) -> Callable:
 
 
 def _texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``id, text`` of the wanted ids, one row each."""
-    return rows.join(checked_broadcast(wanted.select("id"), SMALL), "id", "left_semi").groupBy("id").agg(F.max("text").alias("text"))
+    """``id, doc, text`` of the wanted documents, one row each."""
+    return rows.join(checked_broadcast(wanted.select("doc"), SMALL), "doc", "left_semi").groupBy("doc").agg(F.any_value("id").alias("id"), F.any_value("text").alias("text"))
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
                       min_words: int = MIN_WORDS, window: int = WINDOW) -> DataFrame:
     """One row per span: ``id_col, start, end`` (code points), ``n_words, removable, first_id``."""
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).filter("id is not null")
-    hashed = rows.select("id", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit("second"), "text").alias("h2"), "text")
-    samples = store(hashed.mapInArrow(_sample(min_words, window), "id long, h1 long, h2 long, n_words long, keys array<long>")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).filter("id is not null").withColumn(
+        "doc", F.xxhash64("id", "text"))
+    hashed = rows.select("id", "doc", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit("second"), "text").alias("h2"), "text")
+    samples = store(hashed.mapInArrow(_sample(min_words, window), "id long, doc long, h1 long, h2 long, n_words long, keys array<long>")
                     .filter(F.col("n_words") >= min_words))
-    classes = store(samples.groupBy("h1", "h2").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies")))
-    searched = samples.join(checked_broadcast(classes.select(F.col("first_id").alias("id")).distinct(), SMALL), "id", "left_semi")
+    first = F.min(F.struct("id", "doc"))
+    classes = store(samples.groupBy("h1", "h2").agg(first.alias("f"), F.count(F.lit(1)).alias("copies")).select(
+        "h1", "h2", F.col("f.id").alias("first_id"), F.col("f.doc").alias("first_doc"), "copies"))
+    searched = samples.join(checked_broadcast(classes.select(F.col("first_doc").alias("doc")).distinct(), SMALL), "doc", "left_semi")
 
-    suffixes = searched.select("id", F.explode("keys").alias("key"))
+    suffixes = searched.select("doc", F.explode("keys").alias("key"))
     again = suffixes.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-    kept = store(suffixes.join(again, "key").groupBy("id").agg(F.collect_set("key").alias("kept")))
-
-    near = _texts(rows, kept).join(kept, "id")
-    passages = store(near.mapInArrow(_passages(min_words, window), "id long, start array<long>, passage array<long>, again array<long>"))
-    each = passages.select("id", F.explode(F.arrays_zip("start", "passage", "again")).alias("p")).select(
-        "id", F.col("p.start").cast("int").alias("start"), "p.passage", F.col("p.again").cast("byte").alias("again"))
-    repeats = each.groupBy("passage").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    removable = ((F.col("id") != F.col("first_id")) | (F.col("again") == 1)).cast("long")
-    at = each.join(repeats, "passage").groupBy("id").agg(F.collect_list(F.struct("start", removable.alias("removable"), "first_id")).alias("a")).select(
-        "id", F.col("a.start").cast("array<long>").alias("start"), F.col("a.removable").alias("removable"), F.col("a.first_id").alias("first_id"))
-
-    copied = classes.filter("copies > 1").groupBy(F.col("first_id").alias("id")).agg(F.max("copies").alias("copies"))
-    wanted = store(at.join(copied, "id", "full").withColumn("copies", F.coalesce("copies", F.lit(1).cast("long"))))
-    spans = _texts(rows, wanted).join(wanted, "id").select("id", "text", "copies", "start", "removable", "first_id").mapInArrow(
+    kept = store(suffixes.join(again, "key").groupBy("doc").agg(F.collect_set("key").alias("kept")))
+
+    near = _texts(rows, kept).join(kept, "doc")
+    passages = store(near.mapInArrow(_passages(min_words, window), "id long, doc long, start array<long>, passage array<long>, again array<long>"))
+    each = passages.select("id", "doc", F.explode(F.arrays_zip("start", "passage", "again")).alias("p")).select(
+        "id", "doc", F.col("p.start").cast("int").alias("start"), "p.passage", F.col("p.again").cast("byte").alias("again"))
+    repeats = each.groupBy("passage").agg(F.min(F.struct("id", "doc")).alias("f"), F.count(F.lit(1)).alias("n")).filter("n > 1").select(
+        "passage", F.col("f.id").alias("first_id"), F.col("f.doc").alias("first_doc"))
+    removable = ((F.col("doc") != F.col("first_doc")) | (F.col("again") == 1)).cast("long")
+    at = each.join(repeats, "passage").groupBy("doc").agg(F.collect_list(F.struct("start", removable.alias("removable"), "first_id")).alias("a")).select(
+        "doc", F.col("a.start").cast("array<long>").alias("start"), F.col("a.removable").alias("removable"), F.col("a.first_id").alias("first_id"))
+
+    copied = classes.filter("copies > 1").groupBy(F.col("first_doc").alias("doc")).agg(F.max("copies").alias("copies"))
+    wanted = store(at.join(copied, "doc", "full").withColumn("copies", F.coalesce("copies", F.lit(1).cast("long"))))
+    spans = _texts(rows, wanted).join(wanted, "doc").select("id", "text", "copies", "start", "removable", "first_id").mapInArrow(
         _spans(min_words), "id long, start long, end long, n_words long, removable boolean, first_id long")
 
-    others = samples.join(classes.filter("copies > 1"), ["h1", "h2"]).filter("id <> first_id").select("id", "first_id", "n_words").distinct()
+    others = samples.join(classes.filter("copies > 1"), ["h1", "h2"]).filter("doc <> first_doc").select("doc", "first_id", "n_words").distinct()
     begin = F.length(F.regexp_extract("text", r"^[\x20\x09-\x0D]*", 0)).cast("long")
     last = F.length(F.rtrim("text", F.lit(" \t\n\x0b\f\r"))).cast("long")
-    whole = rows.join(checked_broadcast(others, SMALL), "id").dropDuplicates(["id", "text"]).select(
+    whole = rows.join(checked_broadcast(others, SMALL), "doc").dropDuplicates(["doc"]).select(
         "id", begin.alias("start"), last.alias("end"), "n_words", F.lit(True).alias("removable"), "first_id")
     return spans.unionByName(whole).withColumnRenamed("id", id_col)

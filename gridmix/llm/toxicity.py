@@ -116,10 +116,39 @@ def induce(labelled: DataFrame, max_voters: int = MAX_VOTERS) -> tuple[list[byte
     return lexicon, {t: some.get(t, (0, 0))[:2] for t in lexicon}, (positive, negative)
 
 
-def votes_of(text: str, words: list[bytes], index: dict[bytes, int]) -> list[int]:
+class Lexicon:
+    """The terms' voter numbers, looked up by word and by beginning."""
+
+    def __init__(self, terms: list[bytes]) -> None:
+        self.size, self.words, self.begin = len(terms), {}, {}
+        for k, t in enumerate(terms):
+            bare = t.rstrip(b"-%")
+            if bare == t:
+                self.words[t] = k
+            else:  # (beginning, dense beginning)
+                self.begin.setdefault(bare, [-1, -1])[t.endswith(b"%")] = k
+        self.lengths = sorted({len(b) for b in self.begin})
+
+
+def votes_of(text: str, words: list[bytes], counts: Counter, lexicon: Lexicon) -> list[int]:
     """The numbers of the voters that fire; pattern voters come after the lexicon."""
-    fired = sorted({index[t] for t in _terms(words) & index.keys()})
-    first, silent = len(index), not fired
+    lexical, dense, n = set(), Counter(), 0
+    for w, c in counts.items():
+        voter, hit = lexicon.words.get(w), False
+        if voter is not None:
+            lexical.add(voter)
+            hit = True
+        for size in lexicon.lengths:
+            if len(w) > size and (found := lexicon.begin.get(w[:size])) is not None:
+                hit = True
+                if found[0] >= 0:
+                    lexical.add(found[0])
+                if found[1] >= 0:
+                    dense[found[1]] += c
+        n += c * hit
+    lexical.update(v for v, c in dense.items() if c > 1 and 100 * c >= len(words))
+    fired, first = sorted(lexical), lexicon.size
+    silent = not fired
     raw = text.encode("utf-8", "replace")
     if 2 * (len(raw) - len(raw.translate(None, CAPITALS))) > sum(map(len, words)):
         fired.append(first)
@@ -127,28 +156,29 @@ def votes_of(text: str, words: list[bytes], index: dict[bytes, int]) -> list[int
         fired.append(first + 1)
     if "*" in text and MASKED.search(raw.lower()):
         fired.append(first + 2)
-    if any(a in (b"you", b"your") and b in index for a, b in zip(words, words[1:], strict=False)):
-        fired.append(first + 3)
     if not silent:
-        hits = {w for w in set(words) if w in index or any(w[:n] + b"-" in index or w[:n] + b"-%" in index for n in BEGINNINGS if len(w) > n)}
-        n = sum(w in hits for w in words)
+        if any(a in (b"you", b"your") and b in lexicon.words for a, b in zip(words, words[1:], strict=False)):
+            fired.append(first + 3)
         fired += [first + 4] * (n >= 3) + [first + 5] * (100 * n >= len(words))
     return fired + [first + 6] * silent
 
 
-def features_of(words: list[bytes]) -> tuple[list[int], list[int]]:
+def features_of(counts: Counter) -> tuple[list[int], list[int]]:
     """Buckets of the words' beginnings, ascending, and how many words fall into each."""
-    counts: dict[int, int] = {}
-    for beginning, n in Counter([w[:FEATURE_BYTES] for w in words]).items():
+    begin: dict[bytes, int] = {}
+    for w, n in counts.items():
+        begin[w[:FEATURE_BYTES]] = begin.get(w[:FEATURE_BYTES], 0) + n
+    out: dict[int, int] = {}
+    for beginning, n in begin.items():
         bucket = zlib.crc32(beginning) >> 32 - FEATURE_BITS
-        counts[bucket] = counts.get(bucket, 0) + n
-    order = sorted(counts)
-    return order, [counts[b] for b in order]
+        out[bucket] = out.get(bucket, 0) + n
+    order = sorted(out)
+    return order, [out[b] for b in order]
 
 
 def vote(docs: DataFrame, id_col: str, text_col: str, lexicon: list[bytes]) -> DataFrame:
     """``id, h`` (hash of the text), ``votes``, and the text's features ``bucket, times, words`` of each row."""
-    index = {t: k for k, t in enumerate(lexicon)}
+    terms = Lexicon(lexicon)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -156,8 +186,9 @@ def vote(docs: DataFrame, id_col: str, text_col: str, lexicon: list[bytes]) -> D
                 votes, features, n = [], [], []
                 for text in batch["text"]:
                     words = _words(text.as_py() or "")
-                    votes.append(votes_of(text.as_py() or "", words, index))
-                    features.append(features_of(words))
+                    counts = Counter(words)
+                    votes.append(votes_of(text.as_py() or "", words, counts, terms))
+                    features.append(features_of(counts))
                     n.append(len(words))
                 lists = lambda values: pa.array(values, pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_arrays(
@@ -190,9 +221,10 @@ def _summed(rows: DataFrame, of: Callable[[pa.RecordBatch], np.ndarray]) -> np.n
         if total is not None:
             yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64()))], names=["sums"])
 
-    # one row a task, then one for each of a fixed number of merging tasks
-    parts = rows.mapInArrow(run, "sums array<double>").repartition(MERGING_TASKS).mapInArrow(merge, "sums array<double>").collect()
-    return np.sum([np.array(r["sums"]) for r in parts], axis=0) if parts else np.zeros(0)
+    # one row a task, then one for each of a fixed number of merging tasks, then one
+    sums = rows.mapInArrow(run, "sums array<double>").repartition(MERGING_TASKS).mapInArrow(merge, "sums array<double>")
+    parts = sums.repartition(1).mapInArrow(merge, "sums array<double>").toArrow()["sums"]
+    return parts.combine_chunks().flatten().to_numpy().copy() if len(parts) else np.zeros(0)
 
 
 def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

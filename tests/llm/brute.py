@@ -74,6 +74,9 @@ def contained(rows, items, threshold=0.8):
     out = {}
     for i, text in rows:
         mine = word_set(text.lower() if text else text)
+        words = (text or "").lower().encode().split()
+        for n in range(1, 5):  # items of fewer than five words are one run
+            mine |= {tuple(words[i:i + n]) for i in range(len(words) - n + 1)}
         for k, s in sets.items():
             if s and len(mine & s) >= threshold * len(s) - 1e-9:
                 out[i, k] = (len(s), len(mine & s))

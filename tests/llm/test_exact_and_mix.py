@@ -31,6 +31,11 @@ def test_exact_dedup_cases(documents):
     assert sorted(str(r.doc_id) for r in exact_dedup.drop_copies(documents(rows)).collect()) == ["10", "3", "6", "7", "8"]
 
 
+def test_drop_copies_keeps_every_text_of_a_repeated_id(documents):
+    rows = [(1, "alpha"), (1, "beta"), (2, "gamma"), (3, "beta"), (1, "alpha")]
+    assert sorted((r.doc_id, r.text) for r in exact_dedup.drop_copies(documents(rows)).collect()) == [(1, "alpha"), (1, "beta"), (2, "gamma")]
+
+
 @pytest.mark.parametrize("bits", [exact_dedup.BLOCK_BITS, 1 << 20])
 def test_a_full_filter_gives_the_same_result(documents, bits):
     """Beyond its bound the filter passes more unique rows on; the result stays."""

@@ -60,6 +60,13 @@ def test_jaccard_edge_rows(documents):
     assert sorted(map(str, (r.doc_id for r in ngram_join.keep_one(documents(rows)).collect()))) == ["3", "9", "9", "None"]
 
 
+def test_jaccard_links_of_every_text_of_a_repeated_id(documents):
+    words = prose(140)
+    chain = [" ".join(words[k:k + 100]) for k in (0, 8, 16, 24)]  # each links to the next only
+    got = ngram_join.jaccard_components(documents(list(zip((1, 2, 1, 3), chain, strict=True)))).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(1, 1), (1, 1), (2, 1), (3, 1)]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.sets(st.integers(0, 14), min_size=1), min_size=2, max_size=14), st.booleans())
 def test_prefix_tree_finds_the_components(sets, two):
@@ -171,6 +178,21 @@ def test_repeated_passages(documents, seed, min_words, window):
     assert gone == {i: removable[i] for i, _ in rows}
 
 
+def test_items_of_few_words_inside_long_texts(documents, spark):
+    rows = [(1, "so the CAPITAL of France Paris is"), (2, "capital of france"), (3, "of"), (4, " ".join(prose(3000) + ["of", "france"])), (5, None)]
+    items = spark.createDataFrame([(1, "capital of france paris"), (2, "of France"), (3, "of")], "item_id long, text string")
+    got = decontamination.contained_items(documents(rows), items).collect()
+    assert sorted((r.doc_id, r.item_id, r.n_item, r.n_shared) for r in got) == [
+        (1, 1, 1, 1), (1, 2, 1, 1), (1, 3, 1, 1), (2, 2, 1, 1), (2, 3, 1, 1), (3, 3, 1, 1), (4, 2, 1, 1), (4, 3, 1, 1)]
+
+
+def test_repeated_passages_of_every_text_of_a_repeated_id(documents):
+    base, q, other, z = (" ".join(prose(n)) for n in (60, 9, 60, 7))
+    rows = [(1, base), (1, other), (2, f"{q} {base} {z}"), (3, f"{q} {other} {z}")]
+    spans = {(r.doc_id, r.n_words, r.removable) for r in suffix_dedup.repeated_passages(documents(rows)).collect()}
+    assert {(2, 60, True), (3, 60, True)} <= spans and {s for s in spans if s[0] == 1} == {(1, 60, False)}
+
+
 def test_repeated_passages_edge_rows(documents):
     text = " ".join(prose(60))
     rows = [(1, text), (1, text), (None, text), (2, None), (3, " " + text + " "), (4, "")]
