@@ -9,6 +9,8 @@ one document each; a response too large for one row is read by element with
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,6 +86,48 @@ def classify_responses(responses: DataFrame) -> DataFrame:
 SERIES_SCHEMA: T.StructType = MARKET_DOCUMENT_SCHEMA["TimeSeries"].dataType.elementType
 
 
+# Documents whose series, periods or points hang below elements of other names: the tags that rows are read from ...
+_KNOWN = "|".join(re.escape(t) for t in (
+    "TimeSeries", "registeredResource.mRID", "registeredResource.name", "MktPSRType", "psrType", "location", "latitude", "longitude",
+    "Period", "timeInterval.start", "timeInterval.end", "Point", "quantity"))
+_ATTRIBUTES = r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*"
+# ... stay, without prefix and attributes; comments, declarations and all other tags go, their content stays.
+OTHER_TAGS = rf"(?s)<!--.*?-->|<\?.*?\?>|<!DOCTYPE[^>]*>|</?(?!(?:[\w.-]+:)?(?:{_KNOWN})[\s/>])[A-Za-z_]{_ATTRIBUTES}>"
+KNOWN_TAGS = rf"(?s)<(/?)(?:[\w.-]+:)?({_KNOWN})(?:\s{_ATTRIBUTES}?)?(/?)>"
+QUANTITY = r"<(?:[\w.-]+:)?quantity[\s>]"
+
+
+def unwrapped(body: Column) -> Column:
+    """The document with every series directly below the root, every period below its series, and so on."""
+    inner = F.regexp_replace(F.regexp_replace(body, OTHER_TAGS, ""), KNOWN_TAGS, "<$1$2$3>")
+    return F.concat(F.lit("<document>"), inner, F.lit("</document>"))
+
+
+def _quantities(series: Column) -> Column:
+    """How many points with a quantity an array of series has (array built-ins, no lambdas but one)."""
+    periods = F.flatten(F.array_compact(series["Period"]))
+    points = F.flatten(F.array_compact(periods["Point"]))["quantity"]
+    return F.coalesce(F.size(F.filter(points, lambda q: F.get(q, F.lit(0)).isNotNull())), F.lit(0))
+
+
+def with_series(responses: DataFrame) -> DataFrame:
+    """SRC7: ``responses`` with ``response_class``, the parsed array ``series`` and ``n_rows``, its points with a quantity.
+
+    Each data document is parsed once, by direct children.  A well-formed one that holds more quantities than
+    that finds is parsed again with its wrappers taken away, so that series, periods and points are found at any depth.
+    A malformed document, an acknowledgement or an error page has no series.
+    """
+    doc = F.from_xml(F.when(F.col("response_class") == "data", F.col("body")), MARKET_DOCUMENT_SCHEMA, XML_OPTIONS)
+    parsed = classify_responses(responses).withColumn("_doc", doc).withColumn("_found", _quantities(F.col("_doc")["TimeSeries"]))
+    deeper = F.col("_doc").isNotNull() & F.col("_doc")["_corrupt_record"].isNull() & (F.regexp_count("body", F.lit(QUANTITY)) > F.col("_found"))
+    again = F.from_xml(F.when(deeper, unwrapped(F.col("body"))), MARKET_DOCUMENT_SCHEMA, XML_OPTIONS)
+    both = parsed.withColumn("_again", again)
+    nested = F.col("_again")["TimeSeries"]
+    series = F.when(_quantities(nested) > F.col("_found"), nested).otherwise(F.col("_doc")["TimeSeries"])
+    return (both.withColumn("series", series).withColumn("n_rows", F.greatest(F.col("_found"), _quantities(nested)).cast("long"))
+            .drop("_doc", "_found", "_again"))
+
+
 def parse_documents(responses: DataFrame, key_cols: list[str] | None = None) -> DataFrame:
     """SRC7: one row per TimeSeries x Period x Point that has a quantity.
 
@@ -97,6 +141,12 @@ def parse_documents(responses: DataFrame, key_cols: list[str] | None = None) ->
     return series_rows(responses.select(*keys, F.explode(doc["TimeSeries"]).alias("ts")), keys)
 
 
+def parse_nested(responses: DataFrame, key_cols: list[str] | None = None) -> DataFrame:
+    """SRC7 with descendant search: as ``parse_documents``, for documents whose series, periods or points may be wrapped."""
+    keys = key_cols or ["country_code"]
+    return series_rows(with_series(responses).select(*keys, F.explode("series").alias("ts")), keys)
+
+
 def series_rows(series: DataFrame, key_cols: list[str] | None = None) -> DataFrame:
     """Rows of parsed TimeSeries structs (column ``ts``): explode Period, then Point.
 

@@ -9,16 +9,19 @@ checkpoint folder before anything is appended.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from gridmix.contracts import BRONZE_A68, BRONZE_A71, BRONZE_A75
 from gridmix.functions import taxonomy as tx
 from gridmix.operators import ingest, marts, per_unit, quality, staging
-from gridmix.operators.joins import anti_join, freeze, in_partitions, spread
+from gridmix.operators.joins import anti_join, freeze, in_partitions, semi_join, spread
 from gridmix.session import configure, described, shared_dir
 from gridmix.sources import landing
 from gridmix.sources.warehouse import MONTH_COL, Warehouse, month_key
@@ -40,6 +43,7 @@ class IngestResult:
     outcomes: DataFrame
     summary: DataFrame
     unreadable: dict[tuple[str, str], str] = field(default_factory=dict)  # (document, country): why it was left out
+    broken_files: dict[str, str] = field(default_factory=dict)  # landed file: why it was left out
 
 
 def ingest_extracts(spark: SparkSession, wh: Warehouse, landing_root: str, countries: list[str],
@@ -69,21 +73,23 @@ def ingest_extracts(spark: SparkSession, wh: Warehouse, landing_root: str, count
 
     bounds = plan.where("action = 'fetch'").agg(F.min("request_start_utc").alias("lo"), F.max("request_end_utc").alias("hi")).first()
     unreadable: dict[tuple[str, str], str] = {}
+    broken: dict[str, str] = {}
     for doc, table in tables.items():
         if doc not in tx.DOCUMENT_EXTRACTS:
             continue  # SRC5: unsupported type, reported as failed by the outcomes
-        landed, failed = landing.read_extracts_by_country(spark, landing_root, doc)
-        unreadable.update({(doc, c): why for c, why in failed.items()})
-        if landed is None:
-            continue  # SNK3: nothing landed for this type; its keys are reported as failed
-        if bounds.lo is not None and dict(landed.dtypes).get("index", "").startswith("timestamp"):
-            # literal bounds of the plan, so that files outside the window are skipped by their statistics
-            landed = landed.where((F.col("index") >= F.lit(bounds.lo)) & (F.col("index") < F.lit(bounds.hi)))
         with described(spark, f"gridmix: load {doc}"):
-            batch = ingest.load_batch(landed, plan, stamp)
             if doc == "A75":
                 wh.mark_pending(touched_from_plan(plan, doc), table)
-            wh.append_bronze(batch, table, CONTRACTS.get(doc), month_of=TIME_SERIES.get(doc))
+            try:
+                failed = _load_extracts(spark, wh, landing_root, doc, table, plan, bounds, stamp)
+            except (PySparkException, Py4JJavaError):
+                # ING6: a page that cannot be read costs its file, not the load; nothing of the failed write is visible
+                bad = landing.broken_files(spark, landing_root, doc)
+                if not bad:
+                    raise
+                broken.update(bad)
+                failed = _load_extracts(spark, wh, landing_root, doc, table, plan, bounds, stamp, set(bad))
+        unreadable.update({(doc, c): why for c, why in failed.items()})
 
     loaded = []
     for doc, table in tables.items():
@@ -94,24 +100,86 @@ def ingest_extracts(spark: SparkSession, wh: Warehouse, landing_root: str, count
     if not loaded:
         loaded = [spark.createDataFrame([], "country_code string, document_type string")]
     outcomes = ingest.load_outcomes(plan, loaded)
-    return IngestResult(plan, outcomes, ingest.summary(outcomes), unreadable)
+    return IngestResult(plan, outcomes, ingest.summary(outcomes), unreadable, broken)
+
+
+def _load_extracts(spark: SparkSession, wh: Warehouse, landing_root: str, doc: str, table: str, plan: DataFrame, bounds: Row, stamp: str,
+                   leave_out: set[str] | None = None) -> dict[str, str]:
+    """Append one type's landed rows inside the plan's windows; returns the countries that could not be read."""
+    landed, failed = landing.read_extracts_by_country(spark, landing_root, doc, leave_out)
+    if landed is None:
+        return failed  # SNK3: nothing landed for this type; its keys are reported as failed
+    if bounds.lo is not None and dict(landed.dtypes).get("index", "").startswith("timestamp"):
+        # literal bounds of the plan, so that files outside the window are skipped by their statistics
+        landed = landed.where((F.col("index") >= F.lit(bounds.lo)) & (F.col("index") < F.lit(bounds.hi)))
+    wh.append_bronze(ingest.load_batch(landed, plan, stamp), table, CONTRACTS.get(doc), month_of=TIME_SERIES.get(doc))
+    return failed
+
+
+@dataclass
+class PerUnitResult:
+    outcomes: DataFrame  # country_code, status, n_responses, n_rows
+    summary: DataFrame  # status, n_countries, n_responses, n_rows
+    load_id: str
+
+
+def load_per_unit(spark: SparkSession, wh: Warehouse, responses_root: str, countries: list[str], *, start: str | None = None, end: str | None = None,
+                  manifest: DataFrame | None = None, now: str | None = None, one_per_line: bool = False) -> PerUnitResult:
+    """ING3 + FLT7 + SRC4 + SNK2 + ING5-ING7 in one pass: request plan, landed responses, parse, append, outcomes.
+
+    Countries without a domain code are ``skipped`` and their responses not read.  The requested ones'
+    responses are classified and parsed once; the parsed documents are written to
+    a folder of the run, from which the rows are appended under the run's load id and the outcomes
+    counted, so a lost executor neither parses again nor counts twice.  A requested country is ``success``
+    with rows, ``failed`` with responses but no rows, and ``missing`` without a response.
+    """
+    configure(spark)
+    shared_dir(spark)
+    stamp = run_stamp(now)
+    load = f"a71-{uuid.uuid4().hex}"
+    plan = freeze(per_unit.request_plan(spark.createDataFrame([(c,) for c in countries], "country_code string"), start, end, stamp))
+    requested = plan.where("status = 'requested'").select("country_code")
+    responses = semi_join(landing.read_responses(spark, responses_root, manifest, one_per_line), requested, "country_code")
+    staged = f"{wh.root}/_staged/{load}"
+    with described(spark, "gridmix: parse A71"):
+        per_unit.with_series(spread(responses)).select("country_code", "file_name", "response_class", "n_rows", "series").write.parquet(staged)
+    parsed = spark.read.parquet(staged)
+    with described(spark, "gridmix: load A71"):
+        rows = per_unit.enrich(per_unit.series_rows(parsed.where("n_rows > 0").select("country_code", F.explode("series").alias("ts"))), stamp)
+        wh.append_bronze(rows, tx.A71_TABLE, BRONZE_A71, load_id=load)
+    counts = parsed.groupBy("country_code").agg(F.count(F.lit(1)).alias("n_responses"), F.sum("n_rows").alias("n_rows"))
+    rows_of = F.coalesce("n_rows", F.lit(0).cast("long"))
+    status = (F.when(F.col("status") == "skipped", "skipped").when(rows_of > 0, "success")
+              .when(F.col("n_responses").isNull(), "missing").otherwise("failed"))
+    outcomes = freeze(plan.join(counts, "country_code", "left").select(
+        "country_code", status.alias("status"), F.coalesce("n_responses", F.lit(0).cast("long")).alias("n_responses"), rows_of.alias("n_rows")))
+    summary = outcomes.groupBy("status").agg(F.count(F.lit(1)).alias("n_countries"), F.sum("n_responses").alias("n_responses"), F.sum("n_rows").alias("n_rows"))
+    wh.drop_staged(load)
+    return PerUnitResult(outcomes, summary, load)
 
 
 def ingest_per_unit(spark: SparkSession, wh: Warehouse, responses_root: str, manifest: DataFrame | None = None,
                     now: str | None = None) -> DataFrame:
-    """ING5 + SNK2: classify, parse, enrich and append landed per-unit responses.
+    """ING5 + SNK2 for whatever responses have landed, without a request plan: parse once, append, summary per outcome.
 
     As in the source project the documents are appended on every run (no
-    high-water mark is applied).  Returns the per-outcome summary.
+    high-water mark is applied).
     """
     configure(spark)
-    responses = spread(landing.read_responses(spark, responses_root, manifest))
-    rows = per_unit.ingest_responses(responses, run_stamp(now))
+    shared_dir(spark)
+    load = f"a71-{uuid.uuid4().hex}"
+    staged = f"{wh.root}/_staged/{load}"
+    with described(spark, "gridmix: parse A71"):
+        responses = spread(landing.read_responses(spark, responses_root, manifest))
+        per_unit.with_series(responses).select("country_code", "n_rows", "series").write.parquet(staged)
+    parsed = spark.read.parquet(staged)
+    rows = per_unit.series_rows(parsed.where("n_rows > 0").select("country_code", F.explode("series").alias("ts")))
     with described(spark, "gridmix: load A71"):
-        wh.append_bronze(rows, tx.A71_TABLE, BRONZE_A71)
-    outcomes = per_unit.response_outcomes(responses)
-    return outcomes.groupBy("status").agg(F.count(F.lit(1)).alias("n_responses"),
-                                          F.sum("rows").cast("long").alias("n_rows"))
+        wh.append_bronze(per_unit.enrich(rows, run_stamp(now)), tx.A71_TABLE, BRONZE_A71, load_id=load)
+    status = F.when(F.col("n_rows") > 0, F.lit("success")).otherwise(F.lit("failed"))
+    summary = freeze(parsed.groupBy(status.alias("status")).agg(F.count(F.lit(1)).alias("n_responses"), F.sum("n_rows").alias("n_rows")))
+    wh.drop_staged(load)
+    return summary
 
 
 def touched_from_plan(plan: DataFrame, document_type: str = "A75") -> DataFrame:

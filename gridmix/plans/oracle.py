@@ -250,6 +250,34 @@ ORACLE.update({
         f"CAST(sum(CASE WHEN {A71_FAILED} THEN 0 ELSE 1 END) AS BIGINT) AS n_rows FROM lineitem GROUP BY 1"),
 })
 
+_UNIT_COLUMNS = f"""{cyc('l_suppkey', COUNTRIES_9)} AS country_code,
+    concat('U', CAST(l_suppkey AS VARCHAR)) AS unit_id, concat('Unit ', CAST(l_suppkey AS VARCHAR)) AS unit_name, {PSR_CODE} AS psr_type,
+    concat(CAST(CAST(l_shipdate AS DATE) AS VARCHAR), 'T00:00Z') AS period_start,
+    concat(CAST(year(l_shipdate) AS VARCHAR), '-12-31T23:00Z') AS period_end,
+    CASE WHEN l_suppkey % 3 = 0 THEN CAST(45 + l_suppkey % 10 AS DOUBLE) END AS latitude,
+    CASE WHEN l_suppkey % 3 = 0 THEN CAST(5 + l_suppkey % 10 AS DOUBLE) END AS longitude"""
+
+# The run of ``responses_to_bronze`` does not request NL; PT lands nothing, CH has no domain code.
+_REQUESTED = "country_code NOT IN ('NL', 'PT')"
+ORACLE.update({
+    # an order's document in a country is cut off when 7 divides its key
+    "a71_parse_nested": " UNION ALL ".join(
+        f"SELECT {_UNIT_COLUMNS}, CAST(CAST({q} AS DECIMAL(18,2)) AS DOUBLE) AS installed_capacity_mw FROM lineitem WHERE l_orderkey % 7 <> 0"
+        for q in ("l_extendedprice", "l_quantity", "l_discount")),
+    "a71_series_scan": (
+        f"SELECT * FROM (SELECT {_UNIT_COLUMNS}, CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS DOUBLE) AS installed_capacity_mw, "
+        "l_orderkey % 4 AS part FROM lineitem) WHERE NOT (country_code = 'FR' AND part = 3)").replace("SELECT * FROM (", "SELECT * EXCLUDE (part) FROM (", 1),
+    "responses_to_bronze": with_(A71_PARSED, final=(
+        f"SELECT *, {ENERGY_TYPE} AS energy_type, {IS_RENEWABLE} AS is_renewable, "
+        f"'A71' AS document_type, {TS} AS ingestion_timestamp FROM a71_parsed WHERE {_REQUESTED}")),
+    "per_unit_outcomes": f"""
+SELECT country_code, CASE WHEN n_rows > 0 THEN 'success' ELSE 'failed' END AS status, n_responses, n_rows
+FROM (SELECT {cyc('l_suppkey', COUNTRIES_9)} AS country_code, count(*) AS n_responses,
+        CAST(sum(CASE WHEN {A71_FAILED} THEN 0 ELSE 1 END) AS BIGINT) AS n_rows FROM lineitem GROUP BY 1)
+WHERE {_REQUESTED}
+UNION ALL SELECT 'PT', 'missing', 0, 0 UNION ALL SELECT 'CH', 'skipped', 0, 0""",
+})
+
 # ---------------------------------------------------------------------------
 # Ingestion
 # ---------------------------------------------------------------------------

@@ -212,6 +212,67 @@ def a71_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _unit_xml(periods: Column) -> Column:
+    """One ``TimeSeries`` per ``lineitem`` row, around the given periods."""
+    s, psr_n = F.col("l_suppkey"), F.col("l_partkey") % 26
+    psr = F.when(psr_n < 25, F.concat(F.lit("B"), F.lpad((psr_n + 1).cast("string"), 2, "0")))
+    lat = F.when(s % 3 == 0, (F.lit(45) + s % 10).cast("string"))
+    lon = F.when(s % 3 == 0, (F.lit(5) + s % 10).cast("string"))
+    return F.concat(
+        F.lit("<TimeSeries><businessType>B11</businessType>"),
+        _xml_text("registeredResource.mRID", F.concat(F.lit("U"), s.cast("string"))),
+        _xml_text("registeredResource.name", F.concat(F.lit("Unit "), s.cast("string"))),
+        _optional(psr, _xml_text("MktPSRType", _xml_text("psrType", psr))),
+        _optional(lat, _xml_text("location", F.concat(_xml_text("latitude", lat), _xml_text("longitude", lon)))),
+        periods, F.lit("</TimeSeries>"))
+
+
+def _period_xml(wrapper: str, *points: Column) -> Column:
+    start = F.concat(F.col("l_shipdate").cast("date").cast("string"), F.lit("T00:00Z"))
+    end = F.concat(F.year("l_shipdate").cast("string"), F.lit("-12-31T23:00Z"))
+    inner = [F.concat(F.lit(f"<{wrapper}><Point><position>{k + 1}</position>"), _xml_text("quantity", p), F.lit(f"</Point></{wrapper}>"))
+             for k, p in enumerate(points)]
+    return F.concat(F.lit("<Period>"), _xml_text("timeInterval.start", start), _xml_text("timeInterval.end", end), *inner, F.lit("</Period>"))
+
+
+def _number(column: str) -> Column:
+    return F.col(column).cast("decimal(18,2)").cast("string")
+
+
+def a71_nested_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """one response per order and country; a series per ``lineitem`` row, each with two periods, all below wrapper elements.
+
+    The first period has a point with the price and one with the quantity, the second
+    one with the discount.  Orders whose key 7 divides are cut off.
+    """
+    from gridmix.functions.taxonomy import A71_NAMESPACE
+
+    periods = F.concat(F.lit("<Details><!-- <quantity>0</quantity> -->"), _period_xml("Step", _number("l_extendedprice"), _number("l_quantity")),
+                       F.lit("</Details><Details>"), _period_xml("Step", _number("l_discount")), F.lit("</Details>"))
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", cycle(F.col("l_suppkey"), COUNTRIES_9).alias("country_code"),
+        F.concat(F.lit("<Unit>"), _unit_xml(periods), F.lit("</Unit>")).alias("series"))
+    order = li.groupBy("country_code", "l_orderkey").agg(F.array_join(F.collect_list("series"), "").alias("series"))  # an order has 7 lines at most
+    document = F.concat(F.lit(f'<?xml version="1.0"?><GL_MarketDocument xmlns="{A71_NAMESPACE}"><mRID>x</mRID><Units note="a>b">'), F.col("series"),
+                        F.lit("</Units></GL_MarketDocument>"))
+    cut = F.when(F.col("l_orderkey") % 7 == 0, F.substring(document, 1, 400)).otherwise(document)
+    return order.select("country_code", F.lit(200).alias("http_status"), cut.alias("body"))
+
+
+def land_a71_files(spark: SparkSession, sf_dir: str, root: str) -> None:
+    """four large files per country, a series per line; the file of ``FR`` with number 3 is cut off before its end tag."""
+    from gridmix.functions.taxonomy import A71_NAMESPACE
+
+    li = table(spark, sf_dir, "lineitem")
+    lines = li.select(cycle(F.col("l_suppkey"), COUNTRIES_9).alias("country_code"), (F.col("l_orderkey") % 4).cast("int").alias("part"),
+                      F.lit(1).alias("ord"), _unit_xml(F.regexp_replace(_period_xml("Step", _number("l_extendedprice")), "</?Step>", "")).alias("value"))
+    files = lines.select("country_code", "part").distinct()
+    first = files.select("country_code", "part", F.lit(0).alias("ord"), F.lit(f'<?xml version="1.0"?><GL_MarketDocument xmlns="{A71_NAMESPACE}">').alias("value"))
+    last = files.where("not (country_code = 'FR' and part = 3)").select("country_code", "part", F.lit(2).alias("ord"), F.lit("</GL_MarketDocument>").alias("value"))
+    (first.unionByName(lines).unionByName(last).repartition("country_code", "part").sortWithinPartitions("country_code", "part", "ord")
+     .select("country_code", "part", "value").write.partitionBy("country_code", "part").text(root))
+
+
 # ---------------------------------------------------------------------------
 # Landed extracts with raw names, as an API client returns them
 # ---------------------------------------------------------------------------

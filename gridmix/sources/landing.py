@@ -5,17 +5,20 @@ Layout (Hive-style partitions, discovered by Spark):
 * extracts: ``<root>/document_type=A75/country_code=FR/<file>.parquet`` with an
   ``index`` timestamp and raw value columns (raw names; schemas differ
   between countries, so they are merged on read);
-* per-unit responses: ``<root>/country_code=FR/<file>.xml``, one response
-  document per file, plus an optional manifest ``(file_name, http_status)``.
+* per-unit responses: ``<root>/country_code=FR[/http_status=503]/<file>.xml``, one response
+  document per file, or one per line (``land_responses``); the status is read from the folder, or from an optional
+  manifest ``(file_name, http_status)``.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridmix.operators.joins import anti_join, lookup_join
+from gridmix.operators.joins import anti_join, lookup_join, semi_join
 
 
 def read_extracts(spark: SparkSession, root: str, document_type: str) -> DataFrame | None:
@@ -38,7 +41,41 @@ def read_extracts(spark: SparkSession, root: str, document_type: str) -> DataFra
         raise
 
 
-def read_extracts_by_country(spark: SparkSession, root: str, document_type: str) -> tuple[DataFrame | None, dict[str, str]]:
+def broken_files(spark: SparkSession, root: str, document_type: str) -> dict[str, str]:
+    """ING6: landed files of one type that cannot be read to their end, with the reason.
+
+    The footers say how many rows each file has (a count that reads no data page); a second scan decodes every column with
+    unreadable pages left out and counts what came.  Countries whose footers cannot be read are not looked
+    at here: ``read_extracts_by_country`` leaves them out.  Only the broken files' paths come to the driver.
+    """
+    from py4j.protocol import Py4JJavaError
+    from pyspark.errors import PySparkException
+
+    out: dict[str, str] = {}
+    for name in _country_folders(spark, root, document_type):
+        folder = f"{root.rstrip('/')}/document_type={document_type}/{name}"
+        path = F.col("_metadata.file_path").alias("file_path")
+        try:
+            listed = spark.read.option("mergeSchema", "true").parquet(folder).select(path).groupBy("file_path").agg(F.count(F.lit(1)).alias("listed"))
+            rows = spark.read.option("mergeSchema", "true").option("ignoreCorruptFiles", "true").parquet(folder)
+            read = rows.select(path, F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]).alias("all")).groupBy("file_path").agg(
+                F.count("all").alias("read"), F.bit_xor("all").alias("_all"))
+            short = listed.join(read, "file_path", "left").where(F.coalesce("read", F.lit(0)) < F.col("listed")).collect()
+        except (PySparkException, Py4JJavaError):
+            continue
+        out.update({r.file_path: f"{r.read or 0} of {r.listed} rows can be read" for r in short})
+    return out
+
+
+def _country_folders(spark: SparkSession, root: str, document_type: str) -> list[str]:
+    sc = spark.sparkContext
+    top = sc._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/document_type={document_type}")
+    fs = top.getFileSystem(sc._jsc.hadoopConfiguration())
+    names = sorted(x.getPath().getName() for x in fs.listStatus(top)) if fs.exists(top) else []
+    return [n for n in names if n.startswith("country_code=")]
+
+
+def read_extracts_by_country(spark: SparkSession, root: str, document_type: str, leave_out: set[str] | None = None) -> tuple[DataFrame | None, dict[str, str]]:
     """SRC3 + PRJ6 + PRJ7: the extracts of one type, each country read and shaped by itself.
 
     Countries may land two-level or flat names and other number types: every
@@ -46,7 +83,7 @@ def read_extracts_by_country(spark: SparkSession, root: str, document_type: str)
     to DOUBLE, and the countries united by name.  A country whose
     files cannot be read (a corrupt footer, columns that collide, types that
     do not merge) is left out and returned with its reason; the others load.
-    Returns ``None`` for the rows when no country can be read.
+    Rows of the files in ``leave_out`` (paths) are left out too.  Returns ``None`` for the rows when no country can be read.
     """
     from py4j.protocol import Py4JJavaError
     from pyspark.errors import PySparkException
@@ -54,16 +91,14 @@ def read_extracts_by_country(spark: SparkSession, root: str, document_type: str)
     from gridmix.operators.ingest import KEYS, flatten_columns, sanitize_columns
 
     folder = f"{root.rstrip('/')}/document_type={document_type}"
-    sc = spark.sparkContext
-    top = sc._jvm.org.apache.hadoop.fs.Path(folder)
-    fs = top.getFileSystem(sc._jsc.hadoopConfiguration())
-    names = sorted(x.getPath().getName() for x in fs.listStatus(top)) if fs.exists(top) else []
     parts: list[DataFrame] = []
     unreadable: dict[str, str] = {}
-    for name in (n for n in names if n.startswith("country_code=")):
+    for name in _country_folders(spark, root, document_type):
         country = name.removeprefix("country_code=")
         try:
-            raw = spark.read.option("mergeSchema", "true").parquet(f"{folder}/{name}")
+            raw = spark.read.option("mergeSchema", "true").option("ignoreCorruptFiles", str(bool(leave_out)).lower()).parquet(f"{folder}/{name}")
+            if leave_out:  # the filter on the path also keeps these files from being opened
+                raw = raw.where(~F.col("_metadata.file_path").isin(*leave_out))
             clean = sanitize_columns(flatten_columns(raw))
             values = {f.name for f in clean.schema.fields if isinstance(f.dataType, T.NumericType)}
             parts.append(clean.select(
@@ -78,21 +113,28 @@ def read_extracts_by_country(spark: SparkSession, root: str, document_type: str)
     return united, unreadable
 
 
-def read_responses(spark: SparkSession, root: str, manifest: DataFrame | None = None) -> DataFrame:
-    """SRC4: one row per landed response file: ``country_code, file_name, http_status, body``.
+def read_responses(spark: SparkSession, root: str, manifest: DataFrame | None = None, one_per_line: bool = False) -> DataFrame:
+    """SRC4: one row per landed response: ``country_code, file_name, http_status, body``.
 
-    ``wholetext`` keeps a document in one row; the country comes from the
-    partition folder.  Without a manifest every response counts as HTTP 200.
+    ``wholetext`` keeps a file's document in one row; with ``one_per_line`` each line is a document.  Country and
+    status come from the partition folders, so no join carries the bodies; only where the
+    statuses lie in a manifest are they joined by file name.  Without either every response counts as HTTP 200.
     """
-    docs = (spark.read.option("wholetext", "true").text(root)
-            .select(F.col("country_code").cast("string").alias("country_code"),
-                    F.col("_metadata.file_name").alias("file_name"),
-                    F.col("value").alias("body")))
+    raw = spark.read.option("wholetext", str(not one_per_line).lower()).text(root)
+    status = F.col("http_status").cast("int") if "http_status" in raw.columns else F.lit(200)
+    docs = raw.select(F.col("country_code").cast("string").alias("country_code"), F.col("_metadata.file_name").alias("file_name"),
+                      status.alias("_status"), F.col("value").alias("body"))
     if manifest is None:
-        return docs.withColumn("http_status", F.lit(200))
+        return docs.select("country_code", "file_name", F.coalesce("_status", F.lit(200)).alias("http_status"), "body")
     joined = lookup_join(docs, manifest.select("file_name", "http_status"), "file_name", "left")
     return joined.select("country_code", "file_name",
-                         F.coalesce(F.col("http_status").cast("int"), F.lit(200)).alias("http_status"), "body")
+                         F.coalesce(F.col("http_status").cast("int"), F.col("_status"), F.lit(200)).alias("http_status"), "body")
+
+
+def land_responses(responses: DataFrame, root: str) -> None:
+    """Write ``country_code, http_status, body`` rows into the landing layout, one document per line."""
+    one_line = F.regexp_replace("body", r"[\r\n]+", " ")
+    responses.select("country_code", "http_status", one_line.alias("value")).write.mode("append").partitionBy("country_code", "http_status").text(root)
 
 
 def land_extract(df: DataFrame, root: str) -> None:
@@ -101,15 +143,22 @@ def land_extract(df: DataFrame, root: str) -> None:
 
 
 
-def read_series(spark: SparkSession, root: str, manifest: DataFrame | None = None) -> DataFrame:
+def complete_files(spark: SparkSession, root: str, root_tag: str = "GL_MarketDocument") -> DataFrame:
+    """``file_path`` of the files in which the root element's end tag stands: those not cut off."""
+    lines = spark.read.text(root).where(F.col("value").rlike(rf"</(?:[\w.-]+:)?{re.escape(root_tag)}\s*>"))
+    return lines.select(F.col("_metadata.file_path").alias("file_path")).distinct()
+
+
+def read_series(spark: SparkSession, root: str, manifest: DataFrame | None = None, complete_only: bool = False) -> DataFrame:
     """SRC4 for large responses: one row per ``TimeSeries`` element, as column ``ts``.
 
     The XML data source finds ``<TimeSeries>`` elements inside each file and
     splits large files across tasks, so a response of any size is read in
     parallel instead of as one row.  Files the manifest marks as failed
     (status other than 200) are dropped.  Acknowledgements have no series and
-    give no rows.  Unlike the per-document path, complete series before a
-    truncation point are kept.
+    give no rows.  Of a truncated file the series before the cut are kept; with ``complete_only`` none are, as the
+    per-document path has it: files without the root's end tag, found by a scan of
+    the lines that keeps file paths alone, are left out.
     """
     from gridmix.operators.per_unit import SERIES_SCHEMA
 
@@ -117,9 +166,11 @@ def read_series(spark: SparkSession, root: str, manifest: DataFrame | None = Non
            .option("excludeAttribute", "true").option("ignoreNamespace", "true")
            .schema(SERIES_SCHEMA).load(root))
     series = raw.select(F.col("country_code").cast("string").alias("country_code"),
-                        F.col("_metadata.file_name").alias("file_name"),
+                        F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_path").alias("file_path"),
                         F.struct(*[F.col(f"`{f.name}`") for f in SERIES_SCHEMA.fields]).alias("ts"))
     if manifest is not None:
         failed = manifest.where(F.coalesce(F.col("http_status") != 200, F.lit(True))).select("file_name")
         series = anti_join(series, failed, "file_name")
-    return series
+    if complete_only:
+        series = semi_join(series, complete_files(spark, root), "file_path")
+    return series.drop("file_path")

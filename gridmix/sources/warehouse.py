@@ -201,6 +201,10 @@ class Warehouse:
         for folder in folders:
             self._delete(folder)
 
+    def drop_staged(self, load_id: str) -> None:
+        """Delete the parsed documents of a finished load."""
+        self._delete(f"{self.root}/_staged/{load_id}")
+
     # -- folders --------------------------------------------------------------
     def _fs(self, path: str):
         hpath = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -186,3 +186,35 @@ def test_first_of_repeated_elements_and_numbers(spark):
     rows = per_unit.parse_documents(df).collect()
     assert [(r.unit_id, r.unit_name, r.installed_capacity_mw) for r in rows] == [
         ("U 1", "first", 5.0), ("U 1", "first", None), ("U 1", "first", 1000.0), ("U 1", "first", None)]
+
+
+def test_series_periods_and_points_at_any_depth(spark):
+    deep = doc("<Units a='x>y'><Unit>" + ts(periods=["<Extra>" + period(points=("1", "2")) + "</Extra>", "<Extra><More>" + period(points=("3",)) + "</More></Extra>"])
+               + "</Unit></Units>", ts(unit="U2", periods=[period(points=("4",))]))
+    prefixed = deep.replace("<TimeSeries>", "<ns:TimeSeries id=\"1\">").replace("</TimeSeries>", "</ns:TimeSeries>").replace(
+        f"<GL_MarketDocument {NS}>", f'<GL_MarketDocument xmlns="{A71_NAMESPACE}" xmlns:ns="{A71_NAMESPACE}">')
+    df = lambda bodies: spark.createDataFrame([("FR", 200, b) for b in bodies], "country_code string, http_status int, body string")
+    for body in (deep, prefixed):
+        rows = per_unit.parse_nested(df([body])).collect()
+        assert sorted((r.unit_id, r.installed_capacity_mw, r.latitude, r.period_end) for r in rows) == [
+            ("U1", 1.0, 45.5, "2025-12-31T23:00Z"), ("U1", 2.0, 45.5, "2025-12-31T23:00Z"), ("U1", 3.0, 45.5, "2025-12-31T23:00Z"),
+            ("U2", 4.0, 45.5, "2025-12-31T23:00Z")]
+    assert per_unit.parse_nested(df([deep[:-30], deep.replace("</Unit>", "", 1), "<Acknowledgement_MarketDocument/>", "", None])).collect() == []
+    flat = [doc(ts(), ts(unit="U3", periods=[period(points=("5", None, "x"))])), doc(ts(periods=[]))]
+    assert sorted(map(str, per_unit.parse_nested(df(flat)).collect())) == sorted(map(str, per_unit.parse_documents(df(flat)).collect()))
+    counted = {r.body: r.n_rows for r in per_unit.with_series(df([deep, *flat])).collect()}
+    assert counted == {deep: 4, flat[0]: 3, flat[1]: 0}
+
+
+def test_complete_series_files_only(spark, tmp_path):
+    from gridmix.sources import landing
+
+    for name, body in (("whole.xml", doc(ts(), ts(unit="U2"))), ("cut.xml", doc(ts(unit="U9"), ts())[:-10])):
+        folder = tmp_path / "country_code=FR"
+        folder.mkdir(exist_ok=True)
+        (folder / name).write_text(body)
+    rows = per_unit.series_rows(landing.read_series(spark, str(tmp_path), complete_only=True)).collect()
+    assert sorted(r.unit_id for r in rows) == ["U1", "U2"]
+    per_document = per_unit.parse_documents(landing.read_responses(spark, str(tmp_path))).collect()
+    assert sorted(map(str, rows)) == sorted(map(str, per_document))
+    assert "U9" in {r.unit_id for r in per_unit.series_rows(landing.read_series(spark, str(tmp_path))).collect()}

@@ -234,3 +234,61 @@ def test_first_run_with_generation_only(spark, scratch):
     assert res.models["fct_capacity_per_unit"].count() == 0
     assert res.models["fct_renewable_capacity"].count() == 0
     assert {r.document_type: r.status for r in res.ingest.outcomes.collect()} == {"A75": "updated", "A68": "failed"}
+
+
+def _broken_page(folder):
+    """Overwrite data pages of the first Parquet file of a folder; its footer stays sound."""
+    name = sorted(f for f in os.listdir(folder) if f.endswith(".parquet"))[0]
+    path = f"{folder}/{name}"
+    with open(path, "r+b") as fh:
+        size = os.path.getsize(path)
+        fh.seek(size - 4 - 4)
+        footer = int.from_bytes(fh.read(4), "little")
+        fh.seek(4)
+        fh.write(b"\xff" * (size - 8 - footer - 4))
+    crc = f"{folder}/.{name}.crc"
+    if os.path.exists(crc):
+        os.remove(crc)
+    return name
+
+
+def test_a_broken_data_page_costs_its_file_only(spark, scratch):
+    root = f"{scratch}/landing"
+    for day in (1, 2):  # a file a day and country
+        _land_generation(spark, root, [("A75", "FR", dt.datetime(2025, 7, day, h), 10.0, 5.0) for h in range(4)])
+    _land_generation(spark, root, [("A75", "BE", dt.datetime(2025, 7, 1, h), 10.0, 5.0) for h in range(4)])
+    _land_generation(spark, root, [("A68", "FR", dt.datetime(2025, 7, 1), 1.0, 1.0)])
+    before = spark.read.parquet(f"{root}/document_type=A75/country_code=FR").count()
+    name = _broken_page(f"{root}/document_type=A75/country_code=FR")
+    wh = Warehouse(spark, f"{scratch}/wh")
+    res = layers.ingest_extracts(spark, wh, root, ["FR", "BE"], ["A75", "A68"], IngestWindow(start="2025-06-01", end="2025-08-01"), now="2026-01-01 00:00:00")
+    (path, why), = res.broken_files.items()
+    assert path.endswith(name) and why.startswith("0 of ") and res.unreadable == {}
+    lost = int(why.split(" of ")[1].split()[0])
+    counts = {(r.country_code, r.document_type): (r.status, r.rows) for r in res.outcomes.collect()}
+    assert counts == {("FR", "A75"): ("updated", before - lost), ("BE", "A75"): ("updated", 4), ("FR", "A68"): ("updated", 1), ("BE", "A68"): ("failed", 0)}
+
+
+def test_per_unit_run_with_requested_skipped_and_missing_countries(spark, scratch):
+    root = f"{scratch}/responses"
+    rows = [("FR", 200, doc(ts(), ts(unit="U2"))), ("FR", 503, "busy"), ("BE", 200, "<Acknowledgement_MarketDocument/>"), ("CH", 200, doc(ts(unit="U3"))),
+            ("ES", 200, doc("<Wrapped>" + ts(unit="U4", periods=["<In>" + period(points=("1", "2")) + "</In>"]) + "</Wrapped>").replace("><", ">\n<"))]
+    landing.land_responses(spark.createDataFrame(rows, "country_code string, http_status int, body string"), root)
+    wh = Warehouse(spark, f"{scratch}/wh")
+    res = layers.load_per_unit(spark, wh, root, ["FR", "BE", "DE", "CH"], now="2026-01-01 00:00:00", one_per_line=True)
+    assert sorted(map(tuple, res.outcomes.collect())) == [("BE", "failed", 1, 0), ("CH", "skipped", 0, 0), ("DE", "missing", 0, 0), ("FR", "success", 2, 2)]
+    assert {r.status: (r.n_countries, r.n_responses, r.n_rows) for r in res.summary.collect()} == {
+        "failed": (1, 1, 0), "skipped": (1, 0, 0), "missing": (1, 0, 0), "success": (1, 2, 2)}
+    bronze = wh.read_bronze(tx.A71_TABLE)
+    assert sorted(r.unit_id for r in bronze.collect()) == ["U1", "U2"]
+    again = layers.load_per_unit(spark, wh, root, ["ES"], now="2026-01-02 00:00:00", one_per_line=True)
+    assert [r.installed_capacity_mw for r in wh.read_bronze(tx.A71_TABLE, load_id=again.load_id).orderBy("installed_capacity_mw").collect()] == [1.0, 2.0]
+    assert not wh._list(f"{wh.root}/_staged")
+
+
+def test_a_response_is_parsed_once(spark):
+    from gridmix.operators import per_unit
+
+    df = spark.createDataFrame([("FR", 200, doc(ts()))], "country_code string, http_status int, body string")
+    plan = per_unit.with_series(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_xml") == 2  # by children, and for wrapped documents by descendants; never again for the count
