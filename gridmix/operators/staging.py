@@ -54,3 +54,22 @@ def stg_forecast(bronze_a73: DataFrame) -> DataFrame:
 def stg_capacity_per_unit(bronze_a71: DataFrame) -> DataFrame:
     """M4 (PRJ4): per-unit capacity, pure column selection."""
     return ensure_columns(bronze_a71, BRONZE_A71).select(*CAPACITY_PER_UNIT_COLUMNS)
+
+
+def _select(table: str, columns: list[tuple[str, str]]) -> str:
+    return "SELECT " + ", ".join(f"{e} AS `{n}`" if e != n else f"`{n}`" for e, n in columns) + f" FROM {table}"
+
+
+def sql_generation(table: str) -> str:
+    """M1 as a view's text over a registered bronze table."""
+    return _select(table, [(c, c) for c in METADATA] + [("CAST(`index` AS TIMESTAMP)", "generation_datetime")] + [(f"`{r}`", n) for r, n in GENERATION_RENAMES.items()])
+
+
+def sql_capacity(table: str) -> str:
+    """M2 as a view's text."""
+    return _select(table, [(c, c) for c in METADATA] + [("CAST(`index` AS TIMESTAMP)", "capacity_date")] + [(f"`{r}`", n) for r, n in CAPACITY_RENAMES.items()])
+
+
+def sql_capacity_per_unit(table: str) -> str:
+    """M4 as a view's text."""
+    return _select(table, [(c, c) for c in CAPACITY_PER_UNIT_COLUMNS])

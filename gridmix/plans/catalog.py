@@ -474,6 +474,25 @@ def q_layer_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(wh.name("gold", "layer_tables_mix"))
 
 
+def q_layer_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK4 + SNK6 + SRC1: a silver view over bronze in the catalogue, read by its qualified name in a second session.
+
+    The first load lacks the consumption columns, so the view spans files of two schemas.
+    """
+    from gridmix.contracts import BRONZE_A75
+    from gridmix.sources.warehouse import Warehouse
+
+    configure(spark)
+    layers_of_run = {k: f"{k}_{_run_folder(spark, 'layer_views').rsplit('/', 1)[-1][:8]}" for k in ("bronze", "silver", "gold")}
+    wh = Warehouse(spark, _run_folder(spark, "layer_views"), layers_of_run)
+    every, early = fx.bronze_a75(spark, sf_dir), F.day("index") <= 10
+    wh.append_bronze(fx.bronze_a75_before_consumption(spark, sf_dir).where(early), _a75_table(), BRONZE_A75, month_of="index")
+    wh.append_bronze(every.where(~early), _a75_table(), BRONZE_A75, month_of="index")
+    wh.create_view("silver", "stg_generation_view", staging.sql_generation(wh.register_bronze(_a75_table(), BRONZE_A75, month_of="index")))
+    other = configure(spark.newSession())
+    return other.table(wh.name("silver", "stg_generation_view"))
+
+
 def q_generation_daily_double(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M5 with plain DOUBLE sums (the warehouse's default), rounded after the sum."""
     configure(spark)
@@ -626,6 +645,7 @@ QUERIES: dict[str, Query] = {
     "stream_into_warehouse": q_stream_into_warehouse,
     "landed_mixed_shapes": q_landed_mixed_shapes,
     "layer_tables": q_layer_tables,
+    "layer_views": q_layer_views,
     "generation_daily_double": q_generation_daily_double,
     "dq_not_null": _dq("not_null"),
     "dq_unique": _dq("unique"),

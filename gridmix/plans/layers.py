@@ -254,7 +254,7 @@ def build_models(spark: SparkSession, wh: Warehouse, exact_scale: int | None = N
                  touched: DataFrame | None = None, incremental: bool = False) -> dict[str, DataFrame]:
     """Silver views, the daily rollup and the four marts, in dependency order.
 
-    Staging models are views (recomputed on read).  The daily rollup feeds
+    Staging models are views of the silver database in the catalogue (recomputed on read).  The daily rollup feeds
     two marts, so it is written once as a silver table; when ``incremental``
     and a complete table exists, only the pending months (those that any
     ingestion recorded since the last rebuild, also one that died) and the
@@ -268,9 +268,12 @@ def build_models(spark: SparkSession, wh: Warehouse, exact_scale: int | None = N
     b75 = wh.read_bronze(tx.BRONZE_TABLES["A75"], BRONZE_A75)
     b68 = wh.read_bronze(tx.BRONZE_TABLES["A68"], BRONZE_A68)
     b71 = wh.read_bronze(tx.A71_TABLE, BRONZE_A71)
-    stg_gen = wh.view(staging.stg_generation(b75), "silver", "stg_entsoe__generation")
-    stg_cap = wh.view(staging.stg_capacity(b68), "silver", "stg_entsoe__capacity")
-    stg_cpu = wh.view(staging.stg_capacity_per_unit(b71), "silver", "stg_entsoe__capacity_per_unit")
+    stg_gen, stg_cap, stg_cpu = staging.stg_generation(b75), staging.stg_capacity(b68), staging.stg_capacity_per_unit(b71)
+    a75, a68 = tx.BRONZE_TABLES["A75"], tx.BRONZE_TABLES["A68"]
+    for name, text, table, contract, month in (
+            ("generation", staging.sql_generation, a75, BRONZE_A75, TIME_SERIES.get("A75")), ("capacity", staging.sql_capacity, a68, BRONZE_A68, None),
+            ("capacity_per_unit", staging.sql_capacity_per_unit, tx.A71_TABLE, BRONZE_A71, None)):
+        wh.create_view("silver", f"stg_entsoe__{name}", text(wh.register_bronze(table, contract, month_of=month)))
     models = {"stg_entsoe__generation": stg_gen, "stg_entsoe__capacity": stg_cap,
               "stg_entsoe__capacity_per_unit": stg_cpu}
     a73 = tx.BRONZE_TABLES["A73"]

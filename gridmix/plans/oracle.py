@@ -549,6 +549,10 @@ ORACLE |= {
         + ") FROM stg_generation")),
     "daily_refresh": with_(*GEN_CHAIN_LONG, final="SELECT * FROM generation_daily"),
     "stream_into_warehouse": with_(*GEN_CHAIN_LONG, final="SELECT * FROM generation_daily"),
+    # the first load (days up to the 10th) has no consumption columns
+    "layer_views": with_(BRONZE_A75, STG_GENERATION, final="SELECT * REPLACE (" + ", ".join(
+        f"CASE WHEN day(generation_datetime) > 10 THEN {st} END AS {st}" for raw, st in GENERATION_RENAMES.items() if raw.endswith("_actual_consumption"))
+        + ") FROM stg_generation"),
     "layer_tables": with_(*GEN_CHAIN, ENERGY_MIX, final="SELECT * FROM energy_mix"),
     "generation_daily_double": with_(BRONZE_A75, STG_GENERATION, final=(
         "SELECT country_code, CAST(generation_datetime AS DATE) AS generation_date, "

@@ -140,8 +140,30 @@ class Warehouse:
         return self.exists(layer, name)
 
     # -- SNK4 / SNK5 ------------------------------------------------------
+    def register_bronze(self, table: str, contract: T.StructType, partition_by: tuple[str, ...] = ("country_code",), month_of: str | None = None) -> str:
+        """A bronze table in the catalogue, over its folder and with its contract's columns; returns its qualified name.
+
+        Partitions are those that exist now: register again after loads (``layers.build_models`` does).
+        """
+        self.create_layers()
+        name, path = self.name("bronze", table), self.path("bronze", table)
+        parts = (*partition_by, *((MONTH_COL,) if month_of else ()), LOAD_COL)
+        fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in contract.fields if f.name not in parts] + [f"`{p}` string" for p in parts]
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.spark.sql(f"CREATE TABLE {name} ({', '.join(fields)}) USING parquet PARTITIONED BY ({', '.join(parts)}) LOCATION '{path}'")
+        if self.exists("bronze", table):
+            self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        return name
+
+    def create_view(self, layer: str, name: str, query: str) -> DataFrame:
+        """SNK4 + SNK6: a view of the layer's database, kept in the catalogue for every session; recomputed by every reader."""
+        self.create_layers()
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.name(layer, name)} AS {query}")
+        return self.spark.table(self.name(layer, name))
+
     def view(self, df: DataFrame, layer: str, name: str) -> DataFrame:
-        """SNK4: register a model as a view; it is recomputed by every reader."""
+        """SNK4 for a model that exists only as a frame: a view of this session, under its layer's name (``<database>__<name>``) and its own."""
+        df.createOrReplaceTempView(f"{self.layers[layer]}__{name}")
         df.createOrReplaceTempView(name)
         return df
 

@@ -292,3 +292,23 @@ def test_a_response_is_parsed_once(spark):
     df = spark.createDataFrame([("FR", 200, doc(ts()))], "country_code string, http_status int, body string")
     plan = per_unit.with_series(df)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_xml") == 2  # by children, and for wrapped documents by descendants; never again for the count
+
+
+def test_silver_views_live_in_the_catalogue(spark, scratch):
+    from gridmix.contracts import BRONZE_A75
+    from gridmix.operators import staging
+    from gridmix.session import configure
+
+    wh = Warehouse(spark, f"{scratch}/wh", {"bronze": "b_views", "silver": "s_views", "gold": "g_views"})
+    for solar in (1.0, 2.0):
+        wh.append_bronze(spark.createDataFrame([("FR", "A75", dt.datetime(2025, 7, 1), dt.datetime(2025, 7, 1), solar)],
+                                               "country_code string, document_type string, ingestion_timestamp timestamp, index timestamp, solar_actual_aggregated double"),
+                         "gen", BRONZE_A75, month_of="index")
+    wh.create_view("silver", "stg", staging.sql_generation(wh.register_bronze("gen", BRONZE_A75, month_of="index")))
+    rows = configure(spark.newSession()).table("s_views.stg")
+    direct = staging.stg_generation(wh.read_bronze("gen", BRONZE_A75))
+    assert rows.columns == direct.columns and sorted(map(str, rows.collect())) == sorted(map(str, direct.collect()))
+    assert wh.register_bronze("never_loaded", BRONZE_A75) and spark.table("b_views.never_loaded").count() == 0
+    for layer, value in (("silver", 1), ("gold", 2)):  # views of one name in two layers
+        wh.create_view(layer, "same", f"SELECT {value} AS x")
+    assert (spark.table("s_views.same").first().x, spark.table("g_views.same").first().x) == (1, 2)
