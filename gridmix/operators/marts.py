@@ -82,10 +82,29 @@ def capacity_per_unit(stg_capacity_per_unit: DataFrame, exact_scale: int | None
     loads and multi-point periods collapse there, and only one row per
     unit and period reaches the string maxima and the distinct count.
     """
-    keys = ["country_code", "energy_type", "is_renewable"]
-    per_period = stg_capacity_per_unit.groupBy(*keys, "unit_id", "period_start", "period_end").agg(
-        F.sum(X.to_units("installed_capacity_mw", exact_scale)).alias("_mw"))
-    out = per_period.groupBy(*keys).agg(
+    return capacity_of_periods(unit_periods(stg_capacity_per_unit, exact_scale), exact_scale, ordered)
+
+
+_UNIT_GROUP = ["country_code", "energy_type", "is_renewable"]
+_UNIT_PERIOD = [*_UNIT_GROUP, "unit_id", "period_start", "period_end"]
+
+
+def unit_periods(stg_capacity_per_unit: DataFrame, exact_scale: int | None = None) -> DataFrame:
+    """M8's partial results: one row per group, unit and period, its capacity summed as ``_mw``."""
+    return stg_capacity_per_unit.groupBy(*_UNIT_PERIOD).agg(F.sum(X.to_units("installed_capacity_mw", exact_scale)).alias("_mw"))
+
+
+def merge_unit_periods(*parts: DataFrame) -> DataFrame:
+    """Partial results of several loads as one: sums add up, equal units and periods become one row."""
+    united = parts[0]
+    for part in parts[1:]:
+        united = united.unionByName(part)
+    return united.groupBy(*_UNIT_PERIOD).agg(F.sum("_mw").alias("_mw"))
+
+
+def capacity_of_periods(per_period: DataFrame, exact_scale: int | None = None, ordered: bool = True) -> DataFrame:
+    """M8 from its partial results."""
+    out = per_period.groupBy(*_UNIT_GROUP).agg(
         X.from_units(F.sum("_mw"), exact_scale).alias("total_capacity_mw"),
         F.count_distinct("unit_id").alias("number_of_units"),
         F.max("period_start").alias("latest_period_start"),

@@ -432,6 +432,24 @@ def q_stream_into_warehouse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layers.build_daily(spark, wh, EXACT, incremental=True)
 
 
+def q_capacity_per_unit_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M8 from its stored state: one load, a refresh, two more loads (one written twice under its id), a refresh that reads only those."""
+    from gridmix.contracts import BRONZE_A71
+    from gridmix.functions import taxonomy as tx
+    from gridmix.plans import layers
+    from gridmix.sources.warehouse import Warehouse
+
+    configure(spark)
+    wh = Warehouse(spark, f"{_run_folder(spark, 'capacity_per_unit_refresh')}/warehouse")
+    rows = freeze(fx.bronze_a71(spark, sf_dir))
+    third = F.pmod(F.xxhash64("unit_id", "period_start"), F.lit(3))
+    for number in (0, 1, 2, 2):
+        wh.append_bronze(rows.where(third == number), tx.A71_TABLE, BRONZE_A71, load_id=f"load-{number}")
+        if number == 0:
+            layers.refresh_capacity_per_unit(wh, EXACT)
+    return layers.refresh_capacity_per_unit(wh, EXACT)
+
+
 def q_landed_mixed_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC3, PRJ7, ING4: two-level, flat and whole-number extracts of one type, loaded together."""
     from gridmix.contracts import BRONZE_A75, GENERATION_RENAMES
@@ -643,6 +661,7 @@ QUERIES: dict[str, Query] = {
     "high_water_mark_partitioned": q_high_water_mark_partitioned,
     "daily_refresh": q_daily_refresh,
     "stream_into_warehouse": q_stream_into_warehouse,
+    "capacity_per_unit_refresh": q_capacity_per_unit_refresh,
     "landed_mixed_shapes": q_landed_mixed_shapes,
     "layer_tables": q_layer_tables,
     "layer_views": q_layer_views,

@@ -24,7 +24,7 @@ from gridmix.operators import ingest, marts, per_unit, quality, staging
 from gridmix.operators.joins import anti_join, freeze, in_partitions, semi_join, spread
 from gridmix.session import configure, described, shared_dir
 from gridmix.sources import landing
-from gridmix.sources.warehouse import MONTH_COL, Warehouse, month_key
+from gridmix.sources.warehouse import LOAD_COL, MONTH_COL, Warehouse, month_key
 
 CONTRACTS = {"A75": BRONZE_A75, "A68": BRONZE_A68}
 # Hourly time-series tables are also partitioned by month of their timestamp.
@@ -250,6 +250,33 @@ def build_daily(spark: SparkSession, wh: Warehouse, exact_scale: int | None = No
     return daily
 
 
+def refresh_capacity_per_unit(wh: Warehouse, exact_scale: int | None = None, incremental: bool = True) -> DataFrame:
+    """M8 from a stored state of partial results, to which only loads that it does not hold yet are added.
+
+    The state is a silver table with one row per group, unit and period (so it does not grow with re-appended
+    loads) and one per load that it holds; both are written as one version, so a
+    job that dies changes neither.  Only the ids of the loads come to the driver.  Run it when no load is being written:
+    a load counts as a whole.  ``incremental=False`` builds the state anew from all loads.
+    """
+    name = f"int_capacity_unit_periods_{'double' if exact_scale is None else exact_scale}"
+    bronze = wh.read_loads(tx.A71_TABLE, BRONZE_A71)
+    version = wh.current("silver", name) if incremental else None
+    state = wh.spark.read.parquet(version) if version else None
+    loads = bronze.select(LOAD_COL).distinct()
+    new = [r[0] for r in (loads.join(state.select(LOAD_COL), LOAD_COL, "left_anti") if state is not None else loads).collect()]
+    if state is None and not new:  # nothing was ever loaded: no state to write
+        return marts.capacity_of_periods(marts.unit_periods(staging.stg_capacity_per_unit(bronze), exact_scale), exact_scale, ordered=False)
+    if new:
+        periods = marts.unit_periods(staging.stg_capacity_per_unit(bronze.where(F.col(LOAD_COL).isin(new))), exact_scale)
+        held = wh.spark.createDataFrame([(x,) for x in new], f"{LOAD_COL} string")
+        if state is not None:
+            periods = marts.merge_unit_periods(state.where("part = 'period'").drop("part", LOAD_COL), periods)
+            held = held.unionByName(state.where("part = 'load'").select(LOAD_COL))
+        rows = periods.withColumn("part", F.lit("period")).unionByName(held.withColumn("part", F.lit("load")), allowMissingColumns=True)
+        state = wh.save_table(rows, "silver", name, partition_by=("part",))
+    return marts.capacity_of_periods(state.where("part = 'period'"), exact_scale, ordered=False)
+
+
 def build_models(spark: SparkSession, wh: Warehouse, exact_scale: int | None = None,
                  touched: DataFrame | None = None, incremental: bool = False) -> dict[str, DataFrame]:
     """Silver views, the daily rollup and the four marts, in dependency order.
@@ -259,8 +286,8 @@ def build_models(spark: SparkSession, wh: Warehouse, exact_scale: int | None = N
     and a complete table exists, only the pending months (those that any
     ingestion recorded since the last rebuild, also one that died) and the
     ``touched`` (country, month) pairs are re-aggregated from bronze
-    (``refresh_daily``), otherwise it is rebuilt in full.  Marts are rebuilt in full; all but the per-unit ones read only
-    the small daily table.  The capacity mart reads the written dimension
+    (``refresh_daily``), otherwise it is rebuilt in full.  Marts are rebuilt in full, from the small daily table and the
+    state of per-unit partial results, to which new loads are added (``refresh_capacity_per_unit``).  The capacity mart reads the written dimension
     and per-unit mart, whose file sizes the planner knows.
     """
     configure(spark)
@@ -285,7 +312,7 @@ def build_models(spark: SparkSession, wh: Warehouse, exact_scale: int | None = N
         dim = wh.save_table(marts.dim_countries(daily, ordered=False), "gold", "dim_countries")
         mix = wh.save_table(marts.energy_mix(daily), "gold", "fct_energy_mix")
     with described(spark, "gridmix: fct_capacity_per_unit"):
-        cpu = wh.save_table(marts.capacity_per_unit(stg_cpu, exact_scale, ordered=False), "gold",
+        cpu = wh.save_table(refresh_capacity_per_unit(wh, exact_scale, incremental), "gold",
                             "fct_capacity_per_unit")
     with described(spark, "gridmix: fct_renewable_capacity"):
         cap = wh.save_table(marts.renewable_capacity(stg_cap, cpu, dim, exact_scale), "gold",

@@ -543,6 +543,7 @@ ORACLE |= {
         + ") FROM stg_generation")),
     "high_water_mark_partitioned": with_(BRONZE_A75_LONG, final=(
         'SELECT country_code, max(CAST("index" AS DATE)) AS last_date FROM bronze_a75 GROUP BY country_code')),
+    "capacity_per_unit_refresh": with_(*UNIT_CHAIN, final="SELECT * FROM capacity_per_unit"),
     "landed_mixed_shapes": with_(BRONZE_A75, STG_GENERATION, final=(
         "SELECT * REPLACE (" + ", ".join(
             f"CASE WHEN country_code IN ('DE', 'ES') THEN floor({c}) ELSE {c} END AS {c}" for c in GENERATION_RENAMES.values())

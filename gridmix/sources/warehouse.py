@@ -104,6 +104,13 @@ class Warehouse:
             rows = rows.where(F.col(LOAD_COL) == load_id) if LOAD_COL in rows.columns else rows.limit(0)
         return rows.drop(LOAD_COL)
 
+    def read_loads(self, table: str, contract: T.StructType) -> DataFrame:
+        """A bronze table with the id of each row's load as ``load_id`` (text), a partition column: a filter on it opens only those loads' files."""
+        schema = T.StructType([*contract.fields, T.StructField(LOAD_COL, T.StringType())])
+        if not self.exists("bronze", table):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self.path("bronze", table))
+
     def append_bronze(self, df: DataFrame | None, table: str, contract: T.StructType | None = None,
                       partition_by: tuple[str, ...] = ("country_code",), month_of: str | None = None,
                       load_id: str | None = None) -> None:

@@ -312,3 +312,33 @@ def test_silver_views_live_in_the_catalogue(spark, scratch):
     for layer, value in (("silver", 1), ("gold", 2)):  # views of one name in two layers
         wh.create_view(layer, "same", f"SELECT {value} AS x")
     assert (spark.table("s_views.same").first().x, spark.table("g_views.same").first().x) == (1, 2)
+
+
+def test_per_unit_state_reads_only_new_loads(spark, scratch):
+    from gridmix.contracts import BRONZE_A71
+    from gridmix.operators import marts, staging
+
+    def load(number, units):
+        rows = spark.createDataFrame(
+            [("FR", u, mw, "Solar", True, f"2025-0{m}-01", f"2025-0{m}-28") for u, mw, m in units],
+            "country_code string, unit_id string, installed_capacity_mw double, energy_type string, is_renewable boolean, period_start string, period_end string")
+        wh.append_bronze(rows, tx.A71_TABLE, BRONZE_A71, load_id=number)
+        return rows
+
+    def values(df):
+        return sorted(map(tuple, df.collect()))
+
+    wh = Warehouse(spark, f"{scratch}/wh")
+    assert values(layers.refresh_capacity_per_unit(wh, 2)) == []  # no table yet
+    first = load("01", [("a", 1.5, 1), ("b", 2.0, 1), (None, 3.0, 2)])
+    layers.refresh_capacity_per_unit(wh, 2)
+    other = load("01", [("z", 99.0, 9)])  # what the state holds is not read again
+    second = load("1", [("a", 4.0, 1), ("c", None, 3)])
+    want = values(marts.capacity_per_unit(staging.stg_capacity_per_unit(first.unionByName(second)), 2))
+    assert want[0][3:5] == (10.5, 3)
+    assert values(layers.refresh_capacity_per_unit(wh, 2)) == want
+    assert values(layers.refresh_capacity_per_unit(wh, 2)) == want  # nothing new
+    load("1", [("a", 4.0, 1), ("c", None, 3)])  # a load that runs again under its id
+    assert values(layers.refresh_capacity_per_unit(wh, 2)) == want
+    anew = values(marts.capacity_per_unit(staging.stg_capacity_per_unit(other.unionByName(second)), 2))
+    assert values(layers.refresh_capacity_per_unit(wh, 2, incremental=False)) == anew
