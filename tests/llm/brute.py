@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import re
 from collections import defaultdict
 
-from gridmix.llm.line_dedup import BLANKS, SHINGLE
+BLANKS = " \t\n\x0b\f\r"
 
 
 def components(n, linked):
@@ -46,13 +45,13 @@ def jaccard_components(rows):
 
 def dedup_lines(rows):
     """``{id: (text, lines, dropped)}`` for ``(id, text)`` rows with different ids."""
-    first, pattern = {}, re.compile(SHINGLE)
+    first = {}
     for i, text in sorted(rows):
         for k, line in enumerate((text or "").split("\n")):
             if line.strip(BLANKS):
                 first.setdefault(line.strip(BLANKS), (i, k))
     lines = sorted(first, key=first.get)
-    sets = [set(pattern.findall(x)) for x in lines]
+    sets = [{x[i:i + 12] for i in range(max(1, len(x) - 11))} for x in lines]
     by = dict(zip(lines, components(len(lines), lambda i, j: min(len(sets[i]), len(sets[j])) > 1 and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])), strict=True))
     out = {}
     for i, text in rows:
