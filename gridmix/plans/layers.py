@@ -44,12 +44,16 @@ class IngestResult:
     summary: DataFrame
     unreadable: dict[tuple[str, str], str] = field(default_factory=dict)  # (document, country): why it was left out
     broken_files: dict[str, str] = field(default_factory=dict)  # landed file: why it was left out
+    rejected: DataFrame | None = None  # lines of CSV extracts that were kept apart, with file and reason
 
 
 def ingest_extracts(spark: SparkSession, wh: Warehouse, landing_root: str, countries: list[str],
-                    documents: list[str], window: ingest.IngestWindow, now: str | None = None) -> IngestResult:
+                    documents: list[str], window: ingest.IngestWindow, now: str | None = None,
+                    csv_root: str | None = None) -> IngestResult:
     """ING1-ING4, ING6, ING7 over landed extracts, all keys in one plan.
 
+    ``csv_root`` holds extracts landed as CSV; they load together with those of ``landing_root``.
+
     The window plan is computed from the bronze high-water marks and
     checkpointed (a few rows) before the appends, so that appending cannot
     change it.  Rows per key are then counted from bronze, reading only the
@@ -74,21 +78,25 @@ def ingest_extracts(spark: SparkSession, wh: Warehouse, landing_root: str, count
     bounds = plan.where("action = 'fetch'").agg(F.min("request_start_utc").alias("lo"), F.max("request_end_utc").alias("hi")).first()
     unreadable: dict[tuple[str, str], str] = {}
     broken: dict[str, str] = {}
+    rejected: DataFrame | None = None
     for doc, table in tables.items():
         if doc not in tx.DOCUMENT_EXTRACTS:
             continue  # SRC5: unsupported type, reported as failed by the outcomes
+        csv, kept_apart = landing.read_csv_extracts(spark, csv_root, doc) if csv_root is not None else (None, None)
+        if kept_apart is not None:
+            rejected = kept_apart if rejected is None else rejected.unionByName(kept_apart)
         with described(spark, f"gridmix: load {doc}"):
             if doc == "A75":
                 wh.mark_pending(touched_from_plan(plan, doc), table)
             try:
-                failed = _load_extracts(spark, wh, landing_root, doc, table, plan, bounds, stamp)
+                failed = _load_extracts(spark, wh, landing_root, doc, table, plan, bounds, stamp, csv=csv)
             except (PySparkException, Py4JJavaError):
                 # ING6: a page that cannot be read costs its file, not the load; nothing of the failed write is visible
                 bad = landing.broken_files(spark, landing_root, doc)
                 if not bad:
                     raise
                 broken.update(bad)
-                failed = _load_extracts(spark, wh, landing_root, doc, table, plan, bounds, stamp, set(bad))
+                failed = _load_extracts(spark, wh, landing_root, doc, table, plan, bounds, stamp, set(bad), csv)
         unreadable.update({(doc, c): why for c, why in failed.items()})
 
     loaded = []
@@ -100,13 +108,15 @@ def ingest_extracts(spark: SparkSession, wh: Warehouse, landing_root: str, count
     if not loaded:
         loaded = [spark.createDataFrame([], "country_code string, document_type string")]
     outcomes = ingest.load_outcomes(plan, loaded)
-    return IngestResult(plan, outcomes, ingest.summary(outcomes), unreadable, broken)
+    return IngestResult(plan, outcomes, ingest.summary(outcomes), unreadable, broken, rejected)
 
 
 def _load_extracts(spark: SparkSession, wh: Warehouse, landing_root: str, doc: str, table: str, plan: DataFrame, bounds: Row, stamp: str,
-                   leave_out: set[str] | None = None) -> dict[str, str]:
+                   leave_out: set[str] | None = None, csv: DataFrame | None = None) -> dict[str, str]:
     """Append one type's landed rows inside the plan's windows; returns the countries that could not be read."""
     landed, failed = landing.read_extracts_by_country(spark, landing_root, doc, leave_out)
+    if csv is not None:
+        landed = csv if landed is None else landed.unionByName(csv, allowMissingColumns=True)
     if landed is None:
         return failed  # SNK3: nothing landed for this type; its keys are reported as failed
     if bounds.lo is not None and dict(landed.dtypes).get("index", "").startswith("timestamp"):
@@ -347,7 +357,7 @@ class RunResult:
 
 def run_all(spark: SparkSession, wh: Warehouse, landing_root: str, countries: list[str], documents: list[str],
             window: ingest.IngestWindow, responses_root: str | None = None, manifest: DataFrame | None = None,
-            exact_scale: int | None = None, now: str | None = None, fail_on_checks: bool = True) -> RunResult:
+            exact_scale: int | None = None, now: str | None = None, fail_on_checks: bool = True, csv_root: str | None = None) -> RunResult:
     """Section 3.4 in one application: ingest -> per-unit ingest -> models -> checks.
 
     The daily rollup is refreshed for the months this run touched (a full
@@ -355,7 +365,7 @@ def run_all(spark: SparkSession, wh: Warehouse, landing_root: str, countries: li
     naming the checks, as a failed test run would stop the chain.
     """
     stamp = run_stamp(now)
-    ingested = ingest_extracts(spark, wh, landing_root, countries, documents, window, stamp)
+    ingested = ingest_extracts(spark, wh, landing_root, countries, documents, window, stamp, csv_root)
     per_unit_summary = (ingest_per_unit(spark, wh, responses_root, manifest, stamp)
                         if responses_root is not None else None)
     models = build_models(spark, wh, exact_scale, incremental=True)

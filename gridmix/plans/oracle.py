@@ -548,6 +548,14 @@ ORACLE |= {
         "SELECT * REPLACE (" + ", ".join(
             f"CASE WHEN country_code IN ('DE', 'ES') THEN floor({c}) ELSE {c} END AS {c}" for c in GENERATION_RENAMES.values())
         + ") FROM stg_generation")),
+    # countries before DE land no consumption columns; bad lines of BE and FR are kept apart
+    "landed_csv": with_(BRONZE_A75_LONG, STG_GENERATION, final="SELECT * REPLACE (" + ", ".join(
+        f"CASE WHEN country_code >= 'DE' THEN {st} END AS {st}" for raw, st in GENERATION_RENAMES.items() if raw.endswith("_actual_consumption"))
+        + ") FROM stg_generation WHERE NOT (country_code = 'BE' AND day(generation_datetime) = 13) AND NOT (country_code = 'FR' AND day(generation_datetime) = 14)"),
+    "landed_csv_rejected": with_(BRONZE_A75_LONG, final=(
+        "SELECT country_code, CASE country_code WHEN 'BE' THEN 'not a number' ELSE 'wrong number of cells' END AS reason, "
+        "count(*) AS n_lines, count(DISTINCT day(\"index\") % 3) AS n_files FROM bronze_a75 "
+        "WHERE (country_code = 'BE' AND day(\"index\") = 13) OR (country_code = 'FR' AND day(\"index\") = 14) GROUP BY 1, 2")),
     "daily_refresh": with_(*GEN_CHAIN_LONG, final="SELECT * FROM generation_daily"),
     "stream_into_warehouse": with_(*GEN_CHAIN_LONG, final="SELECT * FROM generation_daily"),
     # the first load (days up to the 10th) has no consumption columns

@@ -307,6 +307,33 @@ def landed_a75(bronze: DataFrame) -> DataFrame:
         *[F.struct(*[F.col(c).alias(m) for m, c in parts]).alias(fuel) for fuel, parts in fuels.items()])
 
 
+def land_csv_a75(bronze: DataFrame, root: str) -> None:
+    """F8: generation extracts as CSV with two header rows, three files per country.
+
+    Countries before ``DE`` land no consumption columns.  ``BE`` has ``n/e`` as first value on the 13th of a month, ``FR`` a
+    cell too many on the 14th.
+    """
+    keep = {c: _split_generation_column(c) for c in GENERATION_RENAMES}
+    few = [c for c in keep if c.endswith("_actual_aggregated")]
+
+    def lines(rows: DataFrame, names: list[str]) -> DataFrame:
+        head = [",".join(["", *(f'"{keep[c][k]}"' for c in names)]) for k in (0, 1)]
+        cell = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in names]
+        on = F.dayofmonth("index")
+        cell[0] = F.when((F.col("country_code") == "BE") & (on == 13), "n/e").otherwise(cell[0])
+        extra = F.when((F.col("country_code") == "FR") & (on == 14), ",").otherwise("")
+        body = rows.select("document_type", "country_code", (on % 3).alias("part"), F.lit(2).alias("ord"),
+                           F.concat(F.concat_ws(",", F.col("index").cast("string"), *cell), extra).alias("value"))
+        files = body.select("document_type", "country_code", "part").distinct()
+        tops = files.select("*", F.posexplode(F.array(*map(F.lit, head))).alias("ord", "value"))
+        return tops.unionByName(body)
+
+    early = F.col("country_code") < "DE"
+    both = lines(bronze.where(early), few).unionByName(lines(bronze.where(~early), list(keep)))
+    (both.repartition("country_code", "part").sortWithinPartitions("document_type", "country_code", "part", "ord")
+     .select("document_type", "country_code", "part", "value").write.partitionBy("document_type", "country_code", "part").option("compression", "none").text(root))
+
+
 def landed_a68(bronze: DataFrame) -> DataFrame:
     """Capacity extract with flat raw names (production-type labels)."""
     labels = _raw_labels()

@@ -5,6 +5,8 @@ Layout (Hive-style partitions, discovered by Spark):
 * extracts: ``<root>/document_type=A75/country_code=FR/<file>.parquet`` with an
   ``index`` timestamp and raw value columns (raw names; schemas differ
   between countries, so they are merged on read);
+* CSV extracts: ``<root>/document_type=A75/country_code=FR/**/<file>`` under a root of their own, with the index in
+  the first column and two header rows (fuel, measure), or one (``read_csv_extracts``);
 * per-unit responses: ``<root>/country_code=FR[/http_status=503]/<file>.xml``, one response
   document per file, or one per line (``land_responses``); the status is read from the folder, or from an optional
   manifest ``(file_name, http_status)``.
@@ -14,11 +16,12 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridmix.operators.joins import anti_join, lookup_join, semi_join
+from gridmix.functions import exprs as X
+from gridmix.operators.joins import anti_join, freeze, lookup_join, semi_join
 
 
 def read_extracts(spark: SparkSession, root: str, document_type: str) -> DataFrame | None:
@@ -113,6 +116,72 @@ def read_extracts_by_country(spark: SparkSession, root: str, document_type: str,
     return united, unreadable
 
 
+#: One cell of a CSV line that a comma was put before: quoted, or up to the next comma.
+CSV_CELL = r',("[^"]*+(?:""[^"]*+)*+"|[^,]*)'
+
+
+def _csv_cells(line: str) -> Column:
+    """The cells of a CSV line without quotes and outer blanks."""
+    raw = F.regexp_extract_all(F.concat(F.lit(","), F.col(line)), F.lit(CSV_CELL), F.lit(1))
+    return F.transform(raw, lambda c: F.trim(F.when(c.startswith('"'), F.replace(F.substring(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))).otherwise(c)))
+
+
+def _csv_headers(lines: DataFrame, header_rows: int) -> DataFrame:
+    """``file_path, header, names`` per file: its header lines, and the clean column names behind the index (PRJ6, PRJ7).
+
+    A header line is one of the file's first lines whose index cell holds no digit.  The row number is cut
+    to ``header_rows`` in each task before the shuffle, so a file of bad lines costs no more.
+    """
+    first = (lines.where((F.col("block") == 0) & ~F.element_at("cells", 1).rlike(r"\d"))
+             .withColumn("no", F.row_number().over(Window.partitionBy("file_path").orderBy("id")))
+             .where(F.col("no") <= header_rows))
+    rows = first.groupBy("file_path").agg(F.array_sort(F.collect_list(F.struct("no", "line", "cells"))).alias("rows")).where(F.size("rows") == header_rows)
+    levels = [F.col("rows")[i]["cells"] for i in range(header_rows)]
+    name = levels[0] if header_rows == 1 else F.transform(F.arrays_zip(*[x.alias(f"l{i}") for i, x in enumerate(levels)]),
+                                                          lambda z: X.flatten_name(*[F.coalesce(z[f"l{i}"], F.lit("")) for i in range(header_rows)]))
+    clean = F.transform(name, X.sanitize_name)
+    return rows.select("file_path", F.col("rows.line").alias("header"), F.slice(clean, F.lit(2), F.greatest(F.size(clean) - 1, F.lit(0))).alias("names"))
+
+
+def read_csv_extracts(spark: SparkSession, root: str, document_type: str, header_rows: int = 2) -> tuple[DataFrame | None, DataFrame | None]:
+    """SRC3 for CSV: ``(rows, rejected)`` of one document type, every file by its own header rows.
+
+    All files are one scan, however many there are and whatever columns each has: the header rows of every file give its
+    column positions, which are joined to its lines by path (one row per file, broadcast behind a size
+    check), so large files may be split between tasks.  Only the distinct column names come to the driver, as a schema does.
+    Value columns are DOUBLE; an empty cell, or a column that the file lacks, is NULL.
+
+    A line is kept apart in ``rejected`` (``country_code, document_type, file_path, line, reason``) when its file has no
+    header rows or names that collide once sanitised, when it has more or fewer cells than the header, an index that is no
+    timestamp, or a value that is no number.  Blank lines are skipped.  A quoted cell may hold commas and quotes, not line
+    breaks.  ``(None, None)`` when nothing of that type has landed.
+    """
+    folder = f"{root.rstrip('/')}/document_type={document_type}"
+    if not _country_folders(spark, root, document_type):
+        return None, None
+    text = spark.read.option("basePath", root).text(folder)
+    lines = text.where(F.trim("value") != "").select(
+        F.col("country_code").cast("string").alias("country_code"), F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"),
+        F.regexp_replace("value", "^\\x{FEFF}", "").alias("line")).withColumn("cells", _csv_cells("line"))
+    headers = freeze(_csv_headers(lines, header_rows))
+    names = sorted(r.name for r in headers.select(F.explode("names").alias("name")).distinct().collect())
+    known = F.array(*[F.lit(n) for n in names]) if names else F.array().cast("array<string>")
+    places = headers.select(
+        "file_path", "header", (F.size("names") + 1).alias("width"), (F.size(F.array_distinct("names")) < F.size("names")).alias("collide"),
+        F.transform(known, lambda n: F.array_position("names", n).cast("int")).alias("places"))
+    body = lookup_join(lines.drop("block", "id"), places, "file_path", "left").where(~F.coalesce(F.array_contains("header", F.col("line")), F.lit(False)))
+    index = F.element_at("cells", 1).try_cast("timestamp")
+    no_number = F.exists(F.slice("cells", 2, F.greatest(F.size("cells") - 1, F.lit(0))), lambda c: (c != "") & c.try_cast("double").isNull())
+    reason = (F.when(F.col("width").isNull(), "no header").when(F.col("collide"), "columns collide")
+              .when(F.size("cells") != F.col("width"), "wrong number of cells").when(index.isNull(), "no timestamp").when(no_number, "not a number"))
+    judged = body.withColumn("reason", reason)
+    values = [F.when(F.col("places")[i] > 0, F.get("cells", F.col("places")[i])).try_cast("double").alias(n) for i, n in enumerate(names)]
+    rows = judged.where("reason is null").select("country_code", F.lit(document_type).alias("document_type"), index.alias("index"), *values)
+    rejected = judged.where("reason is not null").select("country_code", F.lit(document_type).alias("document_type"), "file_path", "line", "reason")
+    return rows, rejected
+
+
 def read_responses(spark: SparkSession, root: str, manifest: DataFrame | None = None, one_per_line: bool = False) -> DataFrame:
     """SRC4: one row per landed response: ``country_code, file_name, http_status, body``.
 
