@@ -10,7 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gridmix.functions import taxonomy as tx
@@ -96,18 +96,35 @@ def _row(check: Check, failures) -> DataFrame:
         F.col("failures").cast("long").alias("failures"))
 
 
-def report(models: dict[str, DataFrame], checks: list[Check] | None = None) -> DataFrame:
+def observe_nulls(df: DataFrame, model: str, checks: list[Check] | None = None) -> tuple[DataFrame, Observation | None]:
+    """DQ1 while a model is written: ``df`` that counts the failures of its not-null checks as its rows pass.
+
+    The counts are known after the one job that writes ``df`` (``null_counts``).  They are taken in the tasks that write, of which
+    Spark counts one attempt per partition, so a repeated task does not count twice.  A model without such checks is returned as it is.
+    """
+    wanted = [c for c in checks or CHECKS if c.test == "not_null" and c.model == model]
+    if not wanted:
+        return df, None
+    seen = Observation()
+    return df.observe(seen, *[F.count(F.when(F.col(c.column).isNull(), 1)).alias(c.test_id) for c in wanted]), seen
+
+
+def report(models: dict[str, DataFrame], checks: list[Check] | None = None, known: dict[str, int] | None = None) -> DataFrame:
     """DQ5: one row per check: ``test_id, test, model, column_name, failures``.
 
-    Not-null checks of a model are counted in one aggregation over it; the
+    Checks whose failures are ``known`` (by test id, as ``observe_nulls`` counted them) read no model.  The other not-null checks of a model are counted in one aggregation over it; the
     others count their failing rows.  Each branch ends in a global aggregate,
     so the union is a handful of rows.
     """
     checks = checks or CHECKS
     parts: list[DataFrame] = []
     by_model: dict[str, list[Check]] = {}
+    known = known or {}
     for c in checks:
-        if c.test == "not_null":
+        if c.test_id in known:
+            one = next(iter(models.values())).sparkSession.range(1)
+            parts.append(_row(c, one.select(F.lit(known[c.test_id]).alias("failures"))))
+        elif c.test == "not_null":
             by_model.setdefault(c.model, []).append(c)
         else:
             counted = failing_rows(c, models).agg(F.count(F.lit(1)).alias("failures"))

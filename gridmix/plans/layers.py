@@ -287,8 +287,17 @@ def refresh_capacity_per_unit(wh: Warehouse, exact_scale: int | None = None, inc
     return marts.capacity_of_periods(state.where("part = 'period'"), exact_scale, ordered=False)
 
 
+def _save_mart(wh: Warehouse, df: DataFrame, name: str, nulls: dict[str, int]) -> DataFrame:
+    """Write a gold table; the failures of its not-null checks are counted in the same job and added to ``nulls``."""
+    observed, seen = quality.observe_nulls(df, name)
+    table = wh.save_table(observed, "gold", name)
+    if seen is not None:
+        nulls.update(seen.get)
+    return table
+
+
 def build_models(spark: SparkSession, wh: Warehouse, exact_scale: int | None = None,
-                 touched: DataFrame | None = None, incremental: bool = False) -> dict[str, DataFrame]:
+                 touched: DataFrame | None = None, incremental: bool = False, nulls: dict[str, int] | None = None) -> dict[str, DataFrame]:
     """Silver views, the daily rollup and the four marts, in dependency order.
 
     Staging models are views of the silver database in the catalogue (recomputed on read).  The daily rollup feeds
@@ -298,10 +307,12 @@ def build_models(spark: SparkSession, wh: Warehouse, exact_scale: int | None = N
     ``touched`` (country, month) pairs are re-aggregated from bronze
     (``refresh_daily``), otherwise it is rebuilt in full.  Marts are rebuilt in full, from the small daily table and the
     state of per-unit partial results, to which new loads are added (``refresh_capacity_per_unit``).  The capacity mart reads the written dimension
-    and per-unit mart, whose file sizes the planner knows.
+    and per-unit mart, whose file sizes the planner knows.  The failures of the marts' not-null checks are counted
+    by the jobs that write them and put into ``nulls``, for ``run_checks``.
     """
     configure(spark)
     wh.create_layers()
+    nulls = {} if nulls is None else nulls
     b75 = wh.read_bronze(tx.BRONZE_TABLES["A75"], BRONZE_A75)
     b68 = wh.read_bronze(tx.BRONZE_TABLES["A68"], BRONZE_A68)
     b71 = wh.read_bronze(tx.A71_TABLE, BRONZE_A71)
@@ -319,14 +330,12 @@ def build_models(spark: SparkSession, wh: Warehouse, exact_scale: int | None = N
                                                  "stg_entsoe__forecast")
     daily = build_daily(spark, wh, exact_scale, touched, incremental)
     with described(spark, "gridmix: dim_countries, fct_energy_mix"):
-        dim = wh.save_table(marts.dim_countries(daily, ordered=False), "gold", "dim_countries")
-        mix = wh.save_table(marts.energy_mix(daily), "gold", "fct_energy_mix")
+        dim = _save_mart(wh, marts.dim_countries(daily, ordered=False), "dim_countries", nulls)
+        mix = _save_mart(wh, marts.energy_mix(daily), "fct_energy_mix", nulls)
     with described(spark, "gridmix: fct_capacity_per_unit"):
-        cpu = wh.save_table(refresh_capacity_per_unit(wh, exact_scale, incremental), "gold",
-                            "fct_capacity_per_unit")
+        cpu = _save_mart(wh, refresh_capacity_per_unit(wh, exact_scale, incremental), "fct_capacity_per_unit", nulls)
     with described(spark, "gridmix: fct_renewable_capacity"):
-        cap = wh.save_table(marts.renewable_capacity(stg_cap, cpu, dim, exact_scale), "gold",
-                            "fct_renewable_capacity")
+        cap = _save_mart(wh, marts.renewable_capacity(stg_cap, cpu, dim, exact_scale), "fct_renewable_capacity", nulls)
     models.update({"int_generation_daily": daily, "dim_countries": dim, "fct_energy_mix": mix,
                    "fct_capacity_per_unit": cpu, "fct_renewable_capacity": cap})
     return models
@@ -336,10 +345,13 @@ class QualityCheckFailed(RuntimeError):
     pass
 
 
-def run_checks(models: dict[str, DataFrame], fail: bool = True) -> DataFrame:
-    """DQ5 after a build; with ``fail`` a failing check raises, naming it."""
+def run_checks(models: dict[str, DataFrame], fail: bool = True, nulls: dict[str, int] | None = None) -> DataFrame:
+    """DQ5 after a build; with ``fail`` a failing check raises, naming it.
+
+    ``nulls``: failures that ``build_models`` counted while writing; those checks read no table again.
+    """
     with described(models["dim_countries"].sparkSession, "gridmix: quality checks"):
-        report = freeze(quality.report(models))
+        report = freeze(quality.report(models, known=nulls))
     if fail:
         failing = report.where(F.col("failures") > 0).select("test_id", "failures").collect()
         if failing:
@@ -368,5 +380,6 @@ def run_all(spark: SparkSession, wh: Warehouse, landing_root: str, countries: li
     ingested = ingest_extracts(spark, wh, landing_root, countries, documents, window, stamp, csv_root)
     per_unit_summary = (ingest_per_unit(spark, wh, responses_root, manifest, stamp)
                         if responses_root is not None else None)
-    models = build_models(spark, wh, exact_scale, incremental=True)
-    return RunResult(ingested, per_unit_summary, models, run_checks(models, fail=fail_on_checks))
+    nulls: dict[str, int] = {}
+    models = build_models(spark, wh, exact_scale, incremental=True, nulls=nulls)
+    return RunResult(ingested, per_unit_summary, models, run_checks(models, fail=fail_on_checks, nulls=nulls))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from gridmix.operators import quality as Q
 
 
@@ -71,3 +73,19 @@ def test_report_counts_each_seeded_violation(spark):
 def test_failing_keys_of_relationships(spark):
     rows = Q.failing_keys(_models(spark, "relationships"), "relationships").collect()
     assert [(r.test_id, r.value) for r in rows] == [("relationships_fct_renewable_capacity_country_code", "CH")]
+
+
+def test_nulls_counted_while_writing(spark, scratch):
+    """The write counts the failures; the report then reads none of the models for them."""
+    checks = [Q.Check("not_null", "m", "a"), Q.Check("not_null", "m", "b"), Q.Check("not_null", "other", "a")]
+    rows = [(None, i) if i % 3 == 0 else (str(i), None if i == 1 else i) for i in range(100)]
+    for n, expected in ((100, {"not_null_m_a": 34, "not_null_m_b": 1}), (0, {"not_null_m_a": 0, "not_null_m_b": 0})):
+        df = spark.createDataFrame(rows[:n], "a string, b long").repartition(7)
+        observed, seen = Q.observe_nulls(df, "m", checks)
+        observed.write.parquet(f"{scratch}/observed{n}")
+        assert seen.get == expected
+        report = Q.report({"m": spark.read.parquet(f"{scratch}/observed{n}"), "other": spark.range(0).withColumn("a", F.lit("x"))}, checks, seen.get)
+        plan = report._jdf.queryExecution().executedPlan().toString()
+        assert f"observed{n}" not in plan
+        assert {r.test_id: r.failures for r in report.collect()} == {**expected, "not_null_other_a": 0}
+    assert Q.observe_nulls(df, "unchecked", checks) == (df, None)

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridmix.functions import taxonomy as tx
+from gridmix.operators import quality
 from gridmix.operators.ingest import IngestWindow
 from gridmix.plans import layers
 from gridmix.sources import landing
@@ -106,14 +107,17 @@ def test_build_models_and_checks(spark, scratch):
     with open(f"{units}/r.xml", "w") as fh:
         fh.write(doc(ts(psr="B14", periods=[period(points=("600",))])))
     layers.ingest_per_unit(spark, wh, f"{scratch}/responses", now="2026-01-01 00:00:00")
-    models = layers.build_models(spark, wh, exact_scale=2)
+    nulls = {}
+    models = layers.build_models(spark, wh, exact_scale=2, nulls=nulls)
     mix = {r.country_code: r for r in models["fct_energy_mix"].collect()}
     assert mix["FR"].total_production_mwh == 240.0 + 120.0 and mix["FR"].renewable_percentage == 66.67
     capm = {r.country_code: r for r in models["fct_renewable_capacity"].collect()}
     assert capm["PT"].total_installed_capacity_mw == 150.0 and capm["FR"].nuclear_capacity_percentage == 100.0
     assert spark.catalog.tableExists("analytics_gold.fct_energy_mix")
-    report = layers.run_checks(models)
+    report = layers.run_checks(models, nulls=nulls)
     assert report.count() == 14
+    assert sorted(nulls) == sorted(c.test_id for c in quality.CHECKS if c.test == "not_null" and c.model != "int_generation_daily")
+    assert sorted(map(tuple, layers.run_checks(models).collect())) == sorted(map(tuple, report.collect()))
 
 
 def test_run_checks_raises_on_failure(spark):
