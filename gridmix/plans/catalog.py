@@ -473,33 +473,33 @@ def q_landed_mixed_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return staging.stg_generation(wh.read_bronze(_a75_table(), BRONZE_A75).drop(MONTH_COL))
 
 
-def _csv_run(spark: SparkSession, sf_dir: str):
-    """SRC3, ING4: generation extracts landed as CSV, loaded into a warehouse."""
-    from gridmix.plans import layers
-    from gridmix.sources.warehouse import Warehouse
-
+def _landed_csv(spark: SparkSession, sf_dir: str) -> str:
+    """Generation extracts landed as CSV below the returned folder."""
     configure(spark)
     run = _run_folder(spark, "landed_csv")
     fx.land_csv_a75(fx.bronze_a75_long(spark, sf_dir), f"{run}/csv")
-    wh = Warehouse(spark, f"{run}/warehouse")
-    result = layers.ingest_extracts(spark, wh, f"{run}/landing", fx.COUNTRIES_10, ["A75"], ingest.IngestWindow(start="1990-01-01", end="2005-01-01"),
-                                    fx.INGESTION_TS, csv_root=f"{run}/csv")
-    return wh, result
+    return run
 
 
 def q_landed_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRC3, PRJ6, PRJ7: CSV extracts with two header rows and differing columns, loaded and staged."""
+    """SRC3, PRJ6, PRJ7, ING4: CSV extracts with two header rows and differing columns, loaded into a warehouse and staged."""
     from gridmix.contracts import BRONZE_A75
-    from gridmix.sources.warehouse import MONTH_COL
+    from gridmix.plans import layers
+    from gridmix.sources.warehouse import MONTH_COL, Warehouse
 
-    wh, _ = _csv_run(spark, sf_dir)
+    run = _landed_csv(spark, sf_dir)
+    wh = Warehouse(spark, f"{run}/warehouse")
+    layers.ingest_extracts(spark, wh, f"{run}/landing", fx.COUNTRIES_10, ["A75"], ingest.IngestWindow(start="1990-01-01", end="2005-01-01"),
+                           fx.INGESTION_TS, csv_root=f"{run}/csv")
     return staging.stg_generation(wh.read_bronze(_a75_table(), BRONZE_A75).drop(MONTH_COL))
 
 
 def q_landed_csv_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRC3, ING6: lines of that run that were kept apart, by country and reason."""
-    _, result = _csv_run(spark, sf_dir)
-    return result.rejected.groupBy("country_code", "reason").agg(F.count(F.lit(1)).alias("n_lines"), F.countDistinct("file_path").alias("n_files"))
+    """SRC3, ING6: lines of these extracts that are kept apart, by country and reason."""
+    from gridmix.sources import landing
+
+    _, rejected = landing.read_csv_extracts(spark, f"{_landed_csv(spark, sf_dir)}/csv", "A75")
+    return rejected.groupBy("country_code", "reason").agg(F.count(F.lit(1)).alias("n_lines"), F.countDistinct("file_path").alias("n_files"))
 
 
 def _a75_table() -> str:

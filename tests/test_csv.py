@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
+from gridmix.functions import taxonomy as tx
+from gridmix.operators.ingest import IngestWindow
+from gridmix.plans import layers
 from gridmix.sources import landing
+from gridmix.sources.warehouse import Warehouse
 
 
 def _put(root, country, name, text):
@@ -48,3 +52,15 @@ def test_nothing_landed_and_headers_alone(spark, tmp_path):
     _put(tmp_path, "FR", "a.csv", ",Solar\n,Actual Aggregated\n")
     rows, rejected = landing.read_csv_extracts(spark, str(tmp_path), "A75")
     assert rows.columns[3:] == ["solar_actual_aggregated"] and rows.count() == 0 and rejected.count() == 0
+
+
+def test_csv_and_parquet_load_together(spark, tmp_path):
+    _put(tmp_path / "csv", "FR", "a.csv", ",Solar\n,Actual Aggregated\n2025-07-01 05:00:00,3\n2025-07-01 06:00:00,x\n")
+    landing.land_extract(spark.createDataFrame([("A75", "PT", dt.datetime(2025, 7, 1, 5), 4.0)],
+                                               "document_type string, country_code string, index timestamp, `Solar/Actual Aggregated` double"), f"{tmp_path}/landing")
+    wh = Warehouse(spark, f"{tmp_path}/wh")
+    result = layers.ingest_extracts(spark, wh, f"{tmp_path}/landing", ["FR", "PT"], ["A75"], IngestWindow(start="2025-06-01", end="2025-07-03"),
+                                    now="2026-01-01 00:00:00", csv_root=f"{tmp_path}/csv")
+    assert {r.country_code: r.solar_actual_aggregated for r in wh.read_bronze(tx.BRONZE_TABLES["A75"]).collect()} == {"FR": 3.0, "PT": 4.0}
+    assert [(r.country_code, r.reason) for r in result.rejected.collect()] == [("FR", "not a number")]
+    assert result.broken_files == {} and result.unreadable == {}
