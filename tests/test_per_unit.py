@@ -218,3 +218,19 @@ def test_complete_series_files_only(spark, tmp_path):
     per_document = per_unit.parse_documents(landing.read_responses(spark, str(tmp_path))).collect()
     assert sorted(map(str, rows)) == sorted(map(str, per_document))
     assert "U9" in {r.unit_id for r in per_unit.series_rows(landing.read_series(spark, str(tmp_path))).collect()}
+
+
+def test_a_document_is_parsed_where_its_series_are_made_only(spark, capsys):
+    df = spark.createDataFrame([("FR", 200, doc(ts()))], "country_code string, http_status int, body string")
+    for parse, times in ((per_unit.parse_documents, 1), (per_unit.parse_nested, 2)):  # as it is, and without wrappers
+        capsys.readouterr()
+        parse(df).explain()
+        assert capsys.readouterr().out.count("from_xml(") == times
+        assert [r.unit_id for r in parse(df).collect()] == ["U1"]
+
+
+def test_tags_with_attributes_and_loose_quotes(spark):
+    bodies = ["""<a:Unit x="1>2" y='<b>'><ns:quantity u='>' />""", """<Unit x="1>2><quantity>1</quantity>""", "a < b <Points><Point\n/><x-1/></Points>"]
+    df = spark.createDataFrame([(b,) for b in bodies], "body string")
+    assert [r[0] for r in df.select(per_unit.unwrapped(per_unit.F.col("body"))).collect()] == [
+        f"<document>{x}</document>" for x in ("<quantity/>", """<Unit x="1>2><quantity>1</quantity>""", "a < b <Point/>")]
