@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from gridmix.functions import exprs as X
 from gridmix.operators.joins import anti_join, freeze, lookup_join, semi_join
+from gridmix.session import unsorted_writes
 
 
 def read_extracts(spark: SparkSession, root: str, document_type: str) -> DataFrame | None:
@@ -203,7 +204,8 @@ def read_responses(spark: SparkSession, root: str, manifest: DataFrame | None =
 def land_responses(responses: DataFrame, root: str) -> None:
     """Write ``country_code, http_status, body`` rows into the landing layout, one document per line."""
     one_line = F.regexp_replace("body", r"[\r\n]+", " ")
-    responses.select("country_code", "http_status", one_line.alias("value")).write.mode("append").partitionBy("country_code", "http_status").text(root)
+    with unsorted_writes(responses.sparkSession):
+        responses.select("country_code", "http_status", one_line.alias("value")).write.mode("append").partitionBy("country_code", "http_status").text(root)
 
 
 def land_extract(df: DataFrame, root: str) -> None:

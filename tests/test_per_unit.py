@@ -234,3 +234,29 @@ def test_tags_with_attributes_and_loose_quotes(spark):
     df = spark.createDataFrame([(b,) for b in bodies], "body string")
     assert [r[0] for r in df.select(per_unit.unwrapped(per_unit.F.col("body"))).collect()] == [
         f"<document>{x}</document>" for x in ("<quantity/>", """<Unit x="1>2><quantity>1</quantity>""", "a < b <Point/>")]
+
+
+def test_landed_texts_are_written_without_being_sorted(spark, tmp_path, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from gridmix.sources import fixtures, landing
+    from tests.conftest import SF_SMALL
+
+    key, seen, text = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.text
+    before = spark.conf.get(key)
+
+    def watched(self, path, **options):
+        seen.append((int(spark.conf.get(key)), self._df._jdf.queryExecution().optimizedPlan().toString()))
+        return text(self, path, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "text", watched)
+    landing.land_responses(spark.createDataFrame([("FR", 200, "a\nb"), (None, 503, "c")], "country_code string, http_status int, body string"), str(tmp_path / "r"))
+    assert sorted((r.country_code, r.http_status, r.body) for r in landing.read_responses(spark, str(tmp_path / "r"), one_per_line=True).fillna("").collect()) == [
+        ("", 503, "c"), ("FR", 200, "a b")]
+    fixtures.land_a71_files(spark, SF_SMALL, str(tmp_path / "s"))
+    assert all(files >= 36 for files, _ in seen) and len(seen) == 2 and spark.conf.get(key) == before
+    assert "<TimeSeries>" in seen[1][1] and "<TimeSeries>" not in seen[1][1].split("Sort [", 1)[1]  # texts are built above the sort
+    for file in (tmp_path / "s").rglob("part-*.txt"):
+        lines = file.read_text().splitlines()
+        assert lines[0].startswith("<?xml") and all(x.startswith("<TimeSeries>") for x in lines[1:-1])
+        assert (lines[-1] == "</GL_MarketDocument>") is not str(file.parent).endswith("country_code=FR/part=3")
