@@ -13,11 +13,12 @@ bands (a pair whose thin sets have similarity j shares none with probability abo
 (1 - j ** rows) ** bands: with 8 bands of 3, 0.3% at 0.8 and 0.02% at 0.9).
 
 All lines of a bucket are compared with one pivot, its smallest key, which links near copies without
-listing their pairs.  A bucket in which several lines are not alike to the pivot is mixed.  The lines of
+listing their pairs.  A bucket of three lines or more in which one is not alike to the pivot is mixed.  The lines of
 mixed buckets (but for the pivots) are banded anew with longer keys, and compared with new pivots, level
-by level (``LEVELS``), until no bucket is mixed.  Work stays linear in the lines of a bucket, however many of
-them share a template.  Lost are pairs that no level puts beside a pivot: the README gives the
-measured recall.  Pairs are judged by their full sets; only pairs whose thin sets differ widely (``THIN``) are left out before.  Only DataFrame functions are used.
+by level (``LEVELS``), until no bucket is mixed.  The lines of first buckets that still hold lines of several
+components meet in a prefix filter join of their full sets: rarest runs first, two alike lines share one of the first fifth.  So every pair that
+shares a bucket is compared, or already in one component.  Lost are only pairs that share no band.  Pairs are judged by
+their full sets.  Only DataFrame functions are used.
 
 Defined cases: a NULL text stays NULL; documents are told apart by id and text, so rows that
 repeat both are one document and get the same lines; a NULL id comes after all others; lines
@@ -40,8 +41,6 @@ SPARSE = r"(?s)(?=([^\x20\x09-\x0D].{0,11}))(?:[^\x20\x09-\x0D]{1,10}+(?![^\x20\
 BANDS, ROWS = 8, 3
 #: Rows and bands of the levels that lines of mixed buckets go through.
 LEVELS = ((6, 20), (12, 40))
-#: A pair whose thin sets are less alike than this needs no comparison of the full sets, if they have ``ENOUGH`` runs.
-THIN, ENOUGH = 0.55, 20
 BLANKS = " \t\n\x0b\f\r"
 SMALL = 500_000  # rows of a few longs that may be broadcast
 
@@ -98,14 +97,13 @@ def _with_keys(lines: DataFrame) -> DataFrame:
     return lines.withColumn("k1", F.xxhash64("line")).withColumn("k2", F.xxhash64(F.lit("second"), "line"))
 
 
-def _at_least(pattern: str, threshold: float, enough: int = 0) -> Column:
-    """If the sets of ``la`` and ``lb`` are alike, or one has fewer than ``enough`` runs."""
-    both = F.array(F.struct(shingle_hashes("la", pattern).alias("a"), shingle_hashes("lb", pattern).alias("b")))  # an array, so that its runs are taken once
+def _at_least(threshold: float) -> Column:
+    """If the sets of ``la`` and ``lb`` are alike."""
+    both = F.array(F.struct(shingle_hashes("la", SHINGLE).alias("a"), shingle_hashes("lb", SHINGLE).alias("b")))  # an array, so that its runs are taken once
 
     def alike(p: Column) -> Column:
         runs = F.size(p["a"]) + F.size(p["b"])
-        far = F.size(F.array_intersect(p["a"], p["b"])) * (1 + threshold) >= threshold * runs - 1e-9  # common >= threshold * union
-        return F.when(F.least(F.size(p["a"]), F.size(p["b"])) < enough, True).otherwise(far)
+        return F.size(F.array_intersect(p["a"], p["b"])) * (1 + threshold) >= threshold * runs - 1e-9  # common >= threshold * union
 
     return F.exists(both, alike)
 
@@ -115,7 +113,7 @@ def _alike(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     return (
         pairs.join(texts.select(F.col("k1").alias("a"), F.col("line").alias("la")), "a")
         .join(texts.select(F.col("k1").alias("b"), F.col("line").alias("lb")), "b")
-        .filter(F.when(_at_least(SPARSE, THIN, ENOUGH), _at_least(SHINGLE, threshold)).otherwise(False))
+        .filter(_at_least(threshold))
         .select("a", "b")
     )
 
@@ -127,13 +125,55 @@ def _compared(entries: DataFrame) -> DataFrame:
 
 
 def _unsettled(near: DataFrame, linked: DataFrame) -> DataFrame:
-    """``k1`` of the lines in buckets that hold two lines or more that are not alike to the pivot."""
+    """``k1`` of the lines in buckets that hold two lines or more beside the pivot, one of them not alike to it."""
     known = checked_broadcast(linked.select(F.col("a").alias("k1"), F.col("b").alias("pivot")), SMALL)
-    unlike = near.join(known, ["k1", "pivot"], "left_anti").select("k1", "key")
-    mixed = unlike.groupBy("key").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi")).filter("lo <> hi").select("key")
+    unlike = near.join(known, ["k1", "pivot"], "left_anti").select("key").distinct()
+    several = near.groupBy("key").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi")).filter("lo <> hi").select("key")
+    mixed = several.join(checked_broadcast(unlike, SMALL), "key", "left_semi")
     return near.join(checked_broadcast(mixed, SMALL), "key", "left_semi").select("k1").distinct()
 
 
+def _apart(near: DataFrame, components: DataFrame) -> DataFrame:
+    """``k1, component`` of the lines in buckets of three lines or more that are not all of one component."""
+    members = near.select("k1", "key").unionByName(near.select(F.col("pivot").alias("k1"), "key").distinct())
+    placed = members.join(checked_broadcast(components, SMALL), "k1", "left").select("k1", "key", F.coalesce("component", "k1").alias("component"))
+    parted = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n")).filter("lo <> hi and n > 2")
+    return placed.join(checked_broadcast(parted.select("key"), SMALL), "key", "left_semi").select("k1", "component").distinct()
+
+
+def _sharing_prefix(rest: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Pairs ``a, b`` of different components that may be alike, none left out; ``rest``: ``k1, component``."""
+    tokens = store(
+        texts.join(checked_broadcast(rest, SMALL), "k1").select("k1", "component", shingle_hashes("line", SHINGLE).alias("s"))
+        .select("k1", "component", F.size("s").alias("n"), F.explode("s").alias("token"))
+    )
+    counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("rows"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+    # a run of a single line comes first and meets nothing, so it only takes a place in the line's prefix
+    shared = counts.filter("rows > 1").select("token", "rows", (F.col("lo") != F.col("hi")).alias("meets"))
+    alone = tokens.join(shared, "token", "left").withColumn("rows", F.coalesce("rows", F.lit(1)))
+    least = F.ceil(threshold * F.col("n") - F.lit(1e-9))  # runs that an alike line has too, at least
+    prefixes = store(
+        alone.withColumn("at", F.row_number().over(Window.partitionBy("k1").orderBy("rows", "token")))
+        .filter((F.col("at") <= F.col("n") - least + 1) & F.col("meets")).select("k1", "component", "n", "token")
+    )
+    x, y = prefixes.alias("x"), prefixes.alias("y")
+    like = (F.col("x.n") >= threshold * F.col("y.n") - 1e-9) & (F.col("y.n") >= threshold * F.col("x.n") - 1e-9)
+    met = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.k1") > F.col("y.k1")) & (F.col("x.component") != F.col("y.component")) & like)
+    return met.select(F.col("x.k1").alias("a"), F.col("y.k1").alias("b")).distinct()
+
+
+def _united(components: DataFrame, rest: DataFrame, linked: DataFrame) -> DataFrame:
+    """``components`` with those that ``linked`` (``a, b``) joins made one."""
+    of = checked_broadcast(rest, SMALL)
+    ends = (linked.join(of.select(F.col("k1").alias("a"), F.col("component").alias("ca")), "a")
+            .join(of.select(F.col("k1").alias("b"), F.col("component").alias("cb")), "b"))
+    joined = freeze(connected_components(ends, "ca", "cb").select("node", F.col("component").alias("united")))
+    known = components.join(checked_broadcast(joined, SMALL), F.col("component") == F.col("node"), "left").select(
+        "k1", F.coalesce("united", "component").alias("component"))
+    lone = joined.join(checked_broadcast(components.select(F.col("k1").alias("node")), SMALL), "node", "left_anti")
+    return known.unionByName(lone.select(F.col("node").alias("k1"), F.col("united").alias("component")))
+
+
 def alike_components(lines: DataFrame, banded: DataFrame, threshold: float, levels: tuple[tuple[int, int], ...] = LEVELS) -> DataFrame:
     """``k1, component`` of every line that is alike to another; ``banded``: ``k1, bands`` of each line."""
     near = _compared(banded.select("k1", F.explode("bands").alias("key")))
@@ -144,7 +184,7 @@ def alike_components(lines: DataFrame, banded: DataFrame, threshold: float, leve
         .groupBy("k1").agg(F.any_value("line").alias("line"))
     )
     linked = freeze(_alike(pairs, texts, threshold))
-    found = linked
+    first, found = near, linked
     for rows, bands in levels:
         rest = freeze(_unsettled(near, linked))
         if rest.isEmpty():
@@ -154,7 +194,12 @@ def alike_components(lines: DataFrame, banded: DataFrame, threshold: float, leve
         pairs = near.select(F.col("k1").alias("a"), F.col("pivot").alias("b")).distinct()
         linked = freeze(_alike(pairs, texts, threshold))
         found = found.unionByName(linked)
-    return freeze(connected_components(found, "a", "b").withColumnRenamed("node", "k1"))
+    components = freeze(connected_components(found, "a", "b").withColumnRenamed("node", "k1"))
+    rest = freeze(_apart(first, components))
+    if rest.isEmpty():
+        return components
+    more = freeze(_alike(freeze(_sharing_prefix(rest, texts, threshold)), texts, threshold))
+    return components if more.isEmpty() else freeze(_united(components, rest, more))
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,

@@ -131,6 +131,41 @@ def test_line_dedup_judges_by_all_runs_of_characters(documents):
     assert got.text.split("\n") == stays(lines)
 
 
+def alike_of(spark, lines, buckets, levels=()):
+    """Components of ``lines`` in the given buckets, as lists of line numbers."""
+    rows = spark.createDataFrame(list(enumerate(lines)), "n int, line string")
+    keyed = line_dedup._with_keys(rows).drop("k2")
+    numbers = {r.k1: r.n for r in keyed.collect()}
+    bands = spark.createDataFrame([(n, b) for n, b in enumerate(buckets)], "n int, bands array<long>")
+    got = line_dedup.alike_components(rows, keyed.join(bands, "n").select("k1", "bands"), 0.8, levels).collect()
+    groups = {}
+    for r in got:
+        groups.setdefault(r.component, []).append(numbers[r.k1])
+    return sorted(sorted(g) for g in groups.values())
+
+
+def test_lines_of_one_bucket_are_all_compared(spark):
+    rng = random.Random(5)
+    lines, want = [], []
+    for _ in range(30):  # alike pairs, and chains whose ends are not alike, that are unlike all other lines
+        words = prose(40, rng)
+        chain = [" ".join(words[k:k + 30]) for k in (0, 3, 6, 9)][:rng.choice((2, 4))]
+        lines += chain
+        groups = brute.components(len(chain), lambda i, j, c=chain: stays([c[i], c[j]]) == c[:0] + [c[i]])
+        for g in set(groups):
+            members = [len(lines) - len(chain) + i for i, x in enumerate(groups) if x == g]
+            want += [members] if len(members) > 1 else []
+    assert len(want) > 20
+    assert alike_of(spark, lines, [[1]] * len(lines)) == sorted(want)
+    assert alike_of(spark, lines, [[1]] * len(lines), line_dedup.LEVELS) == sorted(want)
+
+
+def test_one_unlike_line_of_a_bucket_is_compared_with_all(spark):
+    words = prose(40, random.Random(6))
+    chain = [" ".join(words[k:k + 30]) for k in (0, 2, 4, 6, 8, 10)]
+    assert alike_of(spark, chain, [[1]] * 6) == [[0, 1, 2, 3, 4, 5]]
+
+
 def test_line_dedup_edge_rows(documents):
     rows = [(1, "a b\nc d"), (1, "a b\nc d"), (None, "a b\nnew"), (2, "c d\n\nown"), (3, "a b"), (4, None), (5, "")]
     docs = documents(rows)
