@@ -13,12 +13,10 @@ bands (a pair whose thin sets have similarity j shares none with probability abo
 (1 - j ** rows) ** bands: with 8 bands of 3, 0.3% at 0.8 and 0.02% at 0.9).
 
 All lines of a bucket are compared with one pivot, its smallest key, which links near copies without
-listing their pairs.  A bucket of three lines or more in which one is not alike to the pivot is mixed.  The lines of
-mixed buckets (but for the pivots) are banded anew with longer keys, and compared with new pivots, level
-by level (``LEVELS``), until no bucket is mixed.  The lines of first buckets that still hold lines of several
-components meet in a prefix filter join of their full sets: rarest runs first, two alike lines share one of the first fifth.  So every pair that
-shares a bucket is compared, or already in one component.  Lost are only pairs that share no band.  Pairs are judged by
-their full sets.  Only DataFrame functions are used.
+listing their pairs.  A bucket of three lines or more in which one is not alike to the pivot is mixed.  All lines of
+mixed buckets meet in a prefix filter join of their full sets, rarest runs first, unless they are in one component already.  So every pair
+that shares a bucket is compared or in one component.  Lost are only pairs that share no band.  Pairs are judged by their
+full sets.  Only DataFrame functions are used.
 
 Defined cases: a NULL text stays NULL; documents are told apart by id and text, so rows that
 repeat both are one document and get the same lines; a NULL id comes after all others; lines
@@ -39,8 +37,6 @@ SHINGLE = r"(?s)(?=(.{12}|^.{1,11}(?!.)))."
 #: Looks at a run from a word start, then moves on: behind the word if at most 10 of its characters are left, else by one character.
 SPARSE = r"(?s)(?=([^\x20\x09-\x0D].{0,11}))(?:[^\x20\x09-\x0D]{1,10}+(?![^\x20\x09-\x0D])|[^\x20\x09-\x0D])[\x20\x09-\x0D]*"
 BANDS, ROWS = 8, 3
-#: Rows and bands of the levels that lines of mixed buckets go through.
-LEVELS = ((6, 20), (12, 40))
 BLANKS = " \t\n\x0b\f\r"
 SMALL = 500_000  # rows of a few longs that may be broadcast
 
@@ -72,18 +68,6 @@ def band_keys(hashes: str, twice: str, ring: str, bands: int = BANDS, rows: int
     return F.array(*[key(band, point) for band, point in enumerate(_points(bands))])
 
 
-def long_keys(hashes: str, bands: int, rows: int) -> Column:
-    """``band_keys`` for many long keys, as one small expression over the points."""
-    points = F.array(*map(F.lit, _points(bands)))
-    once = F.array(F.struct(F.concat(hashes, hashes).alias("twice"), _ring(hashes, bands).alias("ring"), F.size(hashes).alias("n")))  # an array, so that they are made once
-
-    def key(x: Column, point: Column, band: Column) -> Column:
-        at = (F.array_position(x["ring"], point) - 1 - band) % x["n"]  # hashes below the point
-        return F.xxhash64(band, F.slice(x["twice"], at.cast("int") + 1, rows))
-
-    return F.flatten(F.transform(once, lambda x: F.transform(points, lambda point, band: key(x, point, band))))
-
-
 def occurrences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Each non-blank line: ``id, h`` (the document), ``line_no``, ``line`` without outer white space."""
     return (
@@ -125,20 +109,13 @@ def _compared(entries: DataFrame) -> DataFrame:
 
 
 def _unsettled(near: DataFrame, linked: DataFrame) -> DataFrame:
-    """``k1`` of the lines in buckets that hold two lines or more beside the pivot, one of them not alike to it."""
+    """``k1`` of the lines in buckets that hold two lines or more beside the pivot, one of them not alike to it; pivots too."""
     known = checked_broadcast(linked.select(F.col("a").alias("k1"), F.col("b").alias("pivot")), SMALL)
     unlike = near.join(known, ["k1", "pivot"], "left_anti").select("key").distinct()
     several = near.groupBy("key").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi")).filter("lo <> hi").select("key")
     mixed = several.join(checked_broadcast(unlike, SMALL), "key", "left_semi")
-    return near.join(checked_broadcast(mixed, SMALL), "key", "left_semi").select("k1").distinct()
-
-
-def _apart(near: DataFrame, components: DataFrame) -> DataFrame:
-    """``k1, component`` of the lines in buckets of three lines or more that are not all of one component."""
-    members = near.select("k1", "key").unionByName(near.select(F.col("pivot").alias("k1"), "key").distinct())
-    placed = members.join(checked_broadcast(components, SMALL), "k1", "left").select("k1", "key", F.coalesce("component", "k1").alias("component"))
-    parted = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("n")).filter("lo <> hi and n > 2")
-    return placed.join(checked_broadcast(parted.select("key"), SMALL), "key", "left_semi").select("k1", "component").distinct()
+    members = near.join(checked_broadcast(mixed, SMALL), "key", "left_semi").select(F.explode(F.array("k1", "pivot")).alias("k1"))
+    return members.distinct()
 
 
 def _sharing_prefix(rest: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
@@ -148,13 +125,14 @@ def _sharing_prefix(rest: DataFrame, texts: DataFrame, threshold: float) -> Data
         .select("k1", "component", F.size("s").alias("n"), F.explode("s").alias("token"))
     )
     counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("rows"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-    # a run of a single line comes first and meets nothing, so it only takes a place in the line's prefix
-    shared = counts.filter("rows > 1").select("token", "rows", (F.col("lo") != F.col("hi")).alias("meets"))
-    alone = tokens.join(shared, "token", "left").withColumn("rows", F.coalesce("rows", F.lit(1)))
+    # Any one order of the runs loses nothing.  Those of one component come first: they meet nothing, and only take a place in the prefix.
+    shared = freeze(counts.filter("lo <> hi").select("token", "rows"))
+    of_line = Window.partitionBy("k1")
+    met_runs = tokens.join(checked_broadcast(shared, SMALL), "token").withColumn("m", F.count(F.lit(1)).over(of_line))
     least = F.ceil(threshold * F.col("n") - F.lit(1e-9))  # runs that an alike line has too, at least
     prefixes = store(
-        alone.withColumn("at", F.row_number().over(Window.partitionBy("k1").orderBy("rows", "token")))
-        .filter((F.col("at") <= F.col("n") - least + 1) & F.col("meets")).select("k1", "component", "n", "token")
+        met_runs.filter(F.col("m") >= least).withColumn("at", F.row_number().over(of_line.orderBy("rows", "token")))
+        .filter(F.col("at") <= F.col("m") - least + 1).select("k1", "component", "n", "token")
     )
     x, y = prefixes.alias("x"), prefixes.alias("y")
     like = (F.col("x.n") >= threshold * F.col("y.n") - 1e-9) & (F.col("y.n") >= threshold * F.col("x.n") - 1e-9)
@@ -174,7 +152,7 @@ def _united(components: DataFrame, rest: DataFrame, linked: DataFrame) -> DataFr
     return known.unionByName(lone.select(F.col("node").alias("k1"), F.col("united").alias("component")))
 
 
-def alike_components(lines: DataFrame, banded: DataFrame, threshold: float, levels: tuple[tuple[int, int], ...] = LEVELS) -> DataFrame:
+def alike_components(lines: DataFrame, banded: DataFrame, threshold: float) -> DataFrame:
     """``k1, component`` of every line that is alike to another; ``banded``: ``k1, bands`` of each line."""
     near = _compared(banded.select("k1", F.explode("bands").alias("key")))
     pairs = freeze(near.select(F.col("k1").alias("a"), F.col("pivot").alias("b")).distinct())
@@ -184,18 +162,9 @@ def alike_components(lines: DataFrame, banded: DataFrame, threshold: float, leve
         .groupBy("k1").agg(F.any_value("line").alias("line"))
     )
     linked = freeze(_alike(pairs, texts, threshold))
-    first, found = near, linked
-    for rows, bands in levels:
-        rest = freeze(_unsettled(near, linked))
-        if rest.isEmpty():
-            break
-        hashed = texts.join(checked_broadcast(rest, SMALL), "k1").select("k1", shingle_hashes("line").alias("s")).filter("size(s) > 1")
-        near = _compared(hashed.select("k1", F.explode(long_keys("s", bands, rows)).alias("key")))
-        pairs = near.select(F.col("k1").alias("a"), F.col("pivot").alias("b")).distinct()
-        linked = freeze(_alike(pairs, texts, threshold))
-        found = found.unionByName(linked)
-    components = freeze(connected_components(found, "a", "b").withColumnRenamed("node", "k1"))
-    rest = freeze(_apart(first, components))
+    components = freeze(connected_components(linked, "a", "b").withColumnRenamed("node", "k1"))
+    rest = freeze(_unsettled(near, linked).join(checked_broadcast(components, SMALL), "k1", "left")
+                  .select("k1", F.coalesce("component", "k1").alias("component")))
     if rest.isEmpty():
         return components
     more = freeze(_alike(freeze(_sharing_prefix(rest, texts, threshold)), texts, threshold))

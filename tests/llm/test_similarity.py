@@ -131,13 +131,13 @@ def test_line_dedup_judges_by_all_runs_of_characters(documents):
     assert got.text.split("\n") == stays(lines)
 
 
-def alike_of(spark, lines, buckets, levels=()):
+def alike_of(spark, lines, buckets):
     """Components of ``lines`` in the given buckets, as lists of line numbers."""
     rows = spark.createDataFrame(list(enumerate(lines)), "n int, line string")
     keyed = line_dedup._with_keys(rows).drop("k2")
     numbers = {r.k1: r.n for r in keyed.collect()}
     bands = spark.createDataFrame([(n, b) for n, b in enumerate(buckets)], "n int, bands array<long>")
-    got = line_dedup.alike_components(rows, keyed.join(bands, "n").select("k1", "bands"), 0.8, levels).collect()
+    got = line_dedup.alike_components(rows, keyed.join(bands, "n").select("k1", "bands"), 0.8).collect()
     groups = {}
     for r in got:
         groups.setdefault(r.component, []).append(numbers[r.k1])
@@ -157,7 +157,6 @@ def test_lines_of_one_bucket_are_all_compared(spark):
             want += [members] if len(members) > 1 else []
     assert len(want) > 20
     assert alike_of(spark, lines, [[1]] * len(lines)) == sorted(want)
-    assert alike_of(spark, lines, [[1]] * len(lines), line_dedup.LEVELS) == sorted(want)
 
 
 def test_one_unlike_line_of_a_bucket_is_compared_with_all(spark):
