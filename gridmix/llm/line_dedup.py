@@ -26,7 +26,7 @@ table gives no rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridmix.llm.common import connected_components, store
@@ -37,6 +37,8 @@ SHINGLE = r"(?s)(?=(.{12}|^.{1,11}(?!.)))."
 #: Looks at a run from a word start, then moves on: behind the word if at most 10 of its characters are left, else by one character.
 SPARSE = r"(?s)(?=([^\x20\x09-\x0D].{0,11}))(?:[^\x20\x09-\x0D]{1,10}+(?![^\x20\x09-\x0D])|[^\x20\x09-\x0D])[\x20\x09-\x0D]*"
 BANDS, ROWS = 8, 3
+WORDS = 16  # 64-bit words of marks of a line
+HUBS = 8  # lines of a bucket that all its lines are compared with before all are
 BLANKS = " \t\n\x0b\f\r"
 SMALL = 500_000  # rows of a few longs that may be broadcast
 
@@ -102,42 +104,55 @@ def _alike(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     )
 
 
+def _marked(texts: DataFrame) -> DataFrame:
+    """``k1, n, marks`` of each line: the size of its full set, and for each of ``64 * WORDS`` bits whether an odd number of its runs fall on it."""
+    runs = texts.select("k1", F.explode(shingle_hashes("line", SHINGLE)).alias("run"))
+    bit = F.expr("shiftleft(1L, cast(shiftrightunsigned(run, 32) & 63 as int))")
+    words = [F.coalesce(F.bit_xor(F.when(F.pmod("run", F.lit(WORDS)) == w, bit)), F.lit(0).cast("long")) for w in range(WORDS)]
+    return runs.groupBy("k1").agg(F.count(F.lit(1)).cast("int").alias("n"), F.array(*words).alias("marks"))
+
+
+def _may_be_alike(x: str, y: str, threshold: float) -> Column:
+    """False only for lines whose full sets cannot be alike: each differing mark, and each run that one has more, is a run that only one has."""
+    n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
+    differing = sum((F.bit_count(F.col(f"{x}.marks")[w].bitwiseXOR(F.col(f"{y}.marks")[w])) for w in range(1, WORDS)),
+                    F.bit_count(F.col(f"{x}.marks")[0].bitwiseXOR(F.col(f"{y}.marks")[0])))
+    most = (n + m) * ((1 - threshold) / (1 + threshold)) + 1e-6  # runs that only one of two alike lines has
+    return (F.abs(n - m) <= most) & (differing <= most)
+
+
 def _compared(entries: DataFrame) -> DataFrame:
     """The lines of each bucket beside the bucket's pivot, its smallest key: ``k1, key, pivot``."""
     pivots = freeze(entries.groupBy("key").agg(F.min("k1").alias("pivot"), F.max("k1").alias("last")).filter("pivot <> last").drop("last"))
     return store(entries.join(checked_broadcast(pivots, SMALL), "key").filter("k1 <> pivot").distinct())
 
 
-def _unsettled(near: DataFrame, linked: DataFrame) -> DataFrame:
-    """``k1`` of the lines in buckets that hold two lines or more beside the pivot, one of them not alike to it; pivots too."""
-    known = checked_broadcast(linked.select(F.col("a").alias("k1"), F.col("b").alias("pivot")), SMALL)
-    unlike = near.join(known, ["k1", "pivot"], "left_anti").select("key").distinct()
+def _members(near: DataFrame) -> DataFrame:
+    """``key, k1`` of the buckets that hold two lines or more beside the pivot; pivots too."""
     several = near.groupBy("key").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi")).filter("lo <> hi").select("key")
-    mixed = several.join(checked_broadcast(unlike, SMALL), "key", "left_semi")
-    members = near.join(checked_broadcast(mixed, SMALL), "key", "left_semi").select(F.explode(F.array("k1", "pivot")).alias("k1"))
-    return members.distinct()
+    members = near.join(checked_broadcast(several, SMALL), "key", "left_semi")
+    return members.select("key", "k1").unionByName(members.select("key", F.col("pivot").alias("k1")).distinct())
 
 
-def _sharing_prefix(rest: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """Pairs ``a, b`` of different components that may be alike, none left out; ``rest``: ``k1, component``."""
-    tokens = store(
-        texts.join(checked_broadcast(rest, SMALL), "k1").select("k1", "component", shingle_hashes("line", SHINGLE).alias("s"))
-        .select("k1", "component", F.size("s").alias("n"), F.explode("s").alias("token"))
-    )
-    counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("rows"), F.min("component").alias("lo"), F.max("component").alias("hi"))
-    # Any one order of the runs loses nothing.  Those of one component come first: they meet nothing, and only take a place in the prefix.
-    shared = freeze(counts.filter("lo <> hi").select("token", "rows"))
-    of_line = Window.partitionBy("k1")
-    met_runs = tokens.join(checked_broadcast(shared, SMALL), "token").withColumn("m", F.count(F.lit(1)).over(of_line))
-    least = F.ceil(threshold * F.col("n") - F.lit(1e-9))  # runs that an alike line has too, at least
-    prefixes = store(
-        met_runs.filter(F.col("m") >= least).withColumn("at", F.row_number().over(of_line.orderBy("rows", "token")))
-        .filter(F.col("at") <= F.col("m") - least + 1).select("k1", "component", "n", "token")
-    )
-    x, y = prefixes.alias("x"), prefixes.alias("y")
-    like = (F.col("x.n") >= threshold * F.col("y.n") - 1e-9) & (F.col("y.n") >= threshold * F.col("x.n") - 1e-9)
-    met = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.k1") > F.col("y.k1")) & (F.col("x.component") != F.col("y.component")) & like)
-    return met.select(F.col("x.k1").alias("a"), F.col("y.k1").alias("b")).distinct()
+def _unsettled(members: DataFrame, components: DataFrame, marked: DataFrame) -> DataFrame:
+    """``key, k1, component, n, marks`` of the lines in buckets whose lines are not all of one component."""
+    placed = freeze(members.join(checked_broadcast(components, SMALL), "k1", "left").select("key", "k1", F.coalesce("component", "k1").alias("component")))
+    mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("key")
+    return store(placed.join(checked_broadcast(mixed, SMALL), "key", "left_semi").join(marked, "k1"))
+
+
+def _hubs(rest: DataFrame) -> DataFrame:
+    """Up to ``HUBS`` lines of each bucket of ``rest``, drawn by hash."""
+    drawn = rest.groupBy("key").agg(F.array_distinct(F.array(*[F.min_by("k1", F.xxhash64(F.lit(i), "k1")) for i in range(HUBS)])).alias("drawn"))
+    return rest.join(drawn.select("key", F.explode("drawn").alias("k1")), ["key", "k1"], "left_semi")
+
+
+def _meeting(rest: DataFrame, others: DataFrame, threshold: float) -> DataFrame:
+    """Pairs ``a, b`` of a line of ``rest`` and one of ``others`` in one bucket and in different components that may be alike, none left out."""
+    x, y = rest.alias("x"), others.alias("y")
+    met = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component")) & _may_be_alike("x", "y", threshold)
+                 & ((F.col("x.k1") > F.col("y.k1")) if rest is others else F.lit(True)))
+    return met.select(F.greatest("x.k1", "y.k1").alias("a"), F.least("x.k1", "y.k1").alias("b")).distinct()
 
 
 def _united(components: DataFrame, rest: DataFrame, linked: DataFrame) -> DataFrame:
@@ -161,14 +176,20 @@ def alike_components(lines: DataFrame, banded: DataFrame, threshold: float) -> D
         _with_keys(lines.select("line")).drop("k2").join(checked_broadcast(wanted, SMALL), "k1", "left_semi")
         .groupBy("k1").agg(F.any_value("line").alias("line"))
     )
-    linked = freeze(_alike(pairs, texts, threshold))
+    marked = store(_marked(texts))
+    likely = (pairs.join(marked.alias("x"), F.col("a") == F.col("x.k1")).join(marked.alias("y"), F.col("b") == F.col("y.k1"))
+              .filter(_may_be_alike("x", "y", threshold)).select("a", "b"))
+    linked = freeze(_alike(likely, texts, threshold))
     components = freeze(connected_components(linked, "a", "b").withColumnRenamed("node", "k1"))
-    rest = freeze(_unsettled(near, linked).join(checked_broadcast(components, SMALL), "k1", "left")
-                  .select("k1", F.coalesce("component", "k1").alias("component")))
-    if rest.isEmpty():
-        return components
-    more = freeze(_alike(freeze(_sharing_prefix(rest, texts, threshold)), texts, threshold))
-    return components if more.isEmpty() else freeze(_united(components, rest, more))
+    members = freeze(_members(near))
+    for chosen in (_hubs, lambda lines: lines):  # a few lines of each bucket join most of its components, so that few pairs of all lines are left
+        rest = _unsettled(members, components, marked)
+        if rest.isEmpty():
+            break
+        more = freeze(_alike(freeze(_meeting(rest, chosen(rest), threshold)), texts, threshold))
+        if not more.isEmpty():
+            components = freeze(_united(components, rest.select("k1", "component").distinct(), more))
+    return components
 
 
 def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
