@@ -10,12 +10,13 @@ shuffle).  Candidates come from a thinner set, the runs from each word start (an
 words).  MinHash: with these hashed to 64 bits, the ``rows`` hashes that
 follow a fixed point of the hash ring are a min-wise sample; ``bands`` points give as many
 bands (a pair whose thin sets have similarity j shares none with probability about
-(1 - j ** rows) ** bands: with 8 bands of 3, 0.3% at 0.8 and 0.02% at 0.9).
+(1 - j ** rows) ** bands: with 10 bands of 3, 0.08% at 0.8 and 0.002% at 0.9).
 
 All lines of a bucket are compared with one pivot, its smallest key, which links near copies without
-listing their pairs.  A bucket of three lines or more in which one is not alike to the pivot is mixed.  All lines of
-mixed buckets meet in a prefix filter join of their full sets, rarest runs first, unless they are in one component already.  So every pair
-that shares a bucket is compared or in one component.  Lost are only pairs that share no band.  Pairs are judged by their
+listing their pairs.  A bucket of three lines or more that are not all in one component is mixed.  All its lines are then compared
+with a few more, and, where components still differ, with each other.  Bit marks of the full sets rule out pairs that cannot
+be alike (a differing mark is a run that only one line has), so none is lost by them.  So every pair that shares a bucket is
+compared, ruled out or in one component.  Lost are only pairs that share no band.  Pairs are judged by their
 full sets.  Only DataFrame functions are used.
 
 Defined cases: a NULL text stays NULL; documents are told apart by id and text, so rows that
@@ -36,7 +37,7 @@ from gridmix.operators.joins import checked_broadcast, freeze, is_small
 SHINGLE = r"(?s)(?=(.{12}|^.{1,11}(?!.)))."
 #: Looks at a run from a word start, then moves on: behind the word if at most 10 of its characters are left, else by one character.
 SPARSE = r"(?s)(?=([^\x20\x09-\x0D].{0,11}))(?:[^\x20\x09-\x0D]{1,10}+(?![^\x20\x09-\x0D])|[^\x20\x09-\x0D])[\x20\x09-\x0D]*"
-BANDS, ROWS = 8, 3
+BANDS, ROWS = 10, 3
 WORDS = 16  # 64-bit words of marks of a line
 HUBS = 8  # lines of a bucket that all its lines are compared with before all are
 BLANKS = " \t\n\x0b\f\r"

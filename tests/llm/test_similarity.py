@@ -165,6 +165,24 @@ def test_one_unlike_line_of_a_bucket_is_compared_with_all(spark):
     assert alike_of(spark, chain, [[1]] * 6) == [[0, 1, 2, 3, 4, 5]]
 
 
+def test_near_copies_of_one_bucket_meet_in_few_pairs(spark, monkeypatch):
+    rng, met, judge = random.Random(8), [], line_dedup._alike
+    words = prose(60, rng)
+    lines = sorted({" ".join(edited(words, rng.randint(1, 8), rng)) for _ in range(160)})
+
+    def counted(pairs, texts, threshold):
+        met.append(pairs.count())
+        return judge(pairs, texts, threshold)
+
+    monkeypatch.setattr(line_dedup, "_alike", counted)
+    sets = [{x[i:i + 12] for i in range(len(x) - 11)} for x in lines]
+    groups = {}
+    for i, x in enumerate(brute.components(len(lines), lambda i, j: len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]))):
+        groups.setdefault(x, []).append(i)
+    assert alike_of(spark, lines, [[1]] * len(lines)) == sorted(g for g in groups.values() if len(g) > 1)
+    assert sum(met) < 8 * len(lines), met
+
+
 def test_line_dedup_edge_rows(documents):
     rows = [(1, "a b\nc d"), (1, "a b\nc d"), (None, "a b\nnew"), (2, "c d\n\nown"), (3, "a b"), (4, None), (5, "")]
     docs = documents(rows)
