@@ -14,6 +14,7 @@ from gridmix.session import shared_dir
 SPACE = r"[\x20\x09-\x0D]"
 #: One word: a run of anything else.
 WORD = r"[^\x20\x09-\x0D]+"
+EDGES_A_TASK = 50_000  # of a union-find round
 
 
 def text_or_empty(column) -> F.Column:
@@ -50,16 +51,18 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
         .filter("_a is not null and _b is not null and u <> v").select("u", "v").distinct()
     )
     before = _signature(e)
+    tasks = 1 + before[0] // EDGES_A_TASK
+    e = e.coalesce(tasks)  # a shuffle of few edges into few files
     while before[0]:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).coalesce(tasks).distinct().coalesce(tasks)
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (
             large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .unionByName(least.withColumnRenamed("m", "v")).distinct()
+            .unionByName(least.withColumnRenamed("m", "v")).coalesce(tasks).distinct()
         )
-        e = freeze(small)
+        e = freeze(small.coalesce(tasks))
         after = _signature(e)
         if after == before:
             break

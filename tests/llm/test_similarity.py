@@ -183,6 +183,50 @@ def test_near_copies_of_one_bucket_meet_in_few_pairs(spark, monkeypatch):
     assert sum(met) < 8 * len(lines), met
 
 
+def test_bands_of_lines_are_shuffled_once(spark, monkeypatch):
+    stored = []
+    monkeypatch.setattr(line_dedup, "store", lambda df: stored.append(df) or df)
+    rows = [(n, [1, n, n // 2 + 1000]) for n in range(400)] + [(7, [1, 7, 1003])] * 3
+    near = line_dedup._compared(spark.createDataFrame(rows, "k1 long, bands array<long>").selectExpr("k1", "explode(bands) as key"))
+    got = {(r.key, r.k1, r.pivot, r.others) for r in near.collect()}
+    want = {(1, n, 0, 399) for n in range(1, 400)} | {(n // 2 + 1000, n, n - 1, 1) for n in range(1, 400, 2)}
+    assert got == want and len(stored) == 1
+    final = stored[0]._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert len(re.findall(r"\+- Exchange hashpartitioning", final)) == 1 and "ReusedExchange" in final, final
+
+
+def test_full_sets_are_all_runs_of_characters(spark):
+    rng = random.Random(13)
+    lines = ["a", "x" * 11, "x" * 12, "ab" * 20, "漢字" * 9, "é😀" * 13] + ["".join(rng.choice("ab é😀字") for _ in range(n)) for n in range(10, 60)]
+    runs = [(n, x[i:i + 12]) for n, x in enumerate(lines) for i in range(max(1, len(x) - 11))]
+    got = spark.createDataFrame(list(enumerate(lines)), "n int, line string").select("n", line_dedup.run_hashes("line").alias("runs")).collect()
+    want = {n: set() for n in range(len(lines))}
+    for r in spark.createDataFrame(runs, "n int, run string").selectExpr("n", "xxhash64(run) as h").collect():
+        want[r.n].add(r.h)
+    assert {r.n: set(r.runs) for r in got} == want
+
+
+def test_union_find_of_few_edges_takes_few_tasks(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(0, 40) if i % 10], "a long, b long")
+    changed = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in changed}
+    sc = spark.sparkContext
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        sc.setJobGroup("few edges", "")
+        got = {r.node: r.component for r in connected_components(edges, "a", "b").collect()}
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {i: i - (i - 1) % 10 for i in range(1, 41)} | {40: 31}
+    tracker = sc.statusTracker()
+    stages = {s for j in tracker.getJobIdsForGroup("few edges") for s in tracker.getJobInfo(j).stageIds}
+    tasks = [i.numCompletedTasks for i in map(tracker.getStageInfo, stages) if i]
+    assert tasks and sum(n >= 60 for n in tasks) <= 2, tasks  # the edges' first de-duplication only
+
+
 def test_line_dedup_edge_rows(documents):
     rows = [(1, "a b\nc d"), (1, "a b\nc d"), (None, "a b\nnew"), (2, "c d\n\nown"), (3, "a b"), (4, None), (5, "")]
     docs = documents(rows)
