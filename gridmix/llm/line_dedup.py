@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridmix.llm.common import connected_components, store
-from gridmix.operators.joins import checked_broadcast, freeze, is_small
+from gridmix.operators.joins import checked_broadcast, freeze
 
 RUN = 12  # characters
 #: Eight characters and the eleven behind them, which hold the runs from each of the eight; the last piece is shorter.
@@ -228,8 +228,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     gone = freeze(repeated_lines(docs, id_col, text_col, **options))
     lists = gone.groupBy("id", "h").agg(F.collect_set("line_no").alias("_gone")).select(
         F.col("id").alias("_id"), F.col("h").alias("_h"), "_gone")
-    if is_small(gone, SMALL):  # the lists hold no more numbers than that
-        lists = F.broadcast(lists)
+    # not broadcast: the lists grow with the texts, and one plan at all sizes lets its disk be carried on to larger tables
     split = F.split(F.col(text_col), "\n")
     rest = F.array_join(F.filter(split, lambda x, i: ~F.array_contains("_gone", i)), "\n")
     return (
