@@ -30,6 +30,8 @@ table gives no rows.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,7 +42,7 @@ RUN = 12  # characters
 #: Eight characters and the eleven behind them, which hold the runs from each of the eight; the last piece is shorter.
 PIECE = r"(?s)(?=(.{12,19})).{1,8}"
 #: Looks at a run from a word start, then moves on: behind the word if at most 10 of its characters are left, else by one character.
-SPARSE = r"(?s)(?=([^\x20\x09-\x0D].{0,11}))(?:[^\x20\x09-\x0D]{1,10}+(?![^\x20\x09-\x0D])|[^\x20\x09-\x0D])[\x20\x09-\x0D]*"
+SPARSE = r"(?s)(?=(\S.{0,11}+))(?:\S{1,10}+(?!\S)|\S)\s*+"
 BANDS, ROWS = 10, 3
 WORDS = 16  # 64-bit words of marks of a line
 HUBS = 8  # lines of a bucket that all its lines are compared with before all are
@@ -68,6 +70,18 @@ def run_hashes(line: str) -> Column:
     return F.when(F.length(line) < RUN, F.array(F.xxhash64(line))).otherwise(F.flatten(pieces))
 
 
+def coded_run_hashes(line: Column | str) -> Column:
+    """As ``run_hashes``, of the runs in UTF-32: other values for the same runs, found by place and so three times faster."""
+    width = 4 * RUN
+
+    def runs(coded: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.octet_length(coded) - (width - 1), F.lit(4))
+        return F.when(F.octet_length(coded) < width, F.array(F.xxhash64(coded))).otherwise(
+            F.transform(starts, lambda at: F.xxhash64(F.substring(coded, at, F.lit(width)))))
+
+    return F.transform(F.array(F.encode(line, "UTF-32")), runs)[0]  # an array holds the coded line, else each run would code it again
+
+
 def _points(bands: int) -> list[int]:
     return [-(1 << 63) + k * ((1 << 64) // bands) for k in range(bands)]
 
@@ -89,12 +103,18 @@ def band_keys(hashes: str, twice: str, ring: str, bands: int = BANDS, rows: int
     return F.array(*[key(band, point) for band, point in enumerate(_points(bands))])
 
 
+def _trimmed(line: str) -> Column:
+    """``line`` without outer white space; a trim goes through the whole line, and few lines need one."""
+    outer = [f(line, F.lit(blank)) for f in (F.startswith, F.endswith) for blank in BLANKS]
+    return F.when(reduce(Column.__or__, outer), F.btrim(line, F.lit(BLANKS))).otherwise(F.col(line))
+
+
 def occurrences(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Each non-blank line: ``id, h`` (the document), ``line_no``, ``line`` without outer white space."""
     return (
         docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("h"), F.col(text_col).alias("t"))
         .select("id", "h", F.posexplode_outer(F.split("t", "\n")).alias("line_no", "line"))  # explode would split twice
-        .withColumn("line", F.btrim("line", F.lit(BLANKS))).filter("line <> ''")
+        .withColumn("line", _trimmed("line")).filter("line <> ''")
     )
 
 
@@ -104,7 +124,7 @@ def _with_keys(lines: DataFrame) -> DataFrame:
 
 def _alike(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """Those of ``pairs`` (``a, b``) whose lines' full sets are alike; ``texts``: ``k1, line``."""
-    sets = F.explode(F.array(F.struct(run_hashes("la").alias("x"), run_hashes("lb").alias("y"))))  # exploded, so that runs are taken once
+    sets = F.explode(F.array(F.struct(coded_run_hashes("la").alias("x"), coded_run_hashes("lb").alias("y"))))  # exploded, so that runs are taken once
     return (
         pairs.join(texts.select(F.col("k1").alias("a"), F.col("line").alias("la")), "a")
         .join(texts.select(F.col("k1").alias("b"), F.col("line").alias("lb")), "b")
@@ -230,11 +250,12 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.col("id").alias("_id"), F.col("h").alias("_h"), "_gone")
     # not broadcast: the lists grow with the texts, and one plan at all sizes lets its disk be carried on to larger tables
     split = F.split(F.col(text_col), "\n")
-    rest = F.array_join(F.filter(split, lambda x, i: ~F.array_contains("_gone", i)), "\n")
+    rest = F.array_join(F.filter("_split", lambda x, i: ~F.array_contains("_gone", i)), "\n")
     return (
         docs.withColumn("_hash", F.xxhash64(text_col))
         .join(lists, docs[id_col].eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_h")), "left")
-        .withColumn("_lines", F.size(F.filter(split, lambda x: F.btrim(x, F.lit(BLANKS)) != "")))
+        .withColumn("_split", split)
+        .withColumn("_lines", F.size(F.filter("_split", lambda x: F.ltrim(x, F.lit(BLANKS)) != "")))
         .withColumn(text_col, F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(rest))
         .select(*docs.columns, F.greatest("_lines", F.lit(0)).cast("long").alias("n_lines"),
                 F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_dropped"))

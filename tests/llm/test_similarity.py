@@ -206,6 +206,47 @@ def test_full_sets_are_all_runs_of_characters(spark):
     assert {r.n: set(r.runs) for r in got} == want
 
 
+def test_lines_are_judged_by_runs_found_by_place(spark, monkeypatch):
+    rng = random.Random(14)
+    lines = ["", "a", "x" * 11, "x" * 12, "ab" * 20, "漢字" * 9, "é😀" * 13] + ["".join(rng.choice("ab é😀字") for _ in range(n)) for n in range(10, 60)]
+    pairs = [(x, y[:k] + "é" + y[k:]) for x in lines for y in (x, lines[20]) for k in (0, 5, 30)] + [(x, x) for x in lines]
+    rows = spark.createDataFrame([(i, *xy) for i, xy in enumerate(pairs)], "i int, x string, y string")
+    hashed = rows.select("i", *[line_dedup.coded_run_hashes(c).alias(c) for c in "xy"])
+    got = {r.i: (r.n, r.m, r.both) for r in hashed.selectExpr(
+        "i", "size(array_distinct(x)) as n", "size(array_distinct(y)) as m", "size(array_intersect(x, y)) as both").collect()}
+    sets = [[{t[k:k + 12] for k in range(max(1, len(t) - 11))} for t in xy] for xy in pairs]
+    assert got == {i: (len(x), len(y), len(x & y)) for i, (x, y) in enumerate(sets)}
+    # pairs of lines are judged by these, without patterns
+    monkeypatch.setattr(line_dedup, "run_hashes", None)
+    texts = spark.createDataFrame([(1, "x" * 30), (2, "x" * 31), (3, "another line")], "k1 long, line string")
+    found = line_dedup._alike(spark.createDataFrame([(2, 1), (3, 1)], "a long, b long"), texts, 0.8).collect()
+    assert [tuple(r) for r in found] == [(2, 1)]
+
+
+def test_outer_white_space_of_lines(spark):
+    lines = [a + x + b for x in ("", "q", "p q", "é\u2003字") for a in ("", " ", "\t \x0b", "\u2003", "\x1f") for b in ("", "\r", " \f", "\xa0", "\x00")]
+    df = spark.createDataFrame(list(enumerate([*lines, None])), "i int, line string").select("i", "line", line_dedup._trimmed("line").alias("t"))
+    assert [(r.line, r.t) for r in df.orderBy("i").collect()] == [(x, x.strip(brute.BLANKS)) for x in lines] + [(None, None)]
+    plan = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    out = line_dedup.occurrences(plan, "doc_id", "text")._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE WHEN" in out or "if " in out, out  # most lines are not trimmed
+
+
+def test_runs_from_word_starts(spark):
+    rng = random.Random(15)
+    lines = ["", "one", "a b c d e f g h", "x" * 10 + " y", "x" * 11 + " y", "x" * 30, "漢字" * 12 + " 字"]
+    lines += ["".join(rng.choice("abcde é😀字 \t\x0b\x0c\x85\u2003\xa0\x1c") for _ in range(rng.randrange(80))) for _ in range(200)]
+    runs = set()
+    for n, x in enumerate(lines):
+        for word in re.finditer(r"[^\x20\x09-\x0D]+", x):
+            runs |= {(n, x[at:at + 12]) for at in range(word.start(), max(word.start(), word.end() - 10) + 1)}
+    want = {n: set() for n in range(len(lines))}
+    for r in spark.createDataFrame(sorted(runs), "n int, run string").selectExpr("n", "xxhash64(run) as h").collect():
+        want[r.n].add(r.h)
+    got = spark.createDataFrame(list(enumerate(lines)), "n int, line string").select("n", line_dedup.shingle_hashes("line").alias("s")).collect()
+    assert {r.n: r.s for r in got} == {n: sorted(x) for n, x in want.items()}
+
+
 def test_union_find_of_few_edges_takes_few_tasks(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(0, 40) if i % 10], "a long, b long")
     changed = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
