@@ -260,3 +260,31 @@ def test_landed_texts_are_written_without_being_sorted(spark, tmp_path, monkeypa
         lines = file.read_text().splitlines()
         assert lines[0].startswith("<?xml") and all(x.startswith("<TimeSeries>") for x in lines[1:-1])
         assert (lines[-1] == "</GL_MarketDocument>") is not str(file.parent).endswith("country_code=FR/part=3")
+
+
+def test_wrappers_go_in_one_pass_and_orders_are_gathered_as_rows(spark, capsys, tmp_path):
+    from datetime import datetime
+
+    from gridmix.sources import fixtures
+
+    series = ["<n:Unit a='>'><TimeSeries><!-- <quantity>0</quantity> --><ns:Period\n x=\"1>2\"><Points><Point>"
+              "<a.b:quantity >5</a.b:quantity ><quantity/></Point></Points></ns:Period></TimeSeries></n:Unit>",
+              "<TimeSeries><Period><Point><quantity>1</quantity></Point><Step><Point><n:quantity>2</n:quantity></Point></Step></Period></TimeSeries>",
+              "<Unit><TimeSeries><Period><Point><quantity>3</quantity></Point></Period></TimeSeries>"]  # not well-formed
+    df = spark.createDataFrame([("FR", 200, doc(s)) for s in series], "country_code string, http_status int, body string")
+    assert df.select(per_unit.unwrapped(per_unit.F.col("body"))).first()[0] == (
+        "<document>x<TimeSeries><Period><Point><quantity>5</quantity><quantity/></Point></Period></TimeSeries></document>")
+    assert sorted(r.installed_capacity_mw for r in per_unit.parse_nested(df).collect()) == [1.0, 2.0, 5.0]
+    capsys.readouterr()
+    per_unit.parse_nested(df).explain()
+    assert capsys.readouterr().out.count("regexp_replace(") == 1
+    # an order's lines are gathered as table rows, the texts are built above
+    at = datetime(2024, 1, 2)
+    lines = [(1, 9, 1, 5.0, 2.0, 0.5, at), (1, 9, 2, 6.0, 3.0, 0.25, at), (1, 18, 2, None, 3.0, 0.25, at), (2, None, 1, 1.0, 1.0, 1.0, at)]
+    spark.createDataFrame(lines, "l_orderkey long, l_suppkey long, l_partkey long, l_extendedprice double, l_quantity double, l_discount double, "
+                          "l_shipdate timestamp").write.parquet(str(tmp_path / "lineitem.parquet"))
+    nested = fixtures.a71_nested_responses(spark, str(tmp_path))
+    plan = nested._jdf.queryExecution().optimizedPlan().toString()
+    assert "<TimeSeries>" in plan and "<TimeSeries>" not in plan.split("Aggregate [", 1)[1].split("\n", 1)[1] and "collect_list(struct(" in plan
+    assert sorted(r.body.count("<TimeSeries>") for r in nested.collect()) == [0, 2]
+    assert sorted(r.installed_capacity_mw for r in per_unit.parse_nested(nested).collect()) == [0.25, 0.5, 2.0, 3.0, 5.0, 6.0]
