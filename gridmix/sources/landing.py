@@ -223,9 +223,8 @@ def complete_files(spark: SparkSession, root: str, root_tag: str = "GL_MarketDoc
 def read_series(spark: SparkSession, root: str, manifest: DataFrame | None = None, complete_only: bool = False) -> DataFrame:
     """SRC4 for large responses: one row per ``TimeSeries`` element, as column ``ts``.
 
-    The XML data source finds ``<TimeSeries>`` elements inside each file and
-    splits large files across tasks, so a response of any size is read in
-    parallel instead of as one row.  Files the manifest marks as failed
+    The XML data source reads a file as a stream and finds its ``<TimeSeries>`` elements, so a response of any size
+    is never one row.  A file is read by one task, whether compressed or not; files are dealt out over tasks.  Files the manifest marks as failed
     (status other than 200) are dropped.  Acknowledgements have no series and
     give no rows.  Of a truncated file the series before the cut are kept; with ``complete_only`` none are, as the
     per-document path has it: files without the root's end tag, found by a scan of
@@ -243,5 +242,5 @@ def read_series(spark: SparkSession, root: str, manifest: DataFrame | None = Non
         failed = manifest.where(F.coalesce(F.col("http_status") != 200, F.lit(True))).select("file_name")
         series = anti_join(series, failed, "file_name")
     if complete_only:
-        series = semi_join(series, complete_files(spark, root), "file_path")
+        series = semi_join(series, freeze(complete_files(spark, root)), "file_path")  # one scan: counted, then joined
     return series.drop("file_path")

@@ -288,3 +288,28 @@ def test_wrappers_go_in_one_pass_and_orders_are_gathered_as_rows(spark, capsys,
     assert "<TimeSeries>" in plan and "<TimeSeries>" not in plan.split("Aggregate [", 1)[1].split("\n", 1)[1] and "collect_list(struct(" in plan
     assert sorted(r.body.count("<TimeSeries>") for r in nested.collect()) == [0, 2]
     assert sorted(r.installed_capacity_mw for r in per_unit.parse_nested(nested).collect()) == [0.25, 0.5, 2.0, 3.0, 5.0, 6.0]
+
+
+def test_large_series_files_are_landed_compressed(spark, tmp_path):
+    import gzip
+    from datetime import datetime
+
+    from gridmix.sources import fixtures, landing
+
+    at = datetime(2024, 1, 2)
+    lines = [(k, 4 + 9 * (k % 7) + (k % 3 == 0), k % 30, float(k), at) for k in range(4000)]  # FR and IT
+    spark.createDataFrame(lines, "l_orderkey long, l_suppkey long, l_partkey long, l_extendedprice double, l_shipdate timestamp").write.parquet(
+        str(tmp_path / "lineitem.parquet"))
+    root = tmp_path / "landed"
+    fixtures.land_a71_files(spark, str(tmp_path), str(root))
+    files = [p for p in root.rglob("part-*")]
+    texts = {p: gzip.decompress(p.read_bytes()).decode() for p in files}
+    assert len(files) == len({p.parent for p in files}) and 8 * sum(p.stat().st_size for p in files) < sum(map(len, texts.values()))
+    n = 0
+    for file, text in texts.items():
+        whole = not str(file.parent).endswith("country_code=FR/part=3")
+        first, *series, last = text.splitlines() if whole else [*text.splitlines(), "</GL_MarketDocument>"]
+        assert first.startswith("<?xml") and all(x.startswith("<TimeSeries>") and x.endswith("</TimeSeries>") for x in series)
+        assert last == "</GL_MarketDocument>" and whole is ("</GL_MarketDocument>" in text)
+        n += len(series) if whole else 0
+    assert per_unit.series_rows(landing.read_series(spark, str(root), complete_only=True)).count() == n < len(lines)
