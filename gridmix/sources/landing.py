@@ -24,6 +24,8 @@ from gridmix.functions import exprs as X
 from gridmix.operators.joins import anti_join, freeze, lookup_join, semi_join
 from gridmix.session import unsorted_writes
 
+LANDED_DOCUMENTS = 200_000  # of a file that ``land_responses`` writes, at most
+
 
 def read_extracts(spark: SparkSession, root: str, document_type: str) -> DataFrame | None:
     """SRC3: landed extracts of one document type, schemas merged across countries.
@@ -202,10 +204,16 @@ def read_responses(spark: SparkSession, root: str, manifest: DataFrame | None =
 
 
 def land_responses(responses: DataFrame, root: str) -> None:
-    """Write ``country_code, http_status, body`` rows into the landing layout, one document per line."""
+    """Write ``country_code, http_status, body`` rows into the landing layout, one document per line.
+
+    XML repeats its tags in every document, so the files are compressed.  One such file is read by one task; a file
+    ends at ``LANDED_DOCUMENTS`` documents, so that a large country is still read by many.
+    """
     one_line = F.regexp_replace("body", r"[\r\n]+", " ")
+    rows = responses.select("country_code", "http_status", one_line.alias("value"))
     with unsorted_writes(responses.sparkSession):
-        responses.select("country_code", "http_status", one_line.alias("value")).write.mode("append").partitionBy("country_code", "http_status").text(root)
+        (rows.write.mode("append").partitionBy("country_code", "http_status")
+         .option("compression", "gzip").option("maxRecordsPerFile", LANDED_DOCUMENTS).text(root))
 
 
 def land_extract(df: DataFrame, root: str) -> None:

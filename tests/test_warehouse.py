@@ -290,6 +290,32 @@ def test_per_unit_run_with_requested_skipped_and_missing_countries(spark, scratc
     assert not wh._list(f"{wh.root}/_staged")
 
 
+def _land_many(spark, root, monkeypatch):
+    """200 documents of ``FR`` and 100 of ``BE`` from one task, at most 60 a file; the texts as landed."""
+    monkeypatch.setattr(landing, "LANDED_DOCUMENTS", 60, raising=False)
+    rows = [("FR" if k % 3 else "BE", 503 if k == 7 else 200, "busy" if k == 7 else doc(ts(unit=f"U{k}")).replace("><", ">\n<")) for k in range(300)]
+    df = spark.createDataFrame(rows, "country_code string, http_status int, body string").coalesce(1)
+    landing.land_responses(df, root)
+    return [(c, s, b.replace("\n", " ")) for c, s, b in rows]
+
+
+def test_landed_responses_are_compressed_files_of_bounded_size(spark, scratch, monkeypatch):
+    import gzip
+    from pathlib import Path
+
+    root = f"{scratch}/responses"
+    landed = _land_many(spark, root, monkeypatch)
+    files = list(Path(root).rglob("part-*"))
+    texts = [gzip.decompress(p.read_bytes()).decode() for p in files]
+    assert sorted(len(t.splitlines()) for t in texts) == [1, 19, 40, 60, 60, 60, 60]
+    assert 5 * sum(p.stat().st_size for p in files) < sum(map(len, texts))
+    back = landing.read_responses(spark, root, one_per_line=True).select("country_code", "http_status", "body").collect()
+    assert sorted(map(tuple, back)) == sorted(landed)
+    wh = Warehouse(spark, f"{scratch}/wh")
+    layers.load_per_unit(spark, wh, root, ["FR", "BE"], now="2026-01-01 00:00:00", one_per_line=True)
+    assert sorted(r.unit_id for r in wh.read_bronze(tx.A71_TABLE).collect()) == sorted(f"U{k}" for k in range(300) if k != 7)
+
+
 def test_a_response_is_parsed_once(spark):
     from gridmix.operators import per_unit
 
