@@ -316,6 +316,16 @@ def test_landed_responses_are_compressed_files_of_bounded_size(spark, scratch, m
     assert sorted(r.unit_id for r in wh.read_bronze(tx.A71_TABLE).collect()) == sorted(f"U{k}" for k in range(300) if k != 7)
 
 
+def test_outcomes_count_every_document_of_compressed_responses(spark, scratch, monkeypatch):
+    root = f"{scratch}/responses"
+    landed = _land_many(spark, root, monkeypatch)
+    held = sum(os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(root) for f in names)
+    assert 4 * held < sum(len(b) for _, _, b in landed)  # with checksum files
+    res = layers.load_per_unit(spark, Warehouse(spark, f"{scratch}/wh"), root, ["FR", "BE", "DE", "CH"], now="2026-01-01 00:00:00", one_per_line=True)
+    assert sorted(map(tuple, res.outcomes.collect())) == [("BE", "success", 100, 100), ("CH", "skipped", 0, 0), ("DE", "missing", 0, 0),
+                                                          ("FR", "success", 200, 199)]
+
+
 def test_a_response_is_parsed_once(spark):
     from gridmix.operators import per_unit
 
